@@ -107,7 +107,14 @@ def qa_loss(scored: DataFrame) -> DataFrame:
 
 def running_loss(loss_log: DataFrame, eval_steps: int = DEFAULT_EVAL_STEPS, digits: int = LOSS_DIGITS) -> DataFrame:
     """Running mean of the loss, reset every ``eval_steps`` steps and
-    rounded as the reference reports it. Windows are per reset period."""
+    rounded as the reference reports it. Windows are per reset period.
+
+    The mean is a sequential double sum divided by the count, as in the
+    reference. Rounding is Spark's ``round``: half-up on the shortest decimal
+    form of the double. Python's ``round`` works on the exact binary value, so
+    the two can differ by one in the last digit when the shortest form ends
+    in 5 right after the kept digits.
+    """
     w = (
         Window.partitionBy(F.floor(F.col("step") / eval_steps))
         .orderBy("step")
