@@ -119,3 +119,10 @@ def analyze(col) -> Column:
         )
     )
     return F.concat(words, bigrams)
+
+
+# Note on explode: every explode over a computed array in this package uses
+# the ``_outer`` form followed by a null filter. A plain ``explode`` makes
+# Catalyst infer ``size(array) > 0`` and push that filter below projections
+# and repartitions, which evaluates the (expensive) array expression twice,
+# once inside the scan task.

@@ -62,7 +62,9 @@ def split_sentences(passages: DataFrame, delimiter: str = DEFAULT_DELIMITER,
     Token offsets come from a running sum over each document's sentences
     (a window partitioned by document: one document per group).
     """
-    s = passages.select("docid", F.posexplode(sentence_lengths(text_col, delimiter)).alias("sent_idx", "sent_len"))
+    s = passages.select(
+        "docid", F.posexplode_outer(sentence_lengths(text_col, delimiter)).alias("sent_idx", "sent_len")
+    ).filter(F.col("sent_len").isNotNull())
     w = Window.partitionBy("docid").orderBy("sent_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum("sent_len").over(w) - 1
     return s.select(
@@ -98,7 +100,8 @@ def pack_chunks(passages: DataFrame, cap_col: str = "capacity", overlap: int = D
 def explode_chunks(packed: DataFrame, keep=None) -> DataFrame:
     """One row per chunk with its 0-based ``chunk_idx``."""
     keep = [c for c in packed.columns if c != "chunks"] if keep is None else list(keep)
-    return packed.select(*keep, F.posexplode("chunks").alias("chunk_idx", "c")).select(
+    rows = packed.select(*keep, F.posexplode_outer("chunks").alias("chunk_idx", "c")).filter(F.col("c").isNotNull())
+    return rows.select(
         *keep,
         F.col("chunk_idx").cast("int").alias("chunk_idx"),
         F.col("c.doc_start").alias("doc_start"),

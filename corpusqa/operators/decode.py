@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusqa.functions.arrays import let
 from corpusqa.functions.text import token_to_char
 
 # Fixed values of the reference: span top-k, score of an invalid span, the
@@ -41,12 +42,12 @@ def span_candidates(start_col="start_logits", end_col="end_logits", q_col="quest
                     bde_col="bert_doc_end", k: int = SPAN_TOP_K) -> Column:
     """J4 + D2: all (s, e) pairs from the two top-k lists, start-major, with
     score ``(start[s] + end[e]) - (start[0] + end[0])`` in single precision,
-    or -1000 for an invalid pair."""
+    or -1000 for an invalid pair. Both top-k lists are computed once per row
+    (``let``), not once per candidate."""
     st, en = F.col(start_col), F.col(end_col)
     q, bde = F.col(q_col), F.col(bde_col)
     cls = F.element_at(st, 1) + F.element_at(en, 1)
-    starts = topk_positions(st, k)
-    ends = topk_positions(en, k)
+    tops = F.struct(topk_positions(st, k).alias("s"), topk_positions(en, k).alias("e"))
 
     def pair(s, e):
         score = F.when(
@@ -55,7 +56,7 @@ def span_candidates(start_col="start_logits", end_col="end_logits", q_col="quest
         ).otherwise(F.lit(INVALID_SCORE).cast("float"))
         return F.struct(s.alias("s"), e.alias("e"), score.cast("float").alias("score"))
 
-    return F.flatten(F.transform(starts, lambda s: F.transform(ends, lambda e: pair(s, e))))
+    return let(tops, lambda t: F.flatten(F.transform(t["s"], lambda s: F.transform(t["e"], lambda e: pair(s, e)))))
 
 
 def best_span_per_chunk(features: DataFrame, k: int = SPAN_TOP_K) -> DataFrame:

@@ -55,8 +55,8 @@ def doc_chunks(pairs: DataFrame, passages: DataFrame, overlap: int = DEFAULT_OVE
         ),
     ).drop("doc_ids")
     return sliced.select(
-        "docid", "capacity", "n_tokens", F.posexplode("chunks").alias("chunk_idx", "c")
-    ).select(
+        "docid", "capacity", "n_tokens", F.posexplode_outer("chunks").alias("chunk_idx", "c")
+    ).filter(F.col("c").isNotNull()).select(
         "docid", "capacity", "n_tokens",
         F.col("chunk_idx").cast("int").alias("chunk_idx"),
         "c.doc_start", "c.doc_end", "c.is_window", "c.chunk_ids",

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusqa.functions.arrays import let
+
 # Fixed value: evaluation every 50 steps (train.sh), loss rounded to 4 digits.
 DEFAULT_EVAL_STEPS = 50
 LOSS_DIGITS = 4
@@ -89,8 +91,11 @@ def rouge_l_mean(predictions: DataFrame, pred_col: str = "prediction", label_col
 
 
 def _lse(arr: Column) -> Column:
-    m = F.array_max(arr)
-    return m + F.log(F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, v: acc + F.exp(v - m)))
+    """log-sum-exp of a float array; the maximum is computed once (``let``)."""
+    return let(
+        F.array_max(arr),
+        lambda m: m + F.log(F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, v: acc + F.exp(v - m))),
+    )
 
 
 def qa_loss(scored: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ class Index:
 
 def doc_terms(passages: DataFrame, text_col: str = "passage") -> DataFrame:
     """R2 on documents: (docid, term) with repeats, one row per occurrence."""
-    return passages.select("docid", F.explode(analyze(text_col)).alias("term"))
+    return passages.select("docid", F.explode_outer(analyze(text_col)).alias("term")).filter(F.col("term").isNotNull())
 
 
 def build_index(passages: DataFrame, text_col: str = "passage") -> Index:
@@ -57,7 +57,8 @@ def build_index(passages: DataFrame, text_col: str = "passage") -> Index:
     terms = passages.select("docid", analyze(text_col).alias("terms"))
     doc_stats = terms.select("docid", F.size("terms").cast("long").alias("dl"))
     postings = (
-        terms.select("docid", F.size("terms").cast("long").alias("dl"), F.explode("terms").alias("term"))
+        terms.select("docid", F.size("terms").cast("long").alias("dl"), F.explode_outer("terms").alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("term", "docid")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
     )
@@ -80,20 +81,35 @@ def corpus_stats(index: Index) -> DataFrame:
     )
 
 
-def write_index(index: Index, path: str, buckets: int = 64, mode: str = "overwrite") -> None:
-    """Persist the index as Parquet. Postings are hash-partitioned and sorted
-    by term so that a term lives in one file per bucket and parquet min/max
-    statistics prune row groups for IN-list lookups. Overwrite makes the
-    build idempotent (Q6)."""
+def write_index(index: Index, path: str, passages: DataFrame | None = None, buckets: int = 64,
+                mode: str = "overwrite") -> None:
+    """Persist the index as Parquet with a single pass of text analysis.
+
+    Postings are written first, hash-partitioned and sorted by term so that a
+    term lives in one file per bucket and parquet min/max statistics prune
+    row groups for IN-list lookups. The other tables are derived from the
+    stored postings; documents without any term (absent from the postings)
+    are added to ``doc_stats`` with ``dl = 0`` by a docid-only anti join when
+    ``passages`` is given. Overwrite makes the build idempotent (Q6).
+    """
+    spark = index.postings.sparkSession
     (
         index.postings.repartition(buckets, "term")
         .sortWithinPartitions("term", "docid")
         .write.mode(mode)
         .parquet(f"{path}/postings")
     )
-    index.term_stats.write.mode(mode).parquet(f"{path}/term_stats")
-    index.doc_stats.write.mode(mode).parquet(f"{path}/doc_stats")
-    index.corpus_stats.write.mode(mode).parquet(f"{path}/corpus_stats")
+    stored = spark.read.parquet(f"{path}/postings")
+    doc_stats = stored.groupBy("docid").agg(F.first("dl").alias("dl"))
+    if passages is not None:
+        empty = passages.select("docid").join(doc_stats.select("docid"), "docid", "left_anti")
+        doc_stats = doc_stats.unionByName(empty.withColumn("dl", F.lit(0).cast("long")))
+    doc_stats.write.mode(mode).parquet(f"{path}/doc_stats")
+    stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode(mode).parquet(f"{path}/term_stats")
+    ds = spark.read.parquet(f"{path}/doc_stats")
+    ds.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")).write.mode(mode).parquet(
+        f"{path}/corpus_stats"
+    )
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
@@ -111,7 +127,8 @@ def query_terms(questions: DataFrame, id_col: str = "id", text_col: str = "quest
     """R2 on questions: (id, term, qtf). A repeated query word counts once per
     occurrence, as a match query's clauses do."""
     return (
-        questions.select(F.col(id_col).alias("id"), F.explode(analyze(text_col)).alias("term"))
+        questions.select(F.col(id_col).alias("id"), F.explode_outer(analyze(text_col)).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
@@ -138,15 +155,21 @@ def _restrict_postings(postings: DataFrame, qterms: DataFrame) -> tuple[DataFram
 
 
 def bm25_scores(index: Index, qterms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
-    """Full BM25 score of every (question, document) sharing a term."""
+    """Full BM25 score of every (question, document) sharing a term.
+
+    Document frequencies come from the postings already restricted to the
+    query terms: those hold every posting of each query term, so ``df`` is
+    exact without aggregating the whole vocabulary. ``N`` and ``avgdl`` are
+    scalar subqueries over the (one-row) corpus statistics.
+    """
     post, qt = _restrict_postings(index.postings, qterms)
     n_docs = index.corpus_stats.select("n_docs").scalar()
     avgdl = index.corpus_stats.select("avgdl").scalar()
-    ts = index.term_stats
+    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     norm = F.col("tf") / (F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl))
     contrib = F.col("qtf") * idf * norm
-    qt_df = qt.join(ts, "term")
+    qt_df = qt.join(df, "term")
     return (
         qt_df.join(post, "term")
         .groupBy("id", "docid")

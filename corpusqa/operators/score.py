@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusqa.operators.chunk import DEFAULT_MAX_SEQ_LENGTH
+from corpusqa.session import target_partitions
 
 LOGIT_FIELDS = [
     T.StructField("start_logits", T.ArrayType(T.FloatType()), True),
@@ -43,6 +44,7 @@ def pseudo_logits(features: DataFrame, max_seq_length: int = DEFAULT_MAX_SEQ_LEN
     divisible by 10, position 0 of both is 10 so no span scores above 0.
     ``class_logits`` (docid, class_logits) is left-joined, default [0, 0].
     """
+    features = balance_features(features)
     ex, doc, ch = F.col("example_id"), F.col("docid"), F.col("chunk_idx")
     seq = F.sequence(F.lit(0), F.lit(max_seq_length - 1))
     ten = F.lit(10.0).cast("float")
@@ -60,6 +62,18 @@ def pseudo_logits(features: DataFrame, max_seq_length: int = DEFAULT_MAX_SEQ_LEN
     )
 
 
+def balance_features(features: DataFrame) -> DataFrame:
+    """Hash-partition feature rows on their full key before per-row scoring.
+
+    Feature rows are small in bytes but expensive per row (512-wide arrays,
+    sorts, 100 candidate spans), so byte-based partition coalescing would
+    put them in too few tasks; an explicit partition count is kept as is.
+    The full (example, document, chunk) key keeps a hot question spread.
+    """
+    n = target_partitions(features.sparkSession)
+    return features.repartition(n, "example_id", "docid", "chunk_idx")
+
+
 def label_class_logits(labels: DataFrame) -> DataFrame:
     """Class logits from the ``labels`` table: [quality, 1 - quality]."""
     return labels.select(
@@ -78,6 +92,7 @@ def score_features(features: DataFrame, load_fn: Callable[[], Callable[[np.ndarr
     worker process and cached there.
     """
     schema = T.StructType(features.schema.fields + LOGIT_FIELDS)
+    features = balance_features(features)
     cache = {}
 
     def run(it):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusqa.functions.text import char_tokens
+from corpusqa.functions.text import char_tokens, kept_text
 
 # Special tokens and their ids (BERT vocabulary layout).
 PAD, UNK, CLS, SEP, MASK = "[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"
@@ -34,8 +34,11 @@ def build_char_vocab(passages: DataFrame, text_col: str = "passage") -> DataFram
     tokens. Each row first reduces its own characters to a distinct set, so
     the shuffle carries at most one row per (partition, character)."""
     spark = passages.sparkSession
+    # distinct raw characters per row first (small), lower-cased per character
+    raw = F.array_distinct(F.split(kept_text(text_col), ""))
     chars = (
-        passages.select(F.explode(F.array_distinct(char_tokens(text_col))).alias("token"))
+        passages.select(F.explode_outer(F.transform(raw, lambda t: F.lower(t))).alias("token"))
+        .filter(F.col("token").isNotNull() & (F.col("token") != ""))
         .distinct()
     )
     regular = chars.select(

@@ -17,7 +17,7 @@ from corpusqa.functions.text import char_tokens, n_tokens, token_to_char_map, ZE
 from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, tokens
 from corpusqa.plans import pipeline
 from corpusqa.schemas import PASSAGES, PREDICTIONS_TEST, TRAIN_RAW
-from corpusqa.session import scratch_path
+from corpusqa.session import materialize, scratch_path
 from corpusqa.sources import csv_io, driver_tables as dt
 
 # Fixed parameters of the driver queries.
@@ -91,7 +91,9 @@ class Ctx:
 
     @cached_property
     def train_feats(self) -> DataFrame:
-        return pipeline.training_features(self.prep.examples, self.passages, encode.TRAIN, **self._kw())
+        # read by several steps (sampling reads it four times): written once
+        f = pipeline.training_features(self.prep.examples, self.passages, encode.TRAIN, **self._kw())
+        return materialize(f, "train_features")
 
     @cached_property
     def split(self) -> DataFrame:
@@ -232,8 +234,8 @@ def q_offset_map(c: Ctx):
     char->token map (tokens before this character), ``is_token`` marks the
     characters that are tokens (token->char is the inverse on those rows)."""
     from pyspark.sql import Window
-    ch = c.passages.select("docid", F.posexplode(F.split("passage", "")).alias("char_idx", "ch"))
-    ch = ch.filter(F.col("ch") != "")
+    ch = c.passages.select("docid", F.posexplode_outer(F.split("passage", "")).alias("char_idx", "ch"))
+    ch = ch.filter(F.col("ch").isNotNull() & (F.col("ch") != ""))
     kept = (~F.col("ch").rlike("^" + ZERO_TOKEN_CLASS + "$")).cast("int")
     w = Window.partitionBy("docid").orderBy("char_idx").rowsBetween(Window.unboundedPreceding, -1)
     return ch.select(
@@ -395,7 +397,7 @@ def q_valid_spans(c: Ctx):
 def q_span_candidates(c: Ctx):
     s = score.pseudo_logits(c.test_feats, MAX_SEQ)
     x = s.select(F.col("example_id").alias("id"), "docid", "chunk_idx",
-                 F.posexplode(decode.span_candidates()).alias("cand_idx", "c"))
+                 F.posexplode_outer(decode.span_candidates()).alias("cand_idx", "c")).filter(F.col("c").isNotNull())
     return x.select("id", "docid", "chunk_idx", F.col("cand_idx").cast("long").alias("cand_idx"),
                     F.col("c.s").alias("s"), F.col("c.e").alias("e"),
                     F.round(F.col("c.score").cast("double"), 6).alias("score"))

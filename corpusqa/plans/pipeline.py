@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusqa.operators import clean, decode, encode, retrieval, sample, score
+from corpusqa.session import materialize
 
 
 @dataclass
@@ -80,6 +81,7 @@ def evaluate(examples: DataFrame, passages: DataFrame, scorer=None, **kw) -> Dat
 def training_set(examples: DataFrame, passages: DataFrame, vocab: DataFrame, batch_size: int = 64,
                  seed: int = sample.DEFAULT_SEED, **kw) -> DataFrame:
     """Encoded, sampled and batched training rows."""
-    feats = training_features(examples, passages, mode=encode.TRAIN, vocab=vocab, **kw)
+    feats = materialize(training_features(examples, passages, mode=encode.TRAIN, vocab=vocab, **kw),
+                        "train_features")
     chosen = sample.sample_training(feats, seed)
     return sample.shuffle_batches(encode.encode_inputs(chosen), batch_size, seed)

@@ -56,3 +56,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def target_partitions(spark: SparkSession) -> int:
+    """Partitions for CPU-heavy per-row stages: the shuffle partition count,
+    at least the cluster's default parallelism."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(n, spark.sparkContext.defaultParallelism)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give a scan enough partitions for CPU-heavy per-row work.
+
+    A large input already arrives in many splits and is returned unchanged
+    (no shuffle). Only a scan with fewer partitions than the cluster can run
+    at once -- e.g. one small file with a single row group -- is spread
+    round-robin.
+    """
+    spark = df.sparkSession
+    want = min_partitions or target_partitions(spark)
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet below the shared checkpoint
+    folder and reading it back. Used for tables that several later steps
+    read (e.g. the feature table read by sampling and its statistics), so
+    they are computed once and survive executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

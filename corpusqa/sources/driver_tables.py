@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusqa.session import spread
+
 # Fixed values of the fixture rules.
 TRAIN_MIN_CHARS = 60
 TRAIN_QUESTION_CHARS = 40
@@ -21,8 +23,13 @@ DEV_FILE, TRAIN_FILE = "dev.csv", "train.csv"
 ACCURACY_SCALE = 500.0
 
 
+# Tables whose rows carry text that every query processes row by row.
+TEXT_TABLES = {"documents", "benchmark", "conversations", "pages"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
