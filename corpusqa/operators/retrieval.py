@@ -28,11 +28,14 @@ K1 = 1.2
 B = 0.75
 # Default number of documents retrieved per question (test.sh uses 10).
 DEFAULT_K = 10
-# Query-term sides up to this many rows are broadcast (checked by count).
-BROADCAST_QUERY_TERMS = 2_000_000
-# Up to this many distinct query terms are pushed into the postings scan as
-# an IN list (bucket pruning and parquet statistics on a stored index).
+# Retrieval strategy bounds for the distinct query terms (checked by one
+# small aggregate over the question side before planning the search):
+# up to PUSHDOWN_TERMS terms / PUSHDOWN_CHARS characters go into the postings
+# scan as an IN list; up to BROADCAST_BYTES they are broadcast; beyond that a
+# shuffle join (AQE splits skewed, very common terms).
 PUSHDOWN_TERMS = 5_000
+PUSHDOWN_CHARS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @dataclass
@@ -137,19 +140,23 @@ def query_terms(questions: DataFrame, id_col: str = "id", text_col: str = "quest
 def _restrict_postings(postings: DataFrame, qterms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Postings of query terms only, with the cheapest safe strategy.
 
-    The distinct query terms are counted first (an action on the small side).
-    Few terms: pushed into the scan as an IN list. Otherwise the term side is
-    broadcast when its row count is under the bound, else a shuffle join that
-    AQE may split for skewed (very common) terms.
+    The distinct query terms are counted and measured first (one aggregate
+    over the question side). Few and short: pushed into the scan as an IN
+    list (bucket / row-group pruning on a stored index). Otherwise the term
+    set is broadcast only when its measured size is under the bound, else a
+    shuffle semi join. The per-question term table itself is never forced
+    into a broadcast: it grows with the number of questions, so AQE decides
+    from its runtime size.
     """
     distinct_terms = qterms.select("term").distinct()
-    n = distinct_terms.count()
+    st = distinct_terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("term")).alias("chars")).first()
+    n, chars = int(st["n"]), int(st["chars"] or 0)
     if n == 0:
         return postings.limit(0), qterms
-    if n <= PUSHDOWN_TERMS:
+    if n <= PUSHDOWN_TERMS and chars <= PUSHDOWN_CHARS:
         terms = [r[0] for r in distinct_terms.collect()]
-        return postings.filter(F.col("term").isin(terms)), F.broadcast(qterms)
-    if n <= BROADCAST_QUERY_TERMS:
+        return postings.filter(F.col("term").isin(terms)), qterms
+    if 4 * chars + 32 * n <= BROADCAST_BYTES:
         return postings.join(F.broadcast(distinct_terms), "term", "left_semi"), qterms
     return postings.join(distinct_terms, "term", "left_semi"), qterms
 

@@ -95,3 +95,22 @@ def test_capacity_must_exceed_overlap(spark):
     df = spark.createDataFrame([(1, "abc.", 100)], "docid long, passage string, capacity int")
     with pytest.raises(Exception):
         pack_chunks(df, "capacity", overlap=100).collect()
+
+
+def test_linear_path_equals_aggregate_path(spark, monkeypatch):
+    import corpusqa.operators.chunk as ch
+    from corpusqa.operators.chunk import pack_lengths
+
+    for lens, cap, ov, expected in GOLDEN:
+        assert [(a, b) for a, b, _ in pack_lengths(lens, cap, ov)] == expected
+    texts = ["一二三。四五六七。八九十一二三四五六七八九十一二。甲乙丙。", "。。ab。", "没有句号的长句子" * 5, ""]
+    df = spark.createDataFrame([(i, t, 12) for i, t in enumerate(texts)], "docid long, passage string, capacity int")
+
+    def rows(flag):
+        p = pack_chunks(df, "capacity", overlap=3, large_text_path=flag)
+        return sorted(tuple(r) for r in explode_chunks(p.drop("passage"), keep=["docid"]).collect())
+
+    monkeypatch.setattr(ch, "LARGE_TEXT_CHARS", 0)      # every text takes the linear path
+    linear = rows(True)
+    monkeypatch.setattr(ch, "LARGE_TEXT_CHARS", 10 ** 9)
+    assert linear == rows(False) and len(linear) > 0
