@@ -22,7 +22,6 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.driver.memory": "16g",
-    "spark.sql.ansi.enabled": "false",
 }
 
 
