@@ -1,0 +1,150 @@
+"""Word-piece question tokens (T3, ``mode='wordpiece'``).
+
+The reference tokenises the question as one string with a BERT tokenizer,
+so Latin words become word pieces while passages are split per character.
+This is the public BERT algorithm: basic tokenisation (clean, isolate CJK
+characters, lower-case, strip accents, split punctuation), then greedy
+longest-match-first word pieces with the ``##`` continuation prefix. It runs
+as an Arrow-batched function with the vocabulary broadcast once per executor
+(size checked); repeated words hit a per-worker cache.
+"""
+
+from __future__ import annotations
+
+import unicodedata
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from corpusqa.operators.tokens import FIRST_REGULAR_ID, SPECIAL_TOKENS, UNK, vocab_broadcast
+
+# Fixed values of the BERT word-piece algorithm.
+CONTINUATION = "##"
+MAX_CHARS_PER_WORD = 100
+
+
+def _is_cjk(cp: int) -> bool:
+    return (0x4E00 <= cp <= 0x9FFF or 0x3400 <= cp <= 0x4DBF or 0x20000 <= cp <= 0x2A6DF
+            or 0x2A700 <= cp <= 0x2B73F or 0x2B740 <= cp <= 0x2B81F or 0x2B820 <= cp <= 0x2CEAF
+            or 0xF900 <= cp <= 0xFAFF or 0x2F800 <= cp <= 0x2FA1F)
+
+
+def _is_punct(ch: str) -> bool:
+    cp = ord(ch)
+    if 33 <= cp <= 47 or 58 <= cp <= 64 or 91 <= cp <= 96 or 123 <= cp <= 126:
+        return True
+    return unicodedata.category(ch).startswith("P")
+
+
+def basic_tokens(text: str, lower: bool = True) -> list:
+    """Whitespace/punctuation split with CJK characters as single tokens."""
+    out, cur = [], []
+
+    def flush():
+        if cur:
+            out.append("".join(cur))
+            cur.clear()
+
+    for ch in text or "":
+        cp = ord(ch)
+        cat = unicodedata.category(ch)
+        if cp == 0 or cp == 0xFFFD or (cat.startswith("C") and ch not in "\t\n\r"):
+            continue
+        if ch.isspace() or cat == "Zs":
+            flush()
+        elif _is_cjk(cp) or _is_punct(ch):
+            flush()
+            out.append(ch)
+        else:
+            cur.append(ch)
+    flush()
+    if lower:
+        res = []
+        for t in out:
+            t = unicodedata.normalize("NFD", t.lower())
+            t = "".join(c for c in t if unicodedata.category(c) != "Mn")
+            if t:
+                res.append(t)
+        return res
+    return out
+
+
+def word_pieces(word: str, vocab: frozenset) -> list:
+    """Greedy longest-match-first pieces of one word; [UNK] if impossible."""
+    if len(word) > MAX_CHARS_PER_WORD:
+        return [UNK]
+    pieces, start = [], 0
+    while start < len(word):
+        end, piece = len(word), None
+        while start < end:
+            sub = word[start:end]
+            if start > 0:
+                sub = CONTINUATION + sub
+            if sub in vocab:
+                piece = sub
+                break
+            end -= 1
+        if piece is None:
+            return [UNK]
+        pieces.append(piece)
+        start = end
+    return pieces
+
+
+def tokenize(text: str, vocab: frozenset, lower: bool = True) -> list:
+    out = []
+    for w in basic_tokens(text, lower):
+        out += word_pieces(w, vocab)
+    return out
+
+
+def wordpiece_tokens(df: DataFrame, vocab: DataFrame, text_col: str = "question",
+                     out_col: str = "question_tokens", lower: bool = True) -> DataFrame:
+    """Adds ``out_col`` with the word pieces of ``text_col``."""
+    bc = vocab_broadcast(vocab)
+
+    def run(texts: pd.Series) -> pd.Series:
+        tokens, _ids = bc.value
+        vset = frozenset(tokens)
+        cached = lru_cache(maxsize=200_000)(lambda w: tuple(word_pieces(w, vset)))
+        res = []
+        for t in texts:
+            pieces = []
+            for w in basic_tokens(t, lower):
+                pieces += cached(w)
+            res.append(pieces)
+        return pd.Series(res, dtype=object)
+
+    return df.withColumn(out_col, F.pandas_udf(run, "array<string>")(F.col(text_col)))
+
+
+def build_wordpiece_vocab(passages: DataFrame, n_words: int = 1000, text_col: str = "passage") -> DataFrame:
+    """A word-piece vocabulary from a corpus: the special tokens, every
+    character of the corpus and its ``##`` continuation, and the ``n_words``
+    most frequent basic words (ties by word). Ids follow that order."""
+    spark = passages.sparkSession
+    words = (
+        passages.select(F.explode_outer(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"[\p{L}\p{N}]+"), 0))
+                        .alias("w"))
+        .filter(F.col("w").isNotNull() & (F.length("w") > 1))
+        .groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.col("n").desc(), F.col("w"))
+        .limit(n_words)               # the feature: a top-n word list
+        .select(F.col("w").alias("token"), F.lit(2).alias("grp"))
+    )
+    chars = (
+        passages.select(F.explode_outer(F.array_distinct(F.split(F.lower(F.col(text_col)), ""))).alias("c"))
+        .filter(F.col("c").isNotNull() & (F.col("c") != "") & ~F.col("c").rlike(r"^\s$"))
+        .distinct()
+    )
+    pieces = chars.select(F.col("c").alias("token"), F.lit(0).alias("grp")).unionByName(
+        chars.select(F.concat(F.lit(CONTINUATION), F.col("c")).alias("token"), F.lit(1).alias("grp"))
+    ).unionByName(words)
+    # bounded: characters + continuations + n_words rows
+    ranked = pieces.groupBy("token").agg(F.min("grp").alias("grp")).select(
+        "token", (F.row_number().over(Window.orderBy("grp", "token")) + FIRST_REGULAR_ID - 1).cast("int").alias("token_id")
+    )
+    special = spark.createDataFrame([(t, i) for i, t in enumerate(SPECIAL_TOKENS)], "token string, token_id int")
+    return special.unionByName(ranked)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusqa.functions.text import char_tokens, n_tokens, token_to_char_map, ZERO_TOKEN_CLASS
-from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, tokens
+from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, tokens, wordpiece
 from corpusqa.plans import pipeline
 from corpusqa.schemas import PASSAGES, PREDICTIONS_TEST, TRAIN_RAW
 from corpusqa.session import materialize, scratch_path
@@ -252,6 +252,18 @@ def q_token_to_char(c: Ctx):
     return c.passages.select("docid", F.size(m).cast("long").alias("n_tokens"), F.md5(F.array_join(m, ",")).alias("map_md5"))
 
 
+def q_question_wordpiece(c: Ctx):
+    """T3 word-piece mode (rows-only in the driver; the greedy longest match
+    is checked against a plain implementation in pytest). The vocabulary is
+    built from the documents: characters, their continuations and the 1000
+    most frequent words."""
+    v = wordpiece.build_wordpiece_vocab(dt.passages(c.spark, c.sf), 1000)
+    t = wordpiece.wordpiece_tokens(c.questions, v)
+    t = t.withColumn("question_tokens", F.slice("question_tokens", 1, MAX_Q))
+    return t.select("id", F.size("question_tokens").cast("long").alias("question_len"),
+                    F.array_join("question_tokens", " ").alias("tokens"))
+
+
 def q_vocab(c: Ctx):
     return c.vocab.select("token", F.col("token_id").cast("long").alias("token_id"))
 

@@ -1,0 +1,33 @@
+"""Word-piece mode (T3) against the public BERT examples and a plain run."""
+
+from corpusqa.operators.wordpiece import basic_tokens, build_wordpiece_vocab, tokenize, word_pieces, wordpiece_tokens
+
+VOCAB = frozenset(["[UNK]", "[CLS]", "[SEP]", "want", "##want", "##ed", "wa", "un", "runn", "##ing", ",", "low",
+                   "lowest", "un", "##aff", "##able", "疫", "情"])
+
+
+def test_basic_tokens():
+    assert basic_tokens(" \tHeLLo!how  \n Are yoU?  ") == ["hello", "!", "how", "are", "you", "?"]
+    assert basic_tokens("Héllo疫情ab") == ["hello", "疫", "情", "ab"]
+
+
+def test_word_pieces_greedy_longest_match():
+    assert word_pieces("unaffable", VOCAB) == ["un", "##aff", "##able"]
+    assert tokenize("unwanted running", VOCAB) == ["un", "##want", "##ed", "runn", "##ing"]
+    assert tokenize("unwantedX running", VOCAB) == ["[UNK]", "runn", "##ing"]
+    assert tokenize("", VOCAB) == []
+
+
+def test_wordpiece_in_spark_equals_plain(spark):
+    texts = [(1, "unwanted running, lowest"), (2, "疫情 unaffable"), (3, "zzz")]
+    df = spark.createDataFrame(texts, "id long, question string")
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(sorted(VOCAB))], "token string, token_id int")
+    got = {r.id: r.question_tokens for r in wordpiece_tokens(df, vocab).collect()}
+    assert got == {i: tokenize(t, VOCAB) for i, t in texts}
+
+
+def test_vocab_from_corpus(spark):
+    p = spark.createDataFrame([(1, "the cat. the dog"), (2, "The end")], "docid long, passage string")
+    v = {r.token: r.token_id for r in build_wordpiece_vocab(p, n_words=1).collect()}
+    assert v["[PAD]"] == 0 and v["[UNK]"] == 1 and "##t" in v and "the" in v and "cat" not in v
+    assert len(set(v.values())) == len(v)
