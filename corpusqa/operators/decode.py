@@ -96,27 +96,37 @@ def best_span_per_question(chunk_best: DataFrame, order_cols=("rank", "chunk_idx
     )
 
 
+def _with_answer(winners: DataFrame, passages: DataFrame) -> DataFrame:
+    """Winners left-joined to the passage of their best span, with the
+    answer columns; rows without a span keep nulls. One reference to
+    ``winners`` so the decode plan runs once."""
+    w = winners.select(
+        "*",
+        F.col("best.docid").alias("_docid"),
+        (F.col("best.doc_start") + F.col("best.best_start") - F.col("best.question_len") - 2).alias("tok_start"),
+        (F.col("best.doc_start") + F.col("best.best_end") - F.col("best.question_len") - 2).alias("tok_end"),
+    )
+    p = passages.select(F.col("docid").alias("_docid"), "passage")
+    j = w.join(p, "_docid", "left")
+    cs = token_to_char("passage", "tok_start").cast("int")
+    ce = token_to_char("passage", "tok_end").cast("int")
+    return (
+        j.withColumn("char_start", F.when(F.col("best").isNotNull(), cs))
+        .withColumn("char_end", F.when(F.col("best").isNotNull(), ce))
+        .withColumn("answer", F.expr("substring(passage, char_start + 1, char_end - char_start + 1)"))
+        .drop("passage")
+    )
+
+
 def span_text(winners: DataFrame, passages: DataFrame) -> DataFrame:
     """Sequence positions -> passage tokens -> characters -> answer text.
 
     Passages are joined for the winning rows only.
     """
-    w = winners.filter(F.col("best").isNotNull()).select(
-        "example_id",
-        F.col("best.docid").alias("docid"),
-        F.col("best.score").alias("score"),
-        (F.col("best.doc_start") + F.col("best.best_start") - F.col("best.question_len") - 2).alias("tok_start"),
-        (F.col("best.doc_start") + F.col("best.best_end") - F.col("best.question_len") - 2).alias("tok_end"),
+    return _with_answer(winners.filter(F.col("best").isNotNull()), passages).select(
+        "example_id", F.col("_docid").alias("docid"), F.col("best.score").alias("score"), "tok_start", "tok_end",
+        "char_start", "char_end", "answer",
     )
-    j = w.join(passages.select("docid", "passage"), "docid")
-    cs = token_to_char("passage", "tok_start")
-    ce = token_to_char("passage", "tok_end")
-    return j.select(
-        "example_id", "docid", "score", "tok_start", "tok_end", "passage",
-        cs.cast("int").alias("char_start"), ce.cast("int").alias("char_end"),
-    ).withColumn(
-        "answer", F.expr("substring(passage, char_start + 1, char_end - char_start + 1)")
-    ).drop("passage")
 
 
 def unanswered(winners: DataFrame) -> DataFrame:
@@ -127,12 +137,10 @@ def unanswered(winners: DataFrame) -> DataFrame:
 def predict_test(winners: DataFrame, passages: DataFrame, fallback: str = FALLBACK_ANSWER) -> DataFrame:
     """D8 (test layout) + P8: (id, docid, answer); unanswered examples get the
     fallback text and the docid of their last feature (Q17)."""
-    answered = span_text(winners, passages).select("example_id", "docid", "answer")
-    allx = winners.select("example_id", "last_docid")
-    j = allx.join(answered, "example_id", "left")
-    return j.select(
+    a = _with_answer(winners, passages)
+    return a.select(
         F.col("example_id").alias("id"),
-        F.coalesce(F.col("docid"), F.col("last_docid")).alias("docid"),
+        F.coalesce(F.col("_docid"), F.col("last_docid")).alias("docid"),
         F.coalesce(F.col("answer"), F.lit(fallback)).alias("answer"),
     )
 
@@ -141,12 +149,11 @@ def predict_eval(winners: DataFrame, examples: DataFrame, passages: DataFrame,
                  fallback: str = FALLBACK_ANSWER) -> DataFrame:
     """D7 + D8 (eval layout): (example_id, prediction, label), label being the
     gold text ``passage[start:end+1]``."""
-    answered = span_text(winners, passages).select("example_id", "answer")
+    a = _with_answer(winners, passages)
     gold = examples.select(
         "example_id", F.expr("substring(passage, start + 1, end - start + 1)").alias("label")
     )
-    j = winners.select("example_id").join(answered, "example_id", "left").join(gold, "example_id")
-    return j.select(
+    return a.join(gold, "example_id").select(
         "example_id",
         F.coalesce(F.col("answer"), F.lit(fallback)).alias("prediction"),
         "label",

@@ -67,7 +67,15 @@ class Ctx:
 
     @cached_property
     def hits(self) -> DataFrame:
-        return retrieval.bm25_topk(self.index, self.questions, K)
+        # questions x k rows, read by several branches (chunk keys, feature
+        # join, late passage join): written once under the checkpoint folder
+        return materialize(retrieval.bm25_topk(self.index, self.questions, K), "hits")
+
+    @cached_property
+    def examples(self) -> DataFrame:
+        # answerable training examples feed the chunk keys, the feature join,
+        # the split and the eval labels: written once
+        return materialize(self.prep.examples, "examples")
 
     @cached_property
     def vocab(self) -> DataFrame:
@@ -92,12 +100,12 @@ class Ctx:
     @cached_property
     def train_feats(self) -> DataFrame:
         # read by several steps (sampling reads it four times): written once
-        f = pipeline.training_features(self.prep.examples, self.passages, encode.TRAIN, **self._kw())
+        f = pipeline.training_features(self.examples, self.passages, encode.TRAIN, **self._kw())
         return materialize(f, "train_features")
 
     @cached_property
     def split(self) -> DataFrame:
-        return sample.train_dev_split(self.prep.examples, 0.2, SEED, id_col="example_id")
+        return sample.train_dev_split(self.examples, 0.2, SEED, id_col="example_id")
 
     @cached_property
     def dev_examples(self) -> DataFrame:

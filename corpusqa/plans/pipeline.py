@@ -64,7 +64,7 @@ def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, s
             k: int = retrieval.DEFAULT_K, **kw) -> DataFrame:
     """Search and predict: (id, docid, answer). ``scorer(features)`` adds
     logits; the default is the deterministic pseudo-logit stand-in."""
-    hits = retrieve(index, questions, k)
+    hits = materialize(retrieve(index, questions, k), "hits")   # small, read by several branches
     feats = test_features(hits, passages, **kw)
     scored = (scorer or score.pseudo_logits)(feats)
     return decode.predict_test(decode_features(scored), passages)
