@@ -152,7 +152,7 @@ def _restrict_postings(postings: DataFrame, qterms: DataFrame) -> tuple[DataFram
     st = distinct_terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("term")).alias("chars")).first()
     n, chars = int(st["n"]), int(st["chars"] or 0)
     if n == 0:
-        return postings.limit(0), qterms
+        return postings.filter(F.lit(False)), qterms   # no query terms: no hits
     if n <= PUSHDOWN_TERMS and chars <= PUSHDOWN_CHARS:
         terms = [r[0] for r in distinct_terms.collect()]
         return postings.filter(F.col("term").isin(terms)), qterms

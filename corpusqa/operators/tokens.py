@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusqa.functions.text import char_tokens, kept_text
+from corpusqa.functions.text import ZERO_TOKEN_CLASS, char_tokens
 
 # Special tokens and their ids (BERT vocabulary layout).
 PAD, UNK, CLS, SEP, MASK = "[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"
@@ -31,22 +31,22 @@ MAX_VOCAB = 1_500_000
 def build_char_vocab(passages: DataFrame, text_col: str = "passage") -> DataFrame:
     """Vocabulary table (token, token_id): the distinct lower-case characters
     of the passages in code-point order, ids from 5; ids 0-4 are the special
-    tokens. Each row first reduces its own characters to a distinct set, so
-    the shuffle carries at most one row per (partition, character)."""
+    tokens. Each row is first reduced to its distinct raw characters; the
+    zero-token filter and the per-character lower-casing of ``char_tokens``
+    then run on that small set, and only distinct values are shuffled."""
     spark = passages.sparkSession
-    # distinct raw characters per row first (small), lower-cased per character
-    raw = F.array_distinct(F.split(kept_text(text_col), ""))
+    raw = F.array_distinct(F.split(F.col(text_col), ""))
+    kept = F.filter(raw, lambda ch: (ch != "") & ~ch.rlike("^" + ZERO_TOKEN_CLASS + "$"))
     chars = (
-        passages.select(F.explode_outer(F.transform(raw, lambda t: F.lower(t))).alias("token"))
-        .filter(F.col("token").isNotNull() & (F.col("token") != ""))
+        passages.select(F.explode_outer(F.array_distinct(F.transform(kept, lambda t: F.lower(t)))).alias("token"))
+        .filter(F.col("token").isNotNull())
         .distinct()
     )
     regular = chars.select(
         "token",
         # one ordered partition is fine here: the set is bounded by the
         # number of distinct characters
-        (F.rank().over(Window.orderBy("token")) + FIRST_REGULAR_ID - 1)
-        .cast("int").alias("token_id"),
+        (F.rank().over(Window.orderBy("token")) + FIRST_REGULAR_ID - 1).cast("int").alias("token_id"),
     )
     special = spark.createDataFrame([(t, i) for i, t in enumerate(SPECIAL_TOKENS)], "token string, token_id int")
     return special.unionByName(regular)
