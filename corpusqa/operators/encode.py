@@ -83,11 +83,15 @@ def build_features(examples: DataFrame, passages: DataFrame, mode: str = TRAIN,
         )
     if "passage" in q.columns:
         q = q.drop("passage")
+    # chunk keys come from the plain projection: an Arrow function is opaque
+    # to column pruning, so taking the keys after the id lookup would run it
+    # twice
+    keys = q.select("docid", "capacity")
     if vocab is None:
         q = q.drop("question_tokens")
     else:
         q = token_ids(q, vocab, "question_tokens", "question_ids").drop("question_tokens")
-    chunks = doc_chunks(q.select("docid", "capacity"), passages, overlap, delimiter, vocab)
+    chunks = doc_chunks(keys, passages, overlap, delimiter, vocab)
     f = q.join(chunks, ["docid", "capacity"])
     f = f.withColumn("doc_length", (F.col("doc_end") - F.col("doc_start")).cast("int")).withColumn(
         "bert_doc_end", (F.col("question_len") + F.col("doc_end") - F.col("doc_start") + 3).cast("int")

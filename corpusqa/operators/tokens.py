@@ -52,16 +52,28 @@ def build_char_vocab(passages: DataFrame, text_col: str = "passage") -> DataFram
     return special.unionByName(regular)
 
 
+_BROADCASTS: dict = {}
+
+
 def vocab_broadcast(vocab: DataFrame, max_size: int = MAX_VOCAB):
-    """Collect the (bounded, checked) vocabulary once and broadcast it."""
-    n = vocab.count()
-    if n > max_size:
-        raise ValueError(f"vocabulary of {n} entries exceeds the broadcast bound {max_size}")
-    rows = vocab.select("token", "token_id").collect()
+    """Collect the (bounded, checked) vocabulary once and broadcast it.
+
+    One pass: at most ``max_size + 1`` rows are collected, more means the
+    bound is exceeded. The broadcast is reused for the same vocabulary
+    DataFrame (question ids and document ids share it).
+    """
+    hit = _BROADCASTS.get(id(vocab))
+    if hit is not None and hit[0] is vocab:
+        return hit[1]
+    rows = vocab.select("token", "token_id").limit(max_size + 1).collect()
+    if len(rows) > max_size:
+        raise ValueError(f"vocabulary exceeds the broadcast bound of {max_size} entries")
     rows.sort(key=lambda r: r[1])
     tokens = [r[0] for r in rows]
     ids = [int(r[1]) for r in rows]
-    return vocab.sparkSession.sparkContext.broadcast((tokens, ids))
+    bc = vocab.sparkSession.sparkContext.broadcast((tokens, ids))
+    _BROADCASTS[id(vocab)] = (vocab, bc)
+    return bc
 
 
 def _ids_fn(bc, tokens_col: str, out_col: str, unk_id: int):
