@@ -149,13 +149,14 @@ def _restrict_postings(postings: DataFrame, qterms: DataFrame) -> tuple[DataFram
     from its runtime size.
     """
     distinct_terms = qterms.select("term").distinct()
+    # one job: at most PUSHDOWN_TERMS + 1 terms come back to the driver
+    few = [r[0] for r in distinct_terms.limit(PUSHDOWN_TERMS + 1).collect()]
+    if not few:
+        return postings.filter(F.lit(False)), qterms   # no query terms: no hits
+    if len(few) <= PUSHDOWN_TERMS and sum(len(t) for t in few) <= PUSHDOWN_CHARS:
+        return postings.filter(F.col("term").isin(few)), qterms
     st = distinct_terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("term")).alias("chars")).first()
     n, chars = int(st["n"]), int(st["chars"] or 0)
-    if n == 0:
-        return postings.filter(F.lit(False)), qterms   # no query terms: no hits
-    if n <= PUSHDOWN_TERMS and chars <= PUSHDOWN_CHARS:
-        terms = [r[0] for r in distinct_terms.collect()]
-        return postings.filter(F.col("term").isin(terms)), qterms
     if 4 * chars + 32 * n <= BROADCAST_BYTES:
         return postings.join(F.broadcast(distinct_terms), "term", "left_semi"), qterms
     return postings.join(distinct_terms, "term", "left_semi"), qterms

@@ -47,6 +47,10 @@ def append_eval_log(df: DataFrame, path: str) -> None:
 
 
 def write_best_eval_predictions(predictions: DataFrame, best: DataFrame, path: str) -> None:
-    """Write the eval predictions of the best run only (keyed by run and step)."""
+    """Write the eval predictions of each run's best evaluation only.
+
+    ``predictions`` carries (run, global_step, example_id, prediction, label)
+    for every evaluation; ``best`` is the output of ``best_eval_run``.
+    """
     chosen = predictions.join(best.select("run", "global_step"), ["run", "global_step"], "left_semi")
-    write_table(chosen.select("example_id", "prediction", "label"), path)
+    write_table(chosen.select("run", "example_id", "prediction", "label"), path)

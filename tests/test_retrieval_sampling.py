@@ -80,3 +80,21 @@ def test_global_rank_is_a_permutation(spark):
     df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("k"), "id")
     ranks = [r.order_rank for r in global_rank(df, "k", ("id",)).orderBy("k").collect()]
     assert ranks == list(range(5000))
+
+
+def test_all_retrieval_strategies_agree(spark, monkeypatch):
+    import corpusqa.operators.retrieval as r
+
+    docs = spark.createDataFrame(DOCS, "docid long, passage string")
+    qs = spark.createDataFrame(QS, "id long, question string")
+    index = build_index(docs)
+
+    def run():
+        return sorted(tuple(x) for x in bm25_topk(index, qs, k=3).collect())
+
+    in_list = run()
+    monkeypatch.setattr(r, "PUSHDOWN_TERMS", 0)          # broadcast semi join
+    broadcast = run()
+    monkeypatch.setattr(r, "BROADCAST_BYTES", 0)         # shuffle semi join
+    shuffle = run()
+    assert in_list == broadcast == shuffle and len(in_list) > 0

@@ -59,3 +59,25 @@ def test_tsv_round_trip(spark):
     path = scratch_path(spark, "tsv")
     write_table(df, path, sep="\t")
     assert sorted(read_table(spark, path, TRAIN_RAW, sep="\t").collect()) == sorted(df.collect())
+
+
+def test_best_eval_predictions_sink(spark):
+    from corpusqa.operators.metrics import best_eval_run
+    from corpusqa.sources.csv_io import write_best_eval_predictions
+    from corpusqa.schemas import PREDICTIONS_EVAL
+    from pyspark.sql import types as T
+
+    log = spark.createDataFrame(
+        [("r", "dev.csv", 50, 1.0, 0.5), ("r", "dev.csv", 100, 0.9, 0.7), ("r", "train.csv", 150, 0.8, 0.9),
+         ("r", "dev.csv", 200, 0.7, 0.7)],
+        "run string, file string, global_step long, loss double, eval_accuracy double")
+    best = best_eval_run(log)
+    assert [(r.run, r.global_step) for r in best.collect()] == [("r", 100)]   # first of the ties, dev only
+    preds = spark.createDataFrame(
+        [("r", 50, "1", "a", "b"), ("r", 100, "1", "c", "d"), ("r", 200, "1", "e", "f")],
+        "run string, global_step long, example_id string, prediction string, label string")
+    path = scratch_path(spark, "best-preds")
+    write_best_eval_predictions(preds, best, path)
+    schema = T.StructType([T.StructField("run", T.StringType())] + PREDICTIONS_EVAL.fields)
+    rows = read_table(spark, path, schema).collect()
+    assert [(r.example_id, r.prediction) for r in rows] == [("1", "c")]
