@@ -8,9 +8,10 @@ no Python, no shuffle. Chunks are closed token intervals
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusqa.functions.arrays import exclusive_prefix_sum
 from corpusqa.functions.text import DEFAULT_DELIMITER, n_tokens, sentence_lengths
 
 # Fixed values of the reference: window overlap inside an over-long sentence,
@@ -129,19 +130,18 @@ def split_sentences(passages: DataFrame, delimiter: str = DEFAULT_DELIMITER,
                     text_col: str = "passage") -> DataFrame:
     """C1 as rows: (docid, sent_idx, sent_start, sent_end, sent_len).
 
-    Token offsets come from a running sum over each document's sentences
-    (a window partitioned by document: one document per group).
+    Token offsets are an exact running sum over each document's sentences,
+    computed in bounded blocks so a huge document never lands in one task.
     """
     s = passages.select(
         "docid", F.posexplode_outer(sentence_lengths(text_col, delimiter)).alias("sent_idx", "sent_len")
     ).filter(F.col("sent_len").isNotNull())
-    w = Window.partitionBy("docid").orderBy("sent_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum("sent_len").over(w) - 1
+    s = exclusive_prefix_sum(s, "docid", "sent_idx", "sent_len", "_before")
     return s.select(
         "docid",
         F.col("sent_idx").cast("int").alias("sent_idx"),
-        (end - F.col("sent_len") + 1).cast("int").alias("sent_start"),
-        end.cast("int").alias("sent_end"),
+        F.col("_before").cast("int").alias("sent_start"),
+        (F.col("_before") + F.col("sent_len") - 1).cast("int").alias("sent_end"),
         F.col("sent_len").cast("int").alias("sent_len"),
     )
 

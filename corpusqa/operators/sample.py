@@ -130,7 +130,19 @@ def step_batches(batches: DataFrame, train_steps: int = 1000) -> DataFrame:
 
 
 def feature_order(features: DataFrame, order_cols=("rank", "chunk_idx")) -> DataFrame:
-    """Sequential position of each feature inside its example."""
-    order_cols = [c for c in order_cols if c in features.columns]
-    w = Window.partitionBy("example_id").orderBy(*order_cols)
-    return features.withColumn("feature_ord", (F.row_number().over(w) - 1).cast("long"))
+    """Sequential position of each feature inside its example.
+
+    With a hit rank, position = (chunks of the example's earlier hits) +
+    chunk_idx: the running sum runs over the per-(example, hit) chunk
+    counts (at most k rows per example), so even an example whose hits
+    hold a third of all chunks is never one window task. Without a rank the
+    position is the chunk index itself.
+    """
+    if "rank" not in features.columns:
+        return features.withColumn("feature_ord", F.col("chunk_idx").cast("long"))
+    per_hit = features.groupBy("example_id", "rank").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("example_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    off = per_hit.select("example_id", "rank", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    return features.join(off, ["example_id", "rank"]).withColumn(
+        "feature_ord", (F.col("_off") + F.col("chunk_idx")).cast("long")
+    ).drop("_off")

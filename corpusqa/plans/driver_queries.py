@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusqa.functions.arrays import exclusive_prefix_sum
 from corpusqa.functions.text import char_tokens, n_tokens, token_to_char_map, ZERO_TOKEN_CLASS
 from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, tokens, wordpiece
 from corpusqa.plans import pipeline
@@ -240,17 +241,18 @@ def q_question_tokens(c: Ctx):
 def q_offset_map(c: Ctx):
     """Both offset maps as one row per character: ``token_idx`` is the
     char->token map (tokens before this character), ``is_token`` marks the
-    characters that are tokens (token->char is the inverse on those rows)."""
-    from pyspark.sql import Window
+    characters that are tokens (token->char is the inverse on those rows).
+    The running count is a block-segmented prefix sum (bounded tasks)."""
     ch = c.passages.select("docid", F.posexplode_outer(F.split("passage", "")).alias("char_idx", "ch"))
     ch = ch.filter(F.col("ch").isNotNull() & (F.col("ch") != ""))
     kept = (~F.col("ch").rlike("^" + ZERO_TOKEN_CLASS + "$")).cast("int")
-    w = Window.partitionBy("docid").orderBy("char_idx").rowsBetween(Window.unboundedPreceding, -1)
-    return ch.select(
+    rows = ch.select("docid", "char_idx", kept.alias("k"))
+    rows = exclusive_prefix_sum(rows, "docid", "char_idx", "k", "token_idx")
+    return rows.select(
         "docid",
         F.col("char_idx").cast("long").alias("char_idx"),
-        kept.cast("boolean").alias("is_token"),
-        F.coalesce(F.sum(kept).over(w), F.lit(0)).cast("long").alias("token_idx"),
+        F.col("k").cast("boolean").alias("is_token"),
+        F.col("token_idx").cast("long").alias("token_idx"),
     )
 
 

@@ -98,3 +98,19 @@ def test_all_retrieval_strategies_agree(spark, monkeypatch):
     monkeypatch.setattr(r, "BROADCAST_BYTES", 0)         # shuffle semi join
     shuffle = run()
     assert in_list == broadcast == shuffle and len(in_list) > 0
+
+
+def test_segmented_prefix_sum_matches_running_sum(spark):
+    import random
+
+    from corpusqa.functions.arrays import exclusive_prefix_sum
+
+    rnd = random.Random(7)
+    rows = [(k, i, rnd.randint(0, 5)) for k in range(4) for i in range(rnd.randint(1, 40))]
+    df = spark.createDataFrame(rows, "key long, pos long, v long")
+    got = {(r.key, r.pos): r.before for r in exclusive_prefix_sum(df, "key", "pos", "v", "before", block=3).collect()}
+    run = {}
+    for k, i, v in sorted(rows):
+        got_k = run.get(k, 0)
+        assert got[(k, i)] == got_k
+        run[k] = got_k + v
