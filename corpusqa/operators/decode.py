@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusqa.functions.arrays import let
 from corpusqa.functions.text import token_to_char
+from corpusqa.operators.retrieval import passages_for
 
 # Fixed values of the reference: span top-k, score of an invalid span, the
 # no-answer threshold and the fallback answer text.
@@ -118,6 +119,13 @@ def _with_answer(winners: DataFrame, passages: DataFrame) -> DataFrame:
     )
 
 
+def winner_passages(winners: DataFrame, passages: DataFrame) -> DataFrame:
+    """Passages of the winning documents only (docid IN list when few).
+    Pass a stored ``winners`` table: the docids are collected first."""
+    wanted = winners.filter(F.col("best").isNotNull()).select(F.col("best.docid").alias("docid"))
+    return passages_for(passages, wanted)
+
+
 def span_text(winners: DataFrame, passages: DataFrame) -> DataFrame:
     """Sequence positions -> passage tokens -> characters -> answer text.
 

@@ -21,6 +21,7 @@ from corpusqa.operators.chunk import (
     pack_chunks,
 )
 from corpusqa.operators.label import class_index, overlap_label
+from corpusqa.operators.retrieval import passages_for
 from corpusqa.operators.tokens import CLS, CLS_ID, PAD_ID, SEP, SEP_ID, question_tokens, token_ids
 
 TRAIN, EVAL, TEST = "train", "eval", "test"
@@ -35,7 +36,7 @@ def doc_chunks(pairs: DataFrame, passages: DataFrame, overlap: int = DEFAULT_OVE
     chunk keeps only its slice before the explode.
     """
     keys = pairs.select("docid", "capacity").distinct()
-    docs = keys.join(passages.select("docid", "passage"), "docid")
+    docs = keys.join(passages_for(passages, keys).select("docid", "passage"), "docid")
     packed = pack_chunks(docs, cap_col="capacity", overlap=overlap, delimiter=delimiter,
                          keep=("docid",))
     if vocab is None:

@@ -36,6 +36,9 @@ DEFAULT_K = 10
 PUSHDOWN_TERMS = 5_000
 PUSHDOWN_CHARS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Passages of at most this many documents are fetched with a docid IN list
+# (row-group pruning on a passage table sorted by docid, see write_passages).
+PUSHDOWN_DOCS = 20_000
 
 
 @dataclass
@@ -214,6 +217,27 @@ def retrieve_pairs(hits: DataFrame, questions: DataFrame, passages: DataFrame,
     return hits.join(q, "id").join(passages.select("docid", "passage"), "docid")
 
 
+def passages_for(passages: DataFrame, keys: DataFrame) -> DataFrame:
+    """Passages restricted to the docids of ``keys``.
+
+    When the distinct docids are few (one bounded collect of at most
+    PUSHDOWN_DOCS + 1 ids) they are pushed into the passage scan as an IN
+    list, so a corpus stored sorted by docid is read only where needed;
+    otherwise the caller's join does the restriction.
+    """
+    ids = [r[0] for r in keys.select("docid").distinct().limit(PUSHDOWN_DOCS + 1).collect()]
+    if len(ids) <= PUSHDOWN_DOCS:
+        return passages.filter(F.col("docid").isin(ids))
+    return passages
+
+
+def write_passages(passages: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
+    """Store passages range-partitioned and sorted by docid, so parquet
+    min/max statistics let docid lookups skip row groups."""
+    n = partitions or passages.sparkSession.sparkContext.defaultParallelism
+    passages.repartitionByRange(n, "docid").sortWithinPartitions("docid").write.mode(mode).parquet(path)
+
+
 def recall_at_k(hits: DataFrame, gold: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     """Share of questions whose gold docid is among the top-k hits.
 

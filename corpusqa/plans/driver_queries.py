@@ -96,7 +96,12 @@ class Ctx:
 
     @cached_property
     def test_winners(self) -> DataFrame:
-        return decode.best_span_per_question(self.test_scored, ("rank", "chunk_idx"))
+        # one row per question, read by the answer, fallback and count steps
+        return materialize(decode.best_span_per_question(self.test_scored, ("rank", "chunk_idx")), "winners")
+
+    @cached_property
+    def winner_passages(self) -> DataFrame:
+        return decode.winner_passages(self.test_winners, self.passages)
 
     @cached_property
     def train_feats(self) -> DataFrame:
@@ -123,8 +128,9 @@ class Ctx:
 
     @cached_property
     def eval_predictions(self) -> DataFrame:
-        w = decode.best_span_per_question(decode.best_span_per_chunk(self.eval_scored), ("chunk_idx",))
-        return decode.predict_eval(w, self.dev_examples, self.passages)
+        w = materialize(decode.best_span_per_question(decode.best_span_per_chunk(self.eval_scored), ("chunk_idx",)),
+                        "eval_winners")
+        return decode.predict_eval(w, self.dev_examples, decode.winner_passages(w, self.passages))
 
     @cached_property
     def selected(self) -> DataFrame:
@@ -446,13 +452,13 @@ def q_unanswered(c: Ctx):
 
 
 def q_span_text(c: Ctx):
-    return decode.span_text(c.test_winners, c.passages).select(
+    return decode.span_text(c.test_winners, c.winner_passages).select(
         F.col("example_id").alias("id"), "docid", "char_start", "char_end", "answer"
     )
 
 
 def q_predict_test(c: Ctx):
-    return decode.predict_test(c.test_winners, c.passages)
+    return decode.predict_test(c.test_winners, c.winner_passages)
 
 
 def q_predict_eval(c: Ctx):

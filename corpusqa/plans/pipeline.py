@@ -67,15 +67,16 @@ def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, s
     hits = materialize(retrieve(index, questions, k), "hits")   # small, read by several branches
     feats = test_features(hits, passages, **kw)
     scored = (scorer or score.pseudo_logits)(feats)
-    return decode.predict_test(decode_features(scored), passages)
+    winners = materialize(decode_features(scored), "winners")      # one row per question
+    return decode.predict_test(winners, decode.winner_passages(winners, passages))
 
 
 def evaluate(examples: DataFrame, passages: DataFrame, scorer=None, **kw) -> DataFrame:
     """Eval predictions (example_id, prediction, label) for labelled examples."""
     feats = training_features(examples, passages, mode=encode.EVAL, **kw)
     scored = (scorer or score.pseudo_logits)(feats)
-    winners = decode_features(scored, ("chunk_idx",))
-    return decode.predict_eval(winners, examples, passages)
+    winners = materialize(decode_features(scored, ("chunk_idx",)), "eval_winners")
+    return decode.predict_eval(winners, examples, decode.winner_passages(winners, passages))
 
 
 def training_set(examples: DataFrame, passages: DataFrame, vocab: DataFrame, batch_size: int = 64,
