@@ -61,14 +61,26 @@ def decode_features(scored: DataFrame, order_cols=("rank", "chunk_idx")) -> Data
 
 
 def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, scorer=None,
-            k: int = retrieval.DEFAULT_K, **kw) -> DataFrame:
+            k: int = retrieval.DEFAULT_K, keep_unmatched: bool = False, **kw) -> DataFrame:
     """Search and predict: (id, docid, answer). ``scorer(features)`` adds
-    logits; the default is the deterministic pseudo-logit stand-in."""
+    logits; the default is the deterministic pseudo-logit stand-in.
+
+    A question without any retrieved document produces no row, as in the
+    reference (Q8); with ``keep_unmatched`` it gets the fallback answer and a
+    null docid instead.
+    """
     hits = materialize(retrieve(index, questions, k), "hits")   # small, read by several branches
     feats = test_features(hits, passages, **kw)
     scored = (scorer or score.pseudo_logits)(feats)
     winners = materialize(decode_features(scored), "winners")      # one row per question
-    return decode.predict_test(winners, decode.winner_passages(winners, passages))
+    out = decode.predict_test(winners, decode.winner_passages(winners, passages))
+    if keep_unmatched:
+        missing = questions.select("id").join(out.select("id"), "id", "left_anti")
+        out = out.unionByName(
+            missing.select("id", F.lit(None).cast(out.schema["docid"].dataType).alias("docid"),
+                           F.lit(decode.FALLBACK_ANSWER).alias("answer"))
+        )
+    return out
 
 
 def evaluate(examples: DataFrame, passages: DataFrame, scorer=None, **kw) -> DataFrame:

@@ -1,0 +1,35 @@
+"""End-to-end plans on a small Chinese-text fixture (delimiter 。)."""
+
+from pyspark.sql import functions as F
+
+from corpusqa.operators import retrieval
+from corpusqa.operators.metrics import observe_count
+from corpusqa.plans import pipeline
+
+DOCS = [(1, "新冠 病毒 是 一种 冠状病毒。它 通过 飞沫 传播。"), (2, "口罩 可以 防止 飞沫 传播。勤 洗手 也 很 重要。"),
+        (3, "疫苗 接种 可以 预防 重症。")]
+TRAIN = [(1, 1, "病毒怎样传播", "通过飞沫传播"), (2, 2, "怎样防止传播", "口罩"), (3, 3, "如何预防", "不存在的答案")]
+
+
+def test_prepare_and_predict(spark):
+    passages = spark.createDataFrame(DOCS, "docid long, passage string")
+    train = spark.createDataFrame(TRAIN, "id long, docid long, question string, answer string")
+    prep = pipeline.prepare(passages, train)
+    assert sorted(r.id for r in prep.answerable.collect()) == [1, 2]
+    assert [r.id for r in prep.rejected.collect()] == [3]
+    index = retrieval.build_index(prep.passages)
+    qs = spark.createDataFrame([(10, "飞沫 传播"), (11, "xyz")], "id long, question string")
+    out = pipeline.predict(index, qs, prep.passages, delimiter="。")
+    rows = {r.id: r for r in out.collect()}
+    assert set(rows) == {10}                          # zero-hit question gives no row (Q8)
+    kept = {r.id: r for r in pipeline.predict(index, qs, prep.passages, keep_unmatched=True,
+                                              delimiter="。").collect()}
+    assert kept[11].answer == "疫情" and kept[11].docid is None and kept[10] == rows[10]
+    ev = pipeline.evaluate(prep.examples, prep.passages, delimiter="。").collect()
+    assert len(ev) == 2 and all(r.label for r in ev)
+
+
+def test_observe_count(spark):
+    df, obs = observe_count(spark.range(123), "rows")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["n"] == 123
