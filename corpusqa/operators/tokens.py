@@ -73,6 +73,8 @@ def vocab_broadcast(vocab: DataFrame, max_size: int = MAX_VOCAB):
     ids = [int(r[1]) for r in rows]
     bc = vocab.sparkSession.sparkContext.broadcast((tokens, ids))
     _BROADCASTS[id(vocab)] = (vocab, bc)
+    while len(_BROADCASTS) > 8:          # keep only the most recent vocabularies
+        _BROADCASTS.pop(next(iter(_BROADCASTS)))
     return bc
 
 
