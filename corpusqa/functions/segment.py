@@ -1,0 +1,66 @@
+"""Pluggable dictionary segmenter for the retrieval analyser (R2).
+
+The reference indexes Chinese text with a dictionary word segmenter that
+emits every dictionary word it finds ("max word" mode). This is the same
+idea as an Arrow-batched function: letter/digit runs stay whole words (as in
+the built-in analyser); inside a run of Han characters every dictionary word
+starting at each position is emitted, and a character no word covers is
+emitted alone. The dictionary is a table, broadcast once (size checked).
+"""
+
+from __future__ import annotations
+
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Largest dictionary accepted for broadcast.
+MAX_DICTIONARY = 5_000_000
+
+_RUNS = re.compile(r"[㐀-䶿一-鿿豈-﫿]+|[^\W_]+", re.UNICODE)
+_HAN = re.compile(r"[㐀-䶿一-鿿豈-﫿]")
+
+
+def max_word_terms(text: str | None, dictionary: frozenset, max_len: int) -> list:
+    """Terms of one text: whole letter/digit runs, and for Han runs every
+    dictionary word at every position plus uncovered single characters."""
+    out = []
+    for run in _RUNS.findall((text or "").lower()):
+        if not _HAN.match(run):
+            out.append(run)
+            continue
+        covered_to = -1                     # last position covered by a word so far
+        for i in range(len(run)):
+            for n in range(2, min(max_len, len(run) - i) + 1):
+                w = run[i:i + n]
+                if w in dictionary:
+                    out.append(w)
+                    covered_to = max(covered_to, i + n - 1)
+            if covered_to < i:              # no word starting here or earlier covers i
+                out.append(run[i])
+    return out
+
+
+def dictionary_analyzer(dictionary: DataFrame, word_col: str = "word"):
+    """Return ``analyzer(col) -> Column`` (array<string>) backed by the
+    dictionary table; use as ``build_index(..., analyzer=...)`` and
+    ``bm25_topk(..., analyzer=...)`` (same analyser on both sides)."""
+    rows = dictionary.select(F.lower(F.col(word_col))).limit(MAX_DICTIONARY + 1).collect()
+    if len(rows) > MAX_DICTIONARY:
+        raise ValueError(f"dictionary exceeds the broadcast bound of {MAX_DICTIONARY} words")
+    words = sorted({r[0] for r in rows if r[0]})
+    bc = dictionary.sparkSession.sparkContext.broadcast(words)
+
+    def run(texts: pd.Series) -> pd.Series:
+        d = frozenset(bc.value)
+        max_len = max((len(w) for w in d), default=1)
+        return pd.Series([max_word_terms(t, d, max_len) for t in texts], dtype=object)
+
+    udf = F.pandas_udf(run, "array<string>")
+
+    def analyzer(col) -> Column:
+        return udf(F.col(col) if isinstance(col, str) else col)
+
+    return analyzer

@@ -56,13 +56,15 @@ def doc_terms(passages: DataFrame, text_col: str = "passage") -> DataFrame:
     return passages.select("docid", F.explode_outer(analyze(text_col)).alias("term")).filter(F.col("term").isNotNull())
 
 
-def build_index(passages: DataFrame, text_col: str = "passage") -> Index:
+def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None) -> Index:
     """Build the index tables from (docid, passage).
 
     The per-document term count happens inside each document's partition
     (partial aggregation), so only distinct (term, docid) pairs are shuffled.
+    ``analyzer(col) -> array<string>`` replaces the built-in analyser (e.g.
+    ``functions.segment.dictionary_analyzer``); use the same one for queries.
     """
-    terms = passages.select("docid", analyze(text_col).alias("terms"))
+    terms = passages.select("docid", (analyzer or analyze)(text_col).alias("terms"))
     doc_stats = terms.select("docid", F.size("terms").cast("long").alias("dl"))
     postings = (
         terms.select("docid", F.size("terms").cast("long").alias("dl"), F.explode_outer("terms").alias("term"))
@@ -131,11 +133,12 @@ def read_index(spark: SparkSession, path: str) -> Index:
     )
 
 
-def query_terms(questions: DataFrame, id_col: str = "id", text_col: str = "question") -> DataFrame:
+def query_terms(questions: DataFrame, id_col: str = "id", text_col: str = "question", analyzer=None) -> DataFrame:
     """R2 on questions: (id, term, qtf). A repeated query word counts once per
     occurrence, as a match query's clauses do."""
     return (
-        questions.select(F.col(id_col).alias("id"), F.explode_outer(analyze(text_col)).alias("term"))
+        questions.select(F.col(id_col).alias("id"), (analyzer or analyze)(text_col).alias("_terms"))
+        .select("id", F.explode_outer("_terms").alias("term"))
         .filter(F.col("term").isNotNull())
         .groupBy("id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
@@ -191,13 +194,13 @@ def bm25_scores(index: Index, qterms: DataFrame, k1: float = K1, b: float = B) -
 
 
 def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: str = "id",
-              text_col: str = "question") -> DataFrame:
+              text_col: str = "question", analyzer=None) -> DataFrame:
     """R1 + J2: top-k documents per question: (id, docid, rank, score).
 
     Ties: ``round(score, 6) desc, docid asc``. Questions with no matching term
     yield no rows (Q8).
     """
-    qt = query_terms(questions, id_col, text_col)
+    qt = query_terms(questions, id_col, text_col, analyzer)
     scored = bm25_scores(index, qt).withColumn("score", F.round("score", 6))
     w = Window.partitionBy("id").orderBy(F.col("score").desc(), F.col("docid").asc())
     return (

@@ -1,0 +1,21 @@
+"""Dictionary segmenter plugged into the index and the query side (R2)."""
+
+from corpusqa.functions.segment import dictionary_analyzer, max_word_terms
+from corpusqa.operators.retrieval import bm25_topk, build_index
+
+WORDS = frozenset(["新冠", "病毒", "新冠病毒", "传播", "飞沫"])
+
+
+def test_max_word_terms():
+    assert max_word_terms("新冠病毒通过飞沫传播,Mask2", WORDS, 4) == [
+        "新冠", "新冠病毒", "病毒", "通", "过", "飞沫", "传播", "mask2"]
+    assert max_word_terms(None, WORDS, 4) == []
+
+
+def test_dictionary_analyzer_in_retrieval(spark):
+    d = spark.createDataFrame([(w,) for w in sorted(WORDS)], "word string")
+    an = dictionary_analyzer(d)
+    docs = spark.createDataFrame([(1, "新冠病毒通过飞沫传播"), (2, "勤洗手"), (3, "病毒")], "docid long, passage string")
+    qs = spark.createDataFrame([(9, "病毒怎样传播")], "id long, question string")
+    hits = bm25_topk(build_index(docs, analyzer=an), qs, k=3, analyzer=an).orderBy("rank").collect()
+    assert [h.docid for h in hits] == [1, 3]
