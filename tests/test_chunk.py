@@ -4,7 +4,6 @@ property tests against a plain restatement of the rule."""
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from corpusqa.operators.chunk import explode_chunks, pack_chunks, pack_expr, split_sentences
 

@@ -1,7 +1,6 @@
 """Overlap labels (J3) and span decoding (D1-D4): FIXTURES goldens."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusqa.operators.decode import best_span_per_chunk, best_span_per_question, topk_positions
 from corpusqa.operators.label import class_index, overlap_label

@@ -1,6 +1,5 @@
 """End-to-end plans on a small Chinese-text fixture (delimiter 。)."""
 
-from pyspark.sql import functions as F
 
 from corpusqa.operators import retrieval
 from corpusqa.operators.metrics import observe_count

@@ -1,6 +1,5 @@
 """ROUGE-L (A3, A4) and CSV round trip."""
 
-import random
 
 import pytest
 from hypothesis import given, settings
