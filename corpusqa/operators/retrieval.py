@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusqa.functions.text import analyze
+from corpusqa.session import target_partitions
 
 # Fixed BM25 parameters (the usual defaults of full-text search servers).
 K1 = 1.2
@@ -93,7 +94,11 @@ def corpus_stats(index: Index) -> DataFrame:
     )
 
 
-def write_index(index: Index, path: str, passages: DataFrame | None = None, buckets: int = 64,
+# Rows per written postings file (keeps files in the hundreds of MB at any scale).
+MAX_ROWS_PER_FILE = 20_000_000
+
+
+def write_index(index: Index, path: str, passages: DataFrame | None = None, buckets: int | None = None,
                 mode: str = "overwrite") -> None:
     """Persist the index as Parquet with a single pass of text analysis.
 
@@ -105,10 +110,12 @@ def write_index(index: Index, path: str, passages: DataFrame | None = None, buck
     ``passages`` is given. Overwrite makes the build idempotent (Q6).
     """
     spark = index.postings.sparkSession
+    n = buckets or target_partitions(spark)      # grows with the cluster, not fixed
     (
-        index.postings.repartition(buckets, "term")
+        index.postings.repartition(n, "term")
         .sortWithinPartitions("term", "docid")
         .write.mode(mode)
+        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .parquet(f"{path}/postings")
     )
     stored = spark.read.parquet(f"{path}/postings")
@@ -241,8 +248,11 @@ def passages_for(passages: DataFrame, keys: DataFrame) -> DataFrame:
 def write_passages(passages: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
     """Store passages range-partitioned and sorted by docid, so parquet
     min/max statistics let docid lookups skip row groups."""
-    n = partitions or passages.sparkSession.sparkContext.defaultParallelism
-    passages.repartitionByRange(n, "docid").sortWithinPartitions("docid").write.mode(mode).parquet(path)
+    n = partitions or target_partitions(passages.sparkSession)
+    (
+        passages.repartitionByRange(n, "docid").sortWithinPartitions("docid")
+        .write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
+    )
 
 
 def recall_at_k(hits: DataFrame, gold: DataFrame, k: int = DEFAULT_K) -> DataFrame:

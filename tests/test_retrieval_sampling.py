@@ -114,3 +114,22 @@ def test_segmented_prefix_sum_matches_running_sum(spark):
         got_k = run.get(k, 0)
         assert got[(k, i)] == got_k
         run[k] = got_k + v
+
+
+def test_stored_index_and_passages_round_trip(spark):
+    from corpusqa.operators.retrieval import passages_for, read_index, write_index, write_passages
+    from corpusqa.session import scratch_path
+
+    docs = spark.createDataFrame(DOCS, "docid long, passage string")
+    qs = spark.createDataFrame(QS, "id long, question string")
+    path = scratch_path(spark, "idx")
+    write_index(build_index(docs), path, passages=docs)
+    stored = read_index(spark, path)
+    assert stored.corpus_stats.first().n_docs == len(DOCS)          # the empty document counts too
+    lazy = sorted(tuple(x) for x in bm25_topk(build_index(docs), qs, k=3).collect())
+    assert sorted(tuple(x) for x in bm25_topk(stored, qs, k=3).collect()) == lazy
+    ppath = scratch_path(spark, "passages")
+    write_passages(docs, ppath)
+    p = spark.read.parquet(ppath)
+    keys = spark.createDataFrame([(2,), (5,)], "docid long")
+    assert sorted(r.docid for r in passages_for(p, keys).collect()) == [2, 5]
