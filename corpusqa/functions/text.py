@@ -8,6 +8,7 @@ expression allows it.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -99,6 +100,30 @@ def sentence_lengths(text_col, delimiter: str = DEFAULT_DELIMITER) -> Column:
     return F.transform(parts, lambda s: F.length(s))
 
 
+def _accent_table(first: int = 0x00C0, last: int = 0x024F) -> tuple[str, str]:
+    """Rule-built mapping of precomposed Latin letters to their base letter:
+    every code point whose canonical decomposition is one ASCII letter
+    followed only by combining marks."""
+    src, dst = [], []
+    for cp in range(first, last + 1):
+        ch = chr(cp)
+        d = unicodedata.normalize("NFD", ch)
+        if len(d) > 1 and d[0].isascii() and d[0].isalpha() and all(unicodedata.category(m) == "Mn" for m in d[1:]):
+            src.append(ch)
+            dst.append(d[0])
+    return "".join(src), "".join(dst)
+
+
+_ACCENTED, _BASE = _accent_table()
+
+
+def strip_accents(col) -> Column:
+    """Optional T2 accent stripping as a JVM ``translate``: precomposed Latin
+    letters become their base letter, one character for one, so every offset
+    stays valid. Apply the same way to passages and questions."""
+    return F.translate(_c(col), _ACCENTED, _BASE)
+
+
 def analyze(col) -> Column:
     """R2: retrieval terms of a text, the same analyser for index and query.
 

@@ -45,3 +45,15 @@ def test_offset_maps(spark):
 def test_analyze_words_and_han_bigrams(spark):
     df = spark.createDataFrame([("Héllo,Wörld.今天天气x1",)], "t string")
     assert df.select(analyze("t").alias("a")).first().a == ["héllo", "wörld", "x1", "今天", "天天", "天气"]
+
+
+def test_strip_accents(spark):
+    import unicodedata
+
+    from corpusqa.functions.text import _ACCENTED, _BASE, strip_accents
+
+    df = spark.createDataFrame([("Héllo Ça ñandú Øre",)], "t string")
+    assert df.select(strip_accents("t").alias("s")).first().s == "Hello Ca nandu Øre"   # Ø has no decomposition
+    assert len(_ACCENTED) == len(_BASE) > 100
+    for a, b in zip(_ACCENTED, _BASE):
+        assert unicodedata.normalize("NFD", a)[0] == b
