@@ -349,6 +349,11 @@ def q_encode_inputs(c: Ctx):
     )
 
 
+def q_eval_features(c: Ctx):
+    """The eval-mode view of the labelled dev features."""
+    return encode.mode_view(c.eval_feats, encode.EVAL)
+
+
 def q_sample_training(c: Ctx):
     return c.selected.select("example_id", "docid", "chunk_idx", "label")
 

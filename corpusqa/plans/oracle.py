@@ -458,6 +458,10 @@ ORACLE: dict[str, str] = {
                           f"list_transform(range({MAX_SEQ} - len(ids0)), lambda i: 0))")} AS mask_md5,
                {_md5_join(f"list_concat(seg0, list_transform(range({MAX_SEQ} - len(seg0)), lambda i: 0))")} AS seg_md5
         FROM ENC"""),
+    "eval_features": q(BASE, TRAIN_FEATS, SPLIT, body="""
+        SELECT f.example_id, f.doc_start, f.question_len, f.docid, f.chunk_idx, f.bert_doc_end,
+               f.bert_start_position, f.bert_end_position, f.bert_answer_span, f.label, f.start, f."end"
+        FROM TRFL f JOIN SPL s USING (example_id) WHERE s.split = 'dev'"""),
     "sample_training": q(BASE, TRAIN_FEATS, SAMPLE, body="SELECT example_id, docid, chunk_idx, label FROM SEL"),
     "sampling_stats": q(BASE, TRAIN_FEATS, body="""
         SELECT CAST(count(*) FILTER (WHERE nk = 1) AS BIGINT) AS single_answer,
