@@ -120,13 +120,24 @@ def shuffle_batches(selected: DataFrame, batch_size: int = 64, seed: int = DEFAU
     return ranked.withColumn("batch_id", F.floor(F.col("order_rank") / batch_size).cast("long"))
 
 
-def step_batches(batches: DataFrame, train_steps: int = 1000) -> DataFrame:
+def step_batches(batches: DataFrame, train_steps: int = 1000, batch_size: int = 64) -> DataFrame:
     """Training step s uses batch ``s mod n_batches``; the cycled epochs
-    replay the same batches. One row per step with the batch's row count."""
-    sizes = batches.groupBy("batch_id").agg(F.count(F.lit(1)).cast("long").alias("batch_rows"))
-    n_batches = sizes.select(F.count(F.lit(1))).scalar()
-    steps = batches.sparkSession.range(train_steps).withColumnRenamed("id", "step")
-    return steps.withColumn("batch_id", (F.col("step") % n_batches).cast("long")).join(sizes, "batch_id")
+    replay the same batches. One row per step with the batch's row count.
+
+    Batches hold ``batch_size`` rows except the last, so only the total row
+    count is needed (one scalar subquery); no rows are produced when there is
+    nothing to train on.
+    """
+    n = batches.select(F.count(F.lit(1))).scalar()
+    n_batches = F.ceil(n / F.lit(batch_size)).cast("long")
+    steps = batches.sparkSession.range(train_steps).withColumnRenamed("id", "step").filter(n_batches > 0)
+    batch_id = (F.col("step") % n_batches).cast("long")
+    last_rows = n - F.lit(batch_size) * (n_batches - 1)
+    return steps.select(
+        "step",
+        batch_id.alias("batch_id"),
+        F.when(batch_id == n_batches - 1, last_rows).otherwise(F.lit(batch_size)).cast("long").alias("batch_rows"),
+    )
 
 
 def feature_order(features: DataFrame, order_cols=("rank", "chunk_idx")) -> DataFrame:

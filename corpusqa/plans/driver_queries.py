@@ -384,7 +384,7 @@ def q_shuffle_batches(c: Ctx):
 
 
 def q_step_batches(c: Ctx):
-    return sample.step_batches(sample.shuffle_batches(c.selected, BATCH, SEED), TRAIN_STEPS).select(
+    return sample.step_batches(sample.shuffle_batches(c.selected, BATCH, SEED), TRAIN_STEPS, BATCH).select(
         "step", "batch_id", "batch_rows"
     )
 

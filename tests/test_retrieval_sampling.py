@@ -133,3 +133,17 @@ def test_stored_index_and_passages_round_trip(spark):
     p = spark.read.parquet(ppath)
     keys = spark.createDataFrame([(2,), (5,)], "docid long")
     assert sorted(r.docid for r in passages_for(p, keys).collect()) == [2, 5]
+
+
+def test_step_batches_cycle(spark):
+    from corpusqa.operators.sample import step_batches
+
+    batches = shuffle_batches(_features(spark), batch_size=16)
+    n = batches.count()
+    rows = {r.step: (r.batch_id, r.batch_rows) for r in step_batches(batches, 40, 16).collect()}
+    n_batches = -(-n // 16)
+    sizes = {r.batch_id: r.c for r in batches.groupBy("batch_id").agg(F.count("*").alias("c")).collect()}
+    assert len(rows) == 40
+    for s, (b, size) in rows.items():
+        assert b == s % n_batches and size == sizes[b]
+    assert step_batches(batches.limit(0), 5, 16).count() == 0
