@@ -40,11 +40,16 @@ def get_spark(master: str | None = None, app: str = "corpusqa", **conf) -> Spark
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used when present. Only when it is unset
-    (local runs, tests) a fresh folder under the system temp dir is chosen.
+    The cluster's setting is always used when present. Only a session whose
+    tasks all run in this process (``local[...]``, as in tests) gets a fresh
+    folder under the system temp dir; on a cluster, where executors do not see
+    such a folder, an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
         d = tempfile.mkdtemp(prefix="corpusqa-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
