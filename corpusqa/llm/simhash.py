@@ -184,12 +184,13 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
     each step leaves about half the free bits, and no more than 2 to their number
     of distinct fingerprints can share the rest. No bucket is capped.
     """
-    spark = fps.sparkSession
     level = {0: masks(list(range(BITS)), radius)}
     rows, found = fps.select("fp", F.lit(0).cast("long").alias("mask")), []
     while level:
-        kids = spark.createDataFrame([(_signed(m), _signed(k)) for m, own in level.items() for k in own], "mask long, kid long")
-        keyed = rows.join(F.broadcast(kids), "mask").select(F.col("kid").alias("mask"), F.col("fp").bitwiseAND(F.col("kid")).alias("key"), "fp").distinct()
+        kids = None
+        for m, own in level.items():
+            kids = (F.when if kids is None else kids.when)(F.col("mask") == _signed(m), F.array(*[F.lit(_signed(k)) for k in own]))
+        keyed = rows.select("fp", F.explode(kids).alias("mask")).withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).distinct()
         sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1")
         sized = stored(keyed.join(sizes, ["mask", "key"]), "buckets")
         small = sized.filter(F.col("n") <= BUCKET).groupBy("mask", "key").agg(F.collect_list("fp").alias("members"))
