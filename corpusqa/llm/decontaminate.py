@@ -107,28 +107,26 @@ def _item_batches(items: DataFrame):
     yield batch
 
 
-def intersect(lists, shifts, slop: int):
-    """Places p of the first list for which every other list holds p + its shift,
-    or a position at most ``slop`` from it. Lists rise, rarest first."""
+def intersect(at, lists, shifts, slop: int):
+    """The places of ``at`` for which every list holds place + shift, or a position
+    at most ``slop`` from it. Lists rise, rarest first."""
     import numpy as np
 
-    at = lists[0]
-    for own, shift in zip(lists[1:], shifts[1:]):
+    for own, shift in zip(lists, shifts):
         if not len(at):
             break
-        want = at + (shift - shifts[0])
+        want = at + shift
         i = np.searchsorted(own, want - slop)
-        near = own[np.minimum(i, len(own) - 1)]
-        at = at[(i < len(own)) & (near <= want + slop)]
+        at = at[(i < len(own)) & (own[np.minimum(i, len(own) - 1)] <= want + slop)]
     return at
 
 
 def search(index: DataFrame, items: list, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
     """Matches of a list of (item_id, words) in the index: a row of the index in
     ``row``, its ``n_words``, ``hits`` (word ranges [start, end) of the windows'
-    occurrences), ``items`` and ``near_items`` (items with a window that
-    occurs, or whose words all stand at most ``slop`` places from where an
-    occurrence would have them). All rows of the index are returned."""
+    occurrences), ``items`` and ``near_items`` (items with a window that occurs, or
+    whose words all stand at most ``slop`` places from where an occurrence at some
+    place would have them). All rows of the index are returned."""
     shared = index.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
@@ -156,11 +154,14 @@ def search(index: DataFrame, items: list, window: int = WINDOW, slop: int = SLOP
                     for s in np.flatnonzero(lacking[n:] == lacking[:-n]).tolist():
                         shifts = np.argsort(have[s : s + n], kind="stable").tolist()
                         lists = [positions[offsets[t[s + j]] : offsets[t[s + j] + 1]] for j in shifts]
-                        near = intersect(lists, shifts, slop) - shifts[0]
+                        rare, first = lists[0], lists[0] - shifts[0]  # places where the window would begin
+                        near = first if not slop else np.unique(first[:, None] + np.arange(-slop, slop + 1))
+                        near = intersect(near, lists, shifts, slop)
                         if not len(near):
                             continue
-                        full = intersect([near, *lists], [0, *shifts], 0) if slop else near
-                        for d in (np.searchsorted(starts, near + shifts[0], "right") - 1).tolist():
+                        full = intersect(first, lists[1:], shifts[1:], 0)
+                        inside = rare[np.searchsorted(rare, near + shifts[0] - slop)]  # a word of the match
+                        for d in (np.searchsorted(starts, inside, "right") - 1).tolist():
                             close.setdefault(d, set()).add(item)
                         for d, p in zip((np.searchsorted(starts, full, "right") - 1).tolist(), full.tolist()):
                             hit.setdefault(d, []).append((p, n))

@@ -30,6 +30,7 @@ DISCOUNT = 0.5
 ROOT_SHARE = 5e-7
 WORD_SHARE = 1e-5
 GRAM_SHARE = 1e-6
+GRAM_LEAST = 2  # an n-gram that occurs once is not kept, in however small a corpus
 ORDER = 3
 FLUSH = 1 << 18  # distinct n-grams that a task holds before it passes them on
 
@@ -189,7 +190,7 @@ def _unpack(packed: tuple) -> Model:
     return Model(states[0], total, distinct)
 
 
-def train(texts: DataFrame, order: int = ORDER, root_share: float = ROOT_SHARE, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE):
+def train(texts: DataFrame, order: int, root_share: float, word_share: float, gram_share: float) -> tuple[Model, DataFrame]:
     """(model, counts): the automaton of ``texts`` (one string column) and the
     stored table of all counts (gram, n); the end token's gram is empty."""
     counts = stored(_counts(texts, list), "word-counts")
@@ -198,7 +199,7 @@ def train(texts: DataFrame, order: int = ORDER, root_share: float = ROOT_SHARE,
     words = {r.gram.encode(): r.n for r in counts.filter(F.col("n") >= root_share * total).collect()} if total else {}
     inner = frozenset(w for w, n in words.items() if n >= word_share * total and w != END)
     kept: list[dict[tuple, int]] = []
-    cut = gram_share * total
+    cut = max(GRAM_LEAST, gram_share * total)
     for size in range(2, order + 1):
         last = frozenset(kept[-1]) if kept else None
         heads = texts.sparkSession.sparkContext.broadcast((inner, last))
@@ -289,6 +290,6 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     row trains."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.withColumn("held_out", F.coalesce(crc32_mod("doc_id", folds) == 0, F.lit(False)))
-    model, counts = train(rows.filter(~F.col("held_out")).select("text"))
+    model, counts = train(rows.filter(~F.col("held_out")).select("text"), ORDER, ROOT_SHARE, WORD_SHARE, GRAM_SHARE)
     out = score(rows, model, counts)
     return out.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -47,7 +47,8 @@ class Encoder:
         self.model = self.tokenizer.model
         kinds = [unicodedata.category(chr(c)) for c in range(self.LIMIT)]
         of = lambda k: "".join(re.escape(chr(c)) for c in range(self.LIMIT) if kinds[c][0] == k)
-        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{of('L')}]+|[{of('N')}]|[^\\s{of('L')}{of('N')}]+").findall
+        space = "\t\n\x0b\x0c\r \x85\xa0"
+        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{of('L')}]+|[{of('N')}]|[^{space}{of('L')}{of('N')}]+").findall
         # byte -> the printable character that stands for it in the vocabulary
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         other = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
@@ -65,7 +66,7 @@ class Encoder:
         if got is None:
             if len(self.seen) >= MEMO:
                 self.seen.clear()
-            coded = part if part.isascii() else "".join([self.byte[b] for b in part.encode()])
+            coded = part if part.isascii() and part.isprintable() else "".join([self.byte[b] for b in part.encode()])
             got = self.seen[part] = self._ids([t.id for t in self.model.tokenize(coded)])
         return got
 
