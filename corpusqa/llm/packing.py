@@ -34,11 +34,11 @@ class Encoder:
     numerals and runs of other signs, and codes each part by itself. So ids are
     memoised: by word, and by part for words not seen before. That holds where
     lower-casing and normalising work character by character, which is checked
-    by text: all characters below U+0300, none of the tokenizer's own marks.
+    by text: all characters below U+0180, none of the tokenizer's own marks.
     Other texts are coded by the tokenizer as a whole.
     """
 
-    LIMIT = 0x300
+    LIMIT = 0x180
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -97,7 +97,7 @@ class Encoder:
         return b"".join(out)
 
 
-_beyond = re.compile("[^\x00-˿]").search
+_beyond = re.compile("[^\x00-\u017f]").search
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
