@@ -55,7 +55,7 @@ def main() -> None:
     t0 = time.perf_counter()
     index_path = scratch_path(spark, "index")
     ctx = dq.Ctx(spark, sf_dir)
-    retrieval.write_index(ctx.index, index_path, passages=ctx.passages)
+    retrieval.write_index(ctx.index, index_path)
     timings["index_build"] = round(time.perf_counter() - t0, 3)
     index = retrieval.read_index(spark, index_path)
 

@@ -17,28 +17,3 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """
     return F.aggregate(F.array(F.lit(0)), value, lambda acc, _x: acc, body)
 
-
-# Rows per block of a segmented prefix sum: one window task never holds more
-# than this many rows of one key, however large the key's group is.
-PREFIX_BLOCK = 1 << 20
-
-
-def exclusive_prefix_sum(df, key: str, order: str, value: str, out: str, block: int = PREFIX_BLOCK):
-    """Exact running sum of ``value`` over the rows of each ``key`` before the
-    current one (by the integer ``order``), without putting a whole key into
-    one window task.
-
-    Rows are cut into blocks of ``block`` consecutive ``order`` values: a
-    window runs inside each (key, block) only, and each block's offset is a
-    running sum over the small per-block totals of its key.
-    """
-    from pyspark.sql import Window
-
-    blk = F.floor(F.col(order) / F.lit(block)).cast("long")
-    d = df.withColumn("_blk", blk)
-    inner = Window.partitionBy(key, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    tot = d.groupBy(key, "_blk").agg(F.sum(value).alias("_tot"))
-    outer = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(key, "_blk", F.coalesce(F.sum("_tot").over(outer), F.lit(0)).alias("_off"))
-    return d.join(off, [key, "_blk"]).withColumn(out, F.col("_off") + F.col("_in")).drop("_blk", "_in", "_off")

@@ -13,6 +13,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusqa.functions.arrays import let
+
 # Fixed values that must equal the reference's behaviour.
 # Blank removal deletes exactly these two characters (space, tab); newlines
 # and the ideographic space stay in the text.
@@ -79,6 +81,24 @@ def token_to_char_map(text_col) -> Column:
     )
 
 
+def char_to_token_map(text_col) -> Column:
+    """T4 char -> token: for every character the number of tokens before it. One
+    pass over the tokens: each repeats its number for the characters up to it."""
+    n = F.length(_c(text_col))
+
+    def spread(at):
+        return F.flatten(
+            F.transform(
+                F.sequence(F.lit(0), F.size(at) - 2),
+                lambda j: F.array_repeat(j, F.get(at, j + 1) - F.get(at, j)),
+            )
+        )
+
+    return F.when(n == 0, F.array().cast("array<int>")).otherwise(
+        let(F.concat(F.array(F.lit(-1)), token_to_char_map(text_col), F.array(n - 1)), spread)
+    )
+
+
 def token_to_char(text_col, token_idx) -> Column:
     """Character index of token ``token_idx`` (0-based); null if out of range."""
     return F.element_at(token_to_char_map(text_col), _c(token_idx) + 1)
@@ -129,9 +149,10 @@ def analyze(col) -> Column:
 
     Letter/digit runs (lower-cased) are words; Han characters are split out of
     them and indexed as overlapping character bigrams (a single Han character
-    alone becomes a unigram).
+    alone becomes a unigram). Texts are analysed as they are, with the blanks
+    that part their words; blanks between Han characters are passed over.
     """
-    c = _c(col)
+    c = F.regexp_replace(_c(col), r"(?<=\p{IsHan})[ \t]+(?=\p{IsHan})", "")
     words = F.regexp_extract_all(F.lower(F.regexp_replace(c, HAN_CHAR, " ")), F.lit(WORD_RUN), 0)
     runs = F.regexp_extract_all(c, F.lit(HAN_RUN), 0)
     bigrams = F.flatten(

@@ -1,17 +1,14 @@
 """Sentence split and greedy packing into token-bounded chunks.
 
-Packing runs as one ``aggregate`` higher-order function per document row:
-no Python, no shuffle. Chunks are closed token intervals
+Packing runs as one expression per document row: no Python, no shuffle. Chunks are closed token intervals
 ``[doc_start, doc_end]`` of the passage's token sequence.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusqa.functions.arrays import exclusive_prefix_sum
 from corpusqa.functions.text import DEFAULT_DELIMITER, n_tokens, sentence_lengths
 
 # Fixed values of the reference: window overlap inside an over-long sentence,
@@ -26,96 +23,39 @@ CHUNK_TYPE = "array<struct<doc_start:int,doc_end:int,is_window:boolean>>"
 _FLUSH = "named_struct('doc_start', acc.st, 'doc_end', acc.st + acc.cur - 1, 'is_window', false)"
 _WITH_FLUSH = f"IF(acc.cur > 0, concat(acc.out, array({_FLUSH})), acc.out)"
 
+_EMPTY = f"cast(array() AS {CHUNK_TYPE})"
+
+# The greedy rule is an ``aggregate`` over the sentence lengths. An aggregate
+# copies its growing output with every element, so the lengths are cut into
+# about sqrt(n) blocks of sqrt(n) sentences: an inner aggregate collects the
+# chunks of a block, the outer one appends them to the output once a block.
 _PACK_SQL = f"""
 aggregate(
-  {{lens}},
-  named_struct('pos', 0, 'st', 0, 'cur', 0, 'out', cast(array() AS {CHUNK_TYPE})),
-  (acc, x) -> CASE
-    WHEN x > {{cap}} THEN named_struct(
-      'pos', acc.pos + x, 'st', acc.st, 'cur', 0,
-      'out', concat({_WITH_FLUSH},
-                    transform(sequence(0, x - 1, {{cap}} - {{overlap}}),
-                              o -> named_struct('doc_start', acc.pos + o,
-                                                'doc_end', acc.pos + least(o + {{cap}} - 1, x - 1),
-                                                'is_window', true))))
-    WHEN acc.cur > 0 AND acc.cur + x <= {{cap}} THEN named_struct(
-      'pos', acc.pos + x, 'st', acc.st, 'cur', acc.cur + x, 'out', acc.out)
-    ELSE named_struct('pos', acc.pos + x, 'st', acc.pos, 'cur', x, 'out', {_WITH_FLUSH})
-  END,
+  IF(size({{lens}}) = 0, cast(array() AS array<array<int>>),
+     transform(sequence(1, size({{lens}}), cast(ceil(sqrt(size({{lens}}))) AS int)),
+               i -> slice({{lens}}, i, cast(ceil(sqrt(size({{lens}}))) AS int)))),
+  named_struct('pos', 0, 'st', 0, 'cur', 0, 'out', {_EMPTY}),
+  (done, block) -> aggregate(
+    block,
+    named_struct('pos', done.pos, 'st', done.st, 'cur', done.cur, 'out', {_EMPTY}),
+    (acc, x) -> CASE
+      WHEN x > {{cap}} THEN named_struct(
+        'pos', acc.pos + x, 'st', acc.st, 'cur', 0,
+        'out', concat({_WITH_FLUSH},
+                      transform(sequence(0, x - 1, {{cap}} - {{overlap}}),
+                                o -> named_struct('doc_start', acc.pos + o,
+                                                  'doc_end', acc.pos + least(o + {{cap}} - 1, x - 1),
+                                                  'is_window', true))))
+      WHEN acc.cur > 0 AND acc.cur + x <= {{cap}} THEN named_struct(
+        'pos', acc.pos + x, 'st', acc.st, 'cur', acc.cur + x, 'out', acc.out)
+      ELSE named_struct('pos', acc.pos + x, 'st', acc.pos, 'cur', x, 'out', {_WITH_FLUSH})
+    END,
+    acc -> named_struct('pos', acc.pos, 'st', acc.st, 'cur', acc.cur, 'out', concat(done.out, acc.out))),
   acc -> {_WITH_FLUSH}
 )
 """
 
 
-# Texts longer than this many characters are packed by an exact linear-time
-# Arrow function instead of the ``aggregate`` expression, whose growing
-# output array costs O(chunks^2) copies on a single huge text.
-LARGE_TEXT_CHARS = 1_000_000
-
-
-def pack_lengths(lens, cap: int, overlap: int) -> list:
-    """The packing rule over one list of sentence lengths, in plain Python:
-    a list of (doc_start, doc_end, is_window). Same rule as ``pack_expr``."""
-    out, pos, st, cur = [], 0, 0, 0
-    for x in lens:
-        if x > cap:
-            if cur:
-                out.append((st, st + cur - 1, False))
-            for o in range(0, x, cap - overlap):
-                out.append((pos + o, pos + min(o + cap - 1, x - 1), True))
-            cur = 0
-        elif cur and cur + x <= cap:
-            cur += x
-        else:
-            if cur:
-                out.append((st, st + cur - 1, False))
-            st, cur = pos, x
-        pos += x
-    if cur:
-        out.append((st, st + cur - 1, False))
-    return out
-
-
-def _pack_flat(overlap: int):
-    def fn(lens: pd.Series, cap: pd.Series) -> pd.Series:
-        res = []
-        for ls, c in zip(lens, cap):
-            if ls is None:
-                res.append(None)
-                continue
-            flat = []
-            for a, b, w in pack_lengths(ls, int(c), overlap):
-                flat += (a, b, int(w))
-            res.append(flat)
-        return pd.Series(res, dtype=object)
-
-    return F.pandas_udf(fn, "array<int>")
-
-
-def pack_large_flat(lens_col: str, cap_col: str, text_col: str, overlap: int = DEFAULT_OVERLAP):
-    """Linear-time packing for texts over ``LARGE_TEXT_CHARS`` characters as
-    flat (start, end, is_window) triples; null for all other texts, which
-    take the in-JVM ``aggregate`` path."""
-    big = F.when(F.length(F.col(text_col)) > LARGE_TEXT_CHARS, F.col(lens_col))
-    return _pack_flat(int(overlap))(big, F.col(cap_col))
-
-
-def unflatten_chunks(flat_col: str):
-    """Flat triples -> chunk structs (null stays null)."""
-    flat = F.col(flat_col)
-    triples = F.transform(
-        F.sequence(F.lit(0), (F.size(flat) / 3).cast("int") - 1),
-        lambda i: F.struct(
-            F.element_at(flat, i * 3 + 1).alias("doc_start"),
-            F.element_at(flat, i * 3 + 2).alias("doc_end"),
-            (F.element_at(flat, i * 3 + 3) == 1).alias("is_window"),
-        ),
-    )
-    return F.when(flat.isNotNull() & (F.size(flat) > 0), triples).otherwise(
-        F.when(flat.isNotNull(), F.array().cast(CHUNK_TYPE))
-    )
-
-
 def capacity(question_len_col: str = "question_len", max_seq_length: int = DEFAULT_MAX_SEQ_LENGTH):
     """C4: max_doc_length = max_seq_length - question_len - 3."""
     return F.lit(max_seq_length) - F.col(question_len_col) - F.lit(SPECIAL_TOKENS_PER_SEQUENCE)
@@ -130,13 +70,14 @@ def split_sentences(passages: DataFrame, delimiter: str = DEFAULT_DELIMITER,
                     text_col: str = "passage") -> DataFrame:
     """C1 as rows: (docid, sent_idx, sent_start, sent_end, sent_len).
 
-    Token offsets are an exact running sum over each document's sentences,
-    computed in bounded blocks so a huge document never lands in one task.
+    Token offsets are a running sum over the sentences of a document, which
+    come from one row and are read once.
     """
     s = passages.select(
         "docid", F.posexplode_outer(sentence_lengths(text_col, delimiter)).alias("sent_idx", "sent_len")
     ).filter(F.col("sent_len").isNotNull())
-    s = exclusive_prefix_sum(s, "docid", "sent_idx", "sent_len", "_before")
+    earlier = Window.partitionBy("docid").orderBy("sent_idx").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.withColumn("_before", F.coalesce(F.sum("sent_len").over(earlier), F.lit(0)))
     return s.select(
         "docid",
         F.col("sent_idx").cast("int").alias("sent_idx"),
@@ -148,13 +89,11 @@ def split_sentences(passages: DataFrame, delimiter: str = DEFAULT_DELIMITER,
 
 def pack_chunks(passages: DataFrame, cap_col: str = "capacity", overlap: int = DEFAULT_OVERLAP,
                 delimiter: str = DEFAULT_DELIMITER, text_col: str = "passage",
-                keep=("docid",), large_text_path: bool = True) -> DataFrame:
+                keep=("docid",)) -> DataFrame:
     """One row per (document, capacity) with its ordered chunk array.
 
     ``cap_col`` holds max_doc_length per row; it must exceed ``overlap``
-    (Q12: fail early instead of the reference's silent loss). Texts over
-    ``LARGE_TEXT_CHARS`` go through the linear-time Arrow path; both paths
-    implement the same rule and are tested against each other.
+    (Q12: fail early instead of the reference's silent loss).
     """
     guarded = F.when(
         F.col(cap_col) > F.lit(overlap), F.col(cap_col)
@@ -165,12 +104,7 @@ def pack_chunks(passages: DataFrame, cap_col: str = "capacity", overlap: int = D
         sentence_lengths(text_col, delimiter).alias("_lens"),
         n_tokens(text_col).alias("n_tokens"),
     )
-    if large_text_path:
-        out = df.withColumn("_flat", pack_large_flat("_lens", "_cap", text_col, overlap)).withColumn(
-            "chunks", F.coalesce(unflatten_chunks("_flat"), pack_expr("_lens", "_cap", overlap))
-        ).drop("_flat")
-    else:
-        out = df.withColumn("chunks", pack_expr("_lens", "_cap", overlap))
+    out = df.withColumn("chunks", pack_expr("_lens", "_cap", overlap))
     return out.drop("_lens").withColumnRenamed("_cap", cap_col)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.functions.text import clean_text
+from corpusqa.functions.text import char_to_token, clean_text
 
 
 def clean_passages(passages: DataFrame, text_col: str = "passage") -> DataFrame:
@@ -21,18 +21,11 @@ def clean_questions(questions: DataFrame, cols=("question",)) -> DataFrame:
     return out
 
 
-def first_passage_per_docid(passages: DataFrame, order_col: str | None = None) -> DataFrame:
-    """Q5: duplicates keep the first row per docid.
-
-    ``order_col`` is an explicit ordinal (file order); without it the input is
-    taken to be unique per docid already. ``min_by`` is a partial aggregate, so
-    a hot docid is combined map-side before the shuffle.
-    """
-    if order_col is None:
-        return passages.select("docid", "passage")
-    return passages.groupBy("docid").agg(
-        F.min_by("passage", order_col).alias("passage")
-    )
+def first_passage_per_docid(passages: DataFrame, order_col: str = "ordinal") -> DataFrame:
+    """Duplicates keep the first row per docid, by ``order_col`` (the row's
+    place in its source). ``min_by`` is a partial aggregate, so a hot docid is
+    combined map-side before the shuffle."""
+    return passages.groupBy("docid").agg(F.min_by("passage", order_col).alias("passage"))
 
 
 def locate_answers(train: DataFrame, passages: DataFrame) -> DataFrame:
@@ -69,14 +62,20 @@ def rejected(located: DataFrame) -> DataFrame:
 
 
 def qa_examples(answerable_rows: DataFrame) -> DataFrame:
-    """P5 + J1: examples with inclusive character end (``end = end_index - 1``)."""
+    """P5 + J1: examples with inclusive character end (``end = end_index - 1``),
+    the answer's token positions and its text ``gold``. What needs the passage is
+    taken here, so that examples do not carry a copy of the corpus."""
+    end = F.col("end_index") - 1
     return answerable_rows.select(
         F.col("id").alias("guid"),
         "docid",
-        "passage",
         "question",
         F.col("start_index").alias("start"),
-        (F.col("end_index") - 1).alias("end"),
+        end.alias("end"),
+        char_to_token("passage", F.col("start_index")).cast("int").alias("token_start"),
+        char_to_token("passage", end).cast("int").alias("token_end"),
+        F.substring(F.col("passage"), F.col("start_index") + 1, F.col("end_index") - F.col("start_index")).alias("gold"),
+        F.length("passage").cast("long").alias("passage_len"),
     )
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from corpusqa.functions.arrays import let
 from corpusqa.functions.text import token_to_char
-from corpusqa.operators.retrieval import passages_for
 
 # Fixed values of the reference: span top-k, score of an invalid span, the
 # no-answer threshold and the fallback answer text.
@@ -51,10 +50,9 @@ def span_candidates(start_col="start_logits", end_col="end_logits", q_col="quest
     tops = F.struct(topk_positions(st, k).alias("s"), topk_positions(en, k).alias("e"))
 
     def pair(s, e):
-        score = F.when(
-            is_valid_span(s, e, q, bde),
-            (F.element_at(st, s + 1) + F.element_at(en, e + 1)) - cls,
-        ).otherwise(F.lit(INVALID_SCORE).cast("float"))
+        total = (F.element_at(st, s + 1) + F.element_at(en, e + 1)) - cls
+        # NaN is greater than everything in Spark, but no score
+        score = F.when(is_valid_span(s, e, q, bde) & ~F.isnan(total), total).otherwise(F.lit(INVALID_SCORE).cast("float"))
         return F.struct(s.alias("s"), e.alias("e"), score.cast("float").alias("score"))
 
     return let(tops, lambda t: F.flatten(F.transform(t["s"], lambda s: F.transform(t["e"], lambda e: pair(s, e)))))
@@ -88,7 +86,7 @@ def best_span_per_question(chunk_best: DataFrame, order_cols=("rank", "chunk_idx
     neg = [(-F.col(c)).alias("neg_" + c) for c in order_cols]
     payload = [F.col(c) for c in ("docid", "chunk_idx", "doc_start", "question_len", "best_start",
                                   "best_end") if c in chunk_best.columns]
-    cand = F.when(F.col("best_score") > F.lit(threshold),
+    cand = F.when((F.col("best_score") > F.lit(threshold)) & ~F.isnan("best_score"),
                   F.struct(F.col("best_score").alias("score"), *neg, *payload))
     return chunk_best.groupBy("example_id").agg(
         F.max(cand).alias("best"),
@@ -120,10 +118,9 @@ def _with_answer(winners: DataFrame, passages: DataFrame) -> DataFrame:
 
 
 def winner_passages(winners: DataFrame, passages: DataFrame) -> DataFrame:
-    """Passages of the winning documents only (docid IN list when few).
-    Pass a stored ``winners`` table: the docids are collected first."""
+    """Passages of the winning documents only. Pass a stored ``winners`` table."""
     wanted = winners.filter(F.col("best").isNotNull()).select(F.col("best.docid").alias("docid"))
-    return passages_for(passages, wanted)
+    return passages.join(wanted, "docid", "left_semi")
 
 
 def span_text(winners: DataFrame, passages: DataFrame) -> DataFrame:
@@ -156,12 +153,9 @@ def predict_test(winners: DataFrame, passages: DataFrame, fallback: str = FALLBA
 def predict_eval(winners: DataFrame, examples: DataFrame, passages: DataFrame,
                  fallback: str = FALLBACK_ANSWER) -> DataFrame:
     """D7 + D8 (eval layout): (example_id, prediction, label), label being the
-    gold text ``passage[start:end+1]``."""
+    examples' ``gold`` text."""
     a = _with_answer(winners, passages)
-    gold = examples.select(
-        "example_id", F.expr("substring(passage, start + 1, end - start + 1)").alias("label")
-    )
-    return a.join(gold, "example_id").select(
+    return a.join(examples.select("example_id", F.col("gold").alias("label")), "example_id").select(
         "example_id",
         F.coalesce(F.col("answer"), F.lit(fallback)).alias("prediction"),
         "label",

@@ -21,8 +21,7 @@ from corpusqa.operators.chunk import (
     pack_chunks,
 )
 from corpusqa.operators.label import class_index, overlap_label
-from corpusqa.operators.retrieval import passages_for
-from corpusqa.operators.tokens import CLS, CLS_ID, PAD_ID, SEP, SEP_ID, question_tokens, token_ids
+from corpusqa.operators.tokens import CLS_ID, PAD_ID, SEP_ID, question_tokens, token_ids
 
 TRAIN, EVAL, TEST = "train", "eval", "test"
 
@@ -36,7 +35,7 @@ def doc_chunks(pairs: DataFrame, passages: DataFrame, overlap: int = DEFAULT_OVE
     chunk keeps only its slice before the explode.
     """
     keys = pairs.select("docid", "capacity").distinct()
-    docs = keys.join(passages_for(passages, keys).select("docid", "passage"), "docid")
+    docs = keys.join(passages.select("docid", "passage"), "docid")
     packed = pack_chunks(docs, cap_col="capacity", overlap=overlap, delimiter=delimiter,
                          keep=("docid",))
     if vocab is None:
@@ -68,17 +67,19 @@ def build_features(examples: DataFrame, passages: DataFrame, mode: str = TRAIN,
                    max_seq_length: int = DEFAULT_MAX_SEQ_LENGTH,
                    max_question_length: int = DEFAULT_MAX_QUESTION_LENGTH,
                    overlap: int = DEFAULT_OVERLAP, delimiter: str = DEFAULT_DELIMITER,
-                   vocab: DataFrame | None = None) -> DataFrame:
+                   vocab: DataFrame | None = None, tokenizer=char_tokens) -> DataFrame:
     """(question, chunk) feature rows.
 
-    ``examples`` has ``example_id, docid, question`` and, for train/eval,
-    ``passage, start, end`` (character positions, end inclusive). Any other
-    columns (e.g. ``rank``) are carried along.
+    ``examples`` has ``example_id, docid, question`` and, for train/eval, the
+    answer's ``token_start, token_end``, or ``passage, start, end`` (character
+    positions, end inclusive) to take them from. Any other columns (e.g.
+    ``rank``) are carried along. ``tokenizer(column) -> array<string>`` cuts the
+    questions (T3).
     """
-    q = question_tokens(examples, max_question_length).withColumn(
+    q = question_tokens(examples, max_question_length, tokenizer=tokenizer).withColumn(
         "capacity", capacity("question_len", max_seq_length).cast("int")
     )
-    if mode in (TRAIN, EVAL):
+    if mode in (TRAIN, EVAL) and "token_start" not in q.columns:
         q = q.withColumn("token_start", char_to_token("passage", "start").cast("int")).withColumn(
             "token_end", char_to_token("passage", "end").cast("int")
         )
@@ -132,18 +133,6 @@ def encode_inputs(features: DataFrame, max_seq_length: int = DEFAULT_MAX_SEQ_LEN
     return out
 
 
-def input_tokens(features: DataFrame, passage_tokens_col: str = "passage_tokens") -> DataFrame:
-    """E1/E6 as strings: [CLS] q [SEP] tokens[doc_start..doc_end] [SEP]."""
-    return features.withColumn(
-        "input_tokens",
-        F.concat(
-            F.array(F.lit(CLS)), F.col("question_tokens"), F.array(F.lit(SEP)),
-            F.slice(passage_tokens_col, F.col("doc_start") + 1, F.col("doc_end") - F.col("doc_start") + 1),
-            F.array(F.lit(SEP)),
-        ),
-    )
-
-
 def mode_view(features: DataFrame, mode: str) -> DataFrame:
     """The column subset the reference fills in each mode."""
     common = ["example_id", "doc_start", "question_len"]

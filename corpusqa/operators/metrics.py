@@ -122,9 +122,10 @@ def qa_loss(scored: DataFrame) -> DataFrame:
     return agg.withColumn("loss", F.col("start_loss") + F.col("end_loss") + F.lit(2.0) * F.col("class_loss"))
 
 
-def running_loss(loss_log: DataFrame, eval_steps: int = DEFAULT_EVAL_STEPS, digits: int = LOSS_DIGITS) -> DataFrame:
-    """Running mean of the loss, reset every ``eval_steps`` steps and
-    rounded as the reference reports it. Windows are per reset period.
+def running_loss(loss_log: DataFrame, eval_steps: int = DEFAULT_EVAL_STEPS, digits: int = LOSS_DIGITS,
+                 accumulation: int = 1) -> DataFrame:
+    """Running mean of the loss, reset every ``eval_steps * accumulation`` steps
+    (``accumulation``: gradient-accumulation factor) and rounded as the reference reports it. Windows are per reset period.
 
     The mean is a sequential double sum divided by the count, as in the
     reference. Rounding is Spark's ``round``: half-up on the shortest decimal
@@ -133,7 +134,7 @@ def running_loss(loss_log: DataFrame, eval_steps: int = DEFAULT_EVAL_STEPS, digi
     in 5 right after the kept digits.
     """
     w = (
-        Window.partitionBy(F.floor(F.col("step") / eval_steps))
+        Window.partitionBy(F.floor(F.col("step") / (eval_steps * accumulation)))
         .orderBy("step")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -29,22 +29,6 @@ K1 = 1.2
 B = 0.75
 # Default number of documents retrieved per question (test.sh uses 10).
 DEFAULT_K = 10
-# Retrieval strategy bounds for the distinct query terms (checked by one
-# small aggregate over the question side before planning the search):
-# up to PUSHDOWN_TERMS terms / PUSHDOWN_CHARS characters go into the postings
-# scan as an IN list; up to BROADCAST_BYTES they are broadcast; beyond that a
-# shuffle join (AQE splits skewed, very common terms).
-# IN lists stay short: measured at sf0.1, 1,229 query terms took 5-6 s as an
-# IN list against 2.6-3.2 s as a broadcast semi join.
-PUSHDOWN_TERMS = 256
-PUSHDOWN_CHARS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Passages of at most this many documents are fetched with a docid IN list
-# (row-group pruning on a passage table sorted by docid, see write_passages).
-# Kept small: a literal IN list of ~10k values cost more to plan and ship
-# than it saved (measured: 16-24 s against 6.5 s at sf0.1).
-PUSHDOWN_DOCS = 1_000
-
 
 @dataclass
 class Index:
@@ -54,11 +38,6 @@ class Index:
     corpus_stats: DataFrame
 
 
-def doc_terms(passages: DataFrame, text_col: str = "passage") -> DataFrame:
-    """R2 on documents: (docid, term) with repeats, one row per occurrence."""
-    return passages.select("docid", F.explode_outer(analyze(text_col)).alias("term")).filter(F.col("term").isNotNull())
-
-
 def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None) -> Index:
     """Build the index tables from (docid, passage).
 
@@ -98,32 +77,27 @@ def corpus_stats(index: Index) -> DataFrame:
 MAX_ROWS_PER_FILE = 20_000_000
 
 
-def write_index(index: Index, path: str, passages: DataFrame | None = None, buckets: int | None = None,
-                mode: str = "overwrite") -> None:
-    """Persist the index as Parquet with a single pass of text analysis.
+def write_index(index: Index, path: str, buckets: int | None = None, mode: str = "overwrite") -> None:
+    """Persist the index as Parquet.
 
-    Postings are written first, hash-partitioned and sorted by term so that a
-    term lives in one file per bucket and parquet min/max statistics prune
-    row groups for IN-list lookups. The other tables are derived from the
-    stored postings; documents without any term (absent from the postings)
-    are added to ``doc_stats`` with ``dl = 0`` by a docid-only anti join when
-    ``passages`` is given. Overwrite makes the build idempotent (Q6).
+    Postings are range-partitioned and sorted by (term, docid): a very common
+    term is split over several files, and Parquet min/max statistics still
+    prune row groups by term. ``doc_stats`` comes from the documents, so one
+    without any term is there with ``dl = 0``; the statistics of the terms and
+    of the corpus come from the stored tables. Overwrite makes the build
+    idempotent (Q6).
     """
     spark = index.postings.sparkSession
     n = buckets or target_partitions(spark)      # grows with the cluster, not fixed
     (
-        index.postings.repartition(n, "term")
+        index.postings.repartitionByRange(n, "term", "docid")
         .sortWithinPartitions("term", "docid")
         .write.mode(mode)
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .parquet(f"{path}/postings")
     )
+    index.doc_stats.write.mode(mode).parquet(f"{path}/doc_stats")
     stored = spark.read.parquet(f"{path}/postings")
-    doc_stats = stored.groupBy("docid").agg(F.first("dl").alias("dl"))
-    if passages is not None:
-        empty = passages.select("docid").join(doc_stats.select("docid"), "docid", "left_anti")
-        doc_stats = doc_stats.unionByName(empty.withColumn("dl", F.lit(0).cast("long")))
-    doc_stats.write.mode(mode).parquet(f"{path}/doc_stats")
     stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode(mode).parquet(f"{path}/term_stats")
     ds = spark.read.parquet(f"{path}/doc_stats")
     ds.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")).write.mode(mode).parquet(
@@ -154,52 +128,20 @@ def query_terms(questions: DataFrame, id_col: str = "id", text_col: str = "quest
     )
 
 
-def _restrict_postings(postings: DataFrame, qterms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings of query terms only, with the cheapest safe strategy.
-
-    The distinct query terms are counted and measured first (one aggregate
-    over the question side). Few and short: pushed into the scan as an IN
-    list (bucket / row-group pruning on a stored index). Otherwise the term
-    set is broadcast only when its measured size is under the bound, else a
-    shuffle semi join. The per-question term table itself is never forced
-    into a broadcast: it grows with the number of questions, so AQE decides
-    from its runtime size.
-    """
-    distinct_terms = qterms.select("term").distinct()
-    # one job: at most PUSHDOWN_TERMS + 1 terms come back to the driver
-    few = [r[0] for r in distinct_terms.limit(PUSHDOWN_TERMS + 1).collect()]
-    if not few:
-        return postings.filter(F.lit(False)), qterms   # no query terms: no hits
-    if len(few) <= PUSHDOWN_TERMS and sum(len(t) for t in few) <= PUSHDOWN_CHARS:
-        return postings.filter(F.col("term").isin(few)), qterms
-    st = distinct_terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("term")).alias("chars")).first()
-    n, chars = int(st["n"]), int(st["chars"] or 0)
-    if 4 * chars + 32 * n <= BROADCAST_BYTES:
-        return postings.join(F.broadcast(distinct_terms), "term", "left_semi"), qterms
-    return postings.join(distinct_terms, "term", "left_semi"), qterms
-
-
 def bm25_scores(index: Index, qterms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     """Full BM25 score of every (question, document) sharing a term.
 
-    Document frequencies come from the postings already restricted to the
-    query terms: those hold every posting of each query term, so ``df`` is
-    exact without aggregating the whole vocabulary. ``N`` and ``avgdl`` are
+    Each question term is weighted by its stored document frequency, then
+    meets its postings: one scan of the postings. ``N`` and ``avgdl`` are
     scalar subqueries over the (one-row) corpus statistics.
     """
-    post, qt = _restrict_postings(index.postings, qterms)
     n_docs = index.corpus_stats.select("n_docs").scalar()
     avgdl = index.corpus_stats.select("avgdl").scalar()
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
+    weighted = qterms.join(index.term_stats, "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
     norm = F.col("tf") / (F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl))
-    contrib = F.col("qtf") * idf * norm
-    qt_df = qt.join(df, "term")
-    return (
-        qt_df.join(post, "term")
-        .groupBy("id", "docid")
-        .agg(F.sum(contrib).alias("score"))
-    )
+    parts = weighted.join(index.postings, "term").select("id", "docid", (F.col("weight") * norm).alias("part"))
+    return parts.groupBy("id", "docid").agg(F.sum("part").alias("score"))
 
 
 def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: str = "id",
@@ -231,20 +173,6 @@ def retrieve_pairs(hits: DataFrame, questions: DataFrame, passages: DataFrame,
     return hits.join(q, "id").join(passages.select("docid", "passage"), "docid")
 
 
-def passages_for(passages: DataFrame, keys: DataFrame) -> DataFrame:
-    """Passages restricted to the docids of ``keys``.
-
-    When the distinct docids are few (one bounded collect of at most
-    PUSHDOWN_DOCS + 1 ids) they are pushed into the passage scan as an IN
-    list, so a corpus stored sorted by docid is read only where needed;
-    otherwise the caller's join does the restriction.
-    """
-    ids = [r[0] for r in keys.select("docid").distinct().limit(PUSHDOWN_DOCS + 1).collect()]
-    if len(ids) <= PUSHDOWN_DOCS:
-        return passages.filter(F.col("docid").isin(ids))
-    return passages
-
-
 def write_passages(passages: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
     """Store passages range-partitioned and sorted by docid, so parquet
     min/max statistics let docid lookups skip row groups."""

@@ -76,10 +76,11 @@ def no_known_examples(features: DataFrame) -> DataFrame:
 def train_dev_split(examples: DataFrame, dev_fraction: float = 0.2, seed: int = DEFAULT_SEED,
                     id_col: str = "id") -> DataFrame:
     """Hash split on the id: dev when the first 4 hex digits of
-    md5('<seed>_split_<id>') fall below ``dev_fraction`` of 16^4."""
-    threshold = format(int(round(dev_fraction * 16 ** 4)), "04x")
-    key = F.substring(row_key(seed, id_col, salt="split"), 1, 4)
-    return examples.withColumn("split", F.when(key < F.lit(threshold), F.lit("dev")).otherwise(F.lit("train")))
+    md5('<seed>_split_<id>') fall below ``dev_fraction`` (0 to 1) of 16^4."""
+    if not 0 <= dev_fraction <= 1:
+        raise ValueError(f"dev_fraction must lie between 0 and 1, not {dev_fraction}")
+    key = F.conv(F.substring(row_key(seed, id_col, salt="split"), 1, 4), 16, 10).cast("int")
+    return examples.withColumn("split", F.when(key < round(dev_fraction * 16 ** 4), F.lit("dev")).otherwise(F.lit("train")))
 
 
 def union_splits(parts: dict) -> DataFrame:
@@ -120,24 +121,13 @@ def shuffle_batches(selected: DataFrame, batch_size: int = 64, seed: int = DEFAU
     return ranked.withColumn("batch_id", F.floor(F.col("order_rank") / batch_size).cast("long"))
 
 
-def step_batches(batches: DataFrame, train_steps: int = 1000, batch_size: int = 64) -> DataFrame:
-    """Training step s uses batch ``s mod n_batches``; the cycled epochs
-    replay the same batches. One row per step with the batch's row count.
-
-    Batches hold ``batch_size`` rows except the last, so only the total row
-    count is needed (one scalar subquery); no rows are produced when there is
-    nothing to train on.
-    """
-    n = batches.select(F.count(F.lit(1))).scalar()
-    n_batches = F.ceil(n / F.lit(batch_size)).cast("long")
-    steps = batches.sparkSession.range(train_steps).withColumnRenamed("id", "step").filter(n_batches > 0)
-    batch_id = (F.col("step") % n_batches).cast("long")
-    last_rows = n - F.lit(batch_size) * (n_batches - 1)
-    return steps.select(
-        "step",
-        batch_id.alias("batch_id"),
-        F.when(batch_id == n_batches - 1, last_rows).otherwise(F.lit(batch_size)).cast("long").alias("batch_rows"),
-    )
+def step_batches(batches: DataFrame, train_steps: int = 1000) -> DataFrame:
+    """The rows of every training step. Step s takes batch ``s mod n_batches``
+    (the cycled epochs replay the same batches), so each row is exploded to the
+    steps that use its batch: its columns and ``step``."""
+    n_batches = batches.select(F.max("batch_id") + 1).scalar()
+    uses = F.when(F.col("batch_id") < train_steps, F.sequence(F.col("batch_id"), F.lit(train_steps - 1).cast("long"), n_batches))
+    return batches.withColumn("step", F.explode_outer(uses)).filter(F.col("step").isNotNull())
 
 
 def feature_order(features: DataFrame, order_cols=("rank", "chunk_idx")) -> DataFrame:

@@ -2,20 +2,19 @@
 
 ``score_features`` runs a user-supplied model over Arrow batches
 (``mapInPandas``); the model is loaded once per Python worker through the
-``load_fn`` factory. ``pseudo_logits`` is the SQL-expressible stand-in used
-by the driver queries and tests.
+``load_fn`` factory.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusqa.operators.chunk import DEFAULT_MAX_SEQ_LENGTH
+from corpusqa.functions.worker import once_per_worker
 from corpusqa.session import target_partitions
 
 LOGIT_FIELDS = [
@@ -24,44 +23,6 @@ LOGIT_FIELDS = [
     T.StructField("class_logits", T.ArrayType(T.FloatType()), True),
 ]
 
-# Fixed constants of the pseudo-logit rule (see FIXTURES.md).
-_START_MULT = (7919, 6007, 104729, 613)
-_END_MULT = (15485863, 7507, 32452843, 997)
-
-
-def _pseudo(ex, doc, chunk, i, mult):
-    a, b, c, d = (F.lit(m).cast("long") for m in mult)
-    n = (ex.cast("long") * a + doc.cast("long") * b + chunk.cast("long") * c + i.cast("long") * d) % 1000
-    return (n / F.lit(100.0) - F.lit(5.0)).cast("float")
-
-
-def pseudo_logits(features: DataFrame, max_seq_length: int = DEFAULT_MAX_SEQ_LENGTH,
-                  class_logits: DataFrame | None = None) -> DataFrame:
-    """Deterministic logits over the whole padded sequence.
-
-    ``start[i] = ((ex*7919 + doc*6007 + chunk*104729 + i*613) % 1000)/100 - 5``,
-    ``end[i]`` likewise with the second set of constants; for example ids
-    divisible by 10, position 0 of both is 10 so no span scores above 0.
-    ``class_logits`` (docid, class_logits) is left-joined, default [0, 0].
-    """
-    features = balance_features(features)
-    ex, doc, ch = F.col("example_id"), F.col("docid"), F.col("chunk_idx")
-    seq = F.sequence(F.lit(0), F.lit(max_seq_length - 1))
-    ten = F.lit(10.0).cast("float")
-    hot = (ex % 10) == 0
-
-    def arr(mult):
-        return F.transform(seq, lambda i: F.when(hot & (i == 0), ten).otherwise(_pseudo(ex, doc, ch, i, mult)))
-
-    out = features.withColumn("start_logits", arr(_START_MULT)).withColumn("end_logits", arr(_END_MULT))
-    zero = F.array(F.lit(0.0).cast("float"), F.lit(0.0).cast("float"))
-    if class_logits is None:
-        return out.withColumn("class_logits", zero)
-    return out.join(class_logits, "docid", "left").withColumn(
-        "class_logits", F.coalesce(F.col("class_logits"), zero)
-    )
-
-
 def balance_features(features: DataFrame) -> DataFrame:
     """Hash-partition feature rows on their full key before per-row scoring.
 
@@ -74,31 +35,22 @@ def balance_features(features: DataFrame) -> DataFrame:
     return features.repartition(n, "example_id", "docid", "chunk_idx")
 
 
-def label_class_logits(labels: DataFrame) -> DataFrame:
-    """Class logits from the ``labels`` table: [quality, 1 - quality]."""
-    return labels.select(
-        F.col("doc_id").alias("docid"),
-        F.array(F.col("quality").cast("float"), (F.lit(1) - F.col("quality")).cast("float")).alias("class_logits"),
-    )
-
-
 def score_features(features: DataFrame, load_fn: Callable[[], Callable[[np.ndarray, np.ndarray, np.ndarray], tuple]],
                    batch_size: int = 64) -> DataFrame:
     """M1: forward pass of a user model over ``input_ids, input_mask,
     segment_ids``; appends start/end/class logits.
 
     ``load_fn()`` returns ``predict(ids, mask, seg) -> (start, end, cls)``
-    taking and returning 2-D numpy arrays; it is called once per Python
-    worker process and cached there.
+    taking and returning 2-D numpy arrays. It is called once per Python worker
+    process, however many tasks the worker runs: the model is kept under an id
+    drawn here. Features are scored where they are; ``balance_features`` before
+    ``encode_inputs`` spreads them while rows are still small.
     """
     schema = T.StructType(features.schema.fields + LOGIT_FIELDS)
-    features = balance_features(features)
-    cache = {}
+    model = uuid.uuid4().hex
 
     def run(it):
-        if "model" not in cache:
-            cache["model"] = load_fn()
-        predict = cache["model"]
+        predict = once_per_worker(("model", model), load_fn)
         for pdf in it:
             starts, ends, clss = [], [], []
             for lo in range(0, len(pdf), batch_size):

@@ -2,19 +2,19 @@
 
 Character mode (the default, used by all driver queries) is built-in Spark:
 every non-blank, non-control character is one lower-cased token. Ids come
-from a vocabulary *table*; the lookup runs as an Arrow batch function
-(``mapInArrow`` + ``pyarrow.compute.index_in``, a vectorised hash lookup)
-with the vocabulary shipped once per executor as a broadcast variable.
+from a vocabulary *table*; the lookup runs as an Arrow function of the token
+column (``pyarrow.compute.index_in``, a vectorised hash lookup) with the vocabulary shipped once per executor as a broadcast variable.
 The vocabulary size is checked before it is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusqa.functions.text import ZERO_TOKEN_CLASS, char_tokens
 
@@ -78,36 +78,29 @@ def vocab_broadcast(vocab: DataFrame, max_size: int = MAX_VOCAB):
     return bc
 
 
-def _ids_fn(bc, tokens_col: str, out_col: str, unk_id: int):
-    def fn(batches):
-        vtokens, vids = bc.value
-        value_set = pa.array(vtokens, pa.string())
-        id_arr = pa.array(vids, pa.int32())
-        for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(tokens_col))
-            flat = pc.list_flatten(lists)
-            pos = pc.index_in(flat, value_set=value_set)
-            ids = pc.fill_null(pc.take(id_arr, pos), unk_id).cast(pa.int32())
-            offsets = pc.subtract(lists.offsets, lists.offsets[0])
-            out = pa.ListArray.from_arrays(offsets, ids, mask=lists.is_null())
-            yield pa.RecordBatch.from_arrays(
-                list(batch.columns) + [out], names=list(batch.schema.names) + [out_col]
-            )
-
-    return fn
-
-
 def token_ids(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", out_col: str = "token_ids",
               unk_id: int = UNK_ID) -> DataFrame:
-    """T5: array of ids for an array of tokens; unknown tokens map to [UNK]."""
+    """T5: array of ids for an array of tokens; unknown tokens map to [UNK]. An
+    Arrow function of the token column alone; its lookup is made once per task."""
     bc = vocab_broadcast(vocab)
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.IntegerType()), True)])
-    return df.mapInArrow(_ids_fn(bc, tokens_col, out_col, unk_id), schema)
+
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vtokens, vids = bc.value
+        value_set, id_of = pa.array(vtokens, pa.string()), pa.array(vids, pa.int32())
+        for lists in batches:
+            found = pc.take(id_of, pc.index_in(pc.list_flatten(lists), value_set=value_set))
+            offsets = pc.subtract(lists.offsets, lists.offsets[0])
+            yield pa.ListArray.from_arrays(offsets, pc.fill_null(found, unk_id), mask=lists.is_null())
+
+    return df.withColumn(out_col, ids(F.col(tokens_col)))
 
 
-def question_tokens(questions: DataFrame, max_question_length: int = 96, text_col: str = "question") -> DataFrame:
-    """T3 (character mode) + P6: question tokens truncated to the maximum."""
-    toks = char_tokens(text_col)
+def question_tokens(questions: DataFrame, max_question_length: int = 96, text_col: str = "question",
+                    tokenizer=char_tokens) -> DataFrame:
+    """T3 + P6: question tokens truncated to the maximum; characters, or what
+    ``tokenizer(column) -> array<string>`` gives."""
+    toks = tokenizer(text_col)
     return questions.withColumn("question_tokens", F.slice(toks, 1, max_question_length)).withColumn(
         "question_len", F.size("question_tokens")
     )

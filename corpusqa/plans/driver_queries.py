@@ -13,11 +13,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.functions.arrays import exclusive_prefix_sum
-from corpusqa.functions.text import char_tokens, n_tokens, token_to_char_map, ZERO_TOKEN_CLASS
-from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, tokens, wordpiece
-from corpusqa.plans import pipeline
-from corpusqa.schemas import PASSAGES, PREDICTIONS_TEST, TRAIN_RAW
+from corpusqa.functions.text import char_to_token_map, char_tokens, n_tokens, token_to_char_map
+from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, tokens
+from corpusqa.plans import pipeline, stand_in
+from corpusqa.schemas import PASSAGES, PREDICTIONS_TEST, TEST, TRAIN_CLEAN, TRAIN_RAW
 from corpusqa.session import materialize, scratch_path
 from corpusqa.sources import csv_io, driver_tables as dt
 
@@ -58,19 +57,23 @@ class Ctx:
     def questions(self) -> DataFrame:
         return clean.clean_questions(dt.test_questions(self.spark, self.sf))
 
+    @cached_property
+    def raw_questions(self) -> DataFrame:
+        return dt.test_questions(self.spark, self.sf)
+
     @cached_property
     def conv_questions(self) -> DataFrame:
         return clean.clean_questions(dt.conversation_questions(self.spark, self.sf))
 
     @cached_property
     def index(self) -> retrieval.Index:
-        return retrieval.build_index(self.passages)
+        return retrieval.build_index(self.prep.raw_passages)
 
     @cached_property
     def hits(self) -> DataFrame:
         # questions x k rows, read by several branches (chunk keys, feature
         # join, late passage join): written once under the checkpoint folder
-        return materialize(retrieval.bm25_topk(self.index, self.questions, K), "hits")
+        return materialize(retrieval.bm25_topk(self.index, self.raw_questions, K), "hits")
 
     @cached_property
     def examples(self) -> DataFrame:
@@ -92,7 +95,7 @@ class Ctx:
 
     @cached_property
     def test_scored(self) -> DataFrame:
-        return decode.best_span_per_chunk(score.pseudo_logits(self.test_feats, MAX_SEQ))
+        return decode.best_span_per_chunk(stand_in.pseudo_logits(self.test_feats, MAX_SEQ))
 
     @cached_property
     def test_winners(self) -> DataFrame:
@@ -123,8 +126,8 @@ class Ctx:
 
     @cached_property
     def eval_scored(self) -> DataFrame:
-        cl = score.label_class_logits(dt.labels(self.spark, self.sf))
-        return score.pseudo_logits(self.eval_feats, MAX_SEQ, cl)
+        cl = stand_in.label_class_logits(dt.labels(self.spark, self.sf))
+        return stand_in.pseudo_logits(self.eval_feats, MAX_SEQ, cl)
 
     @cached_property
     def eval_predictions(self) -> DataFrame:
@@ -150,7 +153,7 @@ def q_clean_questions(c: Ctx):
 
 
 def q_analyze_terms(c: Ctx):
-    return retrieval.query_terms(c.questions).select("id", "term", F.col("qtf").cast("long").alias("qtf"))
+    return retrieval.query_terms(c.raw_questions).select("id", "term", F.col("qtf").cast("long").alias("qtf"))
 
 
 def q_build_postings(c: Ctx):
@@ -174,7 +177,7 @@ def q_bm25_topk(c: Ctx):
 
 
 def q_bm25_topk_conversations(c: Ctx):
-    return retrieval.bm25_topk(c.index, c.conv_questions, K)
+    return retrieval.bm25_topk(c.index, dt.conversation_questions(c.spark, c.sf), K)
 
 
 def q_retrieve_pairs(c: Ctx):
@@ -183,9 +186,9 @@ def q_retrieve_pairs(c: Ctx):
 
 
 def q_recall_at_k(c: Ctx):
-    """Train questions (first 40 characters of a document) against their own
-    document as the gold answer."""
-    tq = c.prep.examples.select(F.col("example_id").alias("id"), "question")
+    """Train questions (first sentence of a document) against their own document as
+    the gold answer."""
+    tq = dt.train_raw(c.spark, c.sf).join(c.prep.examples.select(F.col("example_id").alias("id")), "id", "left_semi")
     hits = retrieval.bm25_topk(c.index, tq, K)
     gold = c.prep.examples.select(F.col("example_id").alias("id"), "docid")
     return retrieval.recall_at_k(hits, gold, K)
@@ -218,7 +221,7 @@ def q_rejected_train(c: Ctx):
 
 def q_qa_examples(c: Ctx):
     return c.prep.examples.select(
-        "example_id", "docid", "question", "start", "end", F.length("passage").cast("long").alias("passage_len")
+        "example_id", "docid", "question", "start", "end", "token_start", "token_end", "gold", "passage_len"
     )
 
 
@@ -245,21 +248,9 @@ def q_question_tokens(c: Ctx):
 
 
 def q_offset_map(c: Ctx):
-    """Both offset maps as one row per character: ``token_idx`` is the
-    char->token map (tokens before this character), ``is_token`` marks the
-    characters that are tokens (token->char is the inverse on those rows).
-    The running count is a block-segmented prefix sum (bounded tasks)."""
-    ch = c.passages.select("docid", F.posexplode_outer(F.split("passage", "")).alias("char_idx", "ch"))
-    ch = ch.filter(F.col("ch").isNotNull() & (F.col("ch") != ""))
-    kept = (~F.col("ch").rlike("^" + ZERO_TOKEN_CLASS + "$")).cast("int")
-    rows = ch.select("docid", "char_idx", kept.alias("k"))
-    rows = exclusive_prefix_sum(rows, "docid", "char_idx", "k", "token_idx")
-    return rows.select(
-        "docid",
-        F.col("char_idx").cast("long").alias("char_idx"),
-        F.col("k").cast("boolean").alias("is_token"),
-        F.col("token_idx").cast("long").alias("token_idx"),
-    )
+    """T4 char->token as an array per document, reported as a digest."""
+    m = char_to_token_map("passage")
+    return c.passages.select("docid", F.size(m).cast("long").alias("n_chars"), F.md5(F.array_join(m, ",")).alias("map_md5"))
 
 
 def q_token_to_char(c: Ctx):
@@ -268,18 +259,6 @@ def q_token_to_char(c: Ctx):
     return c.passages.select("docid", F.size(m).cast("long").alias("n_tokens"), F.md5(F.array_join(m, ",")).alias("map_md5"))
 
 
-def q_question_wordpiece(c: Ctx):
-    """T3 word-piece mode (rows-only in the driver; the greedy longest match
-    is checked against a plain implementation in pytest). The vocabulary is
-    built from the documents: characters, their continuations and the 1000
-    most frequent words."""
-    v = wordpiece.build_wordpiece_vocab(dt.passages(c.spark, c.sf), 1000)
-    t = wordpiece.wordpiece_tokens(c.questions, v)
-    t = t.withColumn("question_tokens", F.slice("question_tokens", 1, MAX_Q))
-    return t.select("id", F.size("question_tokens").cast("long").alias("question_len"),
-                    F.array_join("question_tokens", " ").alias("tokens"))
-
-
 def q_vocab(c: Ctx):
     return c.vocab.select("token", F.col("token_id").cast("long").alias("token_id"))
 
@@ -354,6 +333,55 @@ def q_eval_features(c: Ctx):
     return encode.mode_view(c.eval_feats, encode.EVAL)
 
 
+def q_train_features(c: Ctx):
+    """The train-mode view."""
+    return encode.mode_view(c.train_feats, encode.TRAIN)
+
+
+def q_test_features(c: Ctx):
+    """The test-mode view."""
+    return encode.mode_view(c.test_feats, encode.TEST)
+
+
+def q_dedup_passages(c: Ctx):
+    """A passage table that holds every document twice, the second time with
+    another text and a later ordinal; the first stays."""
+    first = dt.passages(c.spark, c.sf)
+    again = first.select((F.col("ordinal") + F.lit(1 << 60)).alias("ordinal"), "docid", F.concat(F.lit("later "), "passage").alias("passage"))
+    return clean.first_passage_per_docid(again.unionByName(first)).select("docid", "passage")
+
+
+def _stored_index(c: Ctx) -> retrieval.Index:
+    path = scratch_path(c.spark, "index")
+    retrieval.write_index(c.index, path)
+    return retrieval.read_index(c.spark, path)
+
+
+def q_index_roundtrip(c: Ctx):
+    """S4 + S5: the stored index, read back: every posting with its term's and
+    its document's statistics."""
+    i = _stored_index(c)
+    docs = i.doc_stats.withColumnRenamed("dl", "doc_dl")
+    p = i.postings.join(i.term_stats, "term").join(docs, "docid")
+    return p.select("term", "docid", F.col("tf").cast("long").alias("tf"), "dl", F.col("df").cast("long").alias("df"), "doc_dl")
+
+
+def q_bm25_topk_stored(c: Ctx):
+    return retrieval.bm25_topk(_stored_index(c), c.raw_questions, K)
+
+
+def q_score_model(c: Ctx):
+    """M1: a model of whole numbers over the encoded inputs."""
+    h = c.hits.join(c.questions, "id")
+    f = score.balance_features(pipeline.test_features(h, c.passages, vocab=c.vocab, **c._kw()))
+    s = score.score_features(encode.encode_inputs(f, MAX_SEQ), stand_in.load_hash_model)
+    total = lambda x: F.round(F.aggregate(x, F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double")), 2)
+    return s.select(
+        F.col("example_id").alias("id"), "docid", "chunk_idx", total("start_logits").alias("start_sum"), total("end_logits").alias("end_sum"),
+        F.get("class_logits", F.lit(0)).cast("double").alias("class0"), F.get("class_logits", F.lit(1)).cast("double").alias("class1"),
+    )
+
+
 def q_sample_training(c: Ctx):
     return c.selected.select("example_id", "docid", "chunk_idx", "label")
 
@@ -384,8 +412,8 @@ def q_shuffle_batches(c: Ctx):
 
 
 def q_step_batches(c: Ctx):
-    return sample.step_batches(sample.shuffle_batches(c.selected, BATCH, SEED), TRAIN_STEPS, BATCH).select(
-        "step", "batch_id", "batch_rows"
+    return sample.step_batches(sample.shuffle_batches(c.selected, BATCH, SEED), TRAIN_STEPS).select(
+        "step", "batch_id", "example_id", "docid", "chunk_idx"
     )
 
 
@@ -396,7 +424,7 @@ def q_feature_order(c: Ctx):
 
 
 def q_pseudo_logits(c: Ctx):
-    s = score.pseudo_logits(c.test_feats, MAX_SEQ)
+    s = stand_in.pseudo_logits(c.test_feats, MAX_SEQ)
 
     def tot(col):
         return F.round(F.aggregate(col, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double")), 3)
@@ -410,7 +438,7 @@ def q_pseudo_logits(c: Ctx):
 
 
 def q_topk_positions(c: Ctx):
-    s = score.pseudo_logits(c.test_feats, MAX_SEQ)
+    s = stand_in.pseudo_logits(c.test_feats, MAX_SEQ)
     return s.select(
         F.col("example_id").alias("id"), "docid", "chunk_idx",
         F.array_join(decode.topk_positions("start_logits"), ",").alias("start_top"),
@@ -419,7 +447,7 @@ def q_topk_positions(c: Ctx):
 
 
 def q_valid_spans(c: Ctx):
-    s = score.pseudo_logits(c.test_feats, MAX_SEQ)
+    s = stand_in.pseudo_logits(c.test_feats, MAX_SEQ)
     cands = decode.span_candidates()
     return s.select(
         F.col("example_id").alias("id"), "docid", "chunk_idx",
@@ -428,7 +456,7 @@ def q_valid_spans(c: Ctx):
 
 
 def q_span_candidates(c: Ctx):
-    s = score.pseudo_logits(c.test_feats, MAX_SEQ)
+    s = stand_in.pseudo_logits(c.test_feats, MAX_SEQ)
     x = s.select(F.col("example_id").alias("id"), "docid", "chunk_idx",
                  F.posexplode_outer(decode.span_candidates()).alias("cand_idx", "c")).filter(F.col("c").isNotNull())
     return x.select("id", "docid", "chunk_idx", F.col("cand_idx").cast("long").alias("cand_idx"),
@@ -500,7 +528,10 @@ def q_qa_loss(c: Ctx):
 
 
 def q_running_loss(c: Ctx):
-    return metrics.running_loss(dt.loss_log(c.spark, c.sf))
+    loss = dt.loss_log(c.spark, c.sf)
+    plain = metrics.running_loss(loss)
+    gathered = metrics.running_loss(loss, accumulation=4).select("step", F.col("running_loss").alias("running_loss_4"))
+    return plain.join(gathered, "step")
 
 
 def q_eval_log(c: Ctx):
@@ -539,6 +570,53 @@ def q_predictions_tsv_roundtrip(c: Ctx):
     return back.select(F.col("id").cast("long").alias("id"), F.col("docid").cast("long").alias("docid"), "answer")
 
 
+def q_train_clean_roundtrip(c: Ctx):
+    """The cleaned train file with the answers' places, written and read again."""
+    path = scratch_path(c.spark, "train_clean")
+    rows = c.prep.answerable.select(*[_s(x).alias(x) for x in ("id", "docid")], "question", "answer", "start_index", "end_index")
+    csv_io.write_table(rows, path)
+    back = csv_io.read_table(c.spark, path, TRAIN_CLEAN)
+    return back.select(F.col("id").cast("long").alias("id"), F.col("docid").cast("long").alias("docid"),
+                       "question", "answer", "start_index", "end_index")
+
+
+def q_test_file_roundtrip(c: Ctx):
+    """The cleaned test file, written and read again."""
+    path = scratch_path(c.spark, "test_clean")
+    csv_io.write_table(c.questions.select(_s("id").alias("id"), "question"), path)
+    return csv_io.read_table(c.spark, path, TEST).select(F.col("id").cast("long").alias("id"), "question")
+
+
+def _eval_chain(c: Ctx):
+    """Two evaluations of one run, the second with start and end logits swapped:
+    (predictions of both, path of the log)."""
+    cl = stand_in.label_class_logits(dt.labels(c.spark, c.sf))
+    plain = lambda f: stand_in.pseudo_logits(f, MAX_SEQ, cl)
+
+    def swapped(f):
+        s = plain(f).withColumnRenamed("start_logits", "x")
+        return s.withColumnRenamed("end_logits", "start_logits").withColumnRenamed("x", "end_logits")
+
+    log = scratch_path(c.spark, "eval_log")
+    runs = [pipeline.evaluate_run("run", step, c.dev_examples, c.passages, scorer, log, **c._kw()) for step, scorer in ((50, plain), (100, swapped))]
+    return runs[0].unionByName(runs[1]), log
+
+
+def q_eval_chain(c: Ctx):
+    """The log of both evaluations."""
+    _, log = _eval_chain(c)
+    return c.spark.read.parquet(log).select("run", "file", "global_step", F.round("loss", 6).alias("loss"), F.round("eval_accuracy", 6).alias("eval_accuracy"))
+
+
+def q_best_eval_predictions(c: Ctx):
+    """The predictions of the better evaluation (A7, S7), read back."""
+    predictions, log = _eval_chain(c)
+    path = scratch_path(c.spark, "best_eval_predictions")
+    pipeline.best_predictions(predictions, log, path)
+    back = csv_io.read_table(c.spark, path, csv_io.BEST_PREDICTIONS)
+    return back.select("run", F.col("example_id").cast("long").alias("example_id"), "prediction", "label")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
 
 

@@ -3,8 +3,7 @@
 Each string is a stand-alone statement over the driver's views (documents,
 benchmark, conversations, events, labels, ...). The CTEs restate every rule
 in plain SQL -- including greedy packing as a recursive CTE -- independently
-of the Spark code, so an equal result is a real check. ROUGE-L has no SQL
-oracle (LCS); it is checked against a brute-force dynamic program in pytest.
+of the Spark code, so an equal result is a real check.
 """
 
 from __future__ import annotations
@@ -65,14 +64,13 @@ def terms(x):
 # ------------------------------------------------------------ base CTEs
 
 BASE = f"""
-P AS (SELECT doc_id AS docid, {clean('text')} AS passage FROM documents),
-TQ AS (SELECT item_id AS id, {clean('text')} AS question FROM benchmark),
-CQ AS (SELECT conv_id * 1000 + turn AS id, {clean('text')} AS question FROM conversations WHERE role = 'user'),
+P AS (SELECT doc_id AS docid, {clean('text')} AS passage, text AS raw FROM documents),
+TQ AS (SELECT item_id AS id, {clean('text')} AS question, text AS raw FROM benchmark),
+CQ AS (SELECT conv_id * 1000 + turn AS id, {clean('text')} AS question, text AS raw FROM conversations WHERE role = 'user'),
 TRAW AS (
-  SELECT doc_id AS id, doc_id AS docid, substring(text, 1, 40) AS question,
-         CASE WHEN doc_id % 50 = 0 THEN substring(text, 1 + (doc_id * 37) % (n_chars - 20), 20) || '@@'
-              ELSE substring(text, 1 + (doc_id * 37) % (n_chars - 20), 20) END AS answer
-  FROM documents WHERE n_chars >= 60),
+  SELECT doc_id AS id, doc_id AS docid, s[1] AS question,
+         s[1 + (doc_id * 37) % len(s)] || CASE WHEN doc_id % 50 = 0 THEN '@@' ELSE '' END AS answer
+  FROM (SELECT doc_id, regexp_extract_all(text, '{SENT}') AS s FROM documents)),
 TR AS (SELECT id, docid, {clean('question')} AS question, {clean('answer')} AS answer FROM TRAW),
 LOC0 AS (
   SELECT t.id, t.docid, t.question, t.answer, p.passage,
@@ -88,13 +86,13 @@ EX AS (SELECT id AS example_id, docid, passage, question, start_index AS start,
 def bm25(prefix, qtable):
     """Index + BM25 top-k for question table ``qtable(id, question)``."""
     return f"""
-{prefix}DT AS (SELECT docid, {terms('passage')} AS terms FROM P),
+{prefix}DT AS (SELECT docid, {terms('raw')} AS terms FROM P),
 {prefix}POST AS (SELECT term, docid, count(*) AS tf, any_value(dl) AS dl
                  FROM (SELECT docid, len(terms) AS dl, unnest(terms) AS term FROM {prefix}DT) GROUP BY term, docid),
 {prefix}TS AS (SELECT term, count(*) AS df FROM {prefix}POST GROUP BY term),
 {prefix}DS AS (SELECT docid, CAST(len(terms) AS BIGINT) AS dl FROM {prefix}DT),
 {prefix}CS AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl FROM {prefix}DS),
-{prefix}QT AS (SELECT id, term, count(*) AS qtf FROM (SELECT id, unnest({terms('question')}) AS term FROM {qtable})
+{prefix}QT AS (SELECT id, term, count(*) AS qtf FROM (SELECT id, unnest({terms('raw')}) AS term FROM {qtable})
                GROUP BY id, term),
 {prefix}SC AS (
   SELECT q.id, p.docid,
@@ -336,6 +334,55 @@ EPRED AS (
   FROM EW w LEFT JOIN ES s USING (example_id) JOIN EX x USING (example_id))
 """
 
+ENCODED = f"""
+        ENC0 AS (
+          SELECT f.*, list_transform({toks('f.question')}[1:{MAX_Q}], lambda t: coalesce(v.m[t], 1)) AS qids,
+                 list_transform({toks('p.passage')}[f.doc_start + 1:f.doc_end + 1],
+                                lambda t: coalesce(v.m[t], 1)) AS cids
+          FROM TF f JOIN P p USING (docid), VMAP v),
+        ENC AS (
+          SELECT *, list_concat([2], qids, [3], cids, [3]) AS ids0,
+                 list_concat(list_transform(range(question_len + 2), lambda i: 0),
+                             list_transform(range(len(cids) + 1), lambda i: 1)) AS seg0
+          FROM ENC0)"""
+
+# The dev features scored once more with start and end logits swapped.
+SWAPPED = f"""
+EL2 AS (SELECT * REPLACE (el AS sl, sl AS el) FROM EL),
+{cands('EC2', 'EL2')},
+{best_chunk('EB2', 'EC2')},
+{winners('EW2', 'EB2', ['chunk_idx'])},
+{span_text('ES2', 'EW2')},
+EPRED2 AS (
+  SELECT w.example_id, coalesce(s.answer, '疫情') AS prediction,
+         substring(x.passage, x.start + 1, x."end" - x.start + 1) AS label
+  FROM EW2 w LEFT JOIN ES2 s USING (example_id) JOIN EX x USING (example_id))
+"""
+
+
+def rouge(name, src):
+    """ROUGE-L F of ``src(example_id, prediction, label)``. The longest common
+    subsequence grows by label character: ``t[v]`` is the first place in the
+    prediction by which a common subsequence of length v ends."""
+    return f"""
+{name}0 AS (
+  SELECT example_id, string_split(p, '') AS p, string_split(r, '') AS r, length(p) AS np, length(r) AS nr
+  FROM (SELECT example_id, regexp_replace(coalesce(prediction, ''), '\\s', '', 'g') AS p,
+               regexp_replace(coalesce(label, ''), '\\s', '', 'g') AS r FROM {src})),
+{name}1 AS (
+  SELECT *, CASE WHEN np = 0 OR nr = 0 THEN 0 ELSE len(list_reduce(
+    list_concat([[]::BIGINT[]], list_transform(r, lambda c: list_filter(list_transform(range(1, np + 1),
+      lambda i: CASE WHEN p[i] = c THEN i END), lambda i: i IS NOT NULL))),
+    lambda t, m: list_filter(list_transform(range(1, len(t) + 2), lambda v: list_min(list_concat(
+      CASE WHEN v <= len(t) THEN [t[v]] ELSE []::BIGINT[] END,
+      list_filter(m, lambda i: i > coalesce(t[v - 1], 0))))), lambda x: x IS NOT NULL))) END AS lcs
+  FROM {name}0),
+{name} AS (
+  SELECT example_id, CASE WHEN lcs = 0 THEN 0.0 ELSE 2 * (lcs / np) * (lcs / nr) / (lcs / np + lcs / nr) END AS f
+  FROM {name}1)
+"""
+
+
 EVENTS = """
 EL AS (SELECT event_type AS run, CASE WHEN event_id % 2 = 0 THEN 'dev.csv' ELSE 'train.csv' END AS file,
               event_id AS global_step, value AS loss, value / 500.0 AS eval_accuracy FROM events)
@@ -351,6 +398,17 @@ def lse(x):
             f"lambda a, b: a + b)))")
 
 
+def loss(src):
+    return f"""
+        SELECT sl_ AS start_loss, el_ AS end_loss, cl_ AS class_loss, sl_ + el_ + 2.0 * cl_ AS loss
+        FROM (SELECT avg(CASE WHEN bert_start_position >= 0
+                              THEN {lse('sl')} - CAST(sl[bert_start_position + 1] AS DOUBLE) END) AS sl_,
+                     avg(CASE WHEN bert_end_position >= 0
+                              THEN {lse('el')} - CAST(el[bert_end_position + 1] AS DOUBLE) END) AS el_,
+                     avg({lse('cl')} - CAST(cl[class_label + 1] AS DOUBLE)) AS cl_
+              FROM {src})"""
+
+
 def _md5_join(x):
     return f"md5(array_to_string({x}, ' '))"
 
@@ -371,7 +429,7 @@ ORACLE: dict[str, str] = {
     "retrieve_pairs": q(BASE, bm25('', 'TQ'), body=(
         "SELECT h.id, h.docid, h.rank, q.question, CAST(length(p.passage) AS BIGINT) AS passage_len "
         "FROM HITS h JOIN TQ q USING (id) JOIN P p USING (docid)")),
-    "recall_at_k": q(BASE, "XQ AS (SELECT example_id AS id, question FROM EX)", bm25('', 'XQ'), body=f"""
+    "recall_at_k": q(BASE, "XQ AS (SELECT id, question AS raw FROM TRAW WHERE id IN (SELECT example_id FROM EX))", bm25('', 'XQ'), body=f"""
         SELECT CAST({K} AS BIGINT) AS k, count(*) AS n_questions, CAST(sum(hit) AS BIGINT) AS n_hits,
                round(avg(hit), 6) AS recall
         FROM (SELECT e.example_id,
@@ -391,8 +449,9 @@ ORACLE: dict[str, str] = {
                     WHEN answer IS NULL OR length(answer) = 0 THEN 'empty_answer'
                     ELSE 'answer_not_in_passage' END AS reason
         FROM LOC WHERE start_index < 0"""),
-    "qa_examples": q(BASE, body=(
-        'SELECT example_id, docid, question, start, "end", CAST(length(passage) AS BIGINT) AS passage_len FROM EX')),
+    "qa_examples": q(BASE, TRAIN_FEATS, body=(
+        'SELECT example_id, docid, question, start, "end", token_start, token_end, '
+        'substring(passage, start + 1, "end" - start + 1) AS gold, CAST(length(passage) AS BIGINT) AS passage_len FROM EXQ')),
     "missing_docids": q(BASE, body="SELECT id, docid FROM TRAW WHERE docid NOT IN (SELECT docid FROM P)"),
     "char_tokens": q(BASE, body=(
         f"SELECT docid, CAST({ntok('passage')} AS BIGINT) AS n_tokens, "
@@ -402,13 +461,14 @@ ORACLE: dict[str, str] = {
         f"CAST({ntok('question')} AS BIGINT) AS n_tokens_full, "
         f"array_to_string({toks('question')}[1:{MAX_Q}], ' ') AS tokens FROM TQ")),
     "offset_map": q(BASE, body=f"""
-        SELECT docid, CAST(pos - 1 AS BIGINT) AS char_idx, is_token,
-               CAST(coalesce(sum(CASE WHEN is_token THEN 1 ELSE 0 END) OVER (
-                   PARTITION BY docid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
-                 AS token_idx
-        FROM (SELECT docid, pos, NOT regexp_matches(ch, '^{ZERO}$') AS is_token FROM (
-                SELECT docid, unnest(string_split(passage, '')) AS ch,
-                       generate_subscripts(string_split(passage, ''), 1) AS pos FROM P) WHERE ch <> '')"""),
+        SELECT docid, CAST(length(passage) AS BIGINT) AS n_chars,
+               md5(coalesce(string_agg(CAST(before AS VARCHAR), ',' ORDER BY pos), '')) AS map_md5
+        FROM (SELECT docid, passage, pos, coalesce(sum(CASE WHEN is_token THEN 1 ELSE 0 END) OVER (
+                       PARTITION BY docid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+              FROM (SELECT docid, passage, pos, NOT regexp_matches(ch, '^{ZERO}$') AS is_token FROM (
+                      SELECT docid, passage, unnest(string_split(passage, '')) AS ch,
+                             generate_subscripts(string_split(passage, ''), 1) AS pos FROM P)))
+        GROUP BY docid, passage"""),
     "token_to_char": q(BASE, body=(
         f"SELECT docid, CAST(len({t2o_list('passage')}) AS BIGINT) AS n_tokens, "
         f"md5(array_to_string({t2o_list('passage')}, ',')) AS map_md5 FROM P")),
@@ -440,17 +500,7 @@ ORACLE: dict[str, str] = {
         "SELECT example_id, docid, chunk_idx, doc_start, doc_end, doc_length, question_len, token_start, token_end, "
         "bert_start_position, bert_end_position, bert_answer_span, label FROM TRFL")),
     "class_labels": q(BASE, TRAIN_FEATS, body="SELECT example_id, chunk_idx, label, class_label FROM TRFL"),
-    "encode_inputs": q(BASE, VOCAB, TEST_FEATS, f"""
-        ENC0 AS (
-          SELECT f.*, list_transform({toks('f.question')}[1:{MAX_Q}], lambda t: coalesce(v.m[t], 1)) AS qids,
-                 list_transform({toks('p.passage')}[f.doc_start + 1:f.doc_end + 1],
-                                lambda t: coalesce(v.m[t], 1)) AS cids
-          FROM TF f JOIN P p USING (docid), VMAP v),
-        ENC AS (
-          SELECT *, list_concat([2], qids, [3], cids, [3]) AS ids0,
-                 list_concat(list_transform(range(question_len + 2), lambda i: 0),
-                             list_transform(range(len(cids) + 1), lambda i: 1)) AS seg0
-          FROM ENC0)""", body=f"""
+    "encode_inputs": q(BASE, VOCAB, TEST_FEATS, ENCODED, body=f"""
         SELECT example_id AS id, docid, rank, chunk_idx, bert_doc_end, CAST(len(ids0) AS BIGINT) AS n_used,
                CAST({MAX_SEQ} AS BIGINT) AS seq_len,
                {_md5_join(f"list_concat(ids0, list_transform(range({MAX_SEQ} - len(ids0)), lambda i: 0))")} AS ids_md5,
@@ -487,13 +537,13 @@ ORACLE: dict[str, str] = {
                            chunk_idx)), example_id, docid, chunk_idx) - 1 AS BIGINT) AS order_rank FROM SEL)""",
                          body=f"SELECT *, CAST(floor(order_rank / {BATCH}) AS BIGINT) AS batch_id FROM SB"),
     "step_batches": q(BASE, TRAIN_FEATS, SAMPLE, f"""
-        SB AS (SELECT CAST(floor((row_number() OVER (ORDER BY md5(concat_ws('_', '{SEED}', 'order', example_id,
+        SB AS (SELECT example_id, docid, chunk_idx,
+                      CAST(floor((row_number() OVER (ORDER BY md5(concat_ws('_', '{SEED}', 'order', example_id,
                       docid, chunk_idx)), example_id, docid, chunk_idx) - 1) / {BATCH}) AS BIGINT) AS batch_id
-               FROM SEL),
-        BS AS (SELECT batch_id, count(*) AS batch_rows FROM SB GROUP BY batch_id)""", body=f"""
-        SELECT s.step, CAST(s.step % (SELECT count(*) FROM BS) AS BIGINT) AS batch_id, b.batch_rows
+               FROM SEL)""", body=f"""
+        SELECT s.step, b.batch_id, b.example_id, b.docid, b.chunk_idx
         FROM (SELECT range AS step FROM range({TRAIN_STEPS})) s
-        JOIN BS b ON b.batch_id = s.step % (SELECT count(*) FROM BS)"""),
+        JOIN SB b ON b.batch_id = s.step % (SELECT max(batch_id) + 1 FROM SB)"""),
     "feature_order": q(BASE, TEST_FEATS, body="""
         SELECT example_id AS id, docid, rank, chunk_idx,
                CAST(row_number() OVER (PARTITION BY example_id ORDER BY rank, chunk_idx) - 1 AS BIGINT) AS feature_ord
@@ -526,7 +576,7 @@ ORACLE: dict[str, str] = {
     "span_text": q(BASE, TEST_DECODE, body="SELECT example_id AS id, docid, char_start, char_end, answer FROM TSPAN"),
     "predict_test": q(BASE, TEST_DECODE, body="SELECT id, docid, answer FROM PRED"),
     "predictions_tsv_roundtrip": q(BASE, TEST_DECODE, body=(
-        "SELECT id, docid, CASE WHEN answer = '' THEN NULL ELSE answer END AS answer FROM PRED")),
+        "SELECT id, docid, answer FROM PRED")),
     "predict_eval": q(BASE, EVAL_DECODE, body="SELECT example_id, prediction, label FROM EPRED"),
     "prediction_counts": q(BASE, TEST_DECODE, body="""
         SELECT count(*) AS n_examples, count(*) FILTER (WHERE best IS NOT NULL) AS n_known,
@@ -542,27 +592,54 @@ ORACLE: dict[str, str] = {
     "qa_loss": q(BASE, TRAIN_FEATS, SPLIT,
                  "DEVF AS (SELECT f.* FROM TRFL f JOIN SPL s USING (example_id) WHERE s.split = 'dev')",
                  logits('DEVF', 'EL', class_join=True), body=f"""
-        SELECT round(sl_, 6) AS start_loss, round(el_, 6) AS end_loss, round(cl_, 6) AS class_loss,
-               round(sl_ + el_ + 2.0 * cl_, 6) AS loss
-        FROM (SELECT avg(CASE WHEN bert_start_position >= 0
-                              THEN {lse('sl')} - CAST(sl[bert_start_position + 1] AS DOUBLE) END) AS sl_,
-                     avg(CASE WHEN bert_end_position >= 0
-                              THEN {lse('el')} - CAST(el[bert_end_position + 1] AS DOUBLE) END) AS el_,
-                     avg({lse('cl')} - CAST(cl[class_label + 1] AS DOUBLE)) AS cl_
-              FROM EL)"""),
+        SELECT round(start_loss, 6) AS start_loss, round(end_loss, 6) AS end_loss, round(class_loss, 6) AS class_loss,
+               round(loss, 6) AS loss FROM ({loss('EL')})"""),
     "running_loss": q("LL AS (SELECT event_id AS step, value AS loss FROM events)", body="""
         SELECT step, loss,
                CAST(round(CAST(CAST(list_reduce(w, lambda a, b: a + b) / len(w) AS VARCHAR) AS DECIMAL(38, 18)), 4)
-                    AS DOUBLE) AS running_loss
+                    AS DOUBLE) AS running_loss,
+               CAST(round(CAST(CAST(list_reduce(w4, lambda a, b: a + b) / len(w4) AS VARCHAR) AS DECIMAL(38, 18)), 4)
+                    AS DOUBLE) AS running_loss_4
         FROM (SELECT step, loss, list(loss) OVER (PARTITION BY floor(step / 50) ORDER BY step
-                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w FROM LL)"""),
+                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w,
+                     list(loss) OVER (PARTITION BY floor(step / 200) ORDER BY step
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w4 FROM LL)"""),
     "eval_log": q(EVENTS, body="SELECT run, file, global_step, loss, eval_accuracy FROM EL"),
     "best_eval_run": q(EVENTS, body="""
         SELECT run, global_step, eval_accuracy, loss FROM (
           SELECT *, row_number() OVER (PARTITION BY run ORDER BY eval_accuracy DESC, global_step ASC) AS rn
           FROM EL WHERE file = 'dev.csv' AND eval_accuracy > 0) WHERE rn = 1"""),
-    "csv_roundtrip": q(BASE, body="SELECT docid, CASE WHEN passage = '' THEN NULL ELSE passage END AS passage FROM P"),
-    "tsv_roundtrip": q(BASE, body="""
-        SELECT id, docid, CASE WHEN question = '' THEN NULL ELSE question END AS question,
-               CASE WHEN answer = '' THEN NULL ELSE answer END AS answer FROM TRAW"""),
+    "csv_roundtrip": q(BASE, body="SELECT docid, passage FROM P"),
+    "tsv_roundtrip": q(BASE, body="SELECT id, docid, question, answer FROM TRAW"),
+    "train_clean_roundtrip": q(BASE, body=(
+        "SELECT id, docid, question, answer, start_index, end_index FROM LOC WHERE start_index >= 0")),
+    "test_file_roundtrip": q(BASE, body="SELECT id, question FROM TQ"),
+    "dedup_passages": "SELECT doc_id AS docid, text AS passage FROM documents",
+    "index_roundtrip": q(BASE, bm25('', 'TQ'), body=(
+        "SELECT p.term, p.docid, p.tf, p.dl, t.df, d.dl AS doc_dl FROM POST p JOIN TS t USING (term) JOIN DS d USING (docid)")),
+    "bm25_topk_stored": q(BASE, bm25('', 'TQ'), body="SELECT id, docid, rank, score FROM HITS"),
+    "train_features": q(BASE, TRAIN_FEATS, body="""
+        SELECT example_id, doc_start, question_len, docid, chunk_idx, doc_end, doc_length, bert_start_position,
+               bert_end_position, bert_answer_span, label, token_start, token_end FROM TRFL"""),
+    "test_features": q(BASE, TEST_FEATS, body=(
+        "SELECT example_id, doc_start, question_len, docid, chunk_idx, bert_doc_end, rank FROM TF")),
+    "score_model": q(BASE, VOCAB, TEST_FEATS, ENCODED, body="""
+        SELECT example_id AS id, docid, chunk_idx,
+               round(list_sum(list_transform(ids0, lambda x, i: CAST(CAST((x * 31 + (i - 1) * 17) % 1000 / 100.0 - 5.0 AS FLOAT) AS DOUBLE))), 2)
+                 AS start_sum,
+               round(list_sum(list_transform(ids0, lambda x, i: CAST(CAST((x * 57 + (i - 1) * 29 + seg0[i]) % 1000 / 100.0 - 5.0 AS FLOAT) AS DOUBLE))), 2)
+                 AS end_sum,
+               CAST(len(ids0) % 7 AS DOUBLE) AS class0, CAST(list_sum(ids0) % 11 AS DOUBLE) AS class1
+        FROM ENC"""),
+    "rouge_l": q(BASE, EVAL_DECODE, rouge('RG', 'EPRED'), body="SELECT example_id, round(f, 6) AS rouge_l_f FROM RG"),
+    "rouge_l_mean": q(BASE, EVAL_DECODE, rouge('RG', 'EPRED'), body="SELECT count(*) AS n, round(avg(f), 6) AS rouge_l_mean FROM RG"),
+    "eval_chain": q(BASE, EVAL_DECODE, SWAPPED, rouge('RG', 'EPRED'), rouge('RG2', 'EPRED2'), f"""
+        LOG AS (SELECT 50 AS global_step, (SELECT loss FROM ({loss('EL')})) AS loss, (SELECT avg(f) FROM RG) AS acc
+                UNION ALL SELECT 100, (SELECT loss FROM ({loss('EL2')})), (SELECT avg(f) FROM RG2))""", body="""
+        SELECT 'run' AS run, 'dev.csv' AS file, CAST(global_step AS BIGINT) AS global_step, round(loss, 6) AS loss,
+               round(acc, 6) AS eval_accuracy FROM LOG"""),
+    "best_eval_predictions": q(BASE, EVAL_DECODE, SWAPPED, rouge('RG', 'EPRED'), rouge('RG2', 'EPRED2'), body="""
+        SELECT 'run' AS run, example_id, prediction, label
+        FROM (SELECT *, 50 AS step FROM EPRED UNION ALL SELECT *, 100 FROM EPRED2)
+        WHERE step = (SELECT CASE WHEN (SELECT avg(f) FROM RG2) > (SELECT avg(f) FROM RG) THEN 100 ELSE 50 END)"""),
 }

@@ -13,12 +13,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.operators import clean, decode, encode, retrieval, sample, score
+from corpusqa.operators import clean, decode, encode, metrics, retrieval, sample
 from corpusqa.session import materialize
+from corpusqa.sources import csv_io
 
 
 @dataclass
 class Prepared:
+    raw_passages: DataFrame   # one row per docid, blanks kept: what is indexed
     passages: DataFrame
     located: DataFrame
     answerable: DataFrame
@@ -28,13 +30,20 @@ class Prepared:
 
 def prepare(passages_raw: DataFrame, train_raw: DataFrame) -> Prepared:
     """Preprocess: clean passages and train rows, locate answers, split off
-    rejected rows, build examples (char positions, inclusive end)."""
-    p = clean.clean_passages(passages_raw)
+    rejected rows, build examples (char positions, inclusive end).
+
+    A docid that occurs more than once stands for its first row: by the column
+    ``ordinal`` if there is one, else in the order in which the rows are read.
+    """
+    if "ordinal" not in passages_raw.columns:
+        passages_raw = passages_raw.withColumn("ordinal", F.monotonically_increasing_id())
+    raw = clean.first_passage_per_docid(passages_raw)
+    p = clean.clean_passages(raw)
     t = clean.clean_questions(train_raw, ("question", "answer"))
     loc = clean.locate_answers(t, p)
     ok = clean.answerable(loc)
     ex = clean.qa_examples(ok).withColumnRenamed("guid", "example_id")
-    return Prepared(p, loc, ok, clean.rejected(loc), ex)
+    return Prepared(raw, p, loc, ok, clean.rejected(loc), ex)
 
 
 def training_features(examples: DataFrame, passages: DataFrame, mode: str = encode.TRAIN,
@@ -44,9 +53,10 @@ def training_features(examples: DataFrame, passages: DataFrame, mode: str = enco
 
 
 def retrieve(index: retrieval.Index, questions: DataFrame, k: int = retrieval.DEFAULT_K) -> DataFrame:
-    """Top-k hits joined back to their questions: (id, docid, rank, score, question)."""
+    """Top-k hits of raw questions, joined back to their cleaned text:
+    (id, docid, rank, score, question)."""
     hits = retrieval.bm25_topk(index, questions, k)
-    return hits.join(questions.select("id", "question"), "id")
+    return hits.join(clean.clean_questions(questions.select("id", "question")), "id")
 
 
 def test_features(hits: DataFrame, passages: DataFrame, vocab: DataFrame | None = None, **kw) -> DataFrame:
@@ -60,10 +70,11 @@ def decode_features(scored: DataFrame, order_cols=("rank", "chunk_idx")) -> Data
     return decode.best_span_per_question(decode.best_span_per_chunk(scored), order_cols)
 
 
-def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, scorer=None,
+def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, scorer,
             k: int = retrieval.DEFAULT_K, keep_unmatched: bool = False, **kw) -> DataFrame:
-    """Search and predict: (id, docid, answer). ``scorer(features)`` adds
-    logits; the default is the deterministic pseudo-logit stand-in.
+    """Search and predict: (id, docid, answer). The index is over raw passages,
+    ``questions`` are raw, ``passages`` cleaned. ``scorer(features)`` adds logits,
+    e.g. ``lambda f: score.score_features(encode.encode_inputs(f), load_model)``.
 
     A question without any retrieved document produces no row, as in the
     reference (Q8); with ``keep_unmatched`` it gets the fallback answer and a
@@ -71,8 +82,7 @@ def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, s
     """
     hits = materialize(retrieve(index, questions, k), "hits")   # small, read by several branches
     feats = test_features(hits, passages, **kw)
-    scored = (scorer or score.pseudo_logits)(feats)
-    winners = materialize(decode_features(scored), "winners")      # one row per question
+    winners = materialize(decode_features(scorer(feats)), "winners")      # one row per question
     out = decode.predict_test(winners, decode.winner_passages(winners, passages))
     if keep_unmatched:
         missing = questions.select("id").join(out.select("id"), "id", "left_anti")
@@ -83,12 +93,39 @@ def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, s
     return out
 
 
-def evaluate(examples: DataFrame, passages: DataFrame, scorer=None, **kw) -> DataFrame:
+def evaluate(examples: DataFrame, passages: DataFrame, scorer, **kw) -> DataFrame:
     """Eval predictions (example_id, prediction, label) for labelled examples."""
-    feats = training_features(examples, passages, mode=encode.EVAL, **kw)
-    scored = (scorer or score.pseudo_logits)(feats)
+    return _evaluated(examples, passages, scorer, **kw)[0]
+
+
+def _evaluated(examples: DataFrame, passages: DataFrame, scorer, **kw) -> tuple[DataFrame, DataFrame]:
+    """The predictions and the scored features that they come from."""
+    scored = scorer(training_features(examples, passages, mode=encode.EVAL, **kw))
     winners = materialize(decode_features(scored, ("chunk_idx",)), "eval_winners")
-    return decode.predict_eval(winners, examples, decode.winner_passages(winners, passages))
+    return decode.predict_eval(winners, examples, decode.winner_passages(winners, passages)), scored
+
+
+def evaluate_run(run: str, global_step: int, examples: DataFrame, passages: DataFrame, scorer, log_path: str,
+                 file: str = metrics.DEV_FILE, **kw) -> DataFrame:
+    """One evaluation: predictions with their run and step, and a row of the log
+    at ``log_path`` with the mean ROUGE-L and the loss (S8). ``file`` names the
+    examples' file; best runs are chosen by the dev file's rows (A7)."""
+    predictions, scored = _evaluated(examples, passages, scorer, **kw)
+    predictions = materialize(predictions, "eval_predictions")
+    spark = examples.sparkSession
+    row = spark.range(1).select(
+        F.lit(run).alias("run"), F.lit(file).alias("file"), F.lit(global_step).cast("long").alias("global_step"),
+        metrics.qa_loss(scored).select("loss").scalar().alias("loss"),
+        metrics.rouge_l_mean(predictions).select("rouge_l_mean").scalar().alias("eval_accuracy"),
+    )
+    csv_io.append_eval_log(row, log_path)
+    return predictions.select(F.lit(run).alias("run"), F.lit(global_step).cast("long").alias("global_step"), "*")
+
+
+def best_predictions(predictions: DataFrame, log_path: str, path: str) -> None:
+    """Of all evaluations' predictions, those of each run's best one."""
+    log = predictions.sparkSession.read.parquet(log_path)
+    csv_io.write_best_eval_predictions(predictions, metrics.best_eval_run(log), path)
 
 
 def training_set(examples: DataFrame, passages: DataFrame, vocab: DataFrame, batch_size: int = 64,

@@ -10,11 +10,5 @@ TRAIN_CLEAN = T.StructType(
     TRAIN_RAW.fields + [T.StructField("start_index", T.IntegerType()), T.StructField("end_index", T.IntegerType())]
 )
 TEST = T.StructType([T.StructField("id", S), T.StructField("question", S)])
-VOCAB = T.StructType([T.StructField("token", S), T.StructField("token_id", T.IntegerType())])
-LOSS_LOG = T.StructType([T.StructField("step", T.LongType()), T.StructField("loss", T.DoubleType())])
-EVAL_LOG = T.StructType([
-    T.StructField("run", S), T.StructField("file", S), T.StructField("global_step", T.LongType()),
-    T.StructField("loss", T.DoubleType()), T.StructField("eval_accuracy", T.DoubleType()),
-])
 PREDICTIONS_TEST = T.StructType([T.StructField("id", S), T.StructField("docid", S), T.StructField("answer", S)])
 PREDICTIONS_EVAL = T.StructType([T.StructField(c, S) for c in ("example_id", "prediction", "label")])

@@ -2,7 +2,8 @@
 
 Options are chosen so that a write followed by a read gives the same values:
 RFC-4180 quoting with doubled quotes, multi-line values, no whitespace
-trimming on write, and ``NA`` kept as text (only the empty value is null).
+trimming on write, ``NA`` kept as text. Null is written as a marker with a
+control character, so that the empty string stays what it is.
 """
 
 from __future__ import annotations
@@ -10,9 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from corpusqa.schemas import PREDICTIONS_EVAL, S, T
+
+BEST_PREDICTIONS = T.StructType([T.StructField("run", S), *PREDICTIONS_EVAL.fields])
+NULL = "\x01null"
+
 READ_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
+    "nullValue": NULL,
+    "emptyValue": "",
     "quote": '"',
     "escape": '"',
     "mode": "FAILFAST",
@@ -21,6 +28,8 @@ READ_OPTIONS = {
 }
 WRITE_OPTIONS = {
     "header": "true",
+    "nullValue": NULL,
+    "emptyValue": '""',
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
@@ -28,9 +37,11 @@ WRITE_OPTIONS = {
 }
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType, sep: str = ",") -> DataFrame:
-    """S1 (comma) / S2 (tab): scan a headed CSV with a declared schema."""
-    return spark.read.options(**READ_OPTIONS).option("sep", sep).schema(schema).csv(path)
+def read_table(spark: SparkSession, path: str, schema: StructType, sep: str = ",", multi_line: bool = True) -> DataFrame:
+    """S1 (comma) / S2 (tab): scan a headed CSV with a declared schema. Without
+    ``multi_line``, for files whose values hold no line break, a large file is
+    split among tasks."""
+    return spark.read.options(**READ_OPTIONS).option("multiLine", multi_line).option("sep", sep).schema(schema).csv(path)
 
 
 def write_table(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", single_file: bool = False) -> None:

@@ -12,10 +12,8 @@ from pyspark.sql import functions as F
 from corpusqa.session import spread
 
 # Fixed values of the fixture rules.
-TRAIN_MIN_CHARS = 60
-TRAIN_QUESTION_CHARS = 40
-TRAIN_ANSWER_CHARS = 20
 TRAIN_ANSWER_MULT = 37
+SENTENCE = r"[^.]*\.|[^.]+"
 UNFINDABLE_EVERY = 50
 UNFINDABLE_SUFFIX = "@@"
 CONVERSATION_ID_MULT = 1000
@@ -33,8 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """passages(docid, passage) from ``documents``."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("docid"), F.col("text").alias("passage"))
+    """passages(ordinal, docid, passage) from ``documents``, in the table's order."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("ordinal", F.monotonically_increasing_id())
+    return spread(d.select("ordinal", F.col("doc_id").alias("docid"), F.col("text").alias("passage")))
 
 
 def test_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,19 +50,16 @@ def conversation_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """train_raw(id, docid, question, answer): one row per document with at
-    least 60 characters; the answer is a 20-character slice at a position
-    derived from the id, and every 50th id gets a suffix that makes it
-    unfindable."""
-    d = table(spark, sf_dir, "documents").filter(F.col("n_chars") >= TRAIN_MIN_CHARS)
-    pos = F.lit(1) + (F.col("doc_id") * TRAIN_ANSWER_MULT) % (F.col("n_chars") - F.lit(TRAIN_ANSWER_CHARS))
-    ans = F.substring(F.col("text"), pos.cast("int"), F.lit(TRAIN_ANSWER_CHARS))
+    """train_raw(id, docid, question, answer): one row per document. The question
+    is its first sentence, the answer the sentence at a place derived from the id;
+    every 50th id gets a suffix that makes the answer unfindable. A text without
+    sentences has neither."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract_all("text", F.lit(SENTENCE), 0).alias("s"))
+    d = d.withColumn("s", F.when(F.size("s") > 0, F.col("s")))
+    ans = F.get("s", ((F.col("doc_id") * TRAIN_ANSWER_MULT) % F.size("s")).cast("int"))
     ans = F.when((F.col("doc_id") % UNFINDABLE_EVERY) == 0, F.concat(ans, F.lit(UNFINDABLE_SUFFIX))).otherwise(ans)
     return d.select(
-        F.col("doc_id").alias("id"),
-        F.col("doc_id").alias("docid"),
-        F.substring(F.col("text"), F.lit(1), F.lit(TRAIN_QUESTION_CHARS)).alias("question"),
-        ans.alias("answer"),
+        F.col("doc_id").alias("id"), F.col("doc_id").alias("docid"), F.get("s", F.lit(0)).alias("question"), ans.alias("answer")
     )
 
 

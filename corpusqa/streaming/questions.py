@@ -17,7 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.operators import clean, decode, retrieval, score
+from corpusqa.operators import clean, retrieval
 from corpusqa.operators.chunk import explode_chunks, pack_chunks
 from corpusqa.plans import pipeline
 from corpusqa.schemas import PASSAGES, TEST
@@ -31,23 +31,19 @@ def question_stream(spark: SparkSession, path: str, schema=TEST, fmt: str = "par
     return reader.load(path)
 
 
-def answer_batch(batch: DataFrame, index: retrieval.Index, passages: DataFrame, k: int = retrieval.DEFAULT_K,
-                 delimiter: str = "。", scorer=None) -> DataFrame:
+def answer_batch(batch: DataFrame, index: retrieval.Index, passages: DataFrame, scorer, k: int = retrieval.DEFAULT_K,
+                 delimiter: str = "。") -> DataFrame:
     """Answers for one batch of raw questions (id, question)."""
-    q = clean.clean_questions(batch)
-    hits = retrieval.bm25_topk(index, q, k).join(q, "id")
-    feats = pipeline.test_features(hits, passages, delimiter=delimiter)
-    scored = (scorer or score.pseudo_logits)(feats)
-    return decode.predict_test(pipeline.decode_features(scored), passages)
+    return pipeline.predict(index, batch, passages, scorer, k, delimiter=delimiter)
 
 
 def stream_predictions(questions: DataFrame, index: retrieval.Index, passages: DataFrame, out_path: str,
-                       checkpoint: str, k: int = retrieval.DEFAULT_K, delimiter: str = "。", scorer=None,
+                       checkpoint: str, scorer, k: int = retrieval.DEFAULT_K, delimiter: str = "。",
                        trigger: dict | None = None):
     """Start the streaming query; returns the ``StreamingQuery``."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        out = answer_batch(batch, index, passages, k, delimiter, scorer)
+        out = answer_batch(batch, index, passages, scorer, k, delimiter)
         out.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
 
     w = questions.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)

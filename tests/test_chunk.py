@@ -1,6 +1,8 @@
 """Packing, windows and sentence split (C1-C5): FIXTURES goldens and
 property tests against a plain restatement of the rule."""
 
+from itertools import accumulate
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,24 +20,21 @@ GOLDEN = [
 
 
 def restated(lens, cap, ov):
-    """Plain Python restatement of the greedy rule (independent of Spark)."""
-    out, pos, st_, cur = [], 0, 0, 0
-    for x in lens:
-        if x > cap:
-            if cur:
-                out.append((st_, st_ + cur - 1, False))
-            for o in range(0, x, cap - ov):
-                out.append((pos + o, pos + min(o + cap - 1, x - 1), True))
-            cur = 0
-        elif cur and cur + x <= cap:
-            cur += x
-        else:
-            if cur:
-                out.append((st_, st_ + cur - 1, False))
-            st_, cur = pos, x
-        pos += x
-    if cur:
-        out.append((st_, st_ + cur - 1, False))
+    """The chunks found without carrying a state: sentences that follow one another
+    and fit are grouped from each group's first on; windows are cut by place."""
+    starts = [sum(lens[:i]) for i in range(len(lens))] if len(lens) < 1000 else list(accumulate([0, *lens[:-1]]))
+    out, i = [], 0
+    while i < len(lens):
+        if lens[i] > cap:
+            begin, end = starts[i], starts[i] + lens[i]
+            out += [(a, min(a + cap, end) - 1, True) for a in range(begin, end, cap - ov)]
+            i += 1
+            continue
+        j = i + 1
+        while j < len(lens) and lens[j] <= cap and starts[j] + lens[j] - starts[i] <= cap:
+            j += 1
+        out.append((starts[i], starts[j - 1] + lens[j - 1] - 1, False))
+        i = j
     return out
 
 
@@ -96,20 +95,9 @@ def test_capacity_must_exceed_overlap(spark):
         pack_chunks(df, "capacity", overlap=100).collect()
 
 
-def test_linear_path_equals_aggregate_path(spark, monkeypatch):
-    import corpusqa.operators.chunk as ch
-    from corpusqa.operators.chunk import pack_lengths
-
-    for lens, cap, ov, expected in GOLDEN:
-        assert [(a, b) for a, b, _ in pack_lengths(lens, cap, ov)] == expected
-    texts = ["一二三。四五六七。八九十一二三四五六七八九十一二。甲乙丙。", "。。ab。", "没有句号的长句子" * 5, ""]
-    df = spark.createDataFrame([(i, t, 12) for i, t in enumerate(texts)], "docid long, passage string, capacity int")
-
-    def rows(flag):
-        p = pack_chunks(df, "capacity", overlap=3, large_text_path=flag)
-        return sorted(tuple(r) for r in explode_chunks(p.drop("passage"), keep=["docid"]).collect())
-
-    monkeypatch.setattr(ch, "LARGE_TEXT_CHARS", 0)      # every text takes the linear path
-    linear = rows(True)
-    monkeypatch.setattr(ch, "LARGE_TEXT_CHARS", 10 ** 9)
-    assert linear == rows(False) and len(linear) > 0
+def test_one_very_long_text(spark):
+    """Five million characters in one document, with sentences of all lengths."""
+    text = "一二三。" * 1_000_000 + "长" * 1_000_000 + "。末"
+    df = spark.createDataFrame([(1, text, 413)], "docid long, passage string, capacity int")
+    rows = explode_chunks(pack_chunks(df, "capacity").drop("passage"), keep=["docid"]).orderBy("chunk_idx").collect()
+    assert [(r.doc_start, r.doc_end, r.is_window) for r in rows] == restated([4] * 1_000_000 + [1_000_001, 1], 413, 100)

@@ -70,3 +70,17 @@ def test_best_per_question_earliest_wins_ties(spark):
     w = best_span_per_question(a.unionByName(b).unionByName(c)).first()
     assert w.best.docid == 5 and w.best.chunk_idx == 0
     assert w.last_docid == 11          # last feature: rank 2
+
+
+def test_nan_never_wins(spark):
+    nan = float("nan")
+    rows = [(1, 5, 1, 0, 0, 2, 8, [1.0, 0, 0, 0, nan, 2.0, 0, 0, 9.0, 0], [0.5, 0, 0, 0, 0, 3.0, nan, 1.0, 9.0, 0])]
+    df = spark.createDataFrame(
+        [(*r[:7], [float(x) for x in r[7]], [float(x) for x in r[8]]) for r in rows],
+        "example_id long, docid long, rank long, chunk_idx int, doc_start int, question_len int, "
+        "bert_doc_end int, start_logits array<float>, end_logits array<float>",
+    )
+    r = best_span_per_chunk(df).first()
+    assert r.best_score == r.best_score and (r.best_start, r.best_end) == (5, 7)
+    nans = df.selectExpr("* except (start_logits)", f"transform(start_logits, x -> float('nan')) AS start_logits")
+    assert best_span_per_question(best_span_per_chunk(nans)).first().best is None

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from corpusqa.plans.driver_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -17,8 +18,8 @@ def _plan(df) -> str:
 
 def test_no_cross_products_in_registered_queries(spark):
     bad = {}
-    for name, fn in entry.queries().items():
-        plan = _plan(fn(spark, SF))
+    for name in QUERIES:
+        plan = _plan(entry.queries()[name](spark, SF))
         for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
             if node in plan:
                 bad.setdefault(name, []).append(node)
@@ -27,11 +28,15 @@ def test_no_cross_products_in_registered_queries(spark):
 
 def test_bm25_plan_uses_partial_top_k(spark):
     from corpusqa.operators import clean, retrieval
+    from corpusqa.session import scratch_path
     from corpusqa.sources import driver_tables as dt
 
     p = clean.clean_passages(dt.passages(spark, SF))
     q = clean.clean_questions(dt.test_questions(spark, SF))
-    plan = _plan(retrieval.bm25_topk(retrieval.build_index(p), q, 10))
+    path = scratch_path(spark, "index")
+    retrieval.write_index(retrieval.build_index(p), path)
+    plan = _plan(retrieval.bm25_topk(retrieval.read_index(spark, path), q, 10))
+    assert plan.count("/postings]") == 1 and plan.count("/term_stats]") == 1
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 

@@ -82,48 +82,27 @@ def test_global_rank_is_a_permutation(spark):
     assert ranks == list(range(5000))
 
 
-def test_all_retrieval_strategies_agree(spark, monkeypatch):
-    import corpusqa.operators.retrieval as r
-
-    docs = spark.createDataFrame(DOCS, "docid long, passage string")
-    qs = spark.createDataFrame(QS, "id long, question string")
-    index = build_index(docs)
-
-    def run():
-        return sorted(tuple(x) for x in bm25_topk(index, qs, k=3).collect())
-
-    in_list = run()
-    monkeypatch.setattr(r, "PUSHDOWN_TERMS", 0)          # broadcast semi join
-    broadcast = run()
-    monkeypatch.setattr(r, "BROADCAST_BYTES", 0)         # shuffle semi join
-    shuffle = run()
-    assert in_list == broadcast == shuffle and len(in_list) > 0
-
-
-def test_segmented_prefix_sum_matches_running_sum(spark):
-    import random
-
-    from corpusqa.functions.arrays import exclusive_prefix_sum
+def test_common_term_is_split(spark):
+    """A term of every document lies in several tasks of the index build, none of
+    which holds all of it, and the files still keep the order."""
+    from corpusqa.operators.retrieval import write_index
+    from corpusqa.session import scratch_path
 
-    rnd = random.Random(7)
-    rows = [(k, i, rnd.randint(0, 5)) for k in range(4) for i in range(rnd.randint(1, 40))]
-    df = spark.createDataFrame(rows, "key long, pos long, v long")
-    got = {(r.key, r.pos): r.before for r in exclusive_prefix_sum(df, "key", "pos", "v", "before", block=3).collect()}
-    run = {}
-    for k, i, v in sorted(rows):
-        got_k = run.get(k, 0)
-        assert got[(k, i)] == got_k
-        run[k] = got_k + v
+    docs = spark.range(4000).select(F.col("id").alias("docid"), F.concat(F.lit("common rare"), "id").alias("passage"))
+    path = scratch_path(spark, "hot")
+    write_index(build_index(docs), path, buckets=8)
+    files = spark.read.parquet(f"{path}/postings").filter("term = 'common'").groupBy(F.input_file_name().alias("f")).count().collect()
+    assert len(files) >= 3 and max(r["count"] for r in files) < 4000
 
 
 def test_stored_index_and_passages_round_trip(spark):
-    from corpusqa.operators.retrieval import passages_for, read_index, write_index, write_passages
+    from corpusqa.operators.retrieval import read_index, write_index, write_passages
     from corpusqa.session import scratch_path
 
     docs = spark.createDataFrame(DOCS, "docid long, passage string")
     qs = spark.createDataFrame(QS, "id long, question string")
     path = scratch_path(spark, "idx")
-    write_index(build_index(docs), path, passages=docs)
+    write_index(build_index(docs), path)
     stored = read_index(spark, path)
     assert stored.corpus_stats.first().n_docs == len(DOCS)          # the empty document counts too
     lazy = sorted(tuple(x) for x in bm25_topk(build_index(docs), qs, k=3).collect())
@@ -131,19 +110,24 @@ def test_stored_index_and_passages_round_trip(spark):
     ppath = scratch_path(spark, "passages")
     write_passages(docs, ppath)
     p = spark.read.parquet(ppath)
-    keys = spark.createDataFrame([(2,), (5,)], "docid long")
-    assert sorted(r.docid for r in passages_for(p, keys).collect()) == [2, 5]
+    assert sorted((r.docid, r.passage) for r in p.collect()) == DOCS
 
 
 def test_step_batches_cycle(spark):
-    from corpusqa.operators.sample import step_batches
+    from corpusqa.operators.sample import step_batches, train_dev_split
 
     batches = shuffle_batches(_features(spark), batch_size=16)
-    n = batches.count()
-    rows = {r.step: (r.batch_id, r.batch_rows) for r in step_batches(batches, 40, 16).collect()}
-    n_batches = -(-n // 16)
-    sizes = {r.batch_id: r.c for r in batches.groupBy("batch_id").agg(F.count("*").alias("c")).collect()}
-    assert len(rows) == 40
-    for s, (b, size) in rows.items():
-        assert b == s % n_batches and size == sizes[b]
-    assert step_batches(batches.limit(0), 5, 16).count() == 0
+    own = {}
+    for r in batches.collect():
+        own.setdefault(r.batch_id, set()).add((r.example_id, r.chunk_idx))
+    steps = {}
+    for r in step_batches(batches, 40).collect():
+        steps.setdefault(r.step, set()).add((r.example_id, r.chunk_idx))
+    assert steps == {s: own[s % len(own)] for s in range(40)}
+    assert set(r.step for r in step_batches(batches, 3).collect()) == {0, 1, 2}
+    assert step_batches(batches.limit(0), 5).count() == 0
+    ids = spark.range(2000)
+    for fraction, least, most in ((0, 0, 0), (0.5, 900, 1100), (1, 2000, 2000)):
+        assert least <= train_dev_split(ids, fraction).filter("split = 'dev'").count() <= most
+    with pytest.raises(ValueError):
+        train_dev_split(ids, 1.5)

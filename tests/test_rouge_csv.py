@@ -42,13 +42,13 @@ def test_rouge_udf(spark):
 
 
 def test_csv_round_trip(spark):
-    values = ['  lead "q", x\ny  ', "a\r\nb", 'back\\slash"', "NA", "", "\nstarts with newline"]
+    values = ['  lead "q", x\ny  ', "a\r\nb", None, 'back\\slash"', "NA", "", "\nstarts with newline"]
     df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], PASSAGES)
     path = scratch_path(spark, "rt")
     write_table(df, path)
     back = {r.docid: r.passage for r in read_table(spark, path, PASSAGES).collect()}
     for i, v in enumerate(values):
-        assert back[str(i)] == (None if v == "" else v)
+        assert back[str(i)] == v
 
 
 def test_tsv_round_trip(spark):

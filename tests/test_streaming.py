@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusqa.operators import clean, retrieval
 from corpusqa.operators.chunk import explode_chunks, pack_chunks
+from corpusqa.plans.stand_in import pseudo_logits
 from corpusqa.session import scratch_path
 from corpusqa.sources import driver_tables as dt
 from corpusqa.streaming.questions import answer_batch, question_stream, stream_clean_chunks, stream_predictions
@@ -14,20 +15,22 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stream_predictions_equal_batch(spark):
-    passages = clean.clean_passages(dt.passages(spark, SF))
+    raw = dt.passages(spark, SF).drop("ordinal")
+    passages = clean.clean_passages(raw)
     index_path = scratch_path(spark, "stream-index")
-    retrieval.write_index(retrieval.build_index(passages), index_path, passages=passages)
+    retrieval.write_index(retrieval.build_index(raw), index_path)
     index = retrieval.read_index(spark, index_path)
     src = scratch_path(spark, "questions")
     qs = dt.test_questions(spark, SF).select(F.col("id").cast("string").alias("id"), "question")
     for part in range(2):          # two files -> two micro-batches
         qs.filter(F.col("id").cast("long") % 2 == part).write.parquet(os.path.join(src, f"part{part}"))
+    scorer = lambda f: pseudo_logits(f.withColumn("example_id", F.col("example_id").cast("long")))
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     stream = question_stream(spark, os.path.join(src, "*"), max_files_per_trigger=1)
-    q = stream_predictions(stream, index, passages, out, ckpt, delimiter=".")
+    q = stream_predictions(stream, index, passages, out, ckpt, scorer, delimiter=".")
     q.awaitTermination(300)
     got = sorted(tuple(r) for r in spark.read.parquet(out).select("id", "docid", "answer").collect())
-    batch = answer_batch(qs, index, passages, delimiter=".")
+    batch = answer_batch(qs, index, passages, scorer, delimiter=".")
     assert got == sorted(tuple(r) for r in batch.select("id", "docid", "answer").collect())
     assert len(got) > 0
 
