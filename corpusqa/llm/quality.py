@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from corpusqa.llm.common import byte_values, pieces
 
 BUCKETS = 1 << 18
-MAX_LABELLED = 8000  # bound of the training sample
+MAX_LABELLED = 12_000  # bound of the training sample
 MIN_DOCS = 4  # documents of the sample in which a bucket must stand to have a weight
 STEPS = 250
-TOP_AT_LEAST = 0.5  # probability of the top grade from which a document is kept
+LASSO = 0.02  # by which each step draws a word's weight towards zero: most words get none
+TOP_AT_LEAST = 0.4  # probability of the top grade from which a document is kept
 MEMO = 300_000
 
 # A-Z to a-z; all but letters and bytes from 0x80 on to a space.
@@ -76,7 +77,8 @@ class Model:
 
 
 def train(rows: list[tuple[int, list[int], list[float]]], grades: int = 3, steps: int = STEPS) -> Model:
-    """Full-batch Adam on the log-likelihood, with a ridge, over (grade, buckets, form) rows."""
+    """Full-batch Adam on the log-likelihood, with a ridge and a lasso on the words, over
+    (grade, buckets, form) rows."""
     import numpy as np
 
     y = np.array([r[0] for r in rows])
@@ -105,7 +107,7 @@ def train(rows: list[tuple[int, list[int], list[float]]], grades: int = 3, steps
         below = sigmoid(thresholds[None] - s[:, None])  # P(grade <= g)
         cum = np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], axis=1)
         hi, lo = cum[np.arange(n), y + 1], cum[np.arange(n), y]
-        ds = hi + lo - 1  # of log P(grade) by s, times -1
+        ds = 1 - hi - lo  # of -log P(grade), by s
         slope = below * (1 - below) / np.maximum(hi - lo, 1e-12)[:, None]
         dt = np.stack([slope[:, g] * ((y == g) * 1.0 - (y == g + 1)) for g in range(grades - 1)]).sum(axis=1) / n
         g = {"w": np.bincount(flat, ds[row], minlength=len(own)) / n, "f": form.T @ ds / n}
@@ -117,6 +119,7 @@ def train(rows: list[tuple[int, list[int], list[float]]], grades: int = 3, steps
             m += 0.1 * (d - m)
             q += 0.01 * (d * d - q)
             v -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(q / (1 - 0.99**step)) + 1e-8)
+        p["w"] = np.sign(p["w"]) * np.maximum(np.abs(p["w"]) - LASSO, 0)
     weights = np.zeros(BUCKETS, np.float32)
     weights[own] = p["w"]
     thresholds = np.cumsum(np.append(p["t"][0], np.exp(p["t"][1:]))).tolist()
