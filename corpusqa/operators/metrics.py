@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusqa.functions.arrays import let
 
-# Fixed value: evaluation every 50 steps (train.sh), loss rounded to 4 digits.
+# Fixed value: evaluation every 50 steps, loss rounded to 4 digits.
 DEFAULT_EVAL_STEPS = 50
 LOSS_DIGITS = 4
 DEV_FILE = "dev.csv"

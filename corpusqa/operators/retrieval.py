@@ -27,7 +27,7 @@ from corpusqa.session import target_partitions
 # Fixed BM25 parameters (the usual defaults of full-text search servers).
 K1 = 1.2
 B = 0.75
-# Default number of documents retrieved per question (test.sh uses 10).
+# Default number of documents retrieved per question.
 DEFAULT_K = 10
 
 @dataclass
