@@ -88,8 +88,9 @@ def build_index(docs: DataFrame, text: str = "text") -> DataFrame:
         if own:
             yield shard()
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return stored(rows.mapInArrow(run, f"rows array<{kind}>, starts array<int>, terms binary, offsets binary, positions binary, shard long"), "postings")
+    schema = T.StructType([T.StructField("rows", T.ArrayType(rows.schema["row"].dataType))])
+    schema = widen(schema, "starts array<int>, terms binary, offsets binary, positions binary, shard long")
+    return stored(rows.mapInArrow(run, schema), "postings")
 
 
 def _item_batches(items: DataFrame):
@@ -134,7 +135,6 @@ def search(index: DataFrame, items: list, window: int = WINDOW, slop: int = SLOP
         import pyarrow as pa
 
         range_of = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-
         for batch in batches:
             for k in range(batch.num_rows):
                 starts = np.array(batch.column(1)[k].as_py(), np.int64)
@@ -225,7 +225,7 @@ def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     by its id and its text's digest, so rows that share an id are judged apart."""
     text_of = F.col(f"`{text}`")
     digest = F.sha2(F.coalesce(text_of, F.lit("")), 256)
-    found = find(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), digest.alias("digest"), text_of.alias("text")), items)
+    found = find(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), digest.alias("digest"), text_of.alias("text")), items, slop=0)
     bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("row.doc_id").alias("bad_id"), F.col("row.digest").alias("bad")).distinct()
     own = docs.select(F.struct("*").alias("doc"), F.col(f"`{doc_id}`").alias("own_id"), digest.alias("own"))
     return own.join(bad, F.col("own_id").eqNullSafe(F.col("bad_id")) & (F.col("own") == F.col("bad")), "left_anti").select("doc.*")

@@ -9,14 +9,14 @@ node's queries. The k best of each walk meet by query.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusqa.llm.common import stored
 
 SHARD_ROWS = 2048  # vectors of a shard, about
 BLOCK_ROWS = 512  # queries of a block, about
-LEAF = 32
+LEAF = 128  # points of a leaf, at most; a pair of leaves is one matrix product
 EXACT = 1 << 53  # whole numbers below this are exact as doubles
 
 
@@ -39,7 +39,7 @@ class CoverTree:
         self.span: list[tuple[int, int]] = []
         self.children: list[list[int]] = []
         if len(x):
-            self._grow(0, len(x), 0)
+            self._grow()
 
     def _distance(self, points, centre):
         import numpy as np
@@ -47,11 +47,10 @@ class CoverTree:
         d = points - centre
         return np.sqrt(np.einsum("ij,ij->i", d, d))
 
-    def _grow(self, begin: int, end: int, centre: int) -> int:
-        """Node over order[begin:end], made from a stack (a tree may be deep)."""
+    def _grow(self) -> None:
         import numpy as np
 
-        stack = [(begin, end, centre, -1)]
+        stack = [(0, len(self.x), 0, -1)]  # begin, end, centre, parent
         while stack:
             begin, end, centre, parent = stack.pop()
             node = len(self.centre)
@@ -81,7 +80,6 @@ class CoverTree:
             for c, last in zip(centres, ends.tolist()):
                 stack.append((first, last, c, node))
                 first = last
-        return 0
 
 
 def dual_search(q, q_ids, x, x_ids, k: int):
@@ -110,19 +108,18 @@ def dual_search(q, q_ids, x, x_ids, k: int):
     def base(a: int, b: int) -> None:
         i, j = queries.order[slice(*queries.span[a])], data.order[slice(*data.span[b])]
         products = q[i] @ x[j].T
-        for r, n in enumerate(i.tolist()):
-            own = products[r]
-            cand = np.flatnonzero(own >= worst[n])
-            if not len(cand):
-                continue
-            if len(cand) > 4 * k:  # only the best k + 1 scores, with all their ties
-                cut = np.partition(own[cand].astype(float), len(cand) - k - 1)[len(cand) - k - 1]
-                cand = cand[own[cand] >= cut] if not exact else cand
+        reach = products >= worst[i][:, None]
+        for r in np.flatnonzero(reach.any(axis=1)).tolist():
+            n, own = int(i[r]), products[r]
+            cand = np.flatnonzero(reach[r])
+            if len(cand) > 4 * k and not exact:  # the best k + 1 scores with all their ties
+                cand = cand[own[cand] >= np.partition(own[cand], len(cand) - k - 1)[len(cand) - k - 1]]
             got = best[n] + [(own[c], -x_ids[j[c]]) for c in cand.tolist() if x_ids[j[c]] != q_ids[n]]
             got.sort(reverse=True)
             best[n] = got[:k]
             if len(best[n]) == k:
-                worst[n] = float(best[n][-1][0])
+                last = float(best[n][-1][0])
+                worst[n] = np.nextafter(last, -np.inf) if exact else last
 
     if not len(q) or not len(x):
         return best
@@ -130,16 +127,13 @@ def dual_search(q, q_ids, x, x_ids, k: int):
     stack = [(bound(0, 0), 0, 0)]
     while stack:
         top, a, b = stack.pop()
-        if top < group[a]:
-            group[a] = worst[queries.order[slice(*queries.span[a])]].min()
-        if group[a] == -np.inf:
+        if top >= group[a]:  # what is noted may be out of date: kth scores only rise
             group[a] = worst[queries.order[slice(*queries.span[a])]].min()
         if top < group[a]:
             continue
         qa, xb = queries.children[a], data.children[b]
         if not qa and not xb:
             base(a, b)
-            group[a] = worst[queries.order[slice(*queries.span[a])]].min()
             continue
         if qa and (not xb or queries.radius[a] >= data.radius[b]):
             pairs = [(bound(c, b), c, b) for c in qa]
@@ -160,10 +154,10 @@ def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataF
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
-    """(dim, part, ids, m): the rows of a dimension in parts of about ``size`` rows,
-    dealt by a hash of the id; ids and vectors as arrays."""
+    """(dim, part, parts, rows): the rows of a dimension in parts of about ``size``
+    rows, dealt by a hash of the id."""
     counts = rows.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(size)).alias("parts"))
-    dealt = rows.join(F.broadcast(counts), "dim").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+    dealt = rows.join(counts, "dim").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
     return dealt.groupBy("dim", "part", "parts").agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
 
 
@@ -171,14 +165,15 @@ def search(vectors: DataFrame, queries, k: int, vec_id: str = "vec_id", vector:
     """query_id, rank, vec_id, score: for each row for which the column ``queries``
     (over vec_id) holds, its ``k`` best other rows by inner product of quantised
     vectors; all, if fewer. Vectors are compared with those of their own number of
-    components. Ids that repeat: each row is a candidate, and a query of its own;
-    none is a candidate for its own id."""
+    components. Of ids that repeat, each row is a candidate, but not for its own id,
+    and the smallest vector is the query. An empty table gives an empty result."""
     rows = stored(quantised(vectors, vec_id, vector, scale), "quantised")
     shards = stored(_packed(rows, SHARD_ROWS), "shards")
-    blocks = _packed(rows.filter(queries).dropDuplicates(["vec_id", "v"]), BLOCK_ROWS)
+    asked = rows.filter(queries).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("own")).select("vec_id", "own.dim", "own.v")
+    blocks = _packed(asked, BLOCK_ROWS)
     # a block goes to every shard of its dimension, by the shard's number
     shard_counts = shards.groupBy("dim").agg(F.max("parts").alias("n"))
-    sent = blocks.select("dim", F.col("rows").alias("q")).join(F.broadcast(shard_counts), "dim")
+    sent = blocks.select("dim", F.col("rows").alias("q")).join(shard_counts, "dim")
     sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select("dim", "part", "q")
     pairs = sent.join(shards.select("dim", "part", "rows"), ["dim", "part"]).select("q", "rows")
 
@@ -186,13 +181,6 @@ def search(vectors: DataFrame, queries, k: int, vec_id: str = "vec_id", vector:
         import numpy as np
         import pyarrow as pa
 
-        def matrix(lists):
-            flat = lists.values
-            ids = flat.field(0).to_numpy(zero_copy_only=False)
-            v = flat.field(1)
-            values = v.values.slice(v.offsets[0].as_py(), v.offsets[len(v)].as_py() - v.offsets[0].as_py()) if len(v) else v.values
-            return ids, lists.offsets.to_numpy(), values.to_numpy(zero_copy_only=False).reshape(len(ids), -1) if len(ids) else None
-
         for batch in batches:
             for n in range(batch.num_rows):
                 one = batch.slice(n, 1)
@@ -207,8 +195,5 @@ def search(vectors: DataFrame, queries, k: int, vec_id: str = "vec_id", vector:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
 
     found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
-    key = F.struct(F.col("score"), (-F.col("vec_id")).alias("low"))
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusqa.llm.common import byte_values, crc32_mod, pieces
+from corpusqa.llm.common import byte_values, crc32_mod, pieces, widen
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -194,8 +194,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                         lang[i], score[i] = net.model.langs[int(m.argmax())], float(min(m.max(), 1.0))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["row", "lang_pred", "score"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, lang_pred string, score double")
+    return rows.mapInArrow(run, widen(rows.select("row").schema, "lang_pred string, score double"))
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 4, held: int = 2) -> DataFrame:

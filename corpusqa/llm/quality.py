@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.llm.common import byte_values, pieces
+from corpusqa.llm.common import byte_values, pieces, widen
 
 BUCKETS = 1 << 18
 MAX_LABELLED = 12_000  # bound of the training sample
@@ -186,8 +186,7 @@ def rate(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
                     names=["row", "expected_grade", "p_top"],
                 )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, expected_grade double, p_top double")
+    return rows.mapInArrow(run, widen(rows.select("row").schema, "expected_grade double, p_top double"))
 
 
 def select(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", top_at_least: float = TOP_AT_LEAST) -> DataFrame:
