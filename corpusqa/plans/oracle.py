@@ -460,15 +460,16 @@ ORACLE: dict[str, str] = {
         f"SELECT id, CAST(least({ntok('question')}, {MAX_Q}) AS BIGINT) AS question_len, "
         f"CAST({ntok('question')} AS BIGINT) AS n_tokens_full, "
         f"array_to_string({toks('question')}[1:{MAX_Q}], ' ') AS tokens FROM TQ")),
-    "offset_map": q(BASE, body=f"""
-        SELECT docid, CAST(length(passage) AS BIGINT) AS n_chars,
-               md5(coalesce(string_agg(CAST(before AS VARCHAR), ',' ORDER BY pos), '')) AS map_md5
-        FROM (SELECT docid, passage, pos, coalesce(sum(CASE WHEN is_token THEN 1 ELSE 0 END) OVER (
-                       PARTITION BY docid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-              FROM (SELECT docid, passage, pos, NOT regexp_matches(ch, '^{ZERO}$') AS is_token FROM (
-                      SELECT docid, passage, unnest(string_split(passage, '')) AS ch,
-                             generate_subscripts(string_split(passage, ''), 1) AS pos FROM P)))
-        GROUP BY docid, passage"""),
+    "offset_map": q(BASE, f"""
+        CH AS (SELECT docid, unnest(string_split(passage, '')) AS ch,
+                      generate_subscripts(string_split(passage, ''), 1) AS pos FROM P WHERE passage <> ''),
+        BEF AS (SELECT docid, pos, coalesce(sum(CASE WHEN regexp_matches(ch, '^{ZERO}$') THEN 0 ELSE 1 END) OVER (
+                         PARTITION BY docid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+                FROM CH),
+        MAPS AS (SELECT docid, string_agg(CAST(before AS VARCHAR), ',' ORDER BY pos) AS m FROM BEF GROUP BY docid)""",
+                    body="""
+        SELECT p.docid, CAST(length(p.passage) AS BIGINT) AS n_chars, md5(coalesce(m.m, '')) AS map_md5
+        FROM P p LEFT JOIN MAPS m ON p.docid = m.docid"""),
     "token_to_char": q(BASE, body=(
         f"SELECT docid, CAST(len({t2o_list('passage')}) AS BIGINT) AS n_tokens, "
         f"md5(array_to_string({t2o_list('passage')}, ',')) AS map_md5 FROM P")),
