@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from corpusqa.llm.common import byte_values, pieces, widen
 
 BUCKETS = 1 << 18
-MAX_LABELLED = 12_000  # bound of the training sample
+MAX_LABELLED = 10_000  # bound of the training sample
 MIN_DOCS = 4  # documents of the sample in which a bucket must stand to have a weight
 STEPS = 250
 LASSO = 0.02  # by which each step draws a word's weight towards zero: most words get none
@@ -76,18 +76,19 @@ class Model:
         return [1 / (1 + math.exp(min(max(s - t, -500.0), 500.0))) for t in self.thresholds]
 
 
-def train(rows: list[tuple[int, list[int], list[float]]], grades: int = 3, steps: int = STEPS) -> Model:
+def train(rows: list[tuple], grades: int = 3, steps: int = STEPS) -> Model:
     """Full-batch Adam on the log-likelihood, with a ridge and a lasso on the words, over
     (grade, buckets, form) rows."""
     import numpy as np
 
     y = np.array([r[0] for r in rows])
     size = np.array([len(r[1]) for r in rows])
-    flat = np.concatenate([np.array(r[1], np.int64) for r in rows] or [np.zeros(0, np.int64)])
-    row = np.repeat(np.arange(len(rows)), size)
+    flat = np.concatenate([np.asarray(r[1], np.int32) for r in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), size)
     seen = np.bincount(flat, minlength=BUCKETS) >= MIN_DOCS
     use = seen[flat]
     own, flat = np.unique(flat[use], return_inverse=True)
+    flat = flat.astype(np.int32)
     row = row[use]
     form = np.array([r[2] for r in rows], float)
     centre, spread = form.mean(axis=0), form.std(axis=0) + 1e-6
@@ -130,26 +131,30 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """A model of ``labels`` (doc_id, quality, toxic; rows with a null are left out)
     and the texts of ``docs``, learned from the first ``max_labelled`` labels by a
     hash of their id. None without a labelled text."""
+    import numpy as np
+
     rated = labels.select("doc_id", grade(F.col("quality"), F.col("toxic")).alias("grade"), "quality", "toxic").dropna()
     rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(max_labelled).select(F.col("doc_id").alias("rated_id"), "grade")
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).filter(F.col("text").isNotNull())
     rows = rows.join(F.broadcast(rated), F.col("id") == F.col("rated_id")).select("id", "grade", "text")
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             for part in pieces(batch, 500):
                 found = [features(raw) for raw in byte_values(part.column(2))]
+                own = [np.array(sorted({bucket(w) for w in f[0]}), "<i4").tobytes() for f in found]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([sorted({bucket(w) for w in f[0]}) for f in found], pa.list_(pa.int32())),
-                     pa.array([f[1] for f in found], pa.list_(pa.float64()))],
+                    [part.column(0), part.column(1), pa.array(own, pa.binary()), pa.array([f[1] for f in found], pa.list_(pa.float64()))],
                     names=["id", "grade", "buckets", "form"],
-                )
+                )
 
     kind = rows.schema["id"].dataType.simpleString()
-    sample = sorted(map(tuple, rows.mapInArrow(run, f"id {kind}, grade int, buckets array<int>, form array<double>").collect()))
-    return train([r[1:] for r in sample]) if sample else None
+    sample = rows.mapInArrow(run, f"id {kind}, grade int, buckets binary, form array<double>").collect()
+    sample = sorted((r.id, r.grade, bytes(r.buckets), r.form) for r in sample)
+    return train([(grade, np.frombuffer(own, "<i4"), form) for _, grade, own, form in sample]) if sample else None
 
 
 def rate(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
