@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from corpusqa.llm.common import stored
 
-SHARD_ROWS = 2048  # vectors of a shard, about
-BLOCK_ROWS = 512  # queries of a block, about
-LEAF = 128  # points of a leaf, at most; a pair of leaves is one matrix product
+SHARD_ROWS = 4096  # vectors of a shard, about
+BLOCK_ROWS = 1024  # queries of a block, about
+BRANCHES = 8  # children of a node, at most
+LEAF = 256  # points of a leaf, at most; a pair of leaves is one matrix product
 EXACT = 1 << 53  # whole numbers below this are exact as doubles
 
 
@@ -24,9 +25,11 @@ class CoverTree:
     """Nodes of a cover tree over the rows of a matrix.
 
     A node has a centre (one of its points), a covering radius and its points as
-    a range of ``order``. Its children's centres are at least half the radius
-    apart, and each point goes to the nearest of them, so radii halve from level
-    to level. Nodes of up to ``LEAF`` points, or of radius zero, are leaves.
+    a range of ``order``. Its children's centres are drawn farthest first until
+    they cover it with half its radius, or ``BRANCHES`` are drawn, and each point
+    goes to the nearest. So the centres of siblings lie at least as far apart as
+    the largest of their covering radii. Nodes of up to ``LEAF`` points, or of
+    radius zero, are leaves.
     """
 
     def __init__(self, x):
@@ -64,9 +67,8 @@ class CoverTree:
                 self.children[parent].append(node)
             if end - begin <= LEAF or self.radius[node] == 0:
                 continue
-            # centres at least half the radius apart, farthest first
             nearest, which, centres = far.copy(), np.zeros(len(own), np.int64), [centre]
-            while nearest.max() > self.radius[node] / 2:
+            while nearest.max() > self.radius[node] / 2 and len(centres) < BRANCHES:
                 new = int(own[int(nearest.argmax())])
                 d = self._distance(self.x[own], self.x[new])
                 closer = d < nearest
@@ -84,7 +86,7 @@ class CoverTree:
 
 def dual_search(q, q_ids, x, x_ids, k: int):
     """For each row of ``q`` its ``k`` best rows of ``x`` by inner product, ties to
-    the smaller id, never a row of its own id: (scores, ids) lists by query.
+    the smaller id, never a row of its own id: lists of (score, id) by query.
 
     ``q`` and ``x`` hold whole numbers, as doubles or, where products could reach
     2^53, as Python integers in object arrays.
@@ -96,8 +98,11 @@ def dual_search(q, q_ids, x, x_ids, k: int):
     queries, data = CoverTree(qf), CoverTree(xf)
     q_norm = np.sqrt(np.einsum("ij,ij->i", qf, qf))
     x_norm = np.sqrt(np.einsum("ij,ij->i", xf, xf))
-    best: list[list[tuple]] = [[] for _ in range(len(q))]  # (score, -id), falling
-    worst = np.full(len(q), -np.inf)  # kth score
+    q_ids, x_ids = np.array(q_ids, np.int64), np.array(x_ids, np.int64)
+    # the k best so far of each query, by falling score, then id; worst: the kth score
+    best = np.full((len(q), k), -np.inf, q.dtype)
+    best_ids = np.full((len(q), k), np.iinfo(np.int64).max)
+    worst = best[:, -1]
 
     def bound(a: int, b: int) -> float:
         """The largest product of a point of query node a and one of data node b."""
@@ -108,21 +113,22 @@ def dual_search(q, q_ids, x, x_ids, k: int):
     def base(a: int, b: int) -> None:
         i, j = queries.order[slice(*queries.span[a])], data.order[slice(*data.span[b])]
         products = q[i] @ x[j].T
-        reach = products >= worst[i][:, None]
-        for r in np.flatnonzero(reach.any(axis=1)).tolist():
-            n, own = int(i[r]), products[r]
-            cand = np.flatnonzero(reach[r])
-            if len(cand) > 4 * k and not exact:  # the best k + 1 scores with all their ties
-                cand = cand[own[cand] >= np.partition(own[cand], len(cand) - k - 1)[len(cand) - k - 1]]
-            got = best[n] + [(own[c], -x_ids[j[c]]) for c in cand.tolist() if x_ids[j[c]] != q_ids[n]]
-            got.sort(reverse=True)
-            best[n] = got[:k]
-            if len(best[n]) == k:
-                last = float(best[n][-1][0])
-                worst[n] = np.nextafter(last, -np.inf) if exact else last
+        products[q_ids[i][:, None] == x_ids[j]] = -np.inf
+        least = worst[i]
+        if len(j) > k:  # what is below the kth of these alone is none of the best
+            least = np.maximum(least, np.sort(products, axis=1)[:, -k] if exact else np.partition(products, -k, axis=1)[:, -k])
+        r, c = np.nonzero((products >= least[:, None]) & (products > -np.inf))
+        rows = np.unique(r)
+        score = np.concatenate([products[r, c], best[i[rows]].ravel()])
+        ids = np.concatenate([x_ids[j[c]], best_ids[i[rows]].ravel()])
+        of = np.concatenate([r, np.repeat(rows, k)])
+        order = sorted(range(len(of)), key=lambda n: (of[n], -score[n], ids[n])) if exact else np.lexsort((ids, -score, of))
+        order = np.array(order, np.int64)
+        top = order[np.searchsorted(of[order], rows)[:, None] + np.arange(k)]
+        best[i[rows]], best_ids[i[rows]] = score[top], ids[top]
 
     if not len(q) or not len(x):
-        return best
+        return [[] for _ in q_ids]
     group = np.full(len(queries.centre), -np.inf)  # worst kth score of a query node's points
     stack = [(bound(0, 0), 0, 0)]
     while stack:
@@ -140,7 +146,7 @@ def dual_search(q, q_ids, x, x_ids, k: int):
         else:
             pairs = [(bound(a, c), a, c) for c in xb]
         stack += sorted(pairs)  # the most promising on top
-    return best
+    return [[(int(v), int(n)) for v, n in zip(*own) if v > -np.inf] for own in zip(best, best_ids)]
 
 
 def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -186,11 +192,11 @@ def search(vectors: DataFrame, queries, k: int, vec_id: str = "vec_id", vector:
                 one = batch.slice(n, 1)
                 q_list, x_list = one.column(0)[0].values, one.column(1)[0].values
                 q_ids, x_ids = (c.field("vec_id").to_numpy(zero_copy_only=False).tolist() for c in (q_list, x_list))
-                q, x = (np.array(c.field("v").to_pylist(), float).reshape(len(c), -1) for c in (q_list, x_list))
+                q, x = (c.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1) for c in (q_list, x_list))
                 if q.shape[1] and float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1] >= EXACT:
                     q, x = (np.array([[int(e) for e in r] for r in m], object) for m in (q, x))
                 found = dual_search(q, q_ids, x, x_ids, k)
-                out = [(a, -i, int(s)) for a, own in zip(q_ids, found) for s, i in own]
+                out = [(a, i, s) for a, own in zip(q_ids, found) for s, i in own]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "vec_id", "score"])
 
