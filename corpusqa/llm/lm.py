@@ -1,16 +1,19 @@
 """LM scoring with a weighted backoff automaton.
 
-Three scans of the texts. The first counts every word. The second and its
-repeats count the n-grams that the automaton keeps. The last walks the
-automaton once over each text, left to right.
-
-A word is in the automaton's root if its share of the training tokens is at
-least ``root_share``, an n-gram of higher order is kept if its share is at
-least ``gram_share`` and all its words reach ``word_share``. Shares bound the
-automaton whatever the size of the corpus: no more than 1 / share words or
-n-grams of an order can reach them. All other words keep their exact counts: a
-walk that meets one falls back to the root, and the word's own log-probability
-is joined from the table of all counts.
+The automaton is a Spark table that grows with the corpus: one row for each word
+and for each n-gram of higher order that occurs ``GRAM_LEAST`` times or more in
+the training texts. An n-gram is (ctx, suf), the keys of itself without its last
+and without its first word; its own key is the hash of both.
+
+Each row has one weight: the log-probability of its arc less that of the failure
+path that the arc replaces, plus the weight of the failure arc that leaves the
+state it leads to. Along a text these add up to what a walk of the automaton
+gives (``build`` and ``walk`` are that walk, for a model in memory), so a text's
+score is the sum of the weights of its n-grams, and they are looked up by a join.
+
+Two broadcasts of fixed size save rows of that join and change no score: the rows
+of the most frequent n-grams, and a sieve of bits that holds every key in the table.
+The shares of ``train`` cut the automaton and are zero by default.
 """
 
 from __future__ import annotations
@@ -27,12 +30,14 @@ from corpusqa.llm.common import byte_values, crc32_mod, pieces, stored, widen
 END = b""  # the token after a text's last word; no word is empty
 ALPHA = 0.1
 DISCOUNT = 0.5
-ROOT_SHARE = 5e-7
-WORD_SHARE = 1e-5
-GRAM_SHARE = 1e-6
-GRAM_LEAST = 2  # an n-gram that occurs once is not kept, in however small a corpus
+ROOT_SHARE = 0.0
+WORD_SHARE = 0.0
+GRAM_SHARE = 0.0
+GRAM_LEAST = 2  # an n-gram that occurs once is not kept
 ORDER = 3
-FLUSH = 1 << 18  # distinct n-grams that a task holds before it passes them on
+TOP_SHARE = 5e-6  # an n-gram of this share of the training tokens is broadcast
+SIEVE = 28  # bits of a key that find its place in the sieve
+FLUSH = 1 << 18  # distinct words, or tokens, that a task holds before it passes them on
 
 
 def tokens(raw: bytes) -> list[bytes]:
@@ -149,10 +154,6 @@ def walk(model: Model, words: list[bytes]) -> tuple[float, list[bytes]]:
     return total, rest
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def _pack(model: Model) -> tuple:
     """A model without references between its states, for pickling."""
     order, index = [], {}
@@ -190,35 +191,158 @@ def _unpack(packed: tuple) -> Model:
     return Model(states[0], total, distinct)
 
 
-def train(texts: DataFrame, order: int, root_share: float, word_share: float, gram_share: float) -> tuple[Model, DataFrame]:
-    """(model, counts): the automaton of ``texts`` (one string column) and the
-    stored table of all counts (gram, n); the end token's gram is empty."""
-    counts = stored(_counts(texts, list), "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # no more than 1 / share rows each
-    words = {r.gram.encode(): r.n for r in counts.filter(F.col("n") >= root_share * total).collect()} if total else {}
-    inner = frozenset(w for w, n in words.items() if n >= word_share * total and w != END)
-    kept: list[dict[tuple, int]] = []
-    cut = max(GRAM_LEAST, gram_share * total)
-    for size in range(2, order + 1):
-        last = frozenset(kept[-1]) if kept else None
-        heads = texts.sparkSession.sparkContext.broadcast((inner, last))
+def _hash_long(x, seed):
+    """Spark's xxhash64 of longs, for arrays of uint64; ``seed`` a number or such an array."""
+    import numpy as np
+
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda v, r: (v << np.uint64(r)) | (v >> np.uint64(64 - r))
+    h = turn(x * p2, 31) * p1 ^ (seed + (p5 + np.uint64(8)))
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
+class _Words(dict):
+    """Spark's xxhash64 of words, unsigned; forgets them when they are many."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= 1 << 20:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word, 42)
+        return out
+
+
+def _texts(column, words: _Words):
+    """(first row, rows, hashes, sizes) of an Arrow string column: the texts'
+    tokens one after another, in parts of about ``FLUSH`` tokens."""
+    import numpy as np
+
+    first, own = 0, []
+    for i in range(len(column)):
+        found = tokens(byte_values(column.slice(i, 1))[0])
+        own.append(np.fromiter(map(words.__getitem__, found), np.uint64, len(found)))
+        if sum(map(len, own)) >= FLUSH or len(own) == 500 or i == len(column) - 1:
+            yield first, len(own), np.concatenate(own), np.array([len(x) for x in own])
+            first, own = i + 1, []
+
+
+def _orders(hashes, sizes, order: int):
+    """(ctx, suf, key, inside) for n-grams of order 2 to ``order`` at every token
+    they start from; ``inside`` is whether the text still has all their words."""
+    import numpy as np
 
-        def grams(words, size=size, heads=heads):
-            inner, last = heads.value
-            if last is None:
-                return [a + b" " + b for a, b in zip(words, words[1:]) if a in inner and (b in inner or b == END)]
-            runs = zip(*[words[i:] for i in range(size)])
-            return [b" ".join(g) for g in runs if g[:-1] in last and g[1:] in last]
+    inside = np.ones(len(hashes), bool)
+    inside[np.cumsum(sizes) - 1] = False
+    inside, key = inside[:-1], hashes
+    for _ in range(2, order + 1):
+        ctx, suf = key[:-1], key[1:]
+        key = _hash_long(suf, _hash_long(ctx, np.uint64(42)))
+        yield ctx, suf, key, inside
+        inside = inside[:-1] & inside[1:]
 
-        found = _counts(texts, grams).filter(F.col("n") >= cut)
-        kept.append({tuple(r.gram.encode().split(b" ")): r.n for r in found.collect()})
-        if not kept[-1]:
-            break
-    return build(words, kept, total, distinct), counts
 
+def _grams(texts: DataFrame, order: int, inner) -> DataFrame:
+    """(size, ctx, suf, n) of all n-grams of order 2 to ``order`` whose words are in
+    ``inner`` (sorted hashes; the end token is in any; None: all words)."""
+    shared = texts.sparkSession.sparkContext.broadcast(inner)
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text") -> DataFrame:
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        words, inner = _Words(), shared.value
+        for batch in batches:
+            for _, _, hashes, sizes in _texts(batch.column(0), words):
+                held = None if inner is None else np.isin(hashes, inner)
+                if held is not None:
+                    held[np.cumsum(sizes) - 1] = True
+                for size, (ctx, suf, key, inside) in enumerate(_orders(hashes, sizes, order), 2):
+                    if held is not None:
+                        held = held[:-1] & held[1:]
+                        inside = inside & held
+                    at = np.flatnonzero(inside)
+                    _, first, n = np.unique(key[at], return_index=True, return_counts=True)
+                    at = at[first]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), size, np.int32)), pa.array(ctx[at].view(np.int64)), pa.array(suf[at].view(np.int64)), pa.array(n)], names=["size", "ctx", "suf", "n"]
+                    )
+
+    return texts.mapInArrow(run, "size int, ctx long, suf long, n long").groupBy("size", "ctx", "suf").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class Weights:
+    """Automaton as a table: (key, n, base, weight), ``base`` the log10 probability
+    of a word by itself and null for n-grams."""
+
+    table: DataFrame
+    order: int
+    total: int
+    distinct: int
+
+
+def train(texts: DataFrame, order: int, root_share: float, word_share: float, gram_share: float) -> Weights:
+    """The automaton of ``texts`` (one string column). With shares above zero only
+    words of both shares of the tokens are in n-grams, and only n-grams of theirs."""
+    counts = stored(_counts(texts, list), "word-counts")
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    words = counts.select(F.xxhash64("gram").alias("key"), "gram", "n")
+    inner, least = None, max(root_share, word_share)
+    if least > 0:  # no more than 1 / share rows
+        import numpy as np
+
+        found = words.filter((F.col("n") >= least * total) & (F.col("gram") != END.decode())).select("key").collect()
+        inner = np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
+    kept = _grams(texts, order, inner).filter(F.col("n") >= max(GRAM_LEAST, gram_share * total))
+    kept = stored(kept.select("size", F.xxhash64("ctx", "suf").alias("key"), "ctx", "suf", "n"), "grams")
+    over = F.greatest(F.col("n") - F.lit(DISCOUNT), F.lit(0.0))
+    # mass that a context keeps for its kept words
+    heirs = kept.groupBy(F.col("ctx").alias("key")).agg(F.sum(over).alias("mass"))
+    back = F.when(F.col("mass").isNull(), 1.0).otherwise(F.greatest(1 - F.col("mass") / F.col("n"), F.lit(1e-12)))
+    alone = (F.col("n") + F.lit(ALPHA)) / F.lit(total + ALPHA * (distinct + 1))
+    last = stored(words.join(heirs, "key", "left").select("key", "n", alone.alias("p"), back.alias("back"), F.log10(alone).alias("base"), F.log10(alone * back).alias("weight")), "order-1")
+    levels = [last]
+    for size in range(2, order + 1):
+        rows = kept.filter(F.col("size") == size)
+        rows = rows.join(last.select(F.col("key").alias("ctx"), F.col("n").alias("of"), F.col("back").alias("fall")), "ctx")
+        rows = rows.join(last.select(F.col("key").alias("suf"), F.col("p").alias("lower")), "suf")
+        rows = rows.join(heirs, "key", "left") if size < order else rows.withColumn("mass", F.lit(None).cast("double"))
+        rows = rows.select("key", "n", (over / F.col("of") + F.col("fall") * F.col("lower")).alias("p"), back.alias("back"), "fall", "lower")
+        weight = F.log10("p") - F.log10("fall") - F.log10("lower") + F.log10("back")
+        last = stored(rows.select("key", "n", "p", "back", F.lit(None).cast("double").alias("base"), weight.alias("weight")), f"order-{size}")
+        levels.append(last)
+    table = levels[0]
+    for level in levels[1:]:
+        table = table.union(level)
+    return Weights(table.select("key", "n", "base", "weight"), order, total, distinct)
+
+
+def _top(model: Weights) -> tuple:
+    """(keys, base, weight) of the frequent rows, sorted by key; base is NaN for n-grams."""
+    import numpy as np
+
+    rows = model.table.filter(F.col("n") >= TOP_SHARE * model.total).select("key", F.coalesce("base", F.lit(float("nan"))).alias("base"), "weight").toArrow()
+    keys = rows.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], rows.column("base").to_numpy()[order], rows.column("weight").to_numpy()[order]
+
+
+def _sieve(model: Weights):
+    """Bits; that of every key in the table is set."""
+    import numpy as np
+
+    bit = f"bit_or(shiftleft(1L, cast(shiftrightunsigned(key, {64 - SIEVE}) & 63 as int)))"
+    rows = model.table.groupBy(F.shiftrightunsigned("key", 64 - SIEVE + 6).alias("at")).agg(F.expr(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << SIEVE - 6, np.uint64)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def score(docs: DataFrame, model: Weights, text: str = "text") -> DataFrame:
     """The rows of ``docs`` without ``text``, and n_tokens, n_known, base_score
     (add-``ALPHA`` unigrams) and score (the automaton's log10 probability).
 
@@ -226,61 +350,70 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
     by itself; an empty table gives an empty result. Columns of ``docs`` are
     carried whatever their names, in a struct ``row``.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_pack(model))
+    shared = docs.sparkSession.sparkContext.broadcast((*_top(model), _sieve(model)))
+    size = model.order
     keep = [c for c in docs.columns if c != text]
     own = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
-        import xxhash
-        from collections import Counter
         from pyspark import TaskContext
 
-        model = _unpack(shared.value)
-        uni = {w: p for w, (p, _) in model.root[0].items()}
+        top, bases, weights, sieve = shared.value
+        words = _Words()
         row = TaskContext.get().partitionId() << 40
-        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            for part in pieces(batch, 500):
-                n, known, base, found, keys, times = [], [], [], [], [], []
-                for raw in byte_values(part.column(1)):
-                    words = tokens(raw)
-                    total, rest = walk(model, words)
-                    seen = [uni[w] for w in words if w in uni]
-                    c = Counter(rest)
-                    n.append(len(words))
-                    known.append(len(seen))
-                    base.append(math.fsum(seen))
-                    found.append(total)
-                    keys.append([_signed(digest(w, 42)) for w in c])
-                    times.append(list(c.values()))
-                ids = pa.array(range(row, row + part.num_rows), pa.int64())
-                row += part.num_rows
+            for first, n, hashes, sizes in _texts(batch.column(1), words):
+                doc = np.repeat(np.arange(n), sizes)
+                known, base, keys, docs = np.zeros(n, np.int64), np.zeros(n), [], []
+                found = np.zeros(len(hashes))  # by an n-gram's last token, so that what cancels meets first
+                ends = np.arange(len(hashes))
+                for key, at in [(hashes, ends), *((key[inside], ends[-len(key) :][inside]) for _, _, key, inside in _orders(hashes, sizes, size) if len(key))]:
+                    if len(top):
+                        place = np.minimum(np.searchsorted(top, key), len(top) - 1)
+                        hit = top[place] == key
+                        place, of = place[hit], at[hit]
+                        found[of] += weights[place]
+                        word = ~np.isnan(bases[place])
+                        known += np.bincount(doc[of[word]], minlength=n)
+                        base += np.bincount(doc[of[word]], bases[place][word], n)
+                        key, at = key[~hit], at[~hit]
+                    bit = key >> np.uint64(64 - SIEVE)
+                    maybe = (sieve[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+                    keys.append(key[maybe])
+                    docs.append(doc[at[maybe]])
+                found = np.bincount(doc, found, n)
+                at = np.concatenate(docs)
+                order = np.argsort(at, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)[order].view(np.int64)))
+                ids = pa.array(np.arange(row, row + n))
+                row += n
                 yield pa.RecordBatch.from_arrays(
-                    [ids, part.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(found, pa.float64()),
-                     pa.array(keys, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                    names=["uid", "row", "n_tokens", "n_known", "base", "found", "keys", "times"],
-                )
+                    [ids, batch.column(0).slice(first, n), pa.array(sizes, pa.int64()), pa.array(known), pa.array(base), pa.array(found), lists],
+                    names=["uid", "row", "n_tokens", "n_known", "base", "found", "keys"],
+                )
 
     rows = docs.select(own.alias("row"), F.col(f"`{text}`").alias("text"))
     schema = T.StructType([T.StructField("uid", T.LongType()), rows.schema["row"]])
-    schema = widen(schema, "n_tokens long, n_known long, base double, found double, keys array<long>, times array<int>")
+    schema = widen(schema, "n_tokens long, n_known long, base double, found double, keys array<long>")
     walked = stored(rows.mapInArrow(run, schema), "walked")
-    # words outside the root: each text's distinct ones meet their counts
-    rest = walked.select("uid", F.explode(F.arrays_zip("keys", "times")).alias("w")).select("uid", F.col("w.keys").alias("key"), F.col("w.times").alias("times"))
-    known = counts.select(F.xxhash64("gram").alias("key"), "n")
-    each = F.log10((F.coalesce("n", F.lit(0)) + F.lit(ALPHA)) / F.lit(model.total + ALPHA * (model.distinct + 1)))
+    # all other n-grams meet their rows of the automaton
     sums = (
-        rest.join(known, "key", "left")
+        walked.select("uid", F.explode("keys").alias("key"))
+        .join(model.table.filter(F.col("n") < TOP_SHARE * model.total), "key")
         .groupBy("uid")
-        .agg(F.sum(F.col("times") * each).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"))
+        .agg(F.sum("weight").alias("more"), F.sum("base").alias("more_base"), F.count("base").alias("more_known"))
     )
+    known = F.col("n_known") + F.coalesce("more_known", F.lit(0))
+    never = (F.col("n_tokens") - known) * F.lit(log_share(0, model.total, model.distinct))
     return walked.join(sums, "uid", "left").select(
         "row",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("found") + F.coalesce("more", F.lit(0.0))).alias("score"),
+        known.alias("n_known"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) + never).alias("base_score"),
+        (F.col("found") + F.coalesce("more", F.lit(0.0)) + never).alias("score"),
     )
 
 
@@ -290,6 +423,6 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     row trains."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.withColumn("held_out", F.coalesce(crc32_mod("doc_id", folds) == 0, F.lit(False)))
-    model, counts = train(rows.filter(~F.col("held_out")).select("text"), ORDER, ROOT_SHARE, WORD_SHARE, GRAM_SHARE)
-    out = score(rows, model, counts)
+    model = train(rows.filter(~F.col("held_out")).select("text"), ORDER, ROOT_SHARE, WORD_SHARE, GRAM_SHARE)
+    out = score(rows, model)
     return out.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusqa.llm import lm
 from corpusqa.llm.queries import op10_lm_scoring
@@ -119,3 +120,23 @@ def test_cases(spark):
     assert {r.doc_id: r.n_tokens for r in rows}[2] == 1
     assert not [r for r in rows if r.doc_id is None][0].held_out
     assert lm.score_documents(frame.filter("false")).count() == 0
+
+
+def test_rare_grams_are_kept_in_a_large_corpus(spark, monkeypatch):
+    """An n-gram that occurs twice counts however many tokens there are, and the
+    broadcasts change no score."""
+    filler = "alpha beta gamma delta " * 75_000
+    docs = [(1, filler), (2, filler), (3, "quick amber foxes sleep"), (5, "quick amber foxes dream"), (6, "foxes amber quick"), (8, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(lm, "crc32_mod", lambda col, n: F.when(F.col(col) < 7, F.lit(1)).otherwise(0))
+    counts = Counter(w for i, t in docs if i < 7 for w in split(t))
+    assert 2 < 1e-5 * sum(counts.values())  # the words of the rare phrase
+    monkeypatch.setattr("tests.llm.test_lm.crc", lambda i: int(i < 7))
+    want = plain_model(docs, counts, lm.ORDER, 0, 0, 0)
+    for top, sieve in ((lm.TOP_SHARE, lm.SIEVE), (2.0, 8), (2.0, lm.SIEVE)):
+        monkeypatch.setattr(lm, "TOP_SHARE", top)
+        monkeypatch.setattr(lm, "SIEVE", sieve)
+        rows = {r.doc_id: r for r in lm.score_documents(frame).collect()}
+        for i, t in docs:
+            assert math.isclose(rows[i].score, want(t), rel_tol=1e-9, abs_tol=1e-5), (i, top, sieve)
+        assert rows[3].score > rows[3].base_score + 5
