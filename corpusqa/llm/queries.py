@@ -20,7 +20,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # the rule that its SQL states: runs of tokens
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), segments=line_dedup.SEGMENTS)
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
