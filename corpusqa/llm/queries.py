@@ -20,8 +20,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the rule that its SQL states: runs of tokens
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), segments=line_dedup.SEGMENTS)
+    # the rule that its SQL states: runs of tokens, and three documents for any line
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), segments=line_dedup.SEGMENTS, long_docs=None)
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
