@@ -205,6 +205,14 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
     return out
 
 
+def _roots(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, low) for each distinct ``fp`` of ``rows``: its component's smallest
+    fingerprint, and its own smallest doc_id."""
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+    roots = components(links(distinct, radius))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fp`` (signed), ``component_id``.
 
@@ -217,9 +225,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = stored(fingerprints(rows, "text", shingle), "fingerprints")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    roots = components(links(distinct, radius))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    named = _roots(rows, radius)
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
     named = named.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -227,10 +233,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest
-    doc_id, and of repeated ids the smallest row."""
-    seen = near_duplicates(docs, doc_id, text, shingle, radius)
-    first = seen.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
+    doc_id, and of repeated ids the smallest row. Null ids come last, so each
+    component of such rows alone keeps its smallest row."""
+    content = F.xxhash64(F.col(f"`{text}`"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), content.alias("content"), F.col(f"`{text}`").alias("text"))
+    rows = stored(fingerprints(rows, "text", shingle), "fingerprints")
+    named = rows.join(_roots(rows, radius).select("fp", "root"), "fp").select("root", "doc_id", "content").distinct()
+    least = named.groupBy("root").agg(F.min("doc_id").alias("least"))
+    first = named.join(least, "root").filter(F.col("doc_id").eqNullSafe(F.col("least"))).select("root", F.col("doc_id").alias("first_id"), F.col("content").alias("first_content"))
     key, row = free_name(docs, "kept_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    own = docs.select(F.col(f"`{doc_id}`").alias(key), row.alias("row"))
-    kept = own.join(first, F.col(key).eqNullSafe(F.col("first_id")), "left_semi")
-    return kept.groupBy(key).agg(F.min("row").alias("row")).select("row.*")
+    own = docs.select(F.col(f"`{doc_id}`").alias(key), content.alias("content"), row.alias("row"))
+    kept = own.join(first, F.col(key).eqNullSafe(F.col("first_id")) & (F.col("content") == F.col("first_content")))
+    return kept.groupBy("root").agg(F.min("row").alias("row")).select("row.*")

@@ -128,6 +128,17 @@ def test_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 6]
 
 
+def test_keep_one_takes_one_row_of_each_component(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in ("red", "blue", "green", "white", "black")]
+    docs = [
+        (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (9, texts[2]),
+        # two texts under one id, one of them a copy of a smaller id's
+        (5, texts[3]), (5, texts[4]), (4, texts[4]),
+    ]
+    kept = s.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("None", texts[0]), ("None", texts[1]), ("9", texts[2]), ("5", texts[3]), ("4", texts[4])])
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert s.near_duplicates(frame).count() == 0
