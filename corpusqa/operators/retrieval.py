@@ -43,8 +43,8 @@ def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None) -
 
     The per-document term count happens inside each document's partition
     (partial aggregation), so only distinct (term, docid) pairs are shuffled.
-    ``analyzer(col) -> array<string>`` replaces the built-in analyser (e.g.
-    ``functions.segment.dictionary_analyzer``); use the same one for queries.
+    ``analyzer(col) -> array<string>`` replaces the built-in analyser; use the
+    same one for queries.
     """
     terms = passages.select("docid", (analyzer or analyze)(text_col).alias("terms"))
     doc_stats = terms.select("docid", F.size("terms").cast("long").alias("dl"))

@@ -84,12 +84,34 @@ def spread(df, min_partitions: int | None = None):
     return df
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` as Parquet below the shared checkpoint
     folder and reading it back. Used for tables that several later steps
     read (e.g. the feature table read by sampling and its statistics), so
-    they are computed once and survive executor loss."""
+    they are computed once and survive executor loss. The shuffle files of
+    the write go with its end: the table stands in for them."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+    out = spark.read.parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(*tables) -> None:
+    """Delete tables that ``materialize`` wrote and that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
