@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusqa.llm import chat_format, decontaminate, line_dedup
+from corpusqa.llm import chat_format, decontaminate, line_dedup, vector_codes
 
 _LINE = "trim(regexp_replace(line, '[ \\t\\r\\f]+', ' ', 'g'))"
 
@@ -124,9 +124,49 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
 
+_FAR = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+
+
+def _assigned(n: int) -> str:
+    """Each part's nearest entry of codebook ``n``: squared distance and index as one number."""
+    return f"near{n} AS (SELECT vec_id, label, p, x, min({_FAR} * {vector_codes.ENTRIES} + e) AS k FROM parts JOIN book{n} USING (p) GROUP BY ALL)"
+
+
+def _moved(n: int) -> str:
+    """Codebook ``n + 1``."""
+    return f"""mean{n} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, k % {vector_codes.ENTRIES} AS e, i, floor(sum(x[i + 1]) / count(*))::BIGINT AS m
+    FROM (SELECT *, unnest(range(len(x))) AS i FROM near{n}) GROUP BY ALL
+  ) GROUP BY ALL
+), book{n + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{n} b LEFT JOIN mean{n} m ON b.p = m.p AND b.e = m.e)"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, label, p, v[p * w + 1 : (p + 1) * w] AS x
+  FROM (SELECT *, len(v) // {vector_codes.PARTS} AS w, unnest(range({vector_codes.PARTS})) AS p FROM kept)
+), book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {vector_codes.ENTRIES})
+), {_assigned(0)}, {_moved(0)}, {_assigned(1)}, {_moved(1)}, {_assigned(2)},
+digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2
+), coded AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', k % {vector_codes.ENTRIES}), '' ORDER BY p) AS code,
+    sum(k // {vector_codes.ENTRIES})::BIGINT AS error
+  FROM near2 GROUP BY ALL
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, digest
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_chat_format": CHAT_FORMAT,
     "op6_decontaminate": DECONTAMINATE,
     "op8_exact_topk": EXACT_TOPK,
+    "op13_vector_codes": VECTOR_CODES,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import chat_format, decontaminate, exact_topk, language_id, line_dedup, lm, packing, quality, secrets, simhash
+from corpusqa.llm import chat_format, decontaminate, exact_topk, language_id, line_dedup, lm, packing, quality, secrets, simhash, vector_codes
 from corpusqa.llm.common import table
 from corpusqa.llm.oracle import ORACLE  # noqa: F401
 
@@ -84,6 +84,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    sha = F.lit("")
+    for dim, own in books.items():
+        sha = F.when(F.col("dim") == dim, vector_codes.digest(own)).otherwise(sha)
+    out = vector_codes.with_label_error(coded.withColumn("sha", sha))
+    return out.select("vec_id", "code", "error", "label_error", F.col("sha").alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_topk,
         op9_simhash,
         op10_lm_scoring,
+        op13_vector_codes,
     )
 }
