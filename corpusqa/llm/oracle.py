@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusqa.llm import chat_format, decontaminate, line_dedup, vector_codes
+from corpusqa.llm import chat_format, decontaminate, line_dedup, mixing, vector_codes
 
 _LINE = "trim(regexp_replace(line, '[ \\t\\r\\f]+', ' ', 'g'))"
 
@@ -124,6 +124,56 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
 
+
+
+def _hash(*parts: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', '{mixing.SEED}', {', '.join(parts)})), 1, 8))::BIGINT"
+
+
+MIXING = f"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce('s' || source, '') AS name, {_hash("coalesce(doc_id::VARCHAR, '')")} AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+  FROM documents
+), weighted AS (
+  SELECT name, size, [5, 2, 1][rank % 3 + 1] AS weight, {mixing.MOST} * size AS most
+  FROM (SELECT name, sum(size)::BIGINT AS size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sized GROUP BY name, source)
+), stopped AS (  -- with the sources that stop first, by target for one unit of weight
+  SELECT sum(most) OVER upto AS own, sum(weight) OVER upto AS w FROM weighted WINDOW upto AS (ORDER BY most / weight, name ROWS UNBOUNDED PRECEDING)
+), share AS (
+  SELECT max((t - own) / (all_w - w)) AS level FROM (SELECT sum(size)::DOUBLE AS t, sum(weight)::DOUBLE AS all_w FROM weighted),
+    (SELECT own, w FROM stopped UNION ALL SELECT 0, 0) WHERE w < all_w
+), sources AS (
+  SELECT *, least(most::DOUBLE, weight * level) AS target, ceil(size / {mixing.SHARD})::BIGINT AS shards FROM weighted, share
+), source_quota AS (
+  SELECT name, count(*) AS quota FROM (
+    SELECT name, row_number() OVER (ORDER BY target / (2 * i + 1) DESC, name) AS place
+    FROM (SELECT name, target, unnest(range(ceil(most / {mixing.BLOCK})::BIGINT)) AS i FROM sources WHERE target > 0)
+  ) WHERE place <= (SELECT round_even(sum(size) / {mixing.BLOCK}, 0) FROM sources) GROUP BY name
+), placed AS (
+  SELECT doc_id, d.name, d.size, key % shards AS unit, sum(d.size) OVER (PARTITION BY d.name, key % shards ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) - d.size AS begin
+  FROM sized d JOIN sources s USING (name) WHERE d.size > 0
+), shards AS (SELECT name, unit, sum(size)::BIGINT AS words FROM placed GROUP BY ALL
+), quota AS (
+  SELECT name, unit, words, count(*) AS quota FROM (
+    SELECT name, unit, words, quota, row_number() OVER (PARTITION BY name ORDER BY words / (2 * i + 1) DESC, unit) AS place
+    FROM (SELECT name, unit, words, unnest(range(ceil({mixing.MOST} * words / {mixing.BLOCK})::BIGINT)) AS i FROM shards) JOIN source_quota USING (name)
+  ) WHERE place <= quota GROUP BY ALL
+), budget AS (
+  SELECT name, unit, words, words // {mixing.BLOCK} AS n_full, least(quota * {mixing.BLOCK}, {mixing.MOST} * words) AS budget, {_hash('name', 'unit')} AS turn FROM quota
+), blocks AS (
+  SELECT doc_id, size, begin, words, budget, turn, n_full, unnest(range(begin::BIGINT // {mixing.BLOCK}, (begin + size - 1)::BIGINT // {mixing.BLOCK} + 1)) AS k FROM placed JOIN budget USING (name, unit)
+), ordered AS (
+  SELECT *, budget % words AS rest, CASE WHEN k < n_full THEN (k * 2654435761 + turn) % n_full ELSE n_full END AS place FROM blocks
+), cut AS (
+  SELECT *, k * {mixing.BLOCK} + CASE WHEN place < rest // {mixing.BLOCK} THEN {mixing.BLOCK} WHEN place = rest // {mixing.BLOCK} THEN rest % {mixing.BLOCK} ELSE 0 END AS upto FROM ordered
+), taken AS (
+  SELECT doc_id, any_value(budget // words * size) + sum(greatest(least(upto, begin + size) - greatest(k * {mixing.BLOCK}, begin), 0)) AS taken FROM cut GROUP BY doc_id
+)
+SELECT d.doc_id, d.size, s.size AS source_size, s.target, coalesce(t.taken, 0)::BIGINT AS taken
+FROM sized d JOIN sources s USING (name) LEFT JOIN taken t ON d.doc_id = t.doc_id
+"""
+
 _FAR = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
 
 
@@ -168,5 +218,6 @@ ORACLE: dict[str, str] = {
     "op2_chat_format": CHAT_FORMAT,
     "op6_decontaminate": DECONTAMINATE,
     "op8_exact_topk": EXACT_TOPK,
+    "op11_mixing": MIXING,
     "op13_vector_codes": VECTOR_CODES,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import chat_format, decontaminate, exact_topk, language_id, line_dedup, lm, packing, quality, secrets, simhash, vector_codes
+from corpusqa.llm import chat_format, decontaminate, exact_topk, language_id, line_dedup, lm, mixing, packing, quality, secrets, simhash, vector_codes
 from corpusqa.llm.common import table
 from corpusqa.llm.oracle import ORACLE  # noqa: F401
 
@@ -84,6 +84,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), weights=(5, 2, 1))
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     sha = F.lit("")
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_topk,
         op9_simhash,
         op10_lm_scoring,
+        op11_mixing,
         op13_vector_codes,
     )
 }
