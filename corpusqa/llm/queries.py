@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import chat_format, decontaminate, exact_topk, language_id, line_dedup, lm, mixing, packing, quality, secrets, simhash, vector_codes
+from corpusqa.llm import chat_format, decontaminate, exact_topk, language_id, line_dedup, lm, mixing, packing, quality, secrets, simhash, spelling, vector_codes
 from corpusqa.llm.common import table
 from corpusqa.llm.oracle import ORACLE  # noqa: F401
 
@@ -89,6 +89,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     sha = F.lit("")
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash,
         op10_lm_scoring,
         op11_mixing,
+        op12_spelling,
         op13_vector_codes,
     )
 }
