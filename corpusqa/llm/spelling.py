@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusqa.llm.common import byte_values, pieces, release, stored, widen
+from corpusqa.session import spread
 
 LEAST = 7  # code points of a word, at least
 SEEN = 2  # occurrences, at least
 RATIO = 10  # a form occurs so many times as often, at least
 NOISE = 31  # one in so many runs of a document loses a letter
-SYMBOLS = 8
+SYMBOLS = 13  # letters whose code points are equal modulo it have one symbol
 SIEVE = 26  # bits of a reduced word that find its place in the sieve
 FLUSH = 1 << 18  # distinct words that a task holds before it passes them on
 STEP = 0x9E3779B97F4A7C15  # of the polynomial
@@ -76,48 +77,75 @@ def _mix(x):
     return x ^ (x >> np.uint64(33))
 
 
-def _symbols(word: str):
-    """A number for the symbol of each letter, and the numbers of all symbols."""
+def _values(words: list[str]):
+    """For words of one length, the number of each letter's symbol, a row a word; and those of all symbols."""
     import numpy as np
 
-    symbol = _mix(np.array(list(map(ord, word)), np.uint64)) % np.uint64(SYMBOLS)
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
     values = _mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64))
-    return values[symbol.astype(np.int64)], values
+    return values[letters % SYMBOLS], values
 
 
 def _sums(values):
-    """Powers, and the sums over the first letters and over those from a place on."""
+    """Powers of STEP, and the sums over the first letters of each row."""
     import numpy as np
 
-    n = len(values)
-    power = np.concatenate([[np.uint64(1)], np.full(n, np.uint64(STEP))]).cumprod(dtype=np.uint64)
-    before = np.concatenate([[np.uint64(0)], (values * power[:-1]).cumsum(dtype=np.uint64)])
+    power = np.concatenate([[np.uint64(1)], np.full(values.shape[1], np.uint64(STEP))]).cumprod(dtype=np.uint64)
+    before = np.zeros((len(values), values.shape[1] + 1), np.uint64)
+    before[:, 1:] = (values * power[:-1]).cumsum(axis=1, dtype=np.uint64)
     return power, before
 
 
-def reduced(word: str) -> int:
-    """The reduced word as a number: the sum of symbol i times STEP to the power i."""
-    values, _ = _symbols(word)
-    return int(_sums(values)[1][-1])
+def reduced(words: list[str]):
+    """Reduced words, of words of one length, as numbers: the sum of symbol i times STEP to the power i."""
+    return _sums(_values(words)[0])[1][:, -1]
 
 
-def neighbourhood(word: str):
-    """Parts of the numbers of the reduced word and of all reduced words one edit from it."""
+def neighbourhood(words: list[str]):
+    """Of words of one length, a row a word, parts of the numbers of the reduced word and of all
+    reduced words one edit from it."""
     import numpy as np
 
-    values, all_values = _symbols(word)
+    values, symbols = _values(words)
     power, before = _sums(values)
-    whole, step = before[-1], np.uint64(STEP)
-    # a letter less moves what follows down by a power; the power's inverse is exact modulo 2^64
-    back = np.uint64(pow(STEP, -1, 1 << 64))
-    yield np.array([whole], np.uint64)
-    for first in range(0, len(values) + 1, CHUNK // SYMBOLS):
-        at = slice(first, first + CHUNK // SYMBOLS)
-        own, place = values[at], power[:-1][at]
-        after = whole - before[1:][at]
-        yield before[:-1][at] + after * back
-        yield (whole + (all_values[:, None] - own) * place).ravel()
-        yield (before[at] + all_values[:, None] * power[at] + (whole - before[at]) * step).ravel()
+    whole, n = before[:, -1:], values.shape[1]
+    back = np.uint64(pow(STEP, -1, 1 << 64))  # a letter less: what follows goes down by a power
+    yield whole
+    some = max(1, CHUNK // (2 * SYMBOLS * len(words)))
+    for first in range(0, n + 1, some):
+        at = slice(first, min(first + some, n))
+        yield before[:, at] + (whole - before[:, 1:][:, at]) * back
+        yield (whole[:, :, None] + (symbols - values[:, at, None]) * power[at, None]).reshape(len(words), -1)
+        at = slice(first, first + some)
+        yield (before[:, at, None] + symbols * power[at, None] + ((whole - before[:, at]) * np.uint64(STEP))[:, :, None]).reshape(len(words), -1)
+
+
+def _by_length(words: list[str]):
+    """Places of words of one length: as many as make ``CHUNK`` neighbours, one at least."""
+    found: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        found.setdefault(len(word), []).append(i)
+    for size, own in found.items():
+        some = max(1, CHUNK // (2 * SYMBOLS * (size + 1)))
+        for k in range(0, len(own), some):
+            yield own[k : k + some]
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether one code point put in, left out or replaced makes ``a`` into ``b``."""
+    if len(a) < len(b):
+        a, b = b, a
+    more = len(a) - len(b)
+    if more > 1 or a == b:
+        return False
+    same, upto = 0, len(b)  # letters that begin both, halving
+    while same < upto:
+        mid = (same + upto + 1) // 2
+        if a[same:mid] == b[same:mid]:
+            same = mid
+        else:
+            upto = mid - 1
+    return a[same + 1 :] == b[same + 1 - more :]
 
 
 def _keyed(words: DataFrame) -> DataFrame:
@@ -128,7 +156,10 @@ def _keyed(words: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            keys = np.array([reduced(w) for w in batch.column(0).to_pylist()], np.uint64)
+            own = batch.column(0).to_pylist()
+            keys = np.zeros(len(own), np.uint64)
+            for at in _by_length(own):
+                keys[at] = reduced([own[i] for i in at])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys.view(np.int64))], names=["word", "n", "key"])
 
     return words.mapInArrow(run, "word string, n long, key long")
@@ -155,26 +186,31 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
         sieve = shared.value
         for batch in batches:
-            for part in pieces(batch, 1000):
-                held, own, size = [], [], 0
-                for i, word in enumerate(part.column(0).to_pylist()):
-                    found = []
-                    for keys in neighbourhood(word):
-                        bit = keys >> np.uint64(64 - SIEVE)
-                        found.append(keys[(sieve[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)])
-                    keys = np.unique(np.concatenate(found))  # equal letters in a row give a neighbour more than once
-                    held.append(keys)
-                    own.append(np.full(len(keys), i))
-                    size += len(keys)
-                if size:
-                    of = pa.array(np.concatenate(own))
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(of), pa.array(np.concatenate(held).view(np.int64))], names=["word", "key"])
+            words = batch.column(0).to_pylist()
+            for at in _by_length(words):
+                held, of = [], []
+                for keys in neighbourhood([words[i] for i in at]):
+                    bit = keys >> np.uint64(64 - SIEVE)
+                    row, place = np.nonzero(sieve[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1))
+                    held.append(keys[row, place])
+                    of.append(row)
+                # equal letters in a row give a neighbour more than once
+                pairs = np.unique(np.array([np.concatenate(of).astype(np.uint64), np.concatenate(held)]), axis=1)
+                own = pa.array(np.array(at)[pairs[0].astype(np.int64)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(own), pa.array(pairs[1].view(np.int64))], names=["word", "key"])
+
+    def verified(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array(map(one_edit, batch.column(0).to_pylist(), batch.column(1).to_pylist()), pa.bool_()))
 
     schema = widen(T.StructType([words.schema["word"]]), "key long")
-    asked = words.select("word").mapInArrow(run, schema)
+    asked = spread(words.select("word")).mapInArrow(run, schema)
     known = words.select(F.col("word").alias("near"), "n", "key")
     # the number of one reduced word may be that of another: only the words decide
-    return asked.join(known, "key").filter((F.abs(F.length("word") - F.length("near")) <= 1) & (F.levenshtein("word", "near", 1) == 1)).select("word", "near", "n")
+    pairs = asked.join(known, "key").filter(F.abs(F.length("word") - F.length("near")) <= 1).select("word", "near", "n")
+    return pairs.mapInArrow(verified, pairs.schema)
 
 
 def _roots(forms: DataFrame) -> DataFrame:

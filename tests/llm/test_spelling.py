@@ -10,7 +10,7 @@ from corpusqa.llm.queries import op12_spelling
 from tests.llm.conftest import SMALL
 
 
-def one_edit(a, b):
+def plain_edit(a, b):
     if abs(len(a) - len(b)) > 1 or a == b:
         return False
     k = 0
@@ -35,7 +35,7 @@ def plain(docs):
     by_size = {}
     for w in words:
         by_size.setdefault(len(w), []).append(w)
-    near = {w: [x for k in (-1, 0, 1) for x in by_size.get(len(w) + k, []) if one_edit(w, x)] for w in words}
+    near = {w: [x for k in (-1, 0, 1) for x in by_size.get(len(w) + k, []) if plain_edit(w, x)] for w in words}
     form = {}
     for w, own in near.items():
         best = min(own, key=lambda x: (-words[x], x), default=None)
@@ -99,16 +99,19 @@ def test_long_words_and_empty_table(spark):
 @pytest.mark.parametrize("word", ["abcdefg", "aaaaaaa", "étéétés"])
 def test_neighbourhood_is_full(word):
     """Whatever the edit, the reduced word of the result is a neighbour."""
-    keys = set(np.concatenate(list(s.neighbourhood(word))).tolist())
+    keys = set(np.concatenate(list(s.neighbourhood(["xyzabca", word])), axis=1)[1].tolist())
     letters = "abcdefghijklmnopqrstuvwxyzéÿ"
     for k in range(len(word) + 1):
         for c in letters:
-            assert s.reduced(word[:k] + c + word[k:]) in keys
-            assert k == len(word) or s.reduced(word[:k] + c + word[k + 1 :]) in keys
-        assert k == len(word) or s.reduced(word[:k] + word[k + 1 :]) in keys
+            assert s.reduced([word[:k] + c + word[k:]])[0] in keys
+            assert k == len(word) or s.reduced([word[:k] + c + word[k + 1 :]])[0] in keys
+        assert k == len(word) or s.reduced([word[:k] + word[k + 1 :]])[0] in keys
 
 
 def test_parts_of_a_neighbourhood(monkeypatch):
-    whole = set(np.concatenate(list(s.neighbourhood("abcabcabcabcxyz"))).tolist())
+    keys = lambda: set(np.concatenate(list(s.neighbourhood(["abcabcabcabcxyz"])), axis=1)[0].tolist())
+    whole = keys()
     monkeypatch.setattr(s, "CHUNK", 32)
-    assert set(np.concatenate(list(s.neighbourhood("abcabcabcabcxyz"))).tolist()) == whole
+    assert keys() == whole
+    words = ["abcdefg", "abcdefgh", "xbcdefg", "abcdefgh"] * 5
+    assert sorted(i for at in s._by_length(words) for i in at) == list(range(20))
