@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusqa.functions.text import char_to_token, clean_text
+from corpusqa.session import materialize
 
 
 def clean_passages(passages: DataFrame, text_col: str = "passage") -> DataFrame:
@@ -21,11 +22,28 @@ def clean_questions(questions: DataFrame, cols=("question",)) -> DataFrame:
     return out
 
 
+# Repeated docids that are broadcast, at most (a docid and an ordinal each).
+BROADCAST_DOCIDS = 1_000_000
+
+
 def first_passage_per_docid(passages: DataFrame, order_col: str = "ordinal") -> DataFrame:
     """Duplicates keep the first row per docid, by ``order_col`` (the row's
-    place in its source). ``min_by`` is a partial aggregate, so a hot docid is
-    combined map-side before the shuffle."""
-    return passages.groupBy("docid").agg(F.min_by("passage", order_col).alias("passage"))
+    place in its source, unique there). Null docids are one docid.
+
+    Only (docid, order) is shuffled, to find the docids that repeat: a partial
+    aggregate, so a hot docid is combined map-side. They are written, and counted: up to
+    ``BROADCAST_DOCIDS`` are broadcast to the rows, which stay where they are; beyond
+    that they are joined.
+    """
+    by_docid = passages.groupBy("docid").agg(F.min(order_col).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = materialize(by_docid.filter("n > 1").select(F.col("docid").alias("_docid"), "first"), "repeated-docids")
+    n = repeated.count()
+    if n == 0:
+        return passages.select("docid", "passage")
+    if n <= BROADCAST_DOCIDS:
+        repeated = F.broadcast(repeated)
+    rows = passages.join(repeated, F.col("docid").eqNullSafe(F.col("_docid")), "left")
+    return rows.filter(F.col("first").isNull() | (F.col(order_col) == F.col("first"))).select("docid", "passage")
 
 
 def locate_answers(train: DataFrame, passages: DataFrame) -> DataFrame:

@@ -1,17 +1,20 @@
 """Lexical retrieval as ordinary tables.
 
-The index is four tables derived with ``explode`` + ``groupBy``:
+The index is five tables derived with ``explode`` + ``groupBy``:
 
 * ``postings(term, docid, tf, dl)``  -- one row per (term, document)
+* ``blocks(shard, term, postings, bounds)`` -- the postings of a term within a shard of
+  documents, by docid, and for each ``BLOCK`` of them the largest tf and smallest dl
 * ``term_stats(term, df)``
 * ``doc_stats(docid, dl)``
 * ``corpus_stats(n_docs, avgdl, n_terms, n_postings)``
 
 Search is BM25 (Robertson & Zaragoza 2009):
 ``sum qtf * ln(1 + (N - df + 0.5)/(df + 0.5)) * tf / (tf + k1 * (1 - b + b * dl / avgdl))``
-followed by a per-question top-k (``row_number() <= k``, which Spark plans as
-a partial + final ``WindowGroupLimit`` so a question with many matching
-documents never ships them all to one task).
+The blocks of the questions' terms meet by shard; each shard keeps the k best documents
+of a question and passes over blocks that cannot lift a document among them (block-max
+bounds, Ding & Suel 2011). Only k rows a shard and question go on to the question's
+top-k (``row_number() <= k``, a partial + final ``WindowGroupLimit``).
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusqa.functions.text import analyze
 from corpusqa.session import target_partitions
@@ -29,10 +33,16 @@ K1 = 1.2
 B = 0.75
 # Default number of documents retrieved per question.
 DEFAULT_K = 10
+BLOCK = 128  # postings of a block
+SHARD_DOCS = 16_384  # documents of a shard, about, at most
+QUESTIONS = 4_096  # questions that a shard answers at a time, about
+SLACK = 2e-6  # of a score: scores that are equal when rounded are told apart by docid
+
 
 @dataclass
 class Index:
     postings: DataFrame
+    blocks: DataFrame
     term_stats: DataFrame
     doc_stats: DataFrame
     corpus_stats: DataFrame
@@ -59,7 +69,28 @@ def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None) -
         F.count(F.lit(1)).alias("n_docs"),
         F.avg("dl").alias("avgdl"),
     )
-    return Index(postings, term_stats, doc_stats, corpus)
+    return Index(postings, _blocks(postings, corpus), term_stats, doc_stats, corpus)
+
+
+def _blocks(postings: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Postings by (shard, term), in order, with the bounds of their blocks.
+
+    Shards are dealt by a hash of the docid: at most about ``SHARD_DOCS`` documents
+    each, so a term of every document is a bounded row in each, and as many as the
+    cluster runs at once if the corpus is small.
+    """
+    n_docs = corpus.select("n_docs").scalar()
+    least = F.least(F.lit(target_partitions(postings.sparkSession)), F.ceil(n_docs / 512))
+    shards = F.greatest(F.ceil(n_docs / SHARD_DOCS), least, F.lit(1))
+    rows = postings.withColumn("shard", F.pmod(F.xxhash64("docid"), shards))
+    rows = rows.groupBy("shard", "term").agg(F.sort_array(F.collect_list(F.struct("docid", "tf", "dl"))).alias("postings"))
+
+    def bound(i):
+        own = F.slice("postings", i * BLOCK + 1, F.lit(BLOCK))
+        return F.struct(F.array_max(own["tf"]).alias("tf"), F.array_min(own["dl"]).alias("dl"))
+
+    last = F.floor((F.size("postings") - 1) / BLOCK).cast("int")
+    return rows.withColumn("bounds", F.transform(F.sequence(F.lit(0), last), bound))
 
 
 def corpus_stats(index: Index) -> DataFrame:
@@ -103,6 +134,8 @@ def write_index(index: Index, path: str, buckets: int | None = None, mode: str =
     ds.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")).write.mode(mode).parquet(
         f"{path}/corpus_stats"
     )
+    blocks = _blocks(stored, spark.read.parquet(f"{path}/corpus_stats"))
+    blocks.sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/blocks")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
@@ -110,6 +143,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     r = spark.read
     return Index(
         r.parquet(f"{path}/postings"),
+        r.parquet(f"{path}/blocks"),
         r.parquet(f"{path}/term_stats"),
         r.parquet(f"{path}/doc_stats"),
         r.parquet(f"{path}/corpus_stats"),
@@ -128,31 +162,118 @@ def query_terms(questions: DataFrame, id_col: str = "id", text_col: str = "quest
     )
 
 
-def bm25_scores(index: Index, qterms: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
-    """Full BM25 score of every (question, document) sharing a term.
+def best_of_shard(docs, norms, tops, block_tops, weights, k: int, scores):
+    """A question's best ``k`` documents of a shard: (places, scores, postings read).
+
+    One entry for each of the question's terms: ``docs`` rising places of documents,
+    ``norms`` what a posting gives for a weight of one, ``tops`` and ``block_tops`` the
+    largest of these in all and by block, ``weights``. ``scores`` is a zeroed array over
+    the shard's documents, and is so again afterwards.
 
-    Each question term is weighted by its stored document frequency, then
-    meets its postings: one scan of the postings. ``N`` and ``avgdl`` are
-    scalar subqueries over the (one-row) corpus statistics.
+    Terms go by falling bound. Once the kth score is beyond what the remaining
+    terms can give together, no new document can enter: from then on only documents
+    that still can are looked up, and only in blocks whose bound can lift them.
     """
-    n_docs = index.corpus_stats.select("n_docs").scalar()
-    avgdl = index.corpus_stats.select("avgdl").scalar()
-    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    weighted = qterms.join(index.term_stats, "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
-    norm = F.col("tf") / (F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl))
-    parts = weighted.join(index.postings, "term").select("id", "docid", (F.col("weight") * norm).alias("part"))
-    return parts.groupBy("id", "docid").agg(F.sum("part").alias("score"))
+    import numpy as np
+
+    order = sorted(range(len(docs)), key=lambda t: -weights[t] * tops[t])
+    rest = np.concatenate([np.cumsum([weights[t] * tops[t] for t in order][::-1])[::-1], [0.0]])
+    worst, n, read, touched = -np.inf, 0, 0, []
+    while n < len(order) and rest[n] > worst - SLACK:
+        t = order[n]
+        scores[docs[t]] += weights[t] * norms[t]
+        read += len(docs[t])
+        touched.append(docs[t])
+        n += 1
+        if n & (n - 1) == 0 and len(scores) > k:  # 1, 2, 4, ... terms
+            kth = np.partition(scores, -k)[-k]
+            worst = kth if kth > 0 else worst
+    left = np.flatnonzero(scores > max(worst - rest[n] - SLACK, 0) if n < len(order) else scores > 0)
+    own = scores[left]
+    for i in range(n, len(order)):
+        t = order[i]
+        at = np.searchsorted(docs[t], left)
+        inside = np.minimum(at, len(docs[t]) - 1)
+        lift = own + weights[t] * block_tops[t][inside // BLOCK] + rest[i + 1] > worst - SLACK
+        left, own, inside = left[lift], own[lift], inside[lift]
+        read += len(left)
+        own = own + np.where(docs[t][inside] == left, weights[t] * norms[t][inside], 0)
+        if len(own) > k:
+            worst = max(worst, np.partition(own, -k)[-k])
+            stay = own + rest[i + 1] > worst - SLACK
+            left, own = left[stay], own[stay]
+    for d in touched:
+        scores[d] = 0
+    first = np.lexsort((left, -np.round(own, 6)))[:k]
+    return left[first], own[first], read
+
+
+def _shard_search(k: int, k1: float, b: float):
+    """Of the rows (term, postings, bounds, asked, avgdl) of one shard and some questions, each
+    question's best documents."""
+
+    def run(rows):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def lists(name):
+            column = rows.column(name).combine_chunks()
+            sizes = pc.list_value_length(column).to_numpy()
+            return column.flatten(), np.concatenate([[0], np.cumsum(sizes)])
+
+        numbers = lambda column, field: column.field(field).to_numpy(zero_copy_only=False).astype(float)
+        avgdl = rows.column("avgdl")[0].as_py()
+        gain = lambda column: (tf := numbers(column, "tf")) / (tf + k1 * (1 - b + b * numbers(column, "dl") / avgdl))
+        postings, ends = lists("postings")
+        bounds, block_ends = lists("bounds")
+        asked, asked_ends = lists("asked")
+        coded = postings.field("docid").dictionary_encode("encode")
+        by_id = pc.sort_indices(coded.dictionary, null_placement="at_start")
+        place = np.empty(len(by_id), np.int64)
+        place[by_id.to_numpy()] = np.arange(len(by_id))
+        docs, norms, block_tops = place[coded.indices.to_numpy()], gain(postings), gain(bounds)
+        docs = [docs[x:y] for x, y in zip(ends, ends[1:])]
+        norms = [norms[x:y] for x, y in zip(ends, ends[1:])]
+        block_tops = [block_tops[x:y] for x, y in zip(block_ends, block_ends[1:])]
+        tops = [x.max() for x in block_tops]
+        ids = asked.field("id").dictionary_encode("encode")
+        term = np.repeat(np.arange(rows.num_rows), np.diff(asked_ends))
+        of, weight = ids.indices.to_numpy(), numbers(asked, "weight")
+        order = np.argsort(of, kind="stable")
+        starts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(ids.dictionary)))])
+        scores, found = np.zeros(len(by_id)), []
+        for q in range(len(ids.dictionary)):
+            own = order[starts[q] : starts[q + 1]]
+            pick = lambda x: [x[t] for t in term[own]]
+            best, score, _ = best_of_shard(pick(docs), pick(norms), pick(tops), pick(block_tops), weight[own], k, scores)
+            found.append((np.full(len(best), q), best, score))
+        q, best, score = (np.concatenate(c) for c in zip(*found))
+        docid = coded.dictionary.take(by_id.take(pa.array(best)))
+        return pa.table({"id": ids.dictionary.take(pa.array(q)), "docid": docid, "score": pa.array(score)})
+
+    return run
 
 
 def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: str = "id",
-              text_col: str = "question", analyzer=None) -> DataFrame:
+              text_col: str = "question", analyzer=None, k1: float = K1, b: float = B) -> DataFrame:
     """R1 + J2: top-k documents per question: (id, docid, rank, score).
 
     Ties: ``round(score, 6) desc, docid asc``. Questions with no matching term
-    yield no rows (Q8).
+    yield no rows (Q8). Each question term, weighted by its stored document
+    frequency, meets its blocks once; ``N`` and ``avgdl`` are scalar subqueries over
+    the (one-row) corpus statistics. Questions are answered in parts of about
+    ``QUESTIONS``, so what a shard holds at a time is bounded.
     """
     qt = query_terms(questions, id_col, text_col, analyzer)
-    scored = bm25_scores(index, qt).withColumn("score", F.round("score", 6))
+    n_docs, avgdl = (index.corpus_stats.select(c).scalar() for c in ("n_docs", "avgdl"))
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
+    weighted = qt.join(index.term_stats, "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
+    parts = F.greatest(F.ceil(questions.select(F.count(F.lit(1))).scalar() / QUESTIONS), F.lit(1))
+    asked = weighted.groupBy("term", F.pmod(F.xxhash64("id"), parts).alias("part")).agg(F.collect_list(F.struct("id", "weight")).alias("asked"))
+    rows = asked.join(index.blocks, "term").select("shard", "part", "term", "postings", "bounds", "asked", avgdl.alias("avgdl"))
+    schema = T.StructType([T.StructField("id", qt.schema["id"].dataType), T.StructField("docid", index.postings.schema["docid"].dataType), T.StructField("score", T.DoubleType())])
+    scored = rows.groupBy("shard", "part").applyInArrow(_shard_search(k, k1, b), schema).withColumn("score", F.round("score", 6))
     w = Window.partitionBy("id").orderBy(F.col("score").desc(), F.col("docid").asc())
     return (
         scored.withColumn("rank", F.row_number().over(w))

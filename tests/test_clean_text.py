@@ -1,9 +1,11 @@
 """Cleaning, answer location, offsets and Unicode."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusqa.functions.text import analyze, char_to_token, char_tokens, clean_text, token_to_char_map
-from corpusqa.operators.clean import answerable, locate_answers, rejected
+from corpusqa.operators import clean
+from corpusqa.operators.clean import answerable, first_passage_per_docid, locate_answers, rejected
 
 
 def test_blank_removal_keeps_newline_and_ideographic_space(spark):
@@ -25,6 +27,23 @@ def test_answer_location_golden(spark):
     assert sorted(r.id for r in answerable(locate_answers(train, passages)).collect()) == [1, 2]
 
 
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_first_row_per_docid(spark, monkeypatch, bound):
+    monkeypatch.setattr(clean, "BROADCAST_DOCIDS", bound)
+    rows = [(i, i % 700 if i % 3 else 1, f"text {i}") for i in range(2000)] + [(3000, None, "no id"), (3001, None, "nor this"), (3002, 9999, None)]
+    first = {}
+    for ordinal, docid, text in rows:
+        first.setdefault(docid, text)
+    df = spark.createDataFrame(rows[::-1], "ordinal long, docid long, passage string").repartition(5)
+    out = first_passage_per_docid(df)
+    assert out.columns == ["docid", "passage"]
+    got = [(r.docid, r.passage) for r in out.collect()]
+    assert dict(got) == first and len(got) == len(first)
+    if bound:  # the texts stay where they are
+        assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    assert first_passage_per_docid(df.filter("ordinal < 0")).count() == 0
+
+
 def test_unicode_code_points(spark):
     df = spark.createDataFrame([("a😀b",)], "t string")
     r = df.select(F.instr("t", F.lit("b")).alias("i"), F.length("t").alias("n"), char_tokens("t").alias("k")).first()

@@ -2,6 +2,7 @@
 an end-to-end result that does not depend on the number of partitions."""
 
 import os
+import re
 
 import pytest
 
@@ -36,7 +37,9 @@ def test_bm25_plan_uses_partial_top_k(spark):
     path = scratch_path(spark, "index")
     retrieval.write_index(retrieval.build_index(p), path)
     plan = _plan(retrieval.bm25_topk(retrieval.read_index(spark, path), q, 10))
-    assert plan.count("/postings]") == 1 and plan.count("/term_stats]") == 1
+    assert plan.count("/blocks]") == 1 and plan.count("/term_stats]") == 1 and "/postings]" not in plan
+    # scores are not shuffled by (question, document): only each shard's best are
+    assert "FlatMapGroupsInArrow" in plan and not re.search(r"hashpartitioning\([^)]*docid", plan)
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 

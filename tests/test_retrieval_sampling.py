@@ -2,12 +2,13 @@
 retrieval under different partition counts (SURVEY §5 (4))."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusqa.operators.retrieval import bm25_topk, build_index
+from corpusqa.operators.retrieval import BLOCK, best_of_shard, bm25_topk, build_index
 from corpusqa.operators.sample import global_rank, sample_training, shuffle_batches
 
 DOCS = [
@@ -50,6 +51,42 @@ def test_bm25_matches_brute_force(spark):
         assert [s for _, s in got[qid]] == pytest.approx([s for _, s in exp[qid]], abs=1e-6)
 
 
+def test_bm25_with_stop_words_and_ties(spark):
+    """A word in every document, groups of equal documents, many shards and parts of questions."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join(["the"] * rng.randint(1, 4) + rng.choices(words, k=rng.randint(1, 40)))) for i in range(1200)]
+    docs += [(5000 + i, docs[7][1]) for i in range(60)]
+    qs = [(i, " ".join(["the", "the", *rng.choices(words, k=rng.randint(0, 12))])) for i in range(40)] + [(99, docs[7][1])]
+    d, q = spark.createDataFrame(docs, "docid long, passage string"), spark.createDataFrame(qs, "id long, question string")
+    got = {}
+    for r in bm25_topk(build_index(d), q, k=10).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append((r.docid, r.score))
+    exp = brute(docs, qs)
+    assert {i: [d for d, _ in own] for i, own in got.items()} == {i: [d for d, _ in own] for i, own in exp.items()}
+    for i, own in got.items():
+        assert [s for _, s in own] == pytest.approx([s for _, s in exp[i]], abs=2e-6)
+
+
+def test_blocks_are_passed_over():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    n, k = 16_000, 10
+    docs = [np.sort(rng.choice(n, 40, replace=False)), np.sort(rng.choice(n, 400, replace=False)), np.arange(n), np.arange(0, n, 2)]
+    norms = [rng.uniform(0.3, 0.9, len(d)) for d in docs]
+    weights = [8.0, 5.0, 0.01, 0.7]
+    block_tops = [np.array([x[i : i + BLOCK].max() for i in range(0, len(x), BLOCK)]) for x in norms]
+    scores = np.zeros(n)
+    best, found, read = best_of_shard(docs, norms, [x.max() for x in norms], block_tops, weights, k, scores)
+    assert not scores.any()
+    for d, x, w in zip(docs, norms, weights):
+        scores[d] += w * x
+    want = np.lexsort((np.arange(n), -np.round(scores, 6)))[:k]
+    assert best.tolist() == want.tolist() and np.allclose(found, scores[want])
+    assert read < 0.1 * sum(map(len, docs))
+
+
 def _features(spark):
     rows = [(ex, 100 + ex, c, "known" if (ex + c) % 4 == 0 else "unknown") for ex in range(40) for c in range(7)]
     return spark.createDataFrame(rows, "example_id long, docid long, chunk_idx int, label string")
