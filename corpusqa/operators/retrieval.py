@@ -270,7 +270,7 @@ def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: st
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     weighted = qt.join(index.term_stats, "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
     parts = F.greatest(F.ceil(questions.select(F.count(F.lit(1))).scalar() / QUESTIONS), F.lit(1))
-    asked = weighted.groupBy("term", F.pmod(F.xxhash64("id"), parts).alias("part")).agg(F.collect_list(F.struct("id", "weight")).alias("asked"))
+    asked = weighted.withColumn("part", F.pmod(F.xxhash64("id"), parts)).groupBy("term", "part").agg(F.collect_list(F.struct("id", "weight")).alias("asked"))
     rows = asked.join(index.blocks, "term").select("shard", "part", "term", "postings", "bounds", "asked", avgdl.alias("avgdl"))
     schema = T.StructType([T.StructField("id", qt.schema["id"].dataType), T.StructField("docid", index.postings.schema["docid"].dataType), T.StructField("score", T.DoubleType())])
     scored = rows.groupBy("shard", "part").applyInArrow(_shard_search(k, k1, b), schema).withColumn("score", F.round("score", 6))
