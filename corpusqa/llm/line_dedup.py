@@ -3,17 +3,15 @@
 A line descends a tree of fixed depth: by its number of tokens, then by its
 first ``LEAD`` tokens, tokens with a digit standing as ``<*>``. A token that stands
 at its place in the leaf's lines of ``min_docs`` or more documents is constant, any
-other is a variable field and becomes ``<*>``; with ``segments``, what follows the
-lead is cut into at most so many runs of tokens, and a run is constant or a field.
-A line's template is what is left; it recurs if ``min_docs`` or more documents hold
+other is a variable field and becomes ``<*>``. A line's template is what is left; it recurs if ``min_docs`` or more documents hold
 it and at least ``similar`` of its tokens are constant.
 
 A line of ``LONG`` tokens or more recurs, whatever its template, if ``long_docs``
 documents hold it as it is, numerals included.
 
 Of a recurring template or long line the first (by doc_id, then place) stays, all
-others are dropped. The tree's tables hold hashes, never text. Runs are taken only
-of lines in leaves of ``min_docs`` or more lines, and of equal lines only once.
+others are dropped. The tree's tables hold 64-bit hashes, never text. Tokens are taken
+only of lines in leaves of ``min_docs`` or more lines, and of equal lines only once.
 """
 
 from __future__ import annotations
@@ -22,10 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusqa.functions.arrays import let
-from corpusqa.llm.common import free_name, stored
+from corpusqa.llm.common import free_name, release, stored
 
 LEAD = 4
-SEGMENTS = 12
 MIN_DOCS = 3
 LONG = 50
 LONG_DOCS = 2
@@ -38,25 +35,11 @@ def spaced(line: Column) -> Column:
     return F.trim(F.regexp_replace(line, "[ \\t\\r\\f]+", " "))
 
 
-def masked(line: Column) -> Column:
-    """A line with single spaces, and tokens that hold a digit as ``<*>``."""
-    plain = spaced(line)
+def masked(plain: Column) -> Column:
+    """A line with single spaces, its tokens that hold a digit as ``<*>``."""
     return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(plain)
 
 
-def _runs(tokens: Column, n: Column, segments: int | None) -> Column:
-    """Hashes and token counts of the runs after the lead: at most ``segments``, or the single tokens."""
-    rest = n - LEAD
-    if segments is None:
-        return F.transform(F.slice(tokens, LEAD + 1, F.greatest(rest, F.lit(0))), lambda t: F.struct(F.hash(t).alias("run"), F.lit(1).alias("size")))
-    runs = F.least(rest, F.lit(segments))
-    edge = lambda i: F.floor(i * rest / runs).cast("int")
-    one = lambda i: F.struct(
-        F.hash(F.array_join(F.slice(tokens, edge(i) + LEAD + 1, edge(i + 1) - edge(i)), " ")).alias("run"), (edge(i + 1) - edge(i)).alias("size")
-    )
-    return F.when(rest > 0, F.transform(F.sequence(F.lit(0), runs - 1), one)).otherwise(F.array().cast("array<struct<run: int, size: int>>"))
-
-
 def _document(doc_id: str, text: str) -> Column:
     """Rows with equal id and text are one document."""
     return F.xxhash64(F.col(f"`{doc_id}`"), F.length(f"`{text}`"), F.xxhash64(F.col(f"`{text}`")))
@@ -69,7 +52,8 @@ def parse(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rows = docs.select(_document(doc_id, text).alias("doc"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.filter(F.col("text").isNotNull())
     lines = rows.select("doc", "doc_id", F.posexplode_outer(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = lines.select("doc", "doc_id", "pos", masked(F.col("line")).alias("m"), F.xxhash64(spaced(F.col("line"))).alias("exact")).filter("m <> ''")
+    lines = lines.select("doc", "doc_id", "pos", spaced(F.col("line")).alias("plain_line")).filter("plain_line <> ''")
+    lines = lines.withColumn("m", masked(F.col("plain_line")))
     place = let(
         F.split("m", " "),
         lambda tokens: F.struct(
@@ -78,20 +62,22 @@ def parse(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             F.exists(tokens, lambda t: t != FIELD).alias("plain"),
         ),
     )
-    lines = lines.select("doc", "doc_id", "pos", F.xxhash64("m").alias("line"), place.alias("p"), "exact")
-    exact = F.when(F.col("p.n") >= LONG, F.col("exact")).alias("exact")
+    lines = lines.select("doc", "doc_id", "pos", F.xxhash64("m").alias("line"), place.alias("p"), "plain_line")
+    exact = F.when(F.col("p.n") >= LONG, F.xxhash64("plain_line")).alias("exact")
     return lines.select("doc", "doc_id", "pos", "line", "p.leaf", "p.n", "p.plain", exact)
 
 
-def _distinct_runs(docs: DataFrame, places: DataFrame, doc_id: str, text: str, segments: int | None) -> DataFrame:
-    """(leaf, line, n, runs) of the lines at ``places`` (doc, pos, leaf, line, n)."""
+def _distinct_lines(docs: DataFrame, places: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(leaf, line, n, tokens) of the lines at ``places`` (doc, pos, leaf, line, n): hashes
+    of the tokens after the lead."""
     wanted = places.groupBy("doc").agg(F.collect_list(F.struct("pos", "leaf", "line", "n")).alias("at"))
     rows = docs.select(_document(doc_id, text).alias("doc"), F.col(f"`{text}`").alias("text"))
     found = let(F.split("text", "\n", -1), lambda own: F.transform("at", lambda p: F.struct(p["leaf"].alias("leaf"), p["line"].alias("line"), p["n"].alias("n"), F.get(own, p["pos"]).alias("text"))))
-    lines = rows.join(wanted, "doc").select(F.explode_outer(found).alias("l")).select("l.leaf", "l.line", "l.n", masked(F.col("l.text")).alias("m"))
-    runs = let(F.split("m", " "), lambda tokens: _runs(tokens, F.col("n"), segments))
+    # the same join at every size: what it shuffles grows with the input
+    lines = rows.join(wanted.hint("merge"), "doc").select(F.explode_outer(found).alias("l")).select("l.leaf", "l.line", "l.n", masked(spaced(F.col("l.text"))).alias("m"))
+    tokens = let(F.split("m", " "), lambda own: F.transform(F.slice(own, LEAD + 1, F.greatest(F.col("n") - LEAD, F.lit(0))), lambda t: F.xxhash64(t)))
     # rows that repeat are one document
-    return lines.select("leaf", "line", "n", runs.alias("runs")).dropDuplicates(["leaf", "line"])
+    return lines.select("leaf", "line", "n", tokens.alias("tokens")).dropDuplicates(["leaf", "line"])
 
 
 def _later(found: DataFrame, by: list[str], least: int) -> DataFrame:
@@ -108,7 +94,6 @@ def dropped_lines(
     text: str = "text",
     min_docs: int = MIN_DOCS,
     similar: float = SIMILAR,
-    segments: int | None = None,
     long_docs: int | None = LONG_DOCS,
 ) -> DataFrame:
     """(doc, dropped): places of the lines to drop, for each document that has any."""
@@ -119,21 +104,21 @@ def dropped_lines(
     held = lines.groupBy("leaf", "line", "doc").agg(F.min("pos").alias("pos"), F.min("n").alias("n"))
     distinct = held.groupBy("leaf", "line").agg(F.min("n").alias("n"), F.count("*").alias("docs"), F.min(F.struct("doc", "pos")).alias("first"))
     distinct = stored(distinct.select("leaf", "line", "n", "docs", "first.doc", "first.pos"), "distinct-lines")
-    runs = stored(_distinct_runs(docs, distinct, doc_id, text, segments), "runs")
-    # constant runs of a leaf, by the documents that hold them; a line of enough documents counts once
+    tokens = stored(_distinct_lines(docs, distinct, doc_id, text), "tokens")
+    # constant tokens of a leaf, by the documents that hold them; a line of enough documents counts once
     few = held.join(distinct.filter(F.col("docs") < min_docs).select("leaf", "line"), ["leaf", "line"], "left_semi").select("leaf", "line", "doc")
-    few = runs.join(few, ["leaf", "line"]).select("leaf", "doc", F.posexplode("runs").alias("i", "r")).select("leaf", "doc", "i", "r.run").distinct()
-    many = runs.join(distinct.filter(F.col("docs") >= min_docs).select("leaf", "line"), ["leaf", "line"], "left_semi")
-    many = many.select("leaf", F.posexplode("runs").alias("i", "r")).select("leaf", "i", "r.run", F.lit(min_docs).alias("docs"))
-    constant = few.select("leaf", "i", "run", F.lit(1).alias("docs")).union(many).groupBy("leaf", "i", "run").agg(F.sum("docs").alias("docs"))
-    constant = constant.filter(F.col("docs") >= min_docs).select("leaf", "i", "run", F.lit(True).alias("constant"))
+    few = tokens.join(few, ["leaf", "line"]).select("leaf", "doc", F.posexplode("tokens").alias("i", "token")).distinct()
+    many = tokens.join(distinct.filter(F.col("docs") >= min_docs).select("leaf", "line"), ["leaf", "line"], "left_semi")
+    many = many.select("leaf", F.posexplode("tokens").alias("i", "token"), F.lit(min_docs).alias("docs"))
+    constant = few.select("leaf", "i", "token", F.lit(1).alias("docs")).union(many).groupBy("leaf", "i", "token").agg(F.sum("docs").alias("docs"))
+    constant = constant.filter(F.col("docs") >= min_docs).select("leaf", "i", "token", F.lit(True).alias("constant"))
     # each distinct line's template
-    cut = runs.select("leaf", "line", "n", F.posexplode_outer("runs").alias("i", "r")).select("leaf", "line", "n", "i", "r.run", "r.size")
-    cut = cut.join(constant, ["leaf", "i", "run"], "left")
+    cut = tokens.select("leaf", "line", "n", F.posexplode_outer("tokens").alias("i", "token"))
+    cut = cut.join(constant, ["leaf", "i", "token"], "left")
     template = cut.groupBy("leaf", "line").agg(
         F.min("n").alias("n"),
-        F.sum(F.when(F.col("constant"), F.col("size")).otherwise(0)).alias("same"),
-        F.bit_xor(F.when(F.col("constant"), F.xxhash64("i", "run"))).alias("fields"),
+        F.count("constant").alias("same"),
+        F.bit_xor(F.when(F.col("constant"), F.xxhash64("i", "token"))).alias("fields"),
     )
     similar_enough = F.least("n", F.lit(LEAD)) + F.col("same") >= F.lit(similar) * F.col("n")
     template = template.filter(similar_enough).select("leaf", "line", F.xxhash64("n", "same", "fields").alias("template"))
@@ -141,7 +126,9 @@ def dropped_lines(
     out = _later(found, ["leaf", "template"], min_docs)
     if long_docs is not None:
         out = out.union(_later(whole.filter("plain and exact is not null"), ["exact"], long_docs))
-    return out.groupBy("doc").agg(F.collect_set("pos").alias("dropped"))
+    dropped = stored(out.groupBy("doc").agg(F.collect_set("pos").alias("dropped")), "dropped")
+    release(whole, lines, distinct, tokens, found)
+    return dropped
 
 
 def dedup_lines(
@@ -150,7 +137,6 @@ def dedup_lines(
     text: str = "text",
     min_docs: int = MIN_DOCS,
     similar: float = SIMILAR,
-    segments: int | None = None,
     long_docs: int | None = LONG_DOCS,
 ) -> DataFrame:
     """``docs`` with ``text`` without the lines dropped, and two columns more:
@@ -161,10 +147,10 @@ def dedup_lines(
     are one document and lose the same lines. A null doc_id comes first. An empty
     table gives an empty result; other columns are carried as they are.
     """
-    drops = dropped_lines(docs, doc_id, text, min_docs, similar, segments, long_docs)
+    drops = dropped_lines(docs, doc_id, text, min_docs, similar, long_docs)
     key, text_col = free_name(docs, "line_doc"), F.col("own_text")
     own = docs.select(_document(doc_id, text).alias("doc"), F.struct("*").alias(key), F.col(f"`{text}`").alias("own_text"))
-    joined = own.join(drops, "doc", "left")
+    joined = own.join(drops.hint("merge"), "doc", "left")
     lines = F.split(text_col, "\n", -1)
     # array_except goes by hash and keeps the order
     staying = lambda own: F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("dropped"))

@@ -14,18 +14,15 @@ WITH lines AS (
   SELECT doc_id, pos, list_transform(string_split({_LINE}, ' '), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{line_dedup.FIELD}' ELSE x END) AS tok
   FROM lines WHERE {_LINE} <> ''
 ), placed AS (
-  SELECT doc_id, pos, tok, len(tok) AS n, tok[1:{line_dedup.LEAD}] AS lead, len(tok) - {line_dedup.LEAD} AS rest,
-    least(len(tok) - {line_dedup.LEAD}, {line_dedup.SEGMENTS}) AS k
-  FROM tokens WHERE len(list_filter(tok, lambda x: x <> '{line_dedup.FIELD}')) > 0
-), runs AS (
-  SELECT doc_id, pos, n, lead, i, (i + 1) * rest // k - i * rest // k AS size,
-    array_to_string(tok[{line_dedup.LEAD} + 1 + i * rest // k : {line_dedup.LEAD} + (i + 1) * rest // k], ' ') AS run
-  FROM (SELECT *, unnest(range(k)) AS i FROM placed WHERE k > 0)
+  SELECT doc_id, pos, tok, len(tok) AS n, tok[1:{line_dedup.LEAD}] AS lead FROM tokens
+  WHERE len(list_filter(tok, lambda x: x <> '{line_dedup.FIELD}')) > 0
+), rest AS (
+  SELECT doc_id, pos, n, lead, unnest(tok[{line_dedup.LEAD} + 1:]) AS token, unnest(range(n - {line_dedup.LEAD})) AS i FROM placed WHERE n > {line_dedup.LEAD}
 ), constant AS (
-  SELECT n, lead, i, run FROM runs GROUP BY ALL HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}
+  SELECT n, lead, i, token FROM rest GROUP BY ALL HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}
 ), fields AS (
-  SELECT r.doc_id, r.pos, sum(CASE WHEN c.run IS NOT NULL THEN r.size ELSE 0 END) AS same, list(c.run ORDER BY r.i) AS fields
-  FROM runs r LEFT JOIN constant c ON r.n = c.n AND r.lead = c.lead AND r.i = c.i AND r.run = c.run
+  SELECT r.doc_id, r.pos, count(c.token) AS same, list(c.token ORDER BY r.i) AS fields
+  FROM rest r LEFT JOIN constant c ON r.n = c.n AND r.lead = c.lead AND r.i = c.i AND r.token = c.token
   GROUP BY r.doc_id, r.pos
 ), template AS (
   SELECT p.doc_id, p.pos, p.n, p.lead, f.fields
@@ -34,10 +31,16 @@ WITH lines AS (
 ), recurring AS (
   SELECT n, lead, fields, min((doc_id, pos)) AS first FROM template GROUP BY n, lead, fields
   HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}
+), long AS (
+  SELECT l.doc_id, l.pos, {_LINE} AS line FROM lines l JOIN placed p ON l.doc_id = p.doc_id AND l.pos = p.pos WHERE p.n >= {line_dedup.LONG}
+), same_long AS (
+  SELECT line, min((doc_id, pos)) AS first FROM long GROUP BY line HAVING count(DISTINCT doc_id) >= {line_dedup.LONG_DOCS}
 ), dropped AS (
   SELECT t.doc_id, t.pos FROM template t JOIN recurring r
     ON t.n = r.n AND t.lead = r.lead AND t.fields IS NOT DISTINCT FROM r.fields
   WHERE (t.doc_id, t.pos) <> r.first
+  UNION
+  SELECT l.doc_id, l.pos FROM long l JOIN same_long s ON l.line = s.line WHERE (l.doc_id, l.pos) <> s.first
 ), kept AS (
   SELECT l.doc_id, count(*) AS n_lines, count(d.pos) AS n_dropped,
     string_agg(CASE WHEN d.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos) AS text
