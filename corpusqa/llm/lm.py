@@ -1,43 +1,46 @@
 """LM scoring with a weighted backoff automaton.
 
-The automaton is a Spark table that grows with the corpus: one row for each word
-and for each n-gram of higher order that occurs ``GRAM_LEAST`` times or more in
-the training texts. An n-gram is (ctx, suf), the keys of itself without its last
-and without its first word; its own key is the hash of both.
-
-Each row has one weight: the log-probability of its arc less that of the failure
-path that the arc replaces, plus the weight of the failure arc that leaves the
-state it leads to. Along a text these add up to what a walk of the automaton
-gives (``build`` and ``walk`` are that walk, for a model in memory), so a text's
-score is the sum of the weights of its n-grams, and they are looked up by a join.
-
-Two broadcasts of fixed size save rows of that join and change no score: the rows
-of the most frequent n-grams, and a sieve of bits that holds every key in the table.
-The shares of ``train`` cut the automaton and are zero by default.
+States are n-grams that have followers, arcs the n-grams themselves: from the state
+of its first words an n-gram leads, by its last word, on to the longest end that is a state.
+Where a state has no arc for a word, its failure arc leads to the state without the
+first word. Interpolated absolute discounting gives the weights:
+P(w|h) = max(c(hw) - d, 0) / c(h) + b(h) P(w|h'), b(h) the failure arc's, what the kept
+n-grams of h leave. So a state's probabilities sum to one over all words.
+
+The automaton is a Spark table that grows with the corpus: one row for each word, and
+for each n-gram of higher order seen ``LEAST`` times, with its count and the mass that it
+leaves to its followers. An n-gram is known by a 64-bit hash of those of itself without
+the last and without the first word.
+
+Texts are walked in chunks, the rows of a stretch of a file. A chunk asks once for
+the arcs of all its n-grams; they meet the chunk's texts, and each text is traversed left to
+right, a state carried along and log-probabilities added up.
+
+Two broadcasts of fixed size save shuffled rows and change no result: the rows of the most
+frequent n-grams, and a sieve of bits that rules out keys which no table row has.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusqa.llm.common import byte_values, crc32_mod, pieces, stored, widen
+from corpusqa.llm.common import byte_values, crc32_mod, release, stored, widen
 
 END = b""  # the token after a text's last word; no word is empty
 ALPHA = 0.1
 DISCOUNT = 0.5
-ROOT_SHARE = 0.0
-WORD_SHARE = 0.0
-GRAM_SHARE = 0.0
-GRAM_LEAST = 2  # an n-gram that occurs once is not kept
-ORDER = 3
+LEAST = (1, 2, 3)  # n-grams of each order are kept from so many occurrences on
 TOP_SHARE = 5e-6  # an n-gram of this share of the training tokens is broadcast
 SIEVE = 28  # bits of a key that find its place in the sieve
-FLUSH = 1 << 18  # distinct words, or tokens, that a task holds before it passes them on
+FLUSH = 1 << 20  # tokens whose n-grams a task holds before it passes them on
+STEP = 1 << 18  # tokens that are walked at a time
+CHUNK = 4096  # rows of a chunk
 
 
 def tokens(raw: bytes) -> list[bytes]:
@@ -47,150 +50,10 @@ def tokens(raw: bytes) -> list[bytes]:
     return words
 
 
-def _counts(texts: DataFrame, grams, broadcast=None) -> DataFrame:
-    """(gram string, n long) over ``texts`` (one string column): each task adds
-    up what ``grams(tokens)`` yields and passes it on, then equal grams meet."""
-
-    def run(batches):
-        from collections import Counter
-
-        import pyarrow as pa
-
-        def out(held):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())], names=["gram", "n"]
-            )
-
-        held: Counter = Counter()
-        for batch in batches:
-            for part in pieces(batch, 500):
-                for raw in byte_values(part.column(0)):
-                    held.update(grams(tokens(raw)))
-                    if len(held) >= FLUSH:
-                        yield out(held)
-                        held = Counter()
-        if held:
-            yield out(held)
-
-    return texts.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Model:
-    """Automaton: a state is (arcs, state to fall back to, log10 weight of that).
-    An arc is word -> (log10 probability, next state). ``root`` falls nowhere."""
-
-    root: tuple
-    total: int  # training tokens
-    distinct: int  # distinct training tokens
-
-    def rest(self, count: int = 0) -> float:
-        """log10 probability of a word outside the root that was seen ``count`` times."""
-        return log_share(count, self.total, self.distinct)
-
-
 def log_share(count: int, total: int, distinct: int) -> float:
     return math.log10((count + ALPHA) / (total + ALPHA * (distinct + 1)))
 
 
-def build(words: dict[bytes, int], grams: list[dict[tuple, int]], total: int, distinct: int) -> Model:
-    """Automaton from the counts of the root's words and of the kept n-grams of
-    order 2, 3, ... Absolute discounting: a context h gives the kept words what
-    their counts leave after ``DISCOUNT``, and its failure arc the whole rest:
-    P(w|h) = max(c(hw) - d, 0) / c(h) + b(h) P(w|h'), b(h) = 1 - sum of the first
-    terms. So each state's probabilities sum to one over all words."""
-    count: dict[tuple, int] = {(w,): c for w, c in words.items()}
-    for level in grams:
-        count.update(level)
-    heir: dict[tuple, float] = {}  # mass that a context keeps for its kept words
-    for level in grams:
-        for g, c in level.items():
-            heir[g[:-1]] = heir.get(g[:-1], 0.0) + max(c - DISCOUNT, 0)
-    back = {h: max(1 - s / count[h], 1e-12) for h, s in heir.items()}
-
-    def prob(g: tuple) -> float:
-        if len(g) == 1:
-            return 10 ** log_share(count[g], total, distinct)
-        h = g[:-1]
-        own = max(count[g] - DISCOUNT, 0) / count[h] if g in count else 0.0
-        return own + back.get(h, 1.0) * prob(g[1:])
-
-    arcs: dict[tuple, dict] = {(): {}} | {h: {} for h in heir}
-    states: dict[tuple, tuple] = {}
-
-    def suffix(g: tuple) -> tuple:
-        """The longest end of ``g`` that is a state."""
-        while g and g not in arcs:
-            g = g[1:]
-        return g
-
-    for h in sorted(arcs, key=len):
-        states[h] = (arcs[h], states[suffix(h[1:])], math.log10(back[h])) if h else (arcs[h], None, 0.0)
-    for w in words:
-        arcs[()][w] = (log_share(words[w], total, distinct), states[suffix((w,))])
-    for level in grams:
-        for g in level:
-            arcs[g[:-1]][g[-1]] = (math.log10(prob(g)), states[suffix(g)])
-    return Model(states[()], total, distinct)
-
-
-def walk(model: Model, words: list[bytes]) -> tuple[float, list[bytes]]:
-    """One traversal, left to right. The sum of log-probabilities along the way,
-    and the words that the root does not hold, whose own are still to be added."""
-    root = state = model.root
-    total, rest = 0.0, []
-    for w in words:
-        while True:
-            arc = state[0].get(w)
-            if arc is not None:
-                total += arc[0]
-                state = arc[1]
-                break
-            if state is root:
-                rest.append(w)
-                break
-            total += state[2]
-            state = state[1]
-    return total, rest
-
-
-def _pack(model: Model) -> tuple:
-    """A model without references between its states, for pickling."""
-    order, index = [], {}
-
-    def number(state):
-        if id(state) not in index:
-            index[id(state)] = len(order)
-            order.append(state)
-        return index[id(state)]
-
-    number(model.root)
-    rows = []
-    for state in order:  # grows while it is read
-        arcs, fail, weight = state
-        rows.append(({w: (p, number(to)) for w, (p, to) in arcs.items()}, None if fail is None else number(fail), weight))
-    return rows, model.total, model.distinct
-
-
-def _unpack(packed: tuple) -> Model:
-    rows, total, distinct = packed
-    arcs = [{} for _ in rows]
-    states: list = [None] * len(rows)
-
-    def state(i):
-        if states[i] is None:
-            _, fail, weight = rows[i]
-            states[i] = (arcs[i], None if fail is None else state(fail), weight)
-        return states[i]
-
-    for i in range(len(rows)):
-        state(i)
-    for i, (own, _, _) in enumerate(rows):
-        for w, (p, to) in own.items():
-            arcs[i][w] = (p, states[to])
-    return Model(states[0], total, distinct)
-
-
 def _hash_long(x, seed):
     """Spark's xxhash64 of longs, for arrays of uint64; ``seed`` a number or such an array."""
     import numpy as np
@@ -216,23 +79,24 @@ class _Words(dict):
         return out
 
 
-def _texts(column, words: _Words):
-    """(first row, rows, hashes, sizes) of an Arrow string column: the texts'
-    tokens one after another, in parts of about ``FLUSH`` tokens."""
+def _texts(column, words: _Words, size: int = FLUSH):
+    """(first row, hashes, sizes) of an Arrow string column: the texts' tokens one
+    after another, in parts of about ``size`` tokens."""
     import numpy as np
 
-    first, own = 0, []
+    first, own, held = 0, [], 0
     for i in range(len(column)):
         found = tokens(byte_values(column.slice(i, 1))[0])
         own.append(np.fromiter(map(words.__getitem__, found), np.uint64, len(found)))
-        if sum(map(len, own)) >= FLUSH or len(own) == 500 or i == len(column) - 1:
-            yield first, len(own), np.concatenate(own), np.array([len(x) for x in own])
-            first, own = i + 1, []
+        held += len(found)
+        if held >= size or i == len(column) - 1:
+            yield first, np.concatenate(own), np.array([len(x) for x in own])
+            first, own, held = i + 1, [], 0
 
 
 def _orders(hashes, sizes, order: int):
     """(ctx, suf, key, inside) for n-grams of order 2 to ``order`` at every token
-    they start from; ``inside`` is whether the text still has all their words."""
+    they start from; ``inside`` is whether one text has all their words."""
     import numpy as np
 
     inside = np.ones(len(hashes), bool)
@@ -245,176 +109,222 @@ def _orders(hashes, sizes, order: int):
         inside = inside[:-1] & inside[1:]
 
 
-def _grams(texts: DataFrame, order: int, inner) -> DataFrame:
-    """(size, ctx, suf, n) of all n-grams of order 2 to ``order`` whose words are in
-    ``inner`` (sorted hashes; the end token is in any; None: all words)."""
-    shared = texts.sparkSession.sparkContext.broadcast(inner)
+def _passes(sieve, keys):
+    import numpy as np
+
+    bit = keys >> np.uint64(64 - SIEVE)
+    return (sieve[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _sieve(keys: DataFrame):
+    """Bits; that of every ``key`` is set."""
+    import numpy as np
+
+    bit = f"bit_or(shiftleft(1L, cast(shiftrightunsigned(key, {64 - SIEVE}) & 63 as int)))"
+    rows = keys.groupBy(F.shiftrightunsigned("key", 64 - SIEVE + 6).alias("at")).agg(F.expr(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << SIEVE - 6, np.uint64)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _words(texts: DataFrame) -> DataFrame:
+    """(key, n) of the tokens of ``texts`` (one string column)."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        words = _Words()
+        for batch in batches:
+            for _, hashes, _ in _texts(batch.column(0), words):
+                keys, n = np.unique(hashes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _grams(texts: DataFrame, order: int, lower: DataFrame) -> DataFrame:
+    """(ctx, suf, n) of the n-grams of ``order``. One seen so often as to be kept has both its
+    n-grams of the order below in ``lower`` (key): others are not passed on."""
+    shared = texts.sparkSession.sparkContext.broadcast(_sieve(lower))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        words, inner = _Words(), shared.value
+        words = _Words()
         for batch in batches:
-            for _, _, hashes, sizes in _texts(batch.column(0), words):
-                held = None if inner is None else np.isin(hashes, inner)
-                if held is not None:
-                    held[np.cumsum(sizes) - 1] = True
-                for size, (ctx, suf, key, inside) in enumerate(_orders(hashes, sizes, order), 2):
-                    if held is not None:
-                        held = held[:-1] & held[1:]
-                        inside = inside & held
-                    at = np.flatnonzero(inside)
-                    _, first, n = np.unique(key[at], return_index=True, return_counts=True)
-                    at = at[first]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), size, np.int32)), pa.array(ctx[at].view(np.int64)), pa.array(suf[at].view(np.int64)), pa.array(n)], names=["size", "ctx", "suf", "n"]
-                    )
-
-    return texts.mapInArrow(run, "size int, ctx long, suf long, n long").groupBy("size", "ctx", "suf").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Weights:
-    """Automaton as a table: (key, n, base, weight), ``base`` the log10 probability
-    of a word by itself and null for n-grams."""
-
-    table: DataFrame
-    order: int
-    total: int
-    distinct: int
-
-
-def train(texts: DataFrame, order: int, root_share: float, word_share: float, gram_share: float) -> Weights:
-    """The automaton of ``texts`` (one string column). With shares above zero only
-    words of both shares of the tokens are in n-grams, and only n-grams of theirs."""
-    counts = stored(_counts(texts, list), "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    words = counts.select(F.xxhash64("gram").alias("key"), "gram", "n")
-    inner, least = None, max(root_share, word_share)
-    if least > 0:  # no more than 1 / share rows
+            for _, hashes, sizes in _texts(batch.column(0), words):
+                *_, (ctx, suf, key, inside) = _orders(hashes, sizes, order)
+                known = np.zeros(len(ctx) + 1, bool)
+                known[: len(ctx)] = _passes(shared.value, ctx)
+                known[len(ctx) :] = _passes(shared.value, suf[-1:])
+                at = np.flatnonzero(inside & known[:-1] & known[1:])
+                _, first, n = np.unique(key[at], return_index=True, return_counts=True)
+                at = at[first]
+                yield pa.RecordBatch.from_arrays([pa.array(ctx[at].view(np.int64)), pa.array(suf[at].view(np.int64)), pa.array(n)], names=["ctx", "suf", "n"])
+
+    return texts.mapInArrow(run, "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
+
+
+def train(texts: DataFrame, least: tuple[int, ...] = LEAST) -> tuple[DataFrame, int, int]:
+    """The automaton of ``texts`` (one string column) as a table (key, n, mass), and the
+    counts of tokens and distinct tokens. n-grams of order i are kept from ``least[i - 1]`` on."""
+    level = stored(_words(texts), "words")
+    total, distinct = level.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    done = []
+    for order in range(2, len(least) + 1):
+        kept = _grams(texts, order, level.filter(F.col("n") >= least[order - 1])).filter(F.col("n") >= least[order - 1])
+        kept = stored(kept.select(F.xxhash64("ctx", "suf").alias("key"), "ctx", "n"), "grams")
+        mass = kept.groupBy(F.col("ctx").alias("key")).agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("mass"))
+        done.append(stored(level.select("key", "n").join(mass, "key", "left"), "arcs"))
+        release(level)
+        level = kept
+    done.append(stored(level.select("key", "n", F.lit(None).cast("double").alias("mass")), "arcs"))
+    release(level)
+    table = stored(reduce(DataFrame.union, done), "automaton")
+    release(*done)
+    return table, total, distinct
+
+
+class Arcs:
+    """Rows of the automaton by key: (key, n, mass), keys sorted."""
+
+    def __init__(self, key, n, mass):
         import numpy as np
 
-        found = words.filter((F.col("n") >= least * total) & (F.col("gram") != END.decode())).select("key").collect()
-        inner = np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
-    kept = _grams(texts, order, inner).filter(F.col("n") >= max(GRAM_LEAST, gram_share * total))
-    kept = stored(kept.select("size", F.xxhash64("ctx", "suf").alias("key"), "ctx", "suf", "n"), "grams")
-    over = F.greatest(F.col("n") - F.lit(DISCOUNT), F.lit(0.0))
-    # mass that a context keeps for its kept words
-    heirs = kept.groupBy(F.col("ctx").alias("key")).agg(F.sum(over).alias("mass"))
-    back = F.when(F.col("mass").isNull(), 1.0).otherwise(F.greatest(1 - F.col("mass") / F.col("n"), F.lit(1e-12)))
-    alone = (F.col("n") + F.lit(ALPHA)) / F.lit(total + ALPHA * (distinct + 1))
-    last = stored(words.join(heirs, "key", "left").select("key", "n", alone.alias("p"), back.alias("back"), F.log10(alone).alias("base"), F.log10(alone * back).alias("weight")), "order-1")
-    levels = [last]
-    for size in range(2, order + 1):
-        rows = kept.filter(F.col("size") == size)
-        rows = rows.join(last.select(F.col("key").alias("ctx"), F.col("n").alias("of"), F.col("back").alias("fall")), "ctx")
-        rows = rows.join(last.select(F.col("key").alias("suf"), F.col("p").alias("lower")), "suf")
-        rows = rows.join(heirs, "key", "left") if size < order else rows.withColumn("mass", F.lit(None).cast("double"))
-        rows = rows.select("key", "n", (over / F.col("of") + F.col("fall") * F.col("lower")).alias("p"), back.alias("back"), "fall", "lower")
-        weight = F.log10("p") - F.log10("fall") - F.log10("lower") + F.log10("back")
-        last = stored(rows.select("key", "n", "p", "back", F.lit(None).cast("double").alias("base"), weight.alias("weight")), f"order-{size}")
-        levels.append(last)
-    table = levels[0]
-    for level in levels[1:]:
-        table = table.union(level)
-    return Weights(table.select("key", "n", "base", "weight"), order, total, distinct)
-
-
-def _top(model: Weights) -> tuple:
-    """(keys, base, weight) of the frequent rows, sorted by key; base is NaN for n-grams."""
-    import numpy as np
+        order = np.argsort(key)
+        self.key, self.n, self.mass = key[order], n[order], np.nan_to_num(mass[order])
 
-    rows = model.table.filter(F.col("n") >= TOP_SHARE * model.total).select("key", F.coalesce("base", F.lit(float("nan"))).alias("base"), "weight").toArrow()
-    keys = rows.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], rows.column("base").to_numpy()[order], rows.column("weight").to_numpy()[order]
+    def find(self, key):
+        """(n, mass) of each key; zeros where there is no row."""
+        import numpy as np
 
+        if not len(self.key):
+            return np.zeros(len(key), np.int64), np.zeros(len(key))
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        hit = self.key[at] == key
+        return np.where(hit, self.n[at], 0), np.where(hit, self.mass[at], 0.0)
 
-def _sieve(model: Weights):
-    """Bits; that of every key in the table is set."""
-    import numpy as np
 
-    bit = f"bit_or(shiftleft(1L, cast(shiftrightunsigned(key, {64 - SIEVE}) & 63 as int)))"
-    rows = model.table.groupBy(F.shiftrightunsigned("key", 64 - SIEVE + 6).alias("at")).agg(F.expr(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << SIEVE - 6, np.uint64)
-    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return out
+def walk(hashes, sizes, tables: list[Arcs], order: int, total: int, distinct: int):
+    """(score, base score, known tokens) of texts whose tokens follow one another.
 
+    ``arc[m][t]`` is the log-probability of token t from the state of the m tokens before it,
+    ``fail[m][t]`` the weight of the failure arc of the state of the m tokens up to t; NaN where
+    there is none. Both follow from the counts. Then one traversal, left to right.
+    """
+    import numpy as np
 
-def score(docs: DataFrame, model: Weights, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without ``text``, and n_tokens, n_known, base_score
-    (add-``ALPHA`` unigrams) and score (the automaton's log10 probability).
+    def find(keys):
+        n, mass = zip(*(t.find(keys) for t in tables))
+        return sum(n), sum(mass)  # a key has a row in one table
+
+    def log(values, there):
+        return np.where(there, np.log10(np.where(there, values, 1.0)), np.nan)
+
+    size = len(hashes)
+    n, mass = find(hashes)
+    known = n > 0
+    p = (n + ALPHA) / (total + ALPHA * (distinct + 1))  # of a token after the longest history so far
+    base = np.log10(p)
+    arc, fail = [base], [np.full(size, np.nan)]
+    for m, (_, _, key, inside) in enumerate(_orders(hashes, sizes, order), 1):  # histories of m tokens
+        of, state = n[:-1], mass[:-1] > 0
+        back = np.where(state, np.maximum(1 - mass[:-1] / np.maximum(of, 1), 1e-12), 1.0)
+        fail.append(np.concatenate([np.full(m - 1, np.nan), log(back, state), [np.nan]])[:size])
+        n, mass = find(key)
+        n, mass = np.where(inside, n, 0), np.where(inside, mass, 0.0)
+        own = np.where(n > 0, (n - DISCOUNT) / np.maximum(of, 1), 0.0)
+        p = np.concatenate([p[:m], np.where(inside, own + back * p[m:], p[m:])])[:size]
+        arc.append(np.concatenate([np.full(m, np.nan), log(p[m:], n > 0)])[:size])
+    arc, fail = [a.tolist() for a in arc], [f.tolist() for f in fail]
+    scores, first = [], 0
+    for length in sizes.tolist():
+        score, state = 0.0, 0
+        for t in range(first, first + length):
+            while (weight := arc[state][t]) != weight:  # NaN: no such arc
+                score += fail[state][t - 1]
+                state -= 1  # the end of a state is a state
+            score += weight
+            state += 1
+            while state >= order or state and fail[state][t] != fail[state][t]:
+                state -= 1
+        scores.append(score)
+        first += length
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    return np.array(scores), np.bincount(doc, base, len(sizes)), np.bincount(doc, known, len(sizes)).astype(np.int64)
+
+
+def _with_chunk(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``chunk``: the stretch of ``CHUNK`` rows of its file that a row is in,
+    however the file is split. What is no scan of files is written first."""
+    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK))
+    try:
+        return docs.withColumn("chunk", place)
+    except AnalysisException:
+        return stored(docs, "texts").withColumn("chunk", place)
+
+
+def score(docs: DataFrame, table: DataFrame, total: int, distinct: int, order: int = len(LEAST), text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without ``text``, in a struct ``row``, and n_tokens, n_known,
+    base_score (add-``ALPHA`` unigrams) and score (the automaton's log10 probability).
 
     Null texts are empty: the end token alone. Rows that repeat are scored each
-    by itself; an empty table gives an empty result. Columns of ``docs`` are
-    carried whatever their names, in a struct ``row``.
+    by itself; an empty table gives an empty result; columns may have any names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((*_top(model), _sieve(model)))
-    size = model.order
+    import numpy as np
+
     keep = [c for c in docs.columns if c != text]
     own = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
-
-    def run(batches):
-        import numpy as np
+    rows = _with_chunk(docs.select(own.alias("row"), F.col(f"`{text}`").alias("text")))
+    often = table.filter(F.col("n") >= TOP_SHARE * total).toArrow()  # at most order / TOP_SHARE rows
+    top = Arcs(*(often.column(c).to_numpy() for c in ("key", "n", "mass")))
+    top.key = top.key.view(np.uint64)
+    top = Arcs(top.key, top.n, top.mass)
+    shared = docs.sparkSession.sparkContext.broadcast((top, _sieve(table)))
+
+    def ask(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        top, bases, weights, sieve = shared.value
-        words = _Words()
-        row = TaskContext.get().partitionId() << 40
+        top, sieve = shared.value
+        words, held, chunk = _Words(), [], None
+
+        def out():
+            keys = np.unique(np.concatenate(held))
+            keys = keys[_passes(sieve, keys) & (top.find(keys)[0] == 0)]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys.view(np.int64))], names=["chunk", "key"])
+
         for batch in batches:
-            for first, n, hashes, sizes in _texts(batch.column(1), words):
-                doc = np.repeat(np.arange(n), sizes)
-                known, base, keys, docs = np.zeros(n, np.int64), np.zeros(n), [], []
-                found = np.zeros(len(hashes))  # by an n-gram's last token, so that what cancels meets first
-                ends = np.arange(len(hashes))
-                for key, at in [(hashes, ends), *((key[inside], ends[-len(key) :][inside]) for _, _, key, inside in _orders(hashes, sizes, size) if len(key))]:
-                    if len(top):
-                        place = np.minimum(np.searchsorted(top, key), len(top) - 1)
-                        hit = top[place] == key
-                        place, of = place[hit], at[hit]
-                        found[of] += weights[place]
-                        word = ~np.isnan(bases[place])
-                        known += np.bincount(doc[of[word]], minlength=n)
-                        base += np.bincount(doc[of[word]], bases[place][word], n)
-                        key, at = key[~hit], at[~hit]
-                    bit = key >> np.uint64(64 - SIEVE)
-                    maybe = (sieve[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
-                    keys.append(key[maybe])
-                    docs.append(doc[at[maybe]])
-                found = np.bincount(doc, found, n)
-                at = np.concatenate(docs)
-                order = np.argsort(at, kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)[order].view(np.int64)))
-                ids = pa.array(np.arange(row, row + n))
-                row += n
-                yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column(0).slice(first, n), pa.array(sizes, pa.int64()), pa.array(known), pa.array(base), pa.array(found), lists],
-                    names=["uid", "row", "n_tokens", "n_known", "base", "found", "keys"],
-                )
-
-    rows = docs.select(own.alias("row"), F.col(f"`{text}`").alias("text"))
-    schema = T.StructType([T.StructField("uid", T.LongType()), rows.schema["row"]])
-    schema = widen(schema, "n_tokens long, n_known long, base double, found double, keys array<long>")
-    walked = stored(rows.mapInArrow(run, schema), "walked")
-    # all other n-grams meet their rows of the automaton
-    sums = (
-        walked.select("uid", F.explode("keys").alias("key"))
-        .join(model.table.filter(F.col("n") < TOP_SHARE * model.total), "key")
-        .groupBy("uid")
-        .agg(F.sum("weight").alias("more"), F.sum("base").alias("more_base"), F.count("base").alias("more_known"))
-    )
-    known = F.col("n_known") + F.coalesce("more_known", F.lit(0))
-    never = (F.col("n_tokens") - known) * F.lit(log_share(0, model.total, model.distinct))
-    return walked.join(sums, "uid", "left").select(
-        "row",
-        "n_tokens",
-        known.alias("n_known"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) + never).alias("base_score"),
-        (F.col("found") + F.coalesce("more", F.lit(0.0)) + never).alias("score"),
-    )
+            at = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                if held and (at[a] != chunk or sum(map(len, held)) >= 8 * FLUSH):
+                    yield out()
+                    held = []
+                chunk = at[a]
+                for _, hashes, sizes in _texts(batch.column(1).slice(a, b - a), words):
+                    held.append(np.unique(np.concatenate([hashes, *(key[inside] for _, _, key, inside in _orders(hashes, sizes, order))])))
+        if held:
+            yield out()
+
+    def traverse(texts, arcs):
+        import pyarrow as pa
+
+        own = Arcs(arcs.column("key").to_numpy().view(np.uint64), arcs.column("n").to_numpy(), arcs.column("mass").to_numpy())
+        words, parts = _Words(), []
+        column = texts.column("text").combine_chunks()
+        for _, hashes, sizes in _texts(column, words, STEP):
+            parts.append((sizes, *walk(hashes, sizes, [shared.value[0], own], order, total, distinct)))
+        n, scores, base, known = (np.concatenate(c) for c in zip(*parts))
+        return pa.table({"row": texts.column("row"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known), "base_score": pa.array(base), "score": pa.array(scores)})
+
+    asked = rows.select("chunk", "text").mapInArrow(ask, "chunk long, key long")
+    found = stored(asked.join(table.filter(F.col("n") < TOP_SHARE * total), "key").distinct(), "found")
+    schema = widen(T.StructType([rows.schema["row"]]), "n_tokens long, n_known long, base_score double, score double")
+    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(traverse, schema)
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
@@ -423,6 +333,6 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     row trains."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.withColumn("held_out", F.coalesce(crc32_mod("doc_id", folds) == 0, F.lit(False)))
-    model = train(rows.filter(~F.col("held_out")).select("text"), ORDER, ROOT_SHARE, WORD_SHARE, GRAM_SHARE)
-    out = score(rows, model)
-    return out.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+    table, total, distinct = train(rows.filter(~F.col("held_out")).select("text"))
+    out = score(rows, table, total, distinct)
+    return out.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -1,7 +1,7 @@
 import math
 from collections import Counter
 
-import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from corpusqa.llm import lm
@@ -27,10 +27,9 @@ def base_scores(docs):
     return out, counts
 
 
-def plain_model(docs, counts, order, root_share, word_share, gram_share):
+def plain_model(docs, counts, order=3):
     """P(word | history) by the definition of interpolated discounting, word by word."""
     total, distinct = sum(counts.values()), len(counts)
-    inner = {w for w, c in counts.items() if c >= max(word_share, root_share) * total and w != lm.END}
     kept = {}
     for n in range(2, order + 1):
         found = Counter()
@@ -38,9 +37,8 @@ def plain_model(docs, counts, order, root_share, word_share, gram_share):
             if crc(i) % 10:
                 own = split(t)
                 for g in zip(*[own[k:] for k in range(n)]):
-                    if n == 2 and g[0] in inner and (g[1] in inner or g[1] == lm.END) or n > 2 and g[:-1] in kept and g[1:] in kept:
-                        found[g] += 1
-        kept |= {g: c for g, c in found.items() if c >= max(lm.GRAM_LEAST, gram_share * total)}
+                    found[g] += 1
+        kept |= {g: c for g, c in found.items() if c >= lm.LEAST[n - 1]}
     heirs = {}
     for g, c in kept.items():
         heirs.setdefault(g[:-1], []).append(max(c - lm.DISCOUNT, 0))
@@ -63,13 +61,10 @@ def plain_model(docs, counts, order, root_share, word_share, gram_share):
     return score
 
 
-@pytest.mark.parametrize("shares", [(lm.ROOT_SHARE, lm.WORD_SHARE, lm.GRAM_SHARE), (1e-3, 2e-3, 5e-4)])
-def test_query_equals_brute_force(spark, documents, monkeypatch, shares):
-    for name, value in zip(("ROOT_SHARE", "WORD_SHARE", "GRAM_SHARE"), shares):
-        monkeypatch.setattr(lm, name, value)
+def test_query_equals_brute_force(spark, documents):
     docs = [(i, t) for i, t, _ in documents]
     want, counts = base_scores(docs)
-    score = plain_model(docs, counts, lm.ORDER, *shares)
+    score = plain_model(docs, counts)
     rows = {r.doc_id: r for r in op10_lm_scoring(spark, SMALL).collect()}
     assert rows.keys() == want.keys()
     texts = dict(docs)
@@ -77,31 +72,33 @@ def test_query_equals_brute_force(spark, documents, monkeypatch, shares):
         r = rows[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
-        if i % 4 == 0:
-            assert math.isclose(r.score, score(texts[i]), rel_tol=1e-9)
+        assert math.isclose(r.score, score(texts[i]), rel_tol=1e-9)
     held = [r for r in rows.values() if r.held_out]
-    if shares[0] < 1e-6:  # the whole model, not one cut to a few words
-        assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
 def test_probabilities_sum_to_one():
-    words = {b"a": 6, b"b": 4, b"c": 2, lm.END: 3}
-    grams = [{(b"a", b"b"): 3, (b"b", b"a"): 2, (b"b", lm.END): 2}, {(b"a", b"b", b"a"): 2}]
-    model = lm.build(words, grams, 15, 4)
-    for history in ([], [b"a"], [b"b"], [b"a", b"b"], [b"c", b"b"]):
-        before = lm.walk(model, history)[0]
-        total = 10 ** lm.log_share(0, 15, 4)  # a word never seen, from the root
-        weight = lm.walk(model, [*history, b"unseen"])[0] - before
-        total *= 10**weight
-        total += sum(10 ** (lm.walk(model, [*history, w])[0] - before) for w in words)
-        assert math.isclose(total, 1, rel_tol=1e-9), history
-
-
-def test_packed_model_is_the_same():
-    model = lm.build({b"a": 6, b"b": 4}, [{(b"a", b"b"): 3}, {}], 10, 2)
-    again = lm._unpack(lm._pack(model))
-    for words in ([b"a", b"b", b"a"], [b"x", b"b"], []):
-        assert lm.walk(again, words) == lm.walk(model, words)
+    """From every state, over all words and one never seen."""
+    words, grams = {"a": 6, "b": 4, "c": 2, "": 3}, {"ab": 3, "ba": 2, "b": 2, "aba": 3}
+    h = lm._Words()
+    of = lambda g: h[g.encode()]
+    two = lambda x, y: int(lm._hash_long(np.uint64([y]), lm._hash_long(np.uint64([x]), np.uint64(42)))[0])
+    pair = lambda x, y: two(of(x), of(y))
+    rows = {of(w): (n, 0.0) for w, n in words.items()}
+    rows[of("a")], rows[of("b")] = (6, 2.5), (4, 3.0)
+    rows |= {pair("a", "b"): (3, 2.5), pair("b", "a"): (2, 0.0), pair("b", ""): (2, 0.0)}
+    rows[two(pair("a", "b"), pair("b", "a"))] = (3, 0.0)
+    arcs = lm.Arcs(np.array(list(rows), np.uint64), *(np.array(c) for c in zip(*rows.values())))
+    seen = set()
+    for history in ([], ["a"], ["b"], ["a", "b"], ["c", "b"], ["x"]):
+        def score(more):
+            own = np.array([of(w) for w in [*history, *more]], np.uint64)
+            return lm.walk(own, np.array([len(own)]), [arcs], 3, 15, 4)[0][0] if len(own) else 0.0
+
+        share = [10 ** (score([w]) - score([])) for w in [*words, "never"]]
+        assert math.isclose(sum(share), 1, rel_tol=1e-9), history
+        seen.add(round(share[0], 9))
+    assert len(grams) == 4 and len(seen) > 3
 
 
 def test_cases(spark):
@@ -123,19 +120,20 @@ def test_cases(spark):
 
 
 def test_rare_grams_are_kept_in_a_large_corpus(spark, monkeypatch):
-    """An n-gram that occurs twice counts however many tokens there are, and the
-    broadcasts change no score."""
+    """An n-gram that occurs often enough counts however many tokens there are; neither
+    the broadcasts nor the chunks change a score."""
     filler = "alpha beta gamma delta " * 75_000
-    docs = [(1, filler), (2, filler), (3, "quick amber foxes sleep"), (5, "quick amber foxes dream"), (6, "foxes amber quick"), (8, None)]
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    docs = [(1, filler), (2, filler), (3, "quick amber foxes sleep"), (5, "quick amber foxes dream"), (6, "foxes amber quick"), (8, None), (9, "quick amber foxes")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
     monkeypatch.setattr(lm, "crc32_mod", lambda col, n: F.when(F.col(col) < 7, F.lit(1)).otherwise(0))
     counts = Counter(w for i, t in docs if i < 7 for w in split(t))
     assert 2 < 1e-5 * sum(counts.values())  # the words of the rare phrase
-    monkeypatch.setattr("tests.llm.test_lm.crc", lambda i: int(i < 7))
-    want = plain_model(docs, counts, lm.ORDER, 0, 0, 0)
-    for top, sieve in ((lm.TOP_SHARE, lm.SIEVE), (2.0, 8), (2.0, lm.SIEVE)):
+    monkeypatch.setitem(globals(), "crc", lambda i: int(i < 7))
+    want = plain_model(docs, counts)
+    for top, sieve, chunk in ((lm.TOP_SHARE, lm.SIEVE, lm.CHUNK), (2.0, 8, 2)):
         monkeypatch.setattr(lm, "TOP_SHARE", top)
         monkeypatch.setattr(lm, "SIEVE", sieve)
+        monkeypatch.setattr(lm, "CHUNK", chunk)
         rows = {r.doc_id: r for r in lm.score_documents(frame).collect()}
         for i, t in docs:
             assert math.isclose(rows[i].score, want(t), rel_tol=1e-9, abs_tol=1e-5), (i, top, sieve)
