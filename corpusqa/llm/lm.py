@@ -40,7 +40,7 @@ TOP_SHARE = 5e-6  # an n-gram of this share of the training tokens is broadcast
 SIEVE = 28  # bits of a key that find its place in the sieve
 FLUSH = 1 << 20  # tokens whose n-grams a task holds before it passes them on
 STEP = 1 << 18  # tokens that are walked at a time
-CHUNK = 4096  # rows of a chunk
+CHUNK = 8192  # rows of a chunk
 
 
 def tokens(raw: bytes) -> list[bytes]:
@@ -127,8 +127,8 @@ def _sieve(keys: DataFrame):
     return out
 
 
-def _words(texts: DataFrame) -> DataFrame:
-    """(key, n) of the tokens of ``texts`` (one string column)."""
+def _words_and_pairs(texts: DataFrame) -> DataFrame:
+    """(ctx, suf, n) of the tokens, ``suf`` null, and the pairs of ``texts`` (one string column)."""
 
     def run(batches):
         import numpy as np
@@ -136,11 +136,16 @@ def _words(texts: DataFrame) -> DataFrame:
 
         words = _Words()
         for batch in batches:
-            for _, hashes, _ in _texts(batch.column(0), words):
+            for _, hashes, sizes in _texts(batch.column(0), words):
                 keys, n = np.unique(hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.nulls(len(keys), pa.int64()), pa.array(n)], names=["ctx", "suf", "n"])
+                for ctx, suf, key, inside in _orders(hashes, sizes, 2):
+                    at = np.flatnonzero(inside)
+                    _, first, n = np.unique(key[at], return_index=True, return_counts=True)
+                    at = at[first]
+                    yield pa.RecordBatch.from_arrays([pa.array(ctx[at].view(np.int64)), pa.array(suf[at].view(np.int64)), pa.array(n)], names=["ctx", "suf", "n"])
 
-    return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
 
 
 def _grams(texts: DataFrame, order: int, lower: DataFrame) -> DataFrame:
@@ -167,24 +172,27 @@ def _grams(texts: DataFrame, order: int, lower: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, least: tuple[int, ...] = LEAST) -> tuple[DataFrame, int, int]:
-    """The automaton of ``texts`` (one string column) as a table (key, n, mass), and the
-    counts of tokens and distinct tokens. n-grams of order i are kept from ``least[i - 1]`` on."""
-    level = stored(_words(texts), "words")
+def train(texts: DataFrame, least: tuple[int, ...] = LEAST) -> tuple[list[DataFrame], int, int]:
+    """The automaton of ``texts`` (one string column) as tables (key, n, mass), one an order, and
+    the counts of tokens and distinct tokens. n-grams of order i are kept from ``least[i - 1]`` on."""
+    first = _words_and_pairs(texts).filter(F.col("suf").isNull() | (F.col("n") >= least[1]))
+    first = stored(first, "words-and-pairs")
+    level = first.filter("suf is null").select(F.col("ctx").alias("key"), "n")
     total, distinct = level.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    done = []
+    kept, done, passing = first.filter("suf is not null"), [], [first]
     for order in range(2, len(least) + 1):
-        kept = _grams(texts, order, level.filter(F.col("n") >= least[order - 1])).filter(F.col("n") >= least[order - 1])
-        kept = stored(kept.select(F.xxhash64("ctx", "suf").alias("key"), "ctx", "n"), "grams")
+        kept = kept.select(F.xxhash64("ctx", "suf").alias("key"), "ctx", "n")
+        if order > 2:
+            kept = stored(kept, "grams")
+            passing.append(kept)
         mass = kept.groupBy(F.col("ctx").alias("key")).agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("mass"))
         done.append(stored(level.select("key", "n").join(mass, "key", "left"), "arcs"))
-        release(level)
         level = kept
+        if order < len(least):
+            kept = _grams(texts, order + 1, level.filter(F.col("n") >= least[order])).filter(F.col("n") >= least[order])
     done.append(stored(level.select("key", "n", F.lit(None).cast("double").alias("mass")), "arcs"))
-    release(level)
-    table = stored(reduce(DataFrame.union, done), "automaton")
-    release(*done)
-    return table, total, distinct
+    release(*passing)
+    return done, total, distinct
 
 
 class Arcs:
@@ -292,7 +300,7 @@ def score(docs: DataFrame, table: DataFrame, total: int, distinct: int, order: i
 
         def out():
             keys = np.unique(np.concatenate(held))
-            keys = keys[_passes(sieve, keys) & (top.find(keys)[0] == 0)]
+            keys = keys[top.find(keys)[0] == 0]
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys.view(np.int64))], names=["chunk", "key"])
 
         for batch in batches:
@@ -306,14 +314,38 @@ def score(docs: DataFrame, table: DataFrame, total: int, distinct: int, order: i
                     held = []
                 chunk = at[a]
                 for _, hashes, sizes in _texts(batch.column(1).slice(a, b - a), words):
-                    held.append(np.unique(np.concatenate([hashes, *(key[inside] for _, _, key, inside in _orders(hashes, sizes, order))])))
+                    for keys in [hashes, *(key[inside] for _, _, key, inside in _orders(hashes, sizes, order))]:
+                        held.append(np.unique(keys[_passes(sieve, keys)]))
         if held:
             yield out()
 
+    def pack(batches):
+        """A row for a chunk, with lists of what many rows say of it: numbers of one kind side by side."""
+        import pyarrow as pa
+
+        def out():
+            rows = pa.Table.from_batches(held).combine_chunks()
+            at = rows.column("chunk").to_numpy()
+            by = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], at[by][1:] != at[by][:-1]]))
+            ends = pa.array([*first.tolist(), len(by)], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, rows.column(c).combine_chunks().take(pa.array(by))) for c in ("key", "n", "mass")]
+            return pa.RecordBatch.from_arrays([pa.array(at[by][first]), *lists], names=["chunk", "key", "n", "mass"])
+
+        held = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= FLUSH:
+                yield out()
+                held = []
+        if sum(b.num_rows for b in held):
+            yield out()
+
     def traverse(texts, arcs):
         import pyarrow as pa
 
-        own = Arcs(arcs.column("key").to_numpy().view(np.uint64), arcs.column("n").to_numpy(), arcs.column("mass").to_numpy())
+        key, n, mass = (arcs.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("key", "n", "mass"))
+        own = Arcs(key.view(np.uint64), n, mass)
         words, parts = _Words(), []
         column = texts.column("text").combine_chunks()
         for _, hashes, sizes in _texts(column, words, STEP):
@@ -322,7 +354,9 @@ def score(docs: DataFrame, table: DataFrame, total: int, distinct: int, order: i
         return pa.table({"row": texts.column("row"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known), "base_score": pa.array(base), "score": pa.array(scores)})
 
     asked = rows.select("chunk", "text").mapInArrow(ask, "chunk long, key long")
-    found = stored(asked.join(table.filter(F.col("n") < TOP_SHARE * total), "key").distinct(), "found")
+    # a chunk that two tasks read asks twice for some arcs, and is told twice
+    found = asked.join(table.filter(F.col("n") < TOP_SHARE * total), "key").select("chunk", "key", "n", F.coalesce("mass", F.lit(0.0)).alias("mass"))
+    found = stored(found.mapInArrow(pack, "chunk long, key array<long>, n array<long>, mass array<double>"), "found")
     schema = widen(T.StructType([rows.schema["row"]]), "n_tokens long, n_known long, base_score double, score double")
     return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(traverse, schema)
 
@@ -333,6 +367,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     row trains."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.withColumn("held_out", F.coalesce(crc32_mod("doc_id", folds) == 0, F.lit(False)))
-    table, total, distinct = train(rows.filter(~F.col("held_out")).select("text"))
-    out = score(rows, table, total, distinct)
+    tables, total, distinct = train(rows.filter(~F.col("held_out")).select("text"))
+    out = score(rows, reduce(DataFrame.union, tables), total, distinct)
+    release(*tables)  # what texts need of them is written
     return out.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
