@@ -1,17 +1,19 @@
 """Scoring of features (M1).
 
-``score_features`` runs a user-supplied model over Arrow batches
-(``mapInPandas``); the model is loaded once per Python worker through the
-``load_fn`` factory.
+``score_features`` runs a user-supplied model over Arrow batches of the three
+input columns (an iterator Pandas UDF); all other columns stay in the JVM. The model
+is loaded once per Python worker through the ``load_fn`` factory.
 """
 
 from __future__ import annotations
 
 import uuid
-from typing import Callable
+from typing import Callable, Iterator, Tuple
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusqa.functions.worker import once_per_worker
@@ -46,22 +48,21 @@ def score_features(features: DataFrame, load_fn: Callable[[], Callable[[np.ndarr
     drawn here. Features are scored where they are; ``balance_features`` before
     ``encode_inputs`` spreads them while rows are still small.
     """
-    schema = T.StructType(features.schema.fields + LOGIT_FIELDS)
     model = uuid.uuid4().hex
 
-    def run(it):
+    @F.pandas_udf(T.StructType(LOGIT_FIELDS))
+    def scored(batches: Iterator[Tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         predict = once_per_worker(("model", model), load_fn)
-        for pdf in it:
-            starts, ends, clss = [], [], []
-            for lo in range(0, len(pdf), batch_size):
-                part = pdf.iloc[lo:lo + batch_size]
-                ids = np.stack(part["input_ids"].to_numpy())
-                mask = np.stack(part["input_mask"].to_numpy())
-                seg = np.stack(part["segment_ids"].to_numpy())
-                s, e, c = predict(ids, mask, seg)
-                starts += list(np.asarray(s, dtype=np.float32))
-                ends += list(np.asarray(e, dtype=np.float32))
-                clss += list(np.asarray(c, dtype=np.float32))
-            yield pdf.assign(start_logits=starts, end_logits=ends, class_logits=clss)
+        for columns in batches:
+            out = ([], [], [])
+            for lo in range(0, len(columns[0]), batch_size):
+                inputs = [np.stack(c.iloc[lo:lo + batch_size].to_numpy()) for c in columns]
+                for own, logits in zip(out, predict(*inputs)):
+                    own += list(np.asarray(logits, dtype=np.float32))
+            yield pd.DataFrame(dict(zip([f.name for f in LOGIT_FIELDS], out)))
 
-    return features.mapInPandas(run, schema)
+    name = "logits"
+    while name in features.columns:
+        name = "_" + name
+    out = features.withColumn(name, scored("input_ids", "input_mask", "segment_ids"))
+    return out.select(*[F.col(f"`{c}`") for c in features.columns], *[F.col(f"{name}.{f.name}") for f in LOGIT_FIELDS])

@@ -124,7 +124,7 @@ def evaluate_run(run: str, global_step: int, examples: DataFrame, passages: Data
 
 def best_predictions(predictions: DataFrame, log_path: str, path: str) -> None:
     """Of all evaluations' predictions, those of each run's best one."""
-    log = predictions.sparkSession.read.parquet(log_path)
+    log = csv_io.read_eval_log(predictions.sparkSession, log_path)
     csv_io.write_best_eval_predictions(predictions, metrics.best_eval_run(log), path)
 
 

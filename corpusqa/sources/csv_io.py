@@ -9,6 +9,7 @@ control character, so that the empty string stays what it is.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusqa.schemas import PREDICTIONS_EVAL, S, T
@@ -53,8 +54,18 @@ def write_table(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite
 
 
 def append_eval_log(df: DataFrame, path: str) -> None:
-    """Append evaluation rows (run, file, global_step, loss, eval_accuracy)."""
-    df.select("run", "file", "global_step", "loss", "eval_accuracy").write.mode("append").parquet(path)
+    """Append evaluation rows (run, file, global_step, loss, eval_accuracy), with the
+    time of writing."""
+    rows = df.select("run", "file", "global_step", "loss", "eval_accuracy", F.current_timestamp().alias("written"))
+    rows.write.mode("append").parquet(path)
+
+
+def read_eval_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the log. An evaluation that was repeated counts once: the row
+    written last for a (run, file, global_step)."""
+    last = F.max(F.struct("written", "loss", "eval_accuracy")).alias("last")
+    rows = spark.read.parquet(path).groupBy("run", "file", "global_step").agg(last)
+    return rows.select("run", "file", "global_step", "last.loss", "last.eval_accuracy")
 
 
 def write_best_eval_predictions(predictions: DataFrame, best: DataFrame, path: str) -> None:
