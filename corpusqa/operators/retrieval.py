@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,7 @@ class Index:
     term_stats: DataFrame
     doc_stats: DataFrame
     corpus_stats: DataFrame
+    dead: DataFrame | None = None  # (docid, shard): documents in ``blocks`` that count no more
 
 
 def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None) -> Index:
@@ -69,20 +70,25 @@ def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None) -
         F.count(F.lit(1)).alias("n_docs"),
         F.avg("dl").alias("avgdl"),
     )
-    return Index(postings, _blocks(postings, corpus), term_stats, doc_stats, corpus)
+    shards = shard_count(passages.sparkSession, corpus.select("n_docs").scalar())
+    return Index(postings, shard_blocks(postings, shards), term_stats, doc_stats, corpus)
 
 
-def _blocks(postings: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Postings by (shard, term), in order, with the bounds of their blocks.
+def shard_count(spark: SparkSession, n_docs: Column) -> Column:
+    """Shards of ``n_docs`` documents: at most about ``SHARD_DOCS`` in each, and as many
+    shards as the cluster runs at once if the documents are few."""
+    least = F.least(F.lit(target_partitions(spark)), F.ceil(n_docs / 512))
+    return F.greatest(F.ceil(n_docs / SHARD_DOCS), least, F.lit(1))
 
-    Shards are dealt by a hash of the docid: at most about ``SHARD_DOCS`` documents
-    each, so a term of every document is a bounded row in each, and as many as the
-    cluster runs at once if the corpus is small.
-    """
-    n_docs = corpus.select("n_docs").scalar()
-    least = F.least(F.lit(target_partitions(postings.sparkSession)), F.ceil(n_docs / 512))
-    shards = F.greatest(F.ceil(n_docs / SHARD_DOCS), least, F.lit(1))
-    rows = postings.withColumn("shard", F.pmod(F.xxhash64("docid"), shards))
+
+def shard_of(docid: str, shards: Column) -> Column:
+    return F.pmod(F.xxhash64(docid), shards)
+
+
+def shard_blocks(postings: DataFrame, shards: Column) -> DataFrame:
+    """Postings by (shard, term), in order, with the bounds of their blocks. Documents are dealt
+    by a hash of the docid, so a term of every document is a bounded row in each shard."""
+    rows = postings.withColumn("shard", shard_of("docid", shards))
     rows = rows.groupBy("shard", "term").agg(F.sort_array(F.collect_list(F.struct("docid", "tf", "dl"))).alias("postings"))
 
     def bound(i):
@@ -134,7 +140,8 @@ def write_index(index: Index, path: str, buckets: int | None = None, mode: str =
     ds.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")).write.mode(mode).parquet(
         f"{path}/corpus_stats"
     )
-    blocks = _blocks(stored, spark.read.parquet(f"{path}/corpus_stats"))
+    shards = shard_count(spark, spark.read.parquet(f"{path}/corpus_stats").select("n_docs").scalar())
+    blocks = shard_blocks(stored, shards)
     blocks.sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/blocks")
 
 
@@ -210,7 +217,7 @@ def best_of_shard(docs, norms, tops, block_tops, weights, k: int, scores):
 
 def _shard_search(k: int, k1: float, b: float):
     """Of the rows (term, postings, bounds, asked, avgdl) of one shard and some questions, each
-    question's best documents."""
+    question's best documents. A row without a term holds documents that count no more."""
 
     def run(rows):
         import numpy as np
@@ -233,11 +240,15 @@ def _shard_search(k: int, k1: float, b: float):
         place = np.empty(len(by_id), np.int64)
         place[by_id.to_numpy()] = np.arange(len(by_id))
         docs, norms, block_tops = place[coded.indices.to_numpy()], gain(postings), gain(bounds)
+        for dead in np.flatnonzero(pc.is_null(rows.column("term")).to_numpy()):
+            norms[np.isin(docs, docs[ends[dead] : ends[dead + 1]])] = 0
         docs = [docs[x:y] for x, y in zip(ends, ends[1:])]
         norms = [norms[x:y] for x, y in zip(ends, ends[1:])]
         block_tops = [block_tops[x:y] for x, y in zip(block_ends, block_ends[1:])]
         tops = [x.max() for x in block_tops]
         ids = asked.field("id").dictionary_encode("encode")
+        if not len(ids):
+            return pa.table({"id": ids.dictionary, "docid": coded.dictionary[:0], "score": pa.array([], pa.float64())})
         term = np.repeat(np.arange(rows.num_rows), np.diff(asked_ends))
         of, weight = ids.indices.to_numpy(), numbers(asked, "weight")
         order = np.argsort(of, kind="stable")
@@ -272,6 +283,12 @@ def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: st
     parts = F.greatest(F.ceil(questions.select(F.count(F.lit(1))).scalar() / QUESTIONS), F.lit(1))
     asked = weighted.withColumn("part", F.pmod(F.xxhash64("id"), parts)).groupBy("term", "part").agg(F.collect_list(F.struct("id", "weight")).alias("asked"))
     rows = asked.join(index.blocks, "term").select("shard", "part", "term", "postings", "bounds", "asked", avgdl.alias("avgdl"))
+    if index.dead is not None:  # a shard hears of its dead documents, at most all of its own
+        none = F.array(F.struct(F.lit(0).cast("long").alias("tf"), F.lit(0).cast("long").alias("dl")))
+        dead = index.dead.groupBy("shard").agg(F.collect_list(F.struct("docid", F.lit(0).cast("long").alias("tf"), F.lit(0).cast("long").alias("dl"))).alias("postings"))
+        told = dead.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "postings", none.alias("bounds"), avgdl.alias("avgdl"))
+        nothing = {"term": F.lit(None).cast("string"), "asked": F.array().cast(asked.schema["asked"].dataType)}
+        rows = rows.unionByName(told.withColumns(nothing))
     schema = T.StructType([T.StructField("id", qt.schema["id"].dataType), T.StructField("docid", index.postings.schema["docid"].dataType), T.StructField("score", T.DoubleType())])
     scored = rows.groupBy("shard", "part").applyInArrow(_shard_search(k, k1, b), schema).withColumn("score", F.round("score", 6))
     w = Window.partitionBy("id").orderBy(F.col("score").desc(), F.col("docid").asc())
