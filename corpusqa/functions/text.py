@@ -84,7 +84,11 @@ def token_to_char_map(text_col) -> Column:
 def char_to_token_map(text_col) -> Column:
     """T4 char -> token: for every character the number of tokens before it. One
     pass over the tokens: each repeats its number for the characters up to it."""
-    n = F.length(_c(text_col))
+    return _tokens_before(token_to_char_map(text_col), F.length(_c(text_col)))
+
+
+def _tokens_before(char_of_token: Column, n_chars: Column) -> Column:
+    """For each of ``n_chars`` characters the tokens before it, from each token's character."""
 
     def spread(at):
         return F.flatten(
@@ -94,14 +98,57 @@ def char_to_token_map(text_col) -> Column:
             )
         )
 
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(
-        let(F.concat(F.array(F.lit(-1)), token_to_char_map(text_col), F.array(n - 1)), spread)
+    return F.when(n_chars == 0, F.array().cast("array<int>")).otherwise(
+        let(F.concat(F.array(F.lit(-1)), char_of_token, F.array(n_chars - 1)), spread)
+    )
+
+
+def byte_pieces(ch: Column) -> Column:
+    """The tokens of one character in byte mode: the UTF-8 bytes of its lower case, two hex
+    digits each; none for a zero-token character."""
+    digits = F.lower(F.hex(F.encode(F.lower(ch), "UTF-8")))
+    return F.when(ch.rlike("^" + ZERO_TOKEN_CLASS + "$"), F.array().cast("array<string>")).otherwise(
+        F.regexp_extract_all(digits, F.lit(".."), F.lit(0))
     )
 
 
-def token_to_char(text_col, token_idx) -> Column:
-    """Character index of token ``token_idx`` (0-based); null if out of range."""
-    return F.element_at(token_to_char_map(text_col), _c(token_idx) + 1)
+def sub_tokens(col, pieces) -> Column:
+    """For every character the array of its tokens, by ``pieces(character) ->
+    array<string>``; any number of them, also none."""
+    return F.when(F.length(_c(col)) == 0, F.array().cast("array<array<string>>")).otherwise(
+        F.transform(F.split(_c(col), ""), pieces)
+    )
+
+
+def all_sub_tokens(col, pieces) -> Column:
+    """The tokens of a text, character by character."""
+    return F.flatten(sub_tokens(col, pieces))
+
+
+def n_sub_tokens(col, pieces) -> Column:
+    return F.aggregate(sub_tokens(col, pieces), F.lit(0), lambda n, t: n + F.size(t))
+
+
+def sub_token_to_char_map(text_col, pieces) -> Column:
+    """T4 token -> char with any number of tokens a character."""
+    return F.flatten(F.transform(sub_tokens(text_col, pieces), lambda t, i: F.array_repeat(i, F.size(t))))
+
+
+def char_to_sub_token_map(text_col, pieces) -> Column:
+    """T4 char -> token with any number of tokens a character: those before it, the place of
+    its first."""
+    return _tokens_before(sub_token_to_char_map(text_col, pieces), F.length(_c(text_col)))
+
+
+def char_to_sub_token(text_col, char_idx, pieces) -> Column:
+    """T4 char -> token for one character, without the map."""
+    return n_sub_tokens(F.substring(_c(text_col), F.lit(1), _c(char_idx)), pieces)
+
+
+def sub_sentence_lengths(text_col, pieces, delimiter: str = DEFAULT_DELIMITER) -> Column:
+    """C1 with any number of tokens a character. A last sentence without tokens is none."""
+    parts = F.regexp_extract_all(_c(text_col), F.lit(sentence_pattern(delimiter)), F.lit(0))
+    return F.filter(F.transform(parts, lambda s: n_sub_tokens(s, pieces)), lambda n: n > 0)
 
 
 def sentence_pattern(delimiter: str = DEFAULT_DELIMITER) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusqa.functions.text import DEFAULT_DELIMITER, n_tokens, sentence_lengths
+from corpusqa.functions.text import DEFAULT_DELIMITER, n_sub_tokens, n_tokens, sentence_lengths, sub_sentence_lengths
 
 # Fixed values of the reference: window overlap inside an over-long sentence,
 # and the capacity rule max_doc_length = max_seq_length - question_len - 3.
@@ -89,8 +89,9 @@ def split_sentences(passages: DataFrame, delimiter: str = DEFAULT_DELIMITER,
 
 def pack_chunks(passages: DataFrame, cap_col: str = "capacity", overlap: int = DEFAULT_OVERLAP,
                 delimiter: str = DEFAULT_DELIMITER, text_col: str = "passage",
-                keep=("docid",)) -> DataFrame:
-    """One row per (document, capacity) with its ordered chunk array.
+                keep=("docid",), pieces=None) -> DataFrame:
+    """One row per (document, capacity) with its ordered chunk array. Tokens are
+    characters, or what ``pieces(character) -> array<string>`` gives (T2).
 
     ``cap_col`` holds max_doc_length per row; it must exceed ``overlap``
     (Q12: fail early instead of the reference's silent loss).
@@ -101,8 +102,8 @@ def pack_chunks(passages: DataFrame, cap_col: str = "capacity", overlap: int = D
     df = passages.select(
         *keep, text_col,
         guarded.cast("int").alias("_cap"),
-        sentence_lengths(text_col, delimiter).alias("_lens"),
-        n_tokens(text_col).alias("n_tokens"),
+        (sub_sentence_lengths(text_col, pieces, delimiter) if pieces else sentence_lengths(text_col, delimiter)).alias("_lens"),
+        (n_sub_tokens(text_col, pieces) if pieces else n_tokens(text_col)).alias("n_tokens"),
     )
     out = df.withColumn("chunks", pack_expr("_lens", "_cap", overlap))
     return out.drop("_lens").withColumnRenamed("_cap", cap_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.functions.text import char_to_token, clean_text
+from corpusqa.functions.text import char_to_sub_token, char_to_token, clean_text
 from corpusqa.session import materialize
 
 
@@ -79,19 +79,21 @@ def rejected(located: DataFrame) -> DataFrame:
     return located.filter(F.col("start_index") < 0).withColumn("reason", reason)
 
 
-def qa_examples(answerable_rows: DataFrame) -> DataFrame:
+def qa_examples(answerable_rows: DataFrame, pieces=None) -> DataFrame:
     """P5 + J1: examples with inclusive character end (``end = end_index - 1``),
     the answer's token positions and its text ``gold``. What needs the passage is
-    taken here, so that examples do not carry a copy of the corpus."""
+    taken here, so that examples do not carry a copy of the corpus. Tokens are
+    characters, or what ``pieces(character) -> array<string>`` gives (T2)."""
     end = F.col("end_index") - 1
+    place = lambda c: char_to_sub_token("passage", c, pieces) if pieces else char_to_token("passage", c)
     return answerable_rows.select(
         F.col("id").alias("guid"),
         "docid",
         "question",
         F.col("start_index").alias("start"),
         end.alias("end"),
-        char_to_token("passage", F.col("start_index")).cast("int").alias("token_start"),
-        char_to_token("passage", end).cast("int").alias("token_end"),
+        place(F.col("start_index")).cast("int").alias("token_start"),
+        place(end).cast("int").alias("token_end"),
         F.substring(F.col("passage"), F.col("start_index") + 1, F.col("end_index") - F.col("start_index")).alias("gold"),
         F.length("passage").cast("long").alias("passage_len"),
     )

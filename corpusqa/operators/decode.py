@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusqa.functions.arrays import let
-from corpusqa.functions.text import token_to_char
+from corpusqa.functions.text import sub_token_to_char_map, token_to_char_map
 
 # Fixed values of the reference: span top-k, score of an invalid span, the
 # no-answer threshold and the fallback answer text.
@@ -95,10 +95,10 @@ def best_span_per_question(chunk_best: DataFrame, order_cols=("rank", "chunk_idx
     )
 
 
-def _with_answer(winners: DataFrame, passages: DataFrame) -> DataFrame:
+def _with_answer(winners: DataFrame, passages: DataFrame, pieces=None) -> DataFrame:
     """Winners left-joined to the passage of their best span, with the
     answer columns; rows without a span keep nulls. One reference to
-    ``winners`` so the decode plan runs once."""
+    ``winners`` so the decode plan runs once, and one map of a passage's tokens."""
     w = winners.select(
         "*",
         F.col("best.docid").alias("_docid"),
@@ -107,14 +107,15 @@ def _with_answer(winners: DataFrame, passages: DataFrame) -> DataFrame:
     )
     p = passages.select(F.col("docid").alias("_docid"), "passage")
     j = w.join(p, "_docid", "left")
-    cs = token_to_char("passage", "tok_start").cast("int")
-    ce = token_to_char("passage", "tok_end").cast("int")
-    return (
-        j.withColumn("char_start", F.when(F.col("best").isNotNull(), cs))
-        .withColumn("char_end", F.when(F.col("best").isNotNull(), ce))
-        .withColumn("answer", F.expr("substring(passage, char_start + 1, char_end - char_start + 1)"))
-        .drop("passage")
-    )
+    char_of_token = sub_token_to_char_map("passage", pieces) if pieces else token_to_char_map("passage")
+
+    def span(m):
+        start, end = (F.get(m, F.col(c)).cast("int") for c in ("tok_start", "tok_end"))
+        text = let(F.struct(start.alias("s"), end.alias("e")), lambda x: F.substring("passage", x["s"] + 1, x["e"] - x["s"] + 1))
+        return F.struct(start.alias("char_start"), end.alias("char_end"), text.alias("answer"))
+
+    found = j.withColumn("_span", F.when(F.col("best").isNotNull() & F.col("passage").isNotNull(), let(char_of_token, span)))
+    return found.select("*", "_span.*").drop("passage", "_span")
 
 
 def winner_passages(winners: DataFrame, passages: DataFrame) -> DataFrame:
@@ -123,12 +124,13 @@ def winner_passages(winners: DataFrame, passages: DataFrame) -> DataFrame:
     return passages.join(wanted, "docid", "left_semi")
 
 
-def span_text(winners: DataFrame, passages: DataFrame) -> DataFrame:
+def span_text(winners: DataFrame, passages: DataFrame, pieces=None) -> DataFrame:
     """Sequence positions -> passage tokens -> characters -> answer text.
 
-    Passages are joined for the winning rows only.
+    Passages are joined for the winning rows only. Tokens are characters, or what
+    ``pieces(character) -> array<string>`` gives (T2).
     """
-    return _with_answer(winners.filter(F.col("best").isNotNull()), passages).select(
+    return _with_answer(winners.filter(F.col("best").isNotNull()), passages, pieces).select(
         "example_id", F.col("_docid").alias("docid"), F.col("best.score").alias("score"), "tok_start", "tok_end",
         "char_start", "char_end", "answer",
     )
@@ -139,10 +141,10 @@ def unanswered(winners: DataFrame) -> DataFrame:
     return winners.filter(F.col("best").isNull()).select("example_id", F.col("last_docid").alias("docid"))
 
 
-def predict_test(winners: DataFrame, passages: DataFrame, fallback: str = FALLBACK_ANSWER) -> DataFrame:
+def predict_test(winners: DataFrame, passages: DataFrame, fallback: str = FALLBACK_ANSWER, pieces=None) -> DataFrame:
     """D8 (test layout) + P8: (id, docid, answer); unanswered examples get the
     fallback text and the docid of their last feature (Q17)."""
-    a = _with_answer(winners, passages)
+    a = _with_answer(winners, passages, pieces)
     return a.select(
         F.col("example_id").alias("id"),
         F.coalesce(F.col("_docid"), F.col("last_docid")).alias("docid"),
@@ -151,10 +153,10 @@ def predict_test(winners: DataFrame, passages: DataFrame, fallback: str = FALLBA
 
 
 def predict_eval(winners: DataFrame, examples: DataFrame, passages: DataFrame,
-                 fallback: str = FALLBACK_ANSWER) -> DataFrame:
+                 fallback: str = FALLBACK_ANSWER, pieces=None) -> DataFrame:
     """D7 + D8 (eval layout): (example_id, prediction, label), label being the
     examples' ``gold`` text."""
-    a = _with_answer(winners, passages)
+    a = _with_answer(winners, passages, pieces)
     return a.join(examples.select("example_id", F.col("gold").alias("label")), "example_id").select(
         "example_id",
         F.coalesce(F.col("answer"), F.lit(fallback)).alias("prediction"),

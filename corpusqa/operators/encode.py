@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.functions.text import DEFAULT_DELIMITER, char_to_token, char_tokens
+from corpusqa.functions.text import DEFAULT_DELIMITER, all_sub_tokens, char_to_sub_token, char_to_token, char_tokens
 from corpusqa.operators.chunk import (
     DEFAULT_MAX_QUESTION_LENGTH,
     DEFAULT_MAX_SEQ_LENGTH,
@@ -27,7 +27,7 @@ TRAIN, EVAL, TEST = "train", "eval", "test"
 
 
 def doc_chunks(pairs: DataFrame, passages: DataFrame, overlap: int = DEFAULT_OVERLAP,
-               delimiter: str = DEFAULT_DELIMITER, vocab: DataFrame | None = None) -> DataFrame:
+               delimiter: str = DEFAULT_DELIMITER, vocab: DataFrame | None = None, pieces=None) -> DataFrame:
     """Chunk rows for distinct (docid, capacity) pairs.
 
     With a vocabulary the chunk's token ids (unpadded) are attached as
@@ -37,11 +37,11 @@ def doc_chunks(pairs: DataFrame, passages: DataFrame, overlap: int = DEFAULT_OVE
     keys = pairs.select("docid", "capacity").distinct()
     docs = keys.join(passages.select("docid", "passage"), "docid")
     packed = pack_chunks(docs, cap_col="capacity", overlap=overlap, delimiter=delimiter,
-                         keep=("docid",))
+                         keep=("docid",), pieces=pieces)
     if vocab is None:
         return explode_chunks(packed.drop("passage"), keep=["docid", "capacity", "n_tokens"])
-    with_tok = packed.withColumn("tokens", char_tokens("passage")).drop("passage")
-    with_ids = token_ids(with_tok, vocab, "tokens", "doc_ids").drop("tokens")
+    with_tok = packed.withColumn("tokens", all_sub_tokens("passage", pieces) if pieces else char_tokens("passage")).drop("passage")
+    with_ids = token_ids(with_tok, vocab, ["docid"], "tokens", "doc_ids").drop("tokens")
     sliced = with_ids.withColumn(
         "chunks",
         F.transform(
@@ -67,22 +67,24 @@ def build_features(examples: DataFrame, passages: DataFrame, mode: str = TRAIN,
                    max_seq_length: int = DEFAULT_MAX_SEQ_LENGTH,
                    max_question_length: int = DEFAULT_MAX_QUESTION_LENGTH,
                    overlap: int = DEFAULT_OVERLAP, delimiter: str = DEFAULT_DELIMITER,
-                   vocab: DataFrame | None = None, tokenizer=char_tokens) -> DataFrame:
+                   vocab: DataFrame | None = None, tokenizer=char_tokens, pieces=None) -> DataFrame:
     """(question, chunk) feature rows.
 
     ``examples`` has ``example_id, docid, question`` and, for train/eval, the
     answer's ``token_start, token_end``, or ``passage, start, end`` (character
     positions, end inclusive) to take them from. Any other columns (e.g.
     ``rank``) are carried along. ``tokenizer(column) -> array<string>`` cuts the
-    questions (T3).
+    questions (T3). With ``pieces(character) -> array<string>`` (T2) passages and
+    questions are cut by it, and ``token_start, token_end`` must be, too.
     """
+    if pieces:
+        tokenizer = lambda c: all_sub_tokens(c, pieces)
     q = question_tokens(examples, max_question_length, tokenizer=tokenizer).withColumn(
         "capacity", capacity("question_len", max_seq_length).cast("int")
     )
     if mode in (TRAIN, EVAL) and "token_start" not in q.columns:
-        q = q.withColumn("token_start", char_to_token("passage", "start").cast("int")).withColumn(
-            "token_end", char_to_token("passage", "end").cast("int")
-        )
+        place = lambda c: char_to_sub_token("passage", c, pieces) if pieces else char_to_token("passage", c)
+        q = q.withColumn("token_start", place("start").cast("int")).withColumn("token_end", place("end").cast("int"))
     if "passage" in q.columns:
         q = q.drop("passage")
     # chunk keys come from the plain projection: an Arrow function is opaque
@@ -92,8 +94,8 @@ def build_features(examples: DataFrame, passages: DataFrame, mode: str = TRAIN,
     if vocab is None:
         q = q.drop("question_tokens")
     else:
-        q = token_ids(q, vocab, "question_tokens", "question_ids").drop("question_tokens")
-    chunks = doc_chunks(keys, passages, overlap, delimiter, vocab)
+        q = token_ids(q, vocab, ["example_id"], "question_tokens", "question_ids").drop("question_tokens")
+    chunks = doc_chunks(keys, passages, overlap, delimiter, vocab, pieces)
     f = q.join(chunks, ["docid", "capacity"])
     f = f.withColumn("doc_length", (F.col("doc_end") - F.col("doc_start")).cast("int")).withColumn(
         "bert_doc_end", (F.col("question_len") + F.col("doc_end") - F.col("doc_start") + 3).cast("int")

@@ -2,19 +2,22 @@
 
 Character mode (the default, used by all driver queries) is built-in Spark:
 every non-blank, non-control character is one lower-cased token. Ids come
-from a vocabulary *table*; the lookup runs as an Arrow function of the token
-column (``pyarrow.compute.index_in``, a vectorised hash lookup) with the vocabulary shipped once per executor as a broadcast variable.
-The vocabulary size is checked before it is broadcast.
+from a vocabulary *table*, which the distinct tokens of each row are joined to; the
+lookup of a row's tokens among its own entries is an Arrow function (``pyarrow.compute.index_in``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import accumulate
+from operator import and_
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusqa.functions.text import ZERO_TOKEN_CLASS, char_tokens
 
@@ -23,9 +26,6 @@ PAD, UNK, CLS, SEP, MASK = "[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"
 SPECIAL_TOKENS = [PAD, UNK, CLS, SEP, MASK]
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 FIRST_REGULAR_ID = 5
-# Largest vocabulary accepted for broadcast: every Unicode code point plus
-# a generous word-piece vocabulary.
-MAX_VOCAB = 1_500_000
 
 
 def build_char_vocab(passages: DataFrame, text_col: str = "passage") -> DataFrame:
@@ -52,48 +52,42 @@ def build_char_vocab(passages: DataFrame, text_col: str = "passage") -> DataFram
     return special.unionByName(regular)
 
 
-_BROADCASTS: dict = {}
-
-
-def vocab_broadcast(vocab: DataFrame, max_size: int = MAX_VOCAB):
-    """Collect the (bounded, checked) vocabulary once and broadcast it.
-
-    One pass: at most ``max_size + 1`` rows are collected, more means the
-    bound is exceeded. The broadcast is reused for the same vocabulary
-    DataFrame (question ids and document ids share it).
-    """
-    hit = _BROADCASTS.get(id(vocab))
-    if hit is not None and hit[0] is vocab:
-        return hit[1]
-    rows = vocab.select("token", "token_id").limit(max_size + 1).collect()
-    if len(rows) > max_size:
-        raise ValueError(f"vocabulary exceeds the broadcast bound of {max_size} entries")
-    rows.sort(key=lambda r: r[1])
-    tokens = [r[0] for r in rows]
-    ids = [int(r[1]) for r in rows]
-    bc = vocab.sparkSession.sparkContext.broadcast((tokens, ids))
-    _BROADCASTS[id(vocab)] = (vocab, bc)
-    while len(_BROADCASTS) > 8:          # keep only the most recent vocabularies
-        _BROADCASTS.pop(next(iter(_BROADCASTS)))
-    return bc
-
-
-def token_ids(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", out_col: str = "token_ids",
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _looked_up(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Ids of each row's tokens by its own entries (token, id); null where there is none."""
+    for lists, entries in batches:
+        out = []
+        for tokens, own in zip(lists, entries):
+            if not tokens.is_valid:
+                out.append(None)
+            elif not own.is_valid:
+                out.append(pa.nulls(len(tokens.values), pa.int32()))
+            else:
+                found = pc.index_in(tokens.values, value_set=own.values.field("token"))
+                out.append(pc.take(own.values.field("id"), found))
+        sizes = [0 if x is None else len(x) for x in out]
+        offsets = pa.array([0, *accumulate(sizes)], pa.int32())
+        values = pa.concat_arrays([pa.array([], pa.int32()), *(x for x in out if x is not None)])
+        yield pa.ListArray.from_arrays(offsets, values, mask=lists.is_null())
+
+
+def token_ids(df: DataFrame, vocab: DataFrame, keys: list[str], tokens_col: str = "tokens", out_col: str = "token_ids",
               unk_id: int = UNK_ID) -> DataFrame:
-    """T5: array of ids for an array of tokens; unknown tokens map to [UNK]. An
-    Arrow function of the token column alone; its lookup is made once per task."""
-    bc = vocab_broadcast(vocab)
+    """T5: array of ids for an array of tokens; unknown tokens map to [UNK].
 
-    @F.arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vtokens, vids = bc.value
-        value_set, id_of = pa.array(vtokens, pa.string()), pa.array(vids, pa.int32())
-        for lists in batches:
-            found = pc.take(id_of, pc.index_in(pc.list_flatten(lists), value_set=value_set))
-            offsets = pc.subtract(lists.offsets, lists.offsets[0])
-            yield pa.ListArray.from_arrays(offsets, pc.fill_null(found, unk_id), mask=lists.is_null())
-
-    return df.withColumn(out_col, ids(F.col(tokens_col)))
+    ``keys`` tell the rows' token arrays apart. The distinct tokens of a row meet the
+    vocabulary table (token, token_id), whatever its size, and come back as one list of entries, at most one
+    for each distinct token of the row; the arrays themselves stay where they are if the rows
+    are partitioned by ``keys`` already.
+    """
+    wanted = df.select(*keys, F.explode_outer(F.array_distinct(tokens_col)).alias("_token")).filter(F.col("_token").isNotNull())
+    known = wanted.join(vocab.select(F.col("token").alias("_token"), F.col("token_id").cast("int").alias("_id")), "_token")
+    entry = F.struct(F.col("_token").alias("token"), F.col("_id").alias("id"))
+    entries = known.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.collect_set(entry).alias("_entries"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    found = df.join(entries, same, "left")
+    ids = F.transform(_looked_up(F.col(tokens_col), F.col("_entries")), lambda i: F.coalesce(i, F.lit(unk_id)))
+    return found.withColumn(out_col, ids).drop("_entries", *[f"_key{i}" for i in range(len(keys))])
 
 
 def question_tokens(questions: DataFrame, max_question_length: int = 96, text_col: str = "question",

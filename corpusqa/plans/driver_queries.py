@@ -13,12 +13,21 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.functions.text import char_to_token_map, char_tokens, n_tokens, token_to_char_map
-from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, tokens
+from corpusqa.functions.text import (
+    byte_pieces,
+    char_to_sub_token_map,
+    char_to_token_map,
+    char_tokens,
+    n_tokens,
+    sub_token_to_char_map,
+    token_to_char_map,
+)
+from corpusqa.operators import chunk, clean, decode, encode, metrics, retrieval, sample, score, segments, tokens
 from corpusqa.plans import pipeline, stand_in
 from corpusqa.schemas import PASSAGES, PREDICTIONS_TEST, TEST, TRAIN_CLEAN, TRAIN_RAW
 from corpusqa.session import materialize, scratch_path
-from corpusqa.sources import csv_io, driver_tables as dt
+from corpusqa.sources import csv_io, driver_tables as dt, shards
+from corpusqa.streaming import questions as streaming
 
 # Fixed parameters of the driver queries.
 DELIM = "."          # the driver tables hold Latin text without the ideographic stop
@@ -27,6 +36,7 @@ MAX_SEQ = 512
 MAX_Q = 96
 CAPACITY = MAX_SEQ - MAX_Q - 3
 BATCH = 64
+SHARD_ROWS = 16 * BATCH
 TRAIN_STEPS = 1000
 SEED = 1
 
@@ -83,7 +93,8 @@ class Ctx:
 
     @cached_property
     def vocab(self) -> DataFrame:
-        return tokens.build_char_vocab(self.passages)
+        # at most a row for each character: stored, and joined by documents and questions
+        return materialize(tokens.build_char_vocab(self.passages), "vocab")
 
     def _kw(self):
         return dict(max_seq_length=MAX_SEQ, max_question_length=MAX_Q, delimiter=DELIM)
@@ -265,7 +276,7 @@ def q_vocab(c: Ctx):
 
 def q_token_ids(c: Ctx):
     t = c.passages.select("docid", char_tokens("passage").alias("tokens"))
-    ids = tokens.token_ids(t, c.vocab, "tokens", "ids")
+    ids = tokens.token_ids(t, c.vocab, ["docid"], "tokens", "ids")
     return ids.select(
         "docid",
         F.size("ids").cast("long").alias("n_ids"),
@@ -360,14 +371,100 @@ def _stored_index(c: Ctx) -> retrieval.Index:
 def q_index_roundtrip(c: Ctx):
     """S4 + S5: the stored index, read back: every posting with its term's and
     its document's statistics."""
-    i = _stored_index(c)
+    return _index_rows(_stored_index(c))
+
+
+def q_bm25_topk_stored(c: Ctx):
+    return retrieval.bm25_topk(_stored_index(c), c.raw_questions, K)
+
+
+def _grown_index(c: Ctx) -> str:
+    """Three loads of the whole table: with an earlier text in every third docid, as it is
+    (these are replaced), and again (adds nothing). The path of the index."""
+    path = scratch_path(c.spark, "grown-index")
+    now = dt.passages(c.spark, c.sf)
+    earlier = F.when(F.col("docid") % 3 == 0, F.concat(F.lit("earlier text "), "passage")).otherwise(F.col("passage"))
+    for load in (now.withColumn("passage", earlier), now, now):
+        segments.append_documents(load, path)
+    return path
+
+
+def _index_rows(i: retrieval.Index) -> DataFrame:
     docs = i.doc_stats.withColumnRenamed("dl", "doc_dl")
     p = i.postings.join(i.term_stats, "term").join(docs, "docid")
     return p.select("term", "docid", F.col("tf").cast("long").alias("tf"), "dl", F.col("df").cast("long").alias("df"), "doc_dl")
 
 
-def q_bm25_topk_stored(c: Ctx):
-    return retrieval.bm25_topk(_stored_index(c), c.raw_questions, K)
+def q_index_append(c: Ctx):
+    """An index grown by loads has the rows of one built at once."""
+    return _index_rows(segments.open_index(c.spark, _grown_index(c)))
+
+
+def q_bm25_topk_appended(c: Ctx):
+    """R1 over the segments of a grown index, replaced documents among them."""
+    return retrieval.bm25_topk(segments.open_index(c.spark, _grown_index(c)), c.raw_questions, K)
+
+
+def q_index_merge(c: Ctx):
+    """Q6: the grown index, its segments merged into one."""
+    path = _grown_index(c)
+    segments.merge_segments(c.spark, path)
+    segments.drop_merged(c.spark, path)
+    return _index_rows(segments.open_index(c.spark, path))
+
+
+def q_sub_token_maps(c: Ctx):
+    """T2, T4 with 0 to 4 tokens a character (its UTF-8 bytes): both maps as digests."""
+    there, back = char_to_sub_token_map("passage", byte_pieces), sub_token_to_char_map("passage", byte_pieces)
+    md5 = lambda m: F.md5(F.array_join(m, ","))
+    return c.passages.select("docid", F.size(back).cast("long").alias("n_tokens"), md5(there).alias("token_md5"), md5(back).alias("char_md5"))
+
+
+def q_sub_token_spans(c: Ctx):
+    """E8, D6 with several tokens a character: the answers' places in tokens, and the
+    text that the tokens give back."""
+    ex = clean.qa_examples(c.prep.answerable, byte_pieces).withColumnRenamed("guid", "example_id")
+    # winners as if the model had found the answer in a chunk that starts the document
+    best = F.struct(
+        "docid", F.lit(0).alias("doc_start"), F.lit(0).alias("question_len"), (F.col("token_start") + 2).alias("best_start"),
+        (F.col("token_end") + 2).alias("best_end"), F.lit(1.0).alias("score"),
+    )
+    spans = decode.span_text(ex.select("example_id", best.alias("best")), c.passages, byte_pieces)
+    return spans.select("example_id", "docid", F.col("tok_start").alias("token_start"), F.col("tok_end").alias("token_end"), "char_start", "char_end", "answer")
+
+
+def q_sub_token_chunks(c: Ctx):
+    """C1-C5 over several tokens a character."""
+    docs = c.passages.withColumn("capacity", F.lit(CAPACITY))
+    packed = chunk.pack_chunks(docs, "capacity", chunk.DEFAULT_OVERLAP, DELIM, keep=("docid",), pieces=byte_pieces)
+    return chunk.explode_chunks(packed.drop("passage"), keep=["docid"])
+
+
+def q_export_shards(c: Ctx):
+    """The training batches as shard files, read again: every row with its file's
+    shard and its place in the file."""
+    path = scratch_path(c.spark, "shards")
+    rows = sample.shuffle_batches(c.selected, BATCH, SEED).select("example_id", "docid", "chunk_idx", "order_rank", "batch_id")
+    shards.write_shards(rows, path, SHARD_ROWS)
+    return shards.read_shards(c.spark, path).withColumn("place", F.col("_metadata.row_index")).withColumn("shard", F.col("shard").cast("long"))
+
+
+def q_export_manifest(c: Ctx):
+    """The manifest of the shard files."""
+    path = scratch_path(c.spark, "shards")
+    shards.write_shards(sample.shuffle_batches(c.selected, BATCH, SEED).select("example_id", "docid", "chunk_idx", "order_rank"), path, SHARD_ROWS)
+    return shards.manifest(c.spark, path).select("shard", "n_rows", "first_rank", "last_rank")
+
+
+def q_stream_predictions(c: Ctx):
+    """§2.11: the questions as a stream of files, answered batch by batch against the
+    stored index, each batch once; what the sink holds."""
+    source, out, progress = (scratch_path(c.spark, f"stream-{x}") for x in ("questions", "answers", "progress"))
+    c.raw_questions.repartition(2, "id").write.parquet(source)
+    stream = streaming.question_stream(c.spark, source, c.raw_questions.schema, max_files_per_trigger=1)
+    scorer = lambda f: stand_in.pseudo_logits(f, MAX_SEQ)
+    streaming.stream_predictions(stream, _stored_index(c), c.passages, out, progress, scorer, K, DELIM).awaitTermination()
+    return c.spark.read.parquet(out).select("id", "docid", "answer")
 
 
 def q_score_model(c: Ctx):

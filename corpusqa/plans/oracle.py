@@ -15,6 +15,7 @@ MAX_Q = 96
 OVERLAP = 100
 CAPACITY = MAX_SEQ - MAX_Q - 3
 BATCH = 64
+SHARD_ROWS = 16 * BATCH
 TRAIN_STEPS = 1000
 SEED = "1"
 DEV_THRESHOLD = "3333"   # 0.2 * 16^4 as four hex digits
@@ -41,6 +42,11 @@ def toks(x):
             f"ELSE list_transform(string_split({kept(x)}, ''), lambda t: lower(t)) END)")
 
 
+def nbytes(x):
+    """Tokens of a text in byte mode: the UTF-8 bytes of what is kept, lower-cased."""
+    return f"octet_length(encode(lower({kept(x)})))"
+
+
 def o2t(p, c):
     return f"length({kept(f'substring({p}, 1, {c})')})"
 
@@ -334,6 +340,15 @@ EPRED AS (
   FROM EW w LEFT JOIN ES s USING (example_id) JOIN EX x USING (example_id))
 """
 
+INDEX_ROWS = "SELECT p.term, p.docid, p.tf, p.dl, t.df, d.dl AS doc_dl FROM POST p JOIN TS t USING (term) JOIN DS d USING (docid)"
+
+# Rank of the selected training rows in the seeded order.
+RANKED = f"""
+SB AS (SELECT example_id, docid, chunk_idx,
+              CAST(row_number() OVER (ORDER BY md5(concat_ws('_', '{SEED}', 'order', example_id, docid,
+                   chunk_idx)), example_id, docid, chunk_idx) - 1 AS BIGINT) AS order_rank FROM SEL)
+"""
+
 ENCODED = f"""
         ENC0 AS (
           SELECT f.*, list_transform({toks('f.question')}[1:{MAX_Q}], lambda t: coalesce(v.m[t], 1)) AS qids,
@@ -616,8 +631,40 @@ ORACLE: dict[str, str] = {
         "SELECT id, docid, question, answer, start_index, end_index FROM LOC WHERE start_index >= 0")),
     "test_file_roundtrip": q(BASE, body="SELECT id, question FROM TQ"),
     "dedup_passages": "SELECT doc_id AS docid, text AS passage FROM documents",
-    "index_roundtrip": q(BASE, bm25('', 'TQ'), body=(
-        "SELECT p.term, p.docid, p.tf, p.dl, t.df, d.dl AS doc_dl FROM POST p JOIN TS t USING (term) JOIN DS d USING (docid)")),
+    "index_roundtrip": q(BASE, bm25('', 'TQ'), body=INDEX_ROWS),
+    "index_append": q(BASE, bm25('', 'TQ'), body=INDEX_ROWS),
+    "index_merge": q(BASE, bm25('', 'TQ'), body=INDEX_ROWS),
+    "bm25_topk_appended": q(BASE, bm25('', 'TQ'), body="SELECT id, docid, rank, score FROM HITS"),
+    "sub_token_maps": q(BASE, f"""
+        CH AS (SELECT docid, ch, pos, CAST({nbytes('ch')} AS INTEGER) AS n
+               FROM (SELECT docid, unnest(string_split(passage, '')) AS ch,
+                            generate_subscripts(string_split(passage, ''), 1) AS pos FROM P WHERE passage <> '')),
+        BEF AS (SELECT *, CAST(sum(n) OVER (PARTITION BY docid ORDER BY pos) - n AS BIGINT) AS before FROM CH),
+        MAPS AS (SELECT docid, CAST(sum(n) AS BIGINT) AS n_tokens, string_agg(CAST(before AS VARCHAR), ',' ORDER BY pos) AS there,
+                        string_agg(array_to_string(list_transform(range(n), lambda x: pos - 1), ','), ',' ORDER BY pos)
+                          FILTER (WHERE n > 0) AS back
+                 FROM BEF GROUP BY docid)""", body="""
+        SELECT p.docid, coalesce(m.n_tokens, 0) AS n_tokens, md5(coalesce(m.there, '')) AS token_md5, md5(coalesce(m.back, '')) AS char_md5
+        FROM P p LEFT JOIN MAPS m ON p.docid = m.docid"""),
+    "sub_token_spans": q(BASE, f"""
+        SP AS (SELECT example_id, docid, passage, CAST({nbytes('substring(passage, 1, start)')} AS INTEGER) AS token_start,
+                      CAST({nbytes('substring(passage, 1, "end")')} AS INTEGER) AS token_end,
+                      flatten(list_transform(string_split(passage, ''), lambda ch, i: list_transform(range({nbytes('ch')}), lambda x: i - 1))) AS m
+               FROM EX),
+        PLACES AS (SELECT *, CAST(m[token_start + 1] AS INTEGER) AS char_start, CAST(m[token_end + 1] AS INTEGER) AS char_end FROM SP)""", body="""
+        SELECT example_id, docid, token_start, token_end, char_start, char_end,
+               substring(passage, char_start + 1, char_end - char_start + 1) AS answer FROM PLACES"""),
+    "sub_token_chunks": q(BASE, f"""
+        DC AS (SELECT docid, {CAPACITY} AS capacity,
+                      list_filter(list_transform(regexp_extract_all(passage, '{SENT}'), lambda s: CAST({nbytes('s')} AS BIGINT)), lambda n: n > 0) AS lens
+               FROM P)""", pack('BY', 'DC'), body="SELECT docid, chunk_idx, doc_start, doc_end, is_window FROM BYCH"),
+    "export_shards": q(BASE, TRAIN_FEATS, SAMPLE, RANKED, body=f"""
+        SELECT *, CAST(floor(order_rank / {BATCH}) AS BIGINT) AS batch_id, CAST(floor(order_rank / {SHARD_ROWS}) AS BIGINT) AS shard,
+               order_rank % {SHARD_ROWS} AS place FROM SB"""),
+    "export_manifest": q(BASE, TRAIN_FEATS, SAMPLE, RANKED, body=f"""
+        SELECT CAST(floor(order_rank / {SHARD_ROWS}) AS BIGINT) AS shard, count(*) AS n_rows, min(order_rank) AS first_rank,
+               max(order_rank) AS last_rank FROM SB GROUP BY 1"""),
+    "stream_predictions": q(BASE, TEST_DECODE, body="SELECT id, docid, answer FROM PRED"),
     "bm25_topk_stored": q(BASE, bm25('', 'TQ'), body="SELECT id, docid, rank, score FROM HITS"),
     "train_features": q(BASE, TRAIN_FEATS, body="""
         SELECT example_id, doc_start, question_len, docid, chunk_idx, doc_end, doc_length, bert_start_position,
