@@ -21,6 +21,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+BROADCAST_KEYS = 1_000_000  # rows of a table of keys that is broadcast, at most
+
+
+def sized(keys: DataFrame, name: str) -> DataFrame:
+    """A table of keys, written and counted: up to ``BROADCAST_KEYS`` go to the rows they
+    are joined to, which stay where they are; more are joined by a shuffle."""
+    out = stored(keys, name)
+    return F.broadcast(out) if out.count() <= BROADCAST_KEYS else out
+
+
 def crc32_mod(col: str, n: int):
     """crc32 of a column's text, modulo ``n`` (null stays null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)

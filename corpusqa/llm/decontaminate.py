@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusqa.llm.common import byte_values, pieces, stored, widen
+from corpusqa.llm.common import byte_values, pieces, sized, stored, widen
 
 WINDOW = 13
 SLOP = 2
@@ -222,10 +222,12 @@ def contaminated(n_hit, n_words):
 
 def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated by ``items``. A row is known
-    by its id and its text's digest, so rows that share an id are judged apart."""
+    by its id and its text's digest, so rows that share an id are judged apart. The others
+    stay where they are if the contaminated are few enough to be broadcast."""
     text_of = F.col(f"`{text}`")
     digest = F.sha2(F.coalesce(text_of, F.lit("")), 256)
     found = find(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), digest.alias("digest"), text_of.alias("text")), items, slop=0)
     bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("row.doc_id").alias("bad_id"), F.col("row.digest").alias("bad")).distinct()
+    bad = sized(bad, "contaminated")
     own = docs.select(F.struct("*").alias("doc"), F.col(f"`{doc_id}`").alias("own_id"), digest.alias("own"))
     return own.join(bad, F.col("own_id").eqNullSafe(F.col("bad_id")) & (F.col("own") == F.col("bad")), "left_anti").select("doc.*")

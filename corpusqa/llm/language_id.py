@@ -132,39 +132,41 @@ class Predictor:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = DOCS_PER_LANG, windows_per_doc: int = WINDOWS_PER_DOC) -> Model | None:
     """A model learned from up to ``docs_per_lang`` labelled documents of each
     language (of the first by a hash of their id), ``windows_per_doc`` windows of each
-    spread over its text. None if no labelled document has a letter."""
+    spread over its text. An id that repeats counts once. None if no labelled document
+    has a letter."""
     import numpy as np
 
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # the first by hash lie, but for chance, below this share of the hashes: only
     # they go to the task that ranks a language, however many tasks read it
-    counts = rows.groupBy("lang").agg(F.count("*").alias("of"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("id", 0.02).alias("of"))
     low = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(1 << 30)) / F.lit(1 << 30) <= F.lit(4 * docs_per_lang + 100) / F.col("of")
-    keys = rows.select("id", "lang").join(counts, "lang").filter(low)
+    # one row a language, so the share is known before any key is shuffled
+    keys = rows.select("id", "lang").join(F.broadcast(counts), "lang").filter(low).distinct()
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(1 << 30)), "id"))
-    chosen = keys.withColumn("n", first).filter(F.col("n") <= docs_per_lang).select("id", "lang").distinct()
+    chosen = keys.withColumn("n", first).filter(F.col("n") <= docs_per_lang).select("id", "lang")
 
     def cut(batches):
         import pyarrow as pa
 
         for batch in batches:
             for part in pieces(batch):
-                lang, own = [], []
-                for name, raw in zip(part.column(0).to_pylist(), byte_values(part.column(1))):
+                own = []
+                for raw in byte_values(part.column(2)):
                     x = windows(raw)
-                    for i in sorted({len(x) * k // windows_per_doc for k in range(windows_per_doc)}):
-                        lang.append(name)
-                        own.append(x[i].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(own, pa.binary())], names=["lang", "x"])
+                    own.append([x[i].tobytes() for i in sorted({len(x) * k // windows_per_doc for k in range(windows_per_doc)})])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own, pa.list_(pa.binary()))], names=["id", "lang", "x"])
 
-    sample = rows.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text").mapInArrow(cut, "lang string, x binary").collect()
+    kind = rows.schema["id"].dataType.simpleString()
+    cuts = rows.join(F.broadcast(chosen), ["id", "lang"]).select("id", "lang", "text").mapInArrow(cut, f"id {kind}, lang string, x array<binary>")
+    sample = cuts.groupBy("id", "lang").agg(F.min("x").alias("x")).collect()  # one for each chosen id
+    sample = sorted((r.lang, bytes(x)) for r in sample for x in r.x)
     if not sample:
         return None
-    sample.sort()
-    langs = sorted({r.lang for r in sample})
-    x = np.frombuffer(b"".join(bytes(r.x) for r in sample), np.uint8).reshape(-1, WINDOW)
-    return train(x, np.array([langs.index(r.lang) for r in sample]), langs)
+    langs = sorted({lang for lang, _ in sample})
+    x = np.frombuffer(b"".join(x for _, x in sample), np.uint8).reshape(-1, WINDOW)
+    return train(x, np.array([langs.index(lang) for lang, _ in sample]), langs)
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -130,7 +130,8 @@ def train(rows: list[tuple], grades: int = 3, steps: int = STEPS) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED) -> Model | None:
     """A model of ``labels`` (doc_id, quality, toxic; rows with a null are left out)
     and the texts of ``docs``, learned from the first ``max_labelled`` labels by a
-    hash of their id. None without a labelled text."""
+    hash of their id; of documents that share an id one is learned from. None without a
+    labelled text."""
     import numpy as np
 
     rated = labels.select("doc_id", grade(F.col("quality"), F.col("toxic")).alias("grade"), "quality", "toxic").dropna()
@@ -152,8 +153,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    sample = rows.mapInArrow(run, f"id {kind}, grade int, buckets binary, form array<double>").collect()
-    sample = sorted((r.id, r.grade, bytes(r.buckets), r.form) for r in sample)
+    sample = rows.mapInArrow(run, f"id {kind}, grade int, buckets binary, form array<double>")
+    sample = sample.groupBy("id", "grade").agg(F.min(F.struct("buckets", "form")).alias("own")).collect()
+    sample = sorted((r.id, r.grade, bytes(r.own.buckets), r.own.form) for r in sample)
     return train([(grade, np.frombuffer(own, "<i4"), form) for _, grade, own, form in sample]) if sample else None
 
 

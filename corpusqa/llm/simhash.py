@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.llm.common import byte_values, free_name, pieces, stored, widen
+from corpusqa.llm.common import byte_values, pieces, sized, stored, widen
 from corpusqa.llm.components import components
 
 BITS = 64
@@ -233,15 +233,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest
-    doc_id, and of repeated ids the smallest row. Null ids come last, so each
-    component of such rows alone keeps its smallest row."""
+    doc_id, null ids last; of repeated ids the one whose text has the smallest hash, and
+    of equal ids and texts the smallest row.
+
+    Which go is found on ids and hashes alone. The others stay where they are
+    if those are few enough to be broadcast.
+    """
     content = F.xxhash64(F.col(f"`{text}`"))
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), content.alias("content"), F.col(f"`{text}`").alias("text"))
     rows = stored(fingerprints(rows, "text", shingle), "fingerprints")
-    named = rows.join(_roots(rows, radius).select("fp", "root"), "fp").select("root", "doc_id", "content").distinct()
-    least = named.groupBy("root").agg(F.min("doc_id").alias("least"))
-    first = named.join(least, "root").filter(F.col("doc_id").eqNullSafe(F.col("least"))).select("root", F.col("doc_id").alias("first_id"), F.col("content").alias("first_content"))
-    key, row = free_name(docs, "kept_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    own = docs.select(F.col(f"`{doc_id}`").alias(key), content.alias("content"), row.alias("row"))
-    kept = own.join(first, F.col(key).eqNullSafe(F.col("first_id")) & (F.col("content") == F.col("first_content")))
-    return kept.groupBy("root").agg(F.min("row").alias("row")).select("row.*")
+    named = rows.join(_roots(rows, radius).select("fp", "root"), "fp").groupBy("root", "doc_id", "content").agg(F.count("*").alias("n"))
+    named = stored(named, "copies")
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("first"))
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("content") == F.col("first.content"))
+    named = named.join(first, "root").select(F.col("doc_id").alias("copy_id"), F.col("content").alias("copy"), "n", kept.alias("kept"))
+    copies = sized(named.filter(~F.col("kept") | (F.col("n") > 1)), "copies-to-drop")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    own = docs.select(F.col(f"`{doc_id}`").alias("own_id"), content.alias("own"), row.alias("row"))
+    same = F.col("own_id").eqNullSafe(F.col("copy_id")) & (F.col("own") == F.col("copy"))
+    out = own.join(copies, same, "left_anti").select("row")
+    equal = copies.filter("kept")
+    if not equal.isEmpty():  # rows of one id and text: one of them
+        out = out.union(own.join(equal, same, "left_semi").groupBy("own_id", "own").agg(F.min("row").alias("row")).select("row"))
+    return out.select("row.*")

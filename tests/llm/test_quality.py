@@ -61,3 +61,24 @@ def test_cases(spark):
     assert q.select(frame.filter("false"), labelled).count() == 0
     none = q.select(frame, labelled.filter("false")).collect()
     assert all(r.keep and r.p_top is None for r in none)
+
+
+def test_samples_hold_one_row_of_an_id(spark):
+    """A chosen id that holds most of the rows counts once."""
+    from corpusqa.llm import language_id, quality, secrets
+
+    texts = {1: ("the cat sat on the mat", "en"), 2: ("le chat est sur la table", "fr"), 3: ("password = abcdefgh12345678", "en")}
+    rows = [(i, t, lang) for i, (t, lang) in texts.items()]
+    once = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hot = spark.createDataFrame(rows + rows[:1] * 300 + rows[2:] * 300, once.schema).repartition(7)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    for module, fit in ((language_id, lambda d: language_id.fit(d)), (quality, lambda d: quality.fit(d, labels)), (secrets, lambda d: secrets.fit(d))):
+        plain = module.train
+        try:
+            module.train = lambda *a: seen.append(a)
+            fit(once), fit(hot)
+        finally:
+            module.train = plain
+    sizes = [len(a[0]) for a in seen]
+    assert len(sizes) == 6 and sizes[::2] == sizes[1::2]
