@@ -22,8 +22,11 @@ def test_walk_equals_brute_force(seed, n, k, dim, top):
     ids = rng.permutation(n).tolist()
     m = max(1, n // 3)
     kind = object if top == 10**9 else float
-    found = t.dual_search(x[:m].astype(kind), ids[:m], x.astype(kind), ids, k)
-    assert [[(s, -i) for s, i in own] for own in found] == brute(x[:m], ids[:m], x, ids, k)
+    queries, data = t.Points(x[:m].astype(kind), ids[:m]), t.Points(x.astype(kind), ids)
+    want = brute(x[:m], ids[:m], x, ids, k)
+    for floor in (None, [own[-1][0] if len(own) == k else -np.inf for own in want]):
+        found = t.dual_search(queries, data, k, floor)
+        assert [[(s, -i) for s, i in own] for own in found] == want
 
 
 def test_tree_covers_its_points():
@@ -41,6 +44,37 @@ def test_tree_covers_its_points():
             assert b - a <= t.LEAF or radius == 0
 
 
+def clustered(rng, n, dim=16, groups=12):
+    """Whole-number vectors of one length about ``groups`` directions."""
+    at = rng.normal(size=(groups, dim))
+    at *= 2000 / np.linalg.norm(at, axis=1)[:, None]
+    return np.floor(at[rng.integers(groups, size=n)] + rng.normal(scale=40, size=(n, dim)))
+
+
+def test_clusters_are_pruned():
+    x = clustered(np.random.default_rng(4), 4000)
+    ids, tally = list(range(4000)), []
+    found = t.dual_search(t.Points(x[::50], ids[::50]), t.Points(x, ids), 5, tally=tally)
+    assert sum(tally) < 80 * 4000 / 4
+    assert [[(s, -i) for s, i in own] for own in found] == brute(x[::50], ids[::50], x, ids, 5)
+
+
+def test_other_shards_are_ruled_out_by_floors(spark, monkeypatch):
+    monkeypatch.setattr(t, "SHARD_ROWS", 100)
+    monkeypatch.setattr(t, "LIST_BYTES", 2000)  # several lists of queries
+    x = clustered(np.random.default_rng(5), 2000) / 256
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    walked, walks = [], t._walks
+    monkeypatch.setattr(t, "_walks", lambda *a, own: walked.append((own, walks(*a, own=own))) or walked[-1][1])
+    got = {}
+    for r in t.search(frame, F.col("vec_id") % 50 == 0, 5).collect():
+        got.setdefault(r.query_id, []).append((r.score, -r.vec_id))
+    whole = np.floor(x * 256)
+    ids = list(range(2000))
+    assert [sorted(got[i], reverse=True) for i in ids[::50]] == brute(whole[::50], ids[::50], whole, ids, 5)
+    assert len(walked) > 2 and {own for own, _ in walked} == {True, False}
+
+
 def test_search_and_cases(spark, monkeypatch):
     monkeypatch.setattr(t, "SHARD_ROWS", 40)
     monkeypatch.setattr(t, "BLOCK_ROWS", 4)
