@@ -1,32 +1,36 @@
 """Lexical retrieval as ordinary tables.
 
-The index is five tables derived with ``explode`` + ``groupBy``:
+The index is four tables, and a view of one:
 
-* ``postings(term, docid, tf, dl)``  -- one row per (term, document)
-* ``blocks(shard, term, postings, bounds)`` -- the postings of a term within a shard of
-  documents, by docid, and for each ``BLOCK`` of them the largest tf and smallest dl
+* ``blocks(shard, term, docids, tfs, dls)`` -- the postings of a term within a shard of
+  documents, by docid, as lists side by side
+* ``postings(term, docid, tf, dl)``  -- one row per (term, document): the same, unrolled
 * ``term_stats(term, df)``
-* ``doc_stats(docid, dl)``
+* ``doc_stats(docid, dl)``, with each document's shard
 * ``corpus_stats(n_docs, avgdl, n_terms, n_postings)``
 
+Texts go to their shard once; what is counted, sorted and listed there stays there.
+
 Search is BM25 (Robertson & Zaragoza 2009):
 ``sum qtf * ln(1 + (N - df + 0.5)/(df + 0.5)) * tf / (tf + k1 * (1 - b + b * dl / avgdl))``
-The blocks of the questions' terms meet by shard; each shard keeps the k best documents
-of a question and passes over blocks that cannot lift a document among them (block-max
-bounds, Ding & Suel 2011). Only k rows a shard and question go on to the question's
-top-k (``row_number() <= k``, a partial + final ``WindowGroupLimit``).
+Each shard reads the postings of the questions' terms once, then the questions, as a stream; it keeps
+the k best documents of a question and passes over stretches of ``BLOCK`` postings that cannot lift a document
+among them (block-max bounds, Ding & Suel 2011). Only k rows a shard and question go on to
+the question's top-k (``row_number() <= k``, a partial + final ``WindowGroupLimit``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusqa.functions.text import analyze
-from corpusqa.session import target_partitions
+from corpusqa.session import materialize, target_partitions
 
 # Fixed BM25 parameters (the usual defaults of full-text search servers).
 K1 = 1.2
@@ -35,8 +39,8 @@ B = 0.75
 DEFAULT_K = 10
 BLOCK = 128  # postings of a block
 SHARD_DOCS = 16_384  # documents of a shard, about, at most
-QUESTIONS = 4_096  # questions that a shard answers at a time, about
 SLACK = 2e-6  # of a score: scores that are equal when rounded are told apart by docid
+LISTS = ("docids", "tfs", "dls")
 
 
 @dataclass
@@ -46,57 +50,162 @@ class Index:
     term_stats: DataFrame
     doc_stats: DataFrame
     corpus_stats: DataFrame
+    docs: DataFrame  # (docid, dl, shard): ``doc_stats`` with the shard whose blocks hold the document
     dead: DataFrame | None = None  # (docid, shard): documents in ``blocks`` that count no more
+    shards: list[int] | None = None  # numbers in ``blocks``; None: read them there
 
 
-def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None) -> Index:
+def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None, shards: int | None = None) -> Index:
     """Build the index tables from (docid, passage).
 
-    The per-document term count happens inside each document's partition
-    (partial aggregation), so only distinct (term, docid) pairs are shuffled.
+    Documents are dealt to shards by a hash of the docid: the one shuffle, of the texts.
+    Terms are counted per document and gathered per term within the shard.
     ``analyzer(col) -> array<string>`` replaces the built-in analyser; use the
-    same one for queries.
+    same one for queries. The tables are lazy: ``held`` or ``write_index`` make them once.
     """
+    n = shards or shard_count(passages.sparkSession, passages.count())
     terms = passages.select("docid", (analyzer or analyze)(text_col).alias("terms"))
-    doc_stats = terms.select("docid", F.size("terms").cast("long").alias("dl"))
-    postings = (
-        terms.select("docid", F.size("terms").cast("long").alias("dl"), F.explode_outer("terms").alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("term", "docid")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
-    )
-    term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    corpus = doc_stats.agg(
+    docs = terms.select("docid", F.size("terms").cast("long").alias("dl"), shard_of("docid", n).cast("long").alias("shard"))
+    corpus = docs.agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.avg("dl").alias("avgdl"),
     )
-    shards = shard_count(passages.sparkSession, corpus.select("n_docs").scalar())
-    return Index(postings, shard_blocks(postings, shards), term_stats, doc_stats, corpus)
-
-
-def shard_count(spark: SparkSession, n_docs: Column) -> Column:
+    dealt = passages.select(shard_of("docid", n).alias("shard"), "docid", F.col(text_col).alias("passage"))
+    dealt = dealt.repartitionById(n, "shard").sortWithinPartitions("shard")
+    terms = dealt.select("shard", "docid", (analyzer or analyze)("passage").alias("terms"))
+    lists = zip(LISTS, (terms.schema["docid"].dataType, T.IntegerType(), T.IntegerType()))
+    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("term", T.StringType()), *[T.StructField(name, T.ArrayType(t)) for name, t in lists]])
+    blocks = terms.groupBy("shard").applyInArrow(_count_shard, schema)
+    return Index(unroll(blocks), blocks, document_frequencies(blocks), docs.select("docid", "dl"), corpus, docs, shards=list(range(n)))
+
+
+def _count_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of one shard from its documents (shard, docid, terms), by term; a docid that
+    comes again is one document with the first one's length."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    shard, terms, sizes, docids = None, [], [], []
+    for batch in batches:
+        shard = batch.column("shard")[0].as_py() if batch.num_rows else shard
+        rows = batch.column("terms")
+        terms.append(rows.flatten().dictionary_encode())
+        sizes.append(pc.fill_null(pc.list_value_length(rows), 0).to_numpy())
+        docids.append(batch.column("docid"))
+    if not sum(map(len, terms)):
+        return
+    sizes = np.concatenate(sizes)
+    ids = pa.concat_arrays(docids).dictionary_encode("encode")
+    by_id = pc.sort_indices(ids.dictionary, null_placement="at_start").to_numpy()
+    place = np.empty(len(by_id), np.int64)
+    place[by_id] = np.arange(len(by_id))
+    doc = place[ids.indices.to_numpy()]
+    dl = np.zeros(len(by_id), np.int32)
+    dl[doc[::-1]] = sizes[::-1]
+    coded = pa.chunked_array(terms).unify_dictionaries().combine_chunks()
+    coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
+    by_term = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(by_term), np.int64)
+    rank[by_term] = np.arange(len(by_term))
+    code = pc.fill_null(coded.indices, -1).to_numpy()
+    del terms
+    key = (rank[code] * len(by_id) + np.repeat(doc, sizes))[code >= 0]  # a null is no term
+    key, tf = np.unique(key, return_counts=True)
+    term, doc = np.divmod(key, len(by_id))
+    first = np.flatnonzero(np.diff(term, prepend=-1))
+    ends = np.append(first, len(term))
+    words, docid = coded.dictionary.take(pa.array(by_term[term[first]])), ids.dictionary.take(pa.array(by_id[doc]))
+    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), x) for x in (docid, pa.array(tf, pa.int32()), pa.array(dl[doc]))]
+    out = pa.RecordBatch.from_arrays([pa.array(np.full(len(words), shard)), words, *lists], names=["shard", "term", *LISTS])
+    for at in range(0, len(words), 1 << 16):
+        yield out.slice(at, 1 << 16)
+
+
+def shard_count(spark: SparkSession, n_docs: int) -> int:
     """Shards of ``n_docs`` documents: at most about ``SHARD_DOCS`` in each, and as many
     shards as the cluster runs at once if the documents are few."""
-    least = F.least(F.lit(target_partitions(spark)), F.ceil(n_docs / 512))
-    return F.greatest(F.ceil(n_docs / SHARD_DOCS), least, F.lit(1))
+    return max(-(-n_docs // SHARD_DOCS), min(target_partitions(spark), -(-n_docs // 512)), 1)
 
 
-def shard_of(docid: str, shards: Column) -> Column:
-    return F.pmod(F.xxhash64(docid), shards)
+def shard_of(docid: str, shards: int) -> Column:
+    """A document's shard; shards are partitions to ``repartitionById``."""
+    return F.pmod(F.xxhash64(docid), F.lit(shards).cast("long")).cast("int")
 
 
-def shard_blocks(postings: DataFrame, shards: Column) -> DataFrame:
-    """Postings by (shard, term), in order, with the bounds of their blocks. Documents are dealt
+def gather_blocks(counted: DataFrame) -> DataFrame:
+    """Rows (shard, docid, term, tf, dl), dealt by shard, as ``blocks``: no shuffle. Documents are dealt
     by a hash of the docid, so a term of every document is a bounded row in each shard."""
-    rows = postings.withColumn("shard", shard_of("docid", shards))
-    rows = rows.groupBy("shard", "term").agg(F.sort_array(F.collect_list(F.struct("docid", "tf", "dl"))).alias("postings"))
+    rows = counted.groupBy("shard", "term").agg(F.sort_array(F.collect_list(F.struct("docid", "tf", "dl"))).alias("p"))
+    lists = [F.col("p")[field].alias(name) for field, name in zip(("docid", "tf", "dl"), LISTS)]
+    return rows.select(F.col("shard").cast("long").alias("shard"), "term", *lists)
+
+
+def unroll(blocks: DataFrame) -> DataFrame:
+    """The postings (term, docid, tf, dl) of ``blocks``."""
+    rows = blocks.select("term", F.inline_outer(F.arrays_zip(*LISTS)).alias("docid", "tf", "dl"))
+    return rows.select("term", "docid", F.col("tf").cast("long").alias("tf"), F.col("dl").cast("long").alias("dl"))
+
+
+def document_frequencies(blocks: DataFrame) -> DataFrame:
+    return blocks.groupBy("term").agg(F.sum(F.size("docids")).alias("df"))
+
+
+def held(index: Index) -> Index:
+    """The index with its blocks written below the checkpoint folder: several tables come from them."""
+    blocks = materialize(index.blocks, "blocks")
+    return replace(index, blocks=blocks, postings=unroll(blocks), term_stats=document_frequencies(blocks))
+
+
+def _flat(rows: pa.Table, name: str):
+    return rows.column(name).combine_chunks().flatten()
+
+
+def _chosen(rows: pa.Table, mask, lists: dict) -> pa.Table:
+    """``rows`` with ``lists``, flat arrays as long as the rows' docids, in place of those of the
+    same names: in each row the entries where ``mask`` is set; rows without any are left out."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.list_value_length(rows.column("docids")).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(mask.to_numpy(zero_copy_only=False))])[np.concatenate([[0], np.cumsum(sizes)])]
+    out = rows.drop_columns([name for name in lists if name in rows.column_names])
+    for name, values in lists.items():
+        out = out.append_column(name, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values.filter(mask)))
+    return out.filter(pa.array(np.diff(ends) > 0))
+
+
+def blocks_of(blocks: DataFrame, docids: DataFrame, without: bool = False) -> DataFrame:
+    """``blocks`` cut to the documents of ``docids(docid, shard)``, or, with ``without``, to all
+    others: shard by shard, each block's row once. Null is a docid like any other."""
+
+    def cut(rows: pa.Table, own: pa.Table) -> pa.Table:
+        import pyarrow.compute as pc
 
-    def bound(i):
-        own = F.slice("postings", i * BLOCK + 1, F.lit(BLOCK))
-        return F.struct(F.array_max(own["tf"]).alias("tf"), F.array_min(own["dl"]).alias("dl"))
+        found = pc.is_in(_flat(rows, "docids"), value_set=own.column("docid").combine_chunks())
+        return _chosen(rows, pc.invert(found) if without else found, {name: _flat(rows, name) for name in LISTS}).select(names)
 
-    last = F.floor((F.size("postings") - 1) / BLOCK).cast("int")
-    return rows.withColumn("bounds", F.transform(F.sequence(F.lit(0), last), bound))
+    names = blocks.columns
+    return blocks.groupBy("shard").cogroup(docids.select("docid", "shard").groupBy("shard")).applyInArrow(cut, blocks.schema)
+
+
+def postings_with_stats(index: Index) -> DataFrame:
+    """Every posting with its term's and its document's statistics: (term, docid, tf, dl, df,
+    doc_dl). Terms meet the blocks' rows, documents their shard's; postings are unrolled at the end.
+    A null docid meets no document."""
+
+    def meet(rows: pa.Table, docs: pa.Table) -> pa.Table:
+        import pyarrow.compute as pc
+
+        place = pc.index_in(_flat(rows, "docids"), value_set=docs.column("docid").combine_chunks(), skip_nulls=True)
+        lists = {name: _flat(rows, name) for name in LISTS} | {"doc_dls": docs.column("dl").combine_chunks().take(place)}
+        return _chosen(rows, pc.is_valid(place), lists).select(names)
+
+    blocks = index.blocks.join(index.term_stats, "term").select("shard", "term", "df", *LISTS)
+    schema = T.StructType([*blocks.drop("shard").schema, T.StructField("doc_dls", T.ArrayType(T.LongType()))])
+    names = schema.names
+    met = blocks.groupBy("shard").cogroup(index.docs.groupBy("shard")).applyInArrow(meet, schema)
+    rows = met.select("term", "df", F.inline_outer(F.arrays_zip(*LISTS, "doc_dls")).alias("docid", "tf", "dl", "doc_dl"))
+    return rows.select("term", "docid", F.col("tf").cast("long").alias("tf"), F.col("dl").cast("long").alias("dl"), "df", "doc_dl")
 
 
 def corpus_stats(index: Index) -> DataFrame:
@@ -117,43 +226,40 @@ MAX_ROWS_PER_FILE = 20_000_000
 def write_index(index: Index, path: str, buckets: int | None = None, mode: str = "overwrite") -> None:
     """Persist the index as Parquet.
 
-    Postings are range-partitioned and sorted by (term, docid): a very common
-    term is split over several files, and Parquet min/max statistics still
-    prune row groups by term. ``doc_stats`` comes from the documents, so one
-    without any term is there with ``dl = 0``; the statistics of the terms and
-    of the corpus come from the stored tables. Overwrite makes the build
+    Blocks are written where they are made, a shard's rows by term; all else but ``doc_stats`` comes
+    from the stored blocks. Postings lie in them by (term, docid) shard after shard, or, with
+    ``buckets``, are range-partitioned by (term, docid) into so many parts: a very
+    common term is split over several files, and Parquet min/max statistics still
+    prune by term. ``doc_stats`` comes from the documents, so one
+    without any term is there with ``dl = 0``. Overwrite makes the build
     idempotent (Q6).
     """
-    spark = index.postings.sparkSession
-    n = buckets or target_partitions(spark)      # grows with the cluster, not fixed
-    (
-        index.postings.repartitionByRange(n, "term", "docid")
-        .sortWithinPartitions("term", "docid")
-        .write.mode(mode)
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .parquet(f"{path}/postings")
-    )
-    index.doc_stats.write.mode(mode).parquet(f"{path}/doc_stats")
-    stored = spark.read.parquet(f"{path}/postings")
-    stored.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.mode(mode).parquet(f"{path}/term_stats")
+    spark = index.blocks.sparkSession
+    index.blocks.sortWithinPartitions("shard", "term").write.mode(mode).parquet(f"{path}/blocks")
+    blocks = spark.read.parquet(f"{path}/blocks")
+    postings = unroll(blocks)
+    if buckets:
+        postings = postings.repartitionByRange(buckets, "term", "docid").sortWithinPartitions("term", "docid")
+    postings.write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(f"{path}/postings")
+    index.docs.write.mode(mode).parquet(f"{path}/doc_stats")
+    document_frequencies(blocks).write.mode(mode).parquet(f"{path}/term_stats")
     ds = spark.read.parquet(f"{path}/doc_stats")
     ds.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")).write.mode(mode).parquet(
         f"{path}/corpus_stats"
     )
-    shards = shard_count(spark, spark.read.parquet(f"{path}/corpus_stats").select("n_docs").scalar())
-    blocks = shard_blocks(stored, shards)
-    blocks.sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/blocks")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     """Open a stored index."""
     r = spark.read
+    docs = r.parquet(f"{path}/doc_stats")
     return Index(
         r.parquet(f"{path}/postings"),
         r.parquet(f"{path}/blocks"),
         r.parquet(f"{path}/term_stats"),
-        r.parquet(f"{path}/doc_stats"),
+        docs.select("docid", "dl"),
         r.parquet(f"{path}/corpus_stats"),
+        docs,
     )
 
 
@@ -215,82 +321,132 @@ def best_of_shard(docs, norms, tops, block_tops, weights, k: int, scores):
     return left[first], own[first], read
 
 
-def _shard_search(k: int, k1: float, b: float):
-    """Of the rows (term, postings, bounds, asked, avgdl) of one shard and some questions, each
-    question's best documents. A row without a term holds documents that count no more."""
+class _Shard:
+    """A shard's postings of the asked terms, ready for search."""
 
-    def run(rows):
+    def __init__(self, rows: pa.Table, dead: pa.Table, avgdl: float, k1: float, b: float):
         import numpy as np
-        import pyarrow as pa
         import pyarrow.compute as pc
 
-        def lists(name):
-            column = rows.column(name).combine_chunks()
-            sizes = pc.list_value_length(column).to_numpy()
-            return column.flatten(), np.concatenate([[0], np.cumsum(sizes)])
-
-        numbers = lambda column, field: column.field(field).to_numpy(zero_copy_only=False).astype(float)
-        avgdl = rows.column("avgdl")[0].as_py()
-        gain = lambda column: (tf := numbers(column, "tf")) / (tf + k1 * (1 - b + b * numbers(column, "dl") / avgdl))
-        postings, ends = lists("postings")
-        bounds, block_ends = lists("bounds")
-        asked, asked_ends = lists("asked")
-        coded = postings.field("docid").dictionary_encode("encode")
+        self.terms = rows.column("term").combine_chunks()
+        sizes = pc.list_value_length(rows.column("docids")).to_numpy()
+        coded = _flat(rows, "docids").dictionary_encode("encode")
         by_id = pc.sort_indices(coded.dictionary, null_placement="at_start")
+        self.docids = coded.dictionary.take(by_id)
         place = np.empty(len(by_id), np.int64)
         place[by_id.to_numpy()] = np.arange(len(by_id))
-        docs, norms, block_tops = place[coded.indices.to_numpy()], gain(postings), gain(bounds)
-        for dead in np.flatnonzero(pc.is_null(rows.column("term")).to_numpy()):
-            norms[np.isin(docs, docs[ends[dead] : ends[dead + 1]])] = 0
-        docs = [docs[x:y] for x, y in zip(ends, ends[1:])]
-        norms = [norms[x:y] for x, y in zip(ends, ends[1:])]
-        block_tops = [block_tops[x:y] for x, y in zip(block_ends, block_ends[1:])]
-        tops = [x.max() for x in block_tops]
-        ids = asked.field("id").dictionary_encode("encode")
-        if not len(ids):
-            return pa.table({"id": ids.dictionary, "docid": coded.dictionary[:0], "score": pa.array([], pa.float64())})
-        term = np.repeat(np.arange(rows.num_rows), np.diff(asked_ends))
-        of, weight = ids.indices.to_numpy(), numbers(asked, "weight")
-        order = np.argsort(of, kind="stable")
-        starts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(ids.dictionary)))])
-        scores, found = np.zeros(len(by_id)), []
-        for q in range(len(ids.dictionary)):
-            own = order[starts[q] : starts[q + 1]]
-            pick = lambda x: [x[t] for t in term[own]]
-            best, score, _ = best_of_shard(pick(docs), pick(norms), pick(tops), pick(block_tops), weight[own], k, scores)
+        docs = place[coded.indices.to_numpy()]
+        tf = _flat(rows, "tfs").to_numpy(zero_copy_only=False).astype(float)
+        norms = tf / (tf + k1 * (1 - b + b * _flat(rows, "dls").to_numpy(zero_copy_only=False) / avgdl))
+        if dead.num_rows:
+            gone = pc.is_in(self.docids, value_set=_flat(dead, "docids"))
+            norms[gone.to_numpy(zero_copy_only=False)[docs]] = 0
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        # where the blocks of BLOCK postings of each term begin
+        per = -(-sizes // BLOCK)
+        first = np.concatenate([[0], np.cumsum(per)])
+        at = np.repeat(ends[:-1] - first[:-1] * BLOCK, per) + np.arange(first[-1]) * BLOCK
+        block_tops = np.maximum.reduceat(norms, at) if len(at) else norms
+        self.docs = [docs[x:y] for x, y in zip(ends, ends[1:])]
+        self.norms = [norms[x:y] for x, y in zip(ends, ends[1:])]
+        self.block_tops = [block_tops[x:y] for x, y in zip(first, first[1:])]
+        self.tops = np.maximum.reduceat(norms, ends[:-1]) if len(sizes) else norms
+        self.scores = np.zeros(len(by_id))
+
+    def answer(self, asked: pa.Table, k: int) -> pa.RecordBatch:
+        """The best documents of the questions ``asked`` (id, terms, weights)."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(asked.column("terms")).to_numpy())])
+        at = pc.fill_null(pc.index_in(_flat(asked, "terms"), value_set=self.terms), -1).to_numpy()
+        weights = _flat(asked, "weights").to_numpy(zero_copy_only=False)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for q, (x, y) in enumerate(zip(ends, ends[1:])):
+            here = np.flatnonzero(at[x:y] >= 0) + x
+            if not len(here):
+                continue
+            pick = lambda own: [own[t] for t in at[here]]
+            best, score, _ = best_of_shard(pick(self.docs), pick(self.norms), pick(self.tops), pick(self.block_tops), weights[here], k, self.scores)
             found.append((np.full(len(best), q), best, score))
         q, best, score = (np.concatenate(c) for c in zip(*found))
-        docid = coded.dictionary.take(by_id.take(pa.array(best)))
-        return pa.table({"id": ids.dictionary.take(pa.array(q)), "docid": docid, "score": pa.array(score)})
+        ids = asked.column("id").combine_chunks().take(pa.array(q))
+        return pa.RecordBatch.from_arrays([ids, self.docids.take(pa.array(best)), pa.array(score)], names=["id", "docid", "score"])
+
+
+# What a shard reads, in this order.
+_DEAD, _POSTINGS, _QUESTION = 0, 1, 2
+
+
+def _shard_search(k: int, k1: float, b: float):
+    """Of the rows of one shard, by ``kind``: the documents that count no more, the asked terms' postings,
+    the questions, each question's best documents. Questions are answered as they are read, so what
+    a shard holds is its postings and a batch of questions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        held, shard = [], None
+        for batch in batches:
+            own = pa.Table.from_batches([batch])
+            of = lambda rows, kind: rows.filter(pc.equal(rows.column("kind"), kind))
+            asked = of(own, _QUESTION)
+            if asked.num_rows < own.num_rows:
+                held.append(own.filter(pc.less(own.column("kind"), _QUESTION)))
+            if not asked.num_rows:
+                continue
+            if shard is None and held:
+                known = pa.concat_tables(held)
+                if of(known, _POSTINGS).num_rows:
+                    shard = _Shard(of(known, _POSTINGS), of(known, _DEAD), known.column("avgdl")[0].as_py(), k1, b)
+                held, known = [], None
+            if shard is not None:
+                yield shard.answer(asked, k)
 
     return run
 
 
+def _place(shard: str, shards: list[int]) -> Column:
+    """The place of a shard's number in ``shards``, rising numbers in a few runs."""
+    out = F.lit(None).cast("int")
+    for place, number in reversed(list(enumerate(shards))):
+        if place == 0 or shards[place - 1] != number - 1:  # a run begins
+            end = next((i for i in range(place + 1, len(shards)) if shards[i] != shards[i - 1] + 1), len(shards))
+            out = F.when(F.col(shard).between(number, shards[end - 1]), (F.col(shard) - number + place).cast("int")).otherwise(out)
+    return out
+
+
 def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: str = "id",
               text_col: str = "question", analyzer=None, k1: float = K1, b: float = B) -> DataFrame:
     """R1 + J2: top-k documents per question: (id, docid, rank, score).
 
     Ties: ``round(score, 6) desc, docid asc``. Questions with no matching term
-    yield no rows (Q8). Each question term, weighted by its stored document
-    frequency, meets its blocks once; ``N`` and ``avgdl`` are scalar subqueries over
-    the (one-row) corpus statistics. Questions are answered in parts of about
-    ``QUESTIONS``, so what a shard holds at a time is bounded.
+    yield no rows (Q8). Each question term is weighted by its stored document
+    frequency; ``N`` and ``avgdl`` are scalar subqueries over the (one-row) corpus
+    statistics. A block of an asked term goes to its shard once, however many questions
+    ask for it; questions go to every shard, one row each.
     """
+    shards = index.shards
+    if shards is None:
+        shards = sorted(r.shard for r in index.blocks.select("shard").distinct().collect())
     qt = query_terms(questions, id_col, text_col, analyzer)
     n_docs, avgdl = (index.corpus_stats.select(c).scalar() for c in ("n_docs", "avgdl"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     weighted = qt.join(index.term_stats, "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
-    parts = F.greatest(F.ceil(questions.select(F.count(F.lit(1))).scalar() / QUESTIONS), F.lit(1))
-    asked = weighted.withColumn("part", F.pmod(F.xxhash64("id"), parts)).groupBy("term", "part").agg(F.collect_list(F.struct("id", "weight")).alias("asked"))
-    rows = asked.join(index.blocks, "term").select("shard", "part", "term", "postings", "bounds", "asked", avgdl.alias("avgdl"))
+    blocks = index.blocks.join(qt.select("term").distinct(), "term", "left_semi")
+    asked = weighted.groupBy("id").agg(F.collect_list(F.struct("term", "weight")).alias("q"))
+    asked = asked.select("id", F.col("q")["term"].alias("terms"), F.col("q")["weight"].alias("weights"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(max(len(shards), 1) - 1)))
+    rows = asked.select(every.alias("shard"), F.lit(_QUESTION).alias("kind"), "id", "terms", "weights")
+    place = _place("shard", shards).alias("shard")
+    told = blocks.select(place, F.lit(_POSTINGS).alias("kind"), "term", *LISTS, avgdl.alias("avgdl"))
     if index.dead is not None:  # a shard hears of its dead documents, at most all of its own
-        none = F.array(F.struct(F.lit(0).cast("long").alias("tf"), F.lit(0).cast("long").alias("dl")))
-        dead = index.dead.groupBy("shard").agg(F.collect_list(F.struct("docid", F.lit(0).cast("long").alias("tf"), F.lit(0).cast("long").alias("dl"))).alias("postings"))
-        told = dead.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "postings", none.alias("bounds"), avgdl.alias("avgdl"))
-        nothing = {"term": F.lit(None).cast("string"), "asked": F.array().cast(asked.schema["asked"].dataType)}
-        rows = rows.unionByName(told.withColumns(nothing))
+        gone = index.dead.groupBy("shard").agg(F.collect_list(F.struct("docid")).alias("d"))
+        told = told.unionByName(gone.select(place, F.lit(_DEAD).alias("kind"), F.col("d")["docid"].alias("docids"), avgdl.alias("avgdl")), allowMissingColumns=True)
+    rows = rows.unionByName(told, allowMissingColumns=True)
     schema = T.StructType([T.StructField("id", qt.schema["id"].dataType), T.StructField("docid", index.postings.schema["docid"].dataType), T.StructField("score", T.DoubleType())])
-    scored = rows.groupBy("shard", "part").applyInArrow(_shard_search(k, k1, b), schema).withColumn("score", F.round("score", 6))
+    rows = rows.repartitionById(max(len(shards), 2), "shard").sortWithinPartitions("shard", "kind")  # a task a shard
+    scored = rows.groupBy("shard").applyInArrow(_shard_search(k, k1, b), schema).withColumn("score", F.round("score", 6))
     w = Window.partitionBy("id").orderBy(F.col("score").desc(), F.col("docid").asc())
     return (
         scored.withColumn("rank", F.row_number().over(w))

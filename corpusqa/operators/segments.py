@@ -1,6 +1,6 @@
 """An index that grows (S4, S5, Q6): segments, taken back documents, merges.
 
-``path/segment=<n>/`` holds one load: ``postings`` and ``blocks`` of its documents alone,
+``path/segment=<n>/`` holds one load: ``blocks`` (see ``retrieval``) of its documents alone,
 ``docs(docid, dl, digest, shard)``, ``gone(docid, in_segment, in_shard)``: the copies in
 earlier segments that it replaces or deletes, ``terms(term, df)``: what it adds to each
 term's document frequency, less what the gone copies had, and ``corpus``: one row, the
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusqa.functions.text import analyze
 from corpusqa.operators import retrieval
 from corpusqa.operators.clean import first_passage_per_docid
-from corpusqa.session import materialize, release, target_partitions
+from corpusqa.session import materialize, release
 
 SHARD_BITS = 32  # a shard of an opened index: segment * 2^32 + shard of the segment
 
@@ -54,23 +54,42 @@ def _live(rows: DataFrame, gone: DataFrame) -> DataFrame:
     return rows.join(dead, F.col("docid").eqNullSafe(F.col("_docid")) & (F.col("segment") == F.col("_segment")), "left_anti")
 
 
+def _of_opened(segment: str, shard: str):
+    return F.shiftleft(F.col(segment).cast("long"), SHARD_BITS) + F.col(shard)
+
+
+def _blocks(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
+    """The blocks of the segments, by the shards of the opened index."""
+    found = _read(spark, path, numbers, "blocks").withColumn("shard", _of_opened("segment", "shard"))
+    return found.select("shard", "term", *retrieval.LISTS)
+
+
+def _dead(gone: DataFrame) -> DataFrame:
+    return gone.select("docid", _of_opened("in_segment", "in_shard").alias("shard"))
+
+
 def open_index(spark: SparkSession, path: str) -> retrieval.Index:
     """The live documents of all segments as one index."""
     numbers = segment_numbers(spark, path)
     if not numbers:
         raise ValueError(f"no whole segment in {path}")
     gone = _read(spark, path, numbers, "gone").filter(F.col("in_segment") >= numbers[0])
-    shard = lambda segment, own: F.shiftleft(F.col(segment).cast("long"), SHARD_BITS) + F.col(own)
-    blocks = _read(spark, path, numbers, "blocks").withColumn("shard", shard("segment", "shard")).drop("segment")
+    if gone.isEmpty():
+        gone = None
+    blocks = _blocks(spark, path, numbers)
+    dead = None if gone is None else _dead(gone)
     terms = _read(spark, path, numbers, "terms").groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
     sums = _read(spark, path, numbers, "corpus").agg(*[F.sum(c).alias(c) for c in ("n_docs", "n_texts", "sum_dl")])
+    docs = _read(spark, path, numbers, "docs")
+    docs = (docs if gone is None else _live(docs, gone)).select("docid", "dl", _of_opened("segment", "shard").alias("shard"))
     return retrieval.Index(
-        _live(_read(spark, path, numbers, "postings"), gone).drop("segment"),
+        retrieval.unroll(blocks if dead is None else retrieval.blocks_of(blocks, dead, without=True)),
         blocks,
         terms,
-        _live(_read(spark, path, numbers, "docs"), gone).select("docid", "dl"),
+        docs.select("docid", "dl"),
         sums.select("n_docs", F.try_divide("sum_dl", "n_texts").alias("avgdl")),
-        gone.select("docid", shard("in_segment", "in_shard").alias("shard")),
+        docs,
+        dead,
     )
 
 
@@ -100,11 +119,16 @@ def append_documents(passages: DataFrame, path: str, text_col: str = "passage",
     n_docs = fresh.count()
     if n_docs:
         new = fresh.select(F.col("docid").alias("_docid"), "digest")
-        own = rows.join(new, F.col("docid").eqNullSafe(F.col("_docid"))).drop("_docid") if numbers else rows.withColumn("digest", F.sha2("passage", 256))
+        if numbers:  # read twice: written, so that texts are joined once
+            own = materialize(rows.join(new, F.col("docid").eqNullSafe(F.col("_docid"))).select("docid", "passage", "digest"), "fresh")
+        else:
+            own = rows.withColumn("digest", F.sha2("passage", 256))
         dl = F.size((analyzer or analyze)("passage")).cast("long")
-        postings = retrieval.build_index(own.select("docid", "passage"), analyzer=analyzer).postings
+        blocks = retrieval.build_index(own.select("docid", "passage"), analyzer=analyzer, shards=retrieval.shard_count(spark, n_docs)).blocks
         gone = fresh.filter("in_segment IS NOT NULL").select("docid", "in_segment", "in_shard")
-        _write(spark, path, numbers, own.select("docid", dl.alias("dl"), "digest"), postings, gone, n_docs)
+        _write(spark, path, numbers, own.select("docid", dl.alias("dl"), "digest"), blocks, gone, n_docs)
+        if numbers:
+            release(own)
     release(fresh)
     return n_docs
 
@@ -123,7 +147,7 @@ def delete_documents(docids: DataFrame, path: str) -> int:
     n = gone.count()
     if n:
         none = lambda name: _read(spark, path, numbers[:1], name).drop("segment").filter(F.lit(False))
-        _write(spark, path, numbers, none("docs").drop("shard"), none("postings"), gone, 0)
+        _write(spark, path, numbers, none("docs").drop("shard"), none("blocks"), gone, 0)
     release(gone)
     return n
 
@@ -135,7 +159,11 @@ def merge_segments(spark: SparkSession, path: str) -> int:
     index = open_index(spark, path)
     docs = _live(_read(spark, path, numbers, "docs"), _read(spark, path, numbers, "gone")).select("docid", "dl", "digest")
     none = _read(spark, path, numbers[:1], "gone").drop("segment").filter(F.lit(False))
-    return _write(spark, path, numbers, docs, index.postings, none, index.corpus_stats.first()["n_docs"], merged=True)
+    n_docs = index.corpus_stats.first()["n_docs"]
+    shards = retrieval.shard_count(spark, n_docs)
+    dealt = index.postings.select(retrieval.shard_of("docid", shards).alias("shard"), "docid", "term", F.col("tf").cast("int").alias("tf"), F.col("dl").cast("int").alias("dl"))
+    blocks = retrieval.gather_blocks(dealt.repartitionById(shards, "shard"))
+    return _write(spark, path, numbers, docs, blocks, none, n_docs, merged=True)
 
 
 def drop_merged(spark: SparkSession, path: str) -> None:
@@ -149,25 +177,25 @@ def drop_merged(spark: SparkSession, path: str) -> None:
             fs.delete(status.getPath(), True)
 
 
-def _write(spark: SparkSession, path: str, numbers: list[int], docs: DataFrame, postings: DataFrame, gone: DataFrame,
+def _write(spark: SparkSession, path: str, numbers: list[int], docs: DataFrame, blocks: DataFrame, gone: DataFrame,
            n_docs: int, merged: bool = False) -> int:
+    """``blocks`` by ``shard_count`` shards of ``n_docs`` documents."""
     number = numbers[-1] + 1 if numbers else 1
     out = f"{path}/segment={number}"
     put = lambda df, name: df.write.mode("overwrite").parquet(f"{out}/{name}")
     own = lambda name: spark.read.parquet(f"{out}/{name}")
-    by_term = postings.select("term", "docid", "tf", "dl").repartitionByRange(target_partitions(spark), "term", "docid")
-    put(by_term.sortWithinPartitions("term", "docid"), "postings")
-    shards = retrieval.shard_count(spark, F.lit(n_docs))
-    put(docs.withColumn("shard", retrieval.shard_of("docid", shards)), "docs")
+    shard = retrieval.shard_of("docid", retrieval.shard_count(spark, n_docs)).cast("long")
+    put(blocks.select("shard", "term", *retrieval.LISTS).sortWithinPartitions("shard", "term"), "blocks")
+    put(docs.withColumn("shard", shard), "docs")
     put(gone, "gone")
-    put(retrieval.shard_blocks(own("postings"), shards).sortWithinPartitions("term"), "blocks")
-    df, counts = own("postings").select("term", F.lit(1).cast("long").alias("df")), _counts(own("docs"), 1)
-    if numbers and not merged:
+    df, counts = retrieval.document_frequencies(own("blocks")), _counts(own("docs"), 1)
+    if numbers and not merged and not own("gone").isEmpty():
         taken = own("gone").select(F.col("docid").alias("_docid"), "in_segment")
-        of_gone = lambda name: _read(spark, path, numbers, name).join(
+        lost = retrieval.blocks_of(_blocks(spark, path, numbers), _dead(own("gone")))
+        df = df.unionByName(retrieval.document_frequencies(lost).select("term", (-F.col("df")).alias("df")))
+        of_gone = _read(spark, path, numbers, "docs").join(
             taken, F.col("docid").eqNullSafe(F.col("_docid")) & (F.col("segment") == F.col("in_segment")), "left_semi")
-        df = df.unionByName(of_gone("postings").select("term", F.lit(-1).cast("long").alias("df")))
-        counts = counts.unionByName(_counts(of_gone("docs"), -1))
+        counts = counts.unionByName(_counts(of_gone, -1))
     put(df.groupBy("term").agg(F.sum("df").alias("df")), "terms")
     first = number if merged or not numbers else numbers[0]
     put(counts.agg(*[F.sum(c).alias(c) for c in counts.columns]).withColumn("first_segment", F.lit(first)), "corpus")

@@ -76,9 +76,14 @@ class Ctx:
         return clean.clean_questions(dt.conversation_questions(self.spark, self.sf))
 
     @cached_property
-    def index(self) -> retrieval.Index:
+    def fresh_index(self) -> retrieval.Index:
         return retrieval.build_index(self.prep.raw_passages)
 
+    @cached_property
+    def index(self) -> retrieval.Index:
+        # postings, frequencies and searches come from the blocks: written once
+        return retrieval.held(self.fresh_index)
+
     @cached_property
     def hits(self) -> DataFrame:
         # questions x k rows, read by several branches (chunk keys, feature
@@ -176,7 +181,7 @@ def q_term_stats(c: Ctx):
 
 
 def q_doc_stats(c: Ctx):
-    return c.index.doc_stats.select("docid", "dl")
+    return c.fresh_index.doc_stats.select("docid", "dl")
 
 
 def q_corpus_stats(c: Ctx):
@@ -364,14 +369,14 @@ def q_dedup_passages(c: Ctx):
 
 def _stored_index(c: Ctx) -> retrieval.Index:
     path = scratch_path(c.spark, "index")
-    retrieval.write_index(c.index, path)
+    retrieval.write_index(c.fresh_index, path)
     return retrieval.read_index(c.spark, path)
 
 
 def q_index_roundtrip(c: Ctx):
     """S4 + S5: the stored index, read back: every posting with its term's and
     its document's statistics."""
-    return _index_rows(_stored_index(c))
+    return retrieval.postings_with_stats(_stored_index(c))
 
 
 def q_bm25_topk_stored(c: Ctx):
@@ -389,15 +394,9 @@ def _grown_index(c: Ctx) -> str:
     return path
 
 
-def _index_rows(i: retrieval.Index) -> DataFrame:
-    docs = i.doc_stats.withColumnRenamed("dl", "doc_dl")
-    p = i.postings.join(i.term_stats, "term").join(docs, "docid")
-    return p.select("term", "docid", F.col("tf").cast("long").alias("tf"), "dl", F.col("df").cast("long").alias("df"), "doc_dl")
-
-
 def q_index_append(c: Ctx):
     """An index grown by loads has the rows of one built at once."""
-    return _index_rows(segments.open_index(c.spark, _grown_index(c)))
+    return retrieval.postings_with_stats(segments.open_index(c.spark, _grown_index(c)))
 
 
 def q_bm25_topk_appended(c: Ctx):
@@ -410,7 +409,7 @@ def q_index_merge(c: Ctx):
     path = _grown_index(c)
     segments.merge_segments(c.spark, path)
     segments.drop_merged(c.spark, path)
-    return _index_rows(segments.open_index(c.spark, path))
+    return retrieval.postings_with_stats(segments.open_index(c.spark, path))
 
 
 def q_sub_token_maps(c: Ctx):

@@ -168,3 +168,14 @@ def test_step_batches_cycle(spark):
         assert least <= train_dev_split(ids, fraction).filter("split = 'dev'").count() <= most
     with pytest.raises(ValueError):
         train_dev_split(ids, 1.5)
+
+
+def test_texts_are_shuffled_once_for_the_blocks(spark):
+    """Postings are counted and gathered where their shard's texts are, for null and repeated docids, too."""
+    rows = [(1, "red fox red"), (2, "fox"), (2, "red fox"), (None, "red"), (3, None), (4, "")]
+    index = build_index(spark.createDataFrame(rows, "docid long, passage string").coalesce(1))
+    plan = index.blocks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    got = sorted((r.term, -1 if r.docid is None else r.docid, r.tf, r.dl) for r in index.postings.collect())
+    assert got == [("fox", 1, 1, 3), ("fox", 2, 2, 1), ("red", -1, 1, 1), ("red", 1, 2, 3), ("red", 2, 1, 1)]
+    assert sorted(tuple(r) for r in index.term_stats.collect()) == [("fox", 2), ("red", 3)]
