@@ -53,6 +53,7 @@ class Index:
     docs: DataFrame  # (docid, dl, shard): ``doc_stats`` with the shard whose blocks hold the document
     dead: DataFrame | None = None  # (docid, shard): documents in ``blocks`` that count no more
     shards: list[int] | None = None  # numbers in ``blocks``; None: read them there
+    counts: DataFrame | None = None  # (n_docs, n_texts), if the lengths of texts are the sums of their tf
 
 
 def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None, shards: int | None = None) -> Index:
@@ -76,7 +77,8 @@ def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None, s
     lists = zip(LISTS, (terms.schema["docid"].dataType, T.IntegerType(), T.IntegerType()))
     schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("term", T.StringType()), *[T.StructField(name, T.ArrayType(t)) for name, t in lists]])
     blocks = terms.groupBy("shard").applyInArrow(_count_shard, schema)
-    return Index(unroll(blocks), blocks, document_frequencies(blocks), docs.select("docid", "dl"), corpus, docs, shards=list(range(n)))
+    return Index(unroll(blocks), blocks, document_frequencies(blocks), docs.select("docid", "dl"), corpus, docs,
+                 shards=list(range(n)), counts=None if analyzer else passages.agg(F.count(F.lit(1)).alias("n_docs"), F.count(text_col).alias("n_texts")))
 
 
 def _count_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,9 +153,14 @@ def document_frequencies(blocks: DataFrame) -> DataFrame:
 
 
 def held(index: Index) -> Index:
-    """The index with its blocks written below the checkpoint folder: several tables come from them."""
+    """The index with its blocks written below the checkpoint folder: several tables come from them,
+    and the average length, so that texts are not analysed for it again."""
     blocks = materialize(index.blocks, "blocks")
-    return replace(index, blocks=blocks, postings=unroll(blocks), term_stats=document_frequencies(blocks))
+    corpus = index.corpus_stats
+    if index.counts is not None:
+        words = blocks.select(F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda n, tf: n + tf))).scalar()
+        corpus = index.counts.select("n_docs", F.try_divide(F.coalesce(words, F.lit(0).cast("long")), F.col("n_texts")).alias("avgdl"))
+    return replace(index, blocks=blocks, postings=unroll(blocks), term_stats=document_frequencies(blocks), corpus_stats=corpus)
 
 
 def _flat(rows: pa.Table, name: str):
