@@ -46,6 +46,15 @@ def first_passage_per_docid(passages: DataFrame, order_col: str = "ordinal") ->
     return rows.filter(F.col("first").isNull() | (F.col(order_col) == F.col("first"))).select("docid", "passage")
 
 
+def passages_of(passages: DataFrame, docids: DataFrame, n: int | None = None) -> DataFrame:
+    """The passages of the documents in ``docids(docid)``, ``n`` rows at most; null is a docid. Up to
+    ``BROADCAST_DOCIDS`` go to the texts, which stay where they are; more are joined."""
+    wanted = docids.select(F.col("docid").alias("_docid")).distinct()
+    if (wanted.count() if n is None else n) <= BROADCAST_DOCIDS:
+        wanted = F.broadcast(wanted)
+    return passages.join(wanted, F.col("docid").eqNullSafe(F.col("_docid")), "left_semi")
+
+
 def locate_answers(train: DataFrame, passages: DataFrame) -> DataFrame:
     """Join each cleaned train row to its cleaned passage and find the answer.
 

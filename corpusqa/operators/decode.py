@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusqa.functions.arrays import let
 from corpusqa.functions.text import sub_token_to_char_map, token_to_char_map
+from corpusqa.operators.clean import passages_of
 
 # Fixed values of the reference: span top-k, score of an invalid span, the
 # no-answer threshold and the fallback answer text.
@@ -26,7 +27,8 @@ def topk_positions(col, k: int = SPAN_TOP_K) -> Column:
     """Indices of the k largest values, largest first, ties by lower index."""
     c = F.col(col) if isinstance(col, str) else col
     keyed = F.transform(c, lambda v, i: F.struct((-v).alias("nv"), i.alias("i")))
-    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda x: x["i"])
+    # sort_array: array_sort would call a comparing expression for each pair
+    return F.transform(F.slice(F.sort_array(keyed), 1, k), lambda x: x["i"])
 
 
 def is_valid_span(s, e, q, bert_doc_end) -> Column:
@@ -120,8 +122,7 @@ def _with_answer(winners: DataFrame, passages: DataFrame, pieces=None) -> DataFr
 
 def winner_passages(winners: DataFrame, passages: DataFrame) -> DataFrame:
     """Passages of the winning documents only. Pass a stored ``winners`` table."""
-    wanted = winners.filter(F.col("best").isNotNull()).select(F.col("best.docid").alias("docid"))
-    return passages.join(wanted, "docid", "left_semi")
+    return passages_of(passages, winners.filter(F.col("best.docid").isNotNull()).select(F.col("best.docid").alias("docid")))
 
 
 def span_text(winners: DataFrame, passages: DataFrame, pieces=None) -> DataFrame:

@@ -3,13 +3,15 @@
 The index is four tables, and a view of one:
 
 * ``blocks(shard, term, docids, tfs, dls)`` -- the postings of a term within a shard of
-  documents, by docid, as lists side by side
+  documents, by docid, as lists side by side. Where they are written, a row without a term
+  comes first in each shard: its documents and their lengths
 * ``postings(term, docid, tf, dl)``  -- one row per (term, document): the same, unrolled
 * ``term_stats(term, df)``
 * ``doc_stats(docid, dl)``, with each document's shard
 * ``corpus_stats(n_docs, avgdl, n_terms, n_postings)``
 
-Texts go to their shard once; what is counted, sorted and listed there stays there.
+Texts go to their shard once and are analysed once there; what is counted, sorted and listed there
+stays there.
 
 Search is BM25 (Robertson & Zaragoza 2009):
 ``sum qtf * ln(1 + (N - df + 0.5)/(df + 0.5)) * tf / (tf + k1 * (1 - b + b * dl / avgdl))``
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusqa.functions.text import analyze
-from corpusqa.session import materialize, target_partitions
+from corpusqa.session import exists, materialize, target_partitions
 
 # Fixed BM25 parameters (the usual defaults of full-text search servers).
 K1 = 1.2
@@ -53,16 +55,18 @@ class Index:
     docs: DataFrame  # (docid, dl, shard): ``doc_stats`` with the shard whose blocks hold the document
     dead: DataFrame | None = None  # (docid, shard): documents in ``blocks`` that count no more
     shards: list[int] | None = None  # numbers in ``blocks``; None: read them there
-    counts: DataFrame | None = None  # (n_docs, n_texts), if the lengths of texts are the sums of their tf
+    counted: DataFrame | None = None  # ``blocks`` with the rows of documents: what is written
 
 
-def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None, shards: int | None = None) -> Index:
+def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None, shards: int | None = None,
+                digest: bool = False) -> Index:
     """Build the index tables from (docid, passage).
 
     Documents are dealt to shards by a hash of the docid: the one shuffle, of the texts.
     Terms are counted per document and gathered per term within the shard.
     ``analyzer(col) -> array<string>`` replaces the built-in analyser; use the
     same one for queries. The tables are lazy: ``held`` or ``write_index`` make them once.
+    With ``digest`` the documents in ``counted`` have the SHA-256 of their texts.
     """
     n = shards or shard_count(passages.sparkSession, passages.count())
     terms = passages.select("docid", (analyzer or analyze)(text_col).alias("terms"))
@@ -73,31 +77,53 @@ def build_index(passages: DataFrame, text_col: str = "passage", analyzer=None, s
     )
     dealt = passages.select(shard_of("docid", n).alias("shard"), "docid", F.col(text_col).alias("passage"))
     dealt = dealt.repartitionById(n, "shard").sortWithinPartitions("shard")
-    terms = dealt.select("shard", "docid", (analyzer or analyze)("passage").alias("terms"))
-    lists = zip(LISTS, (terms.schema["docid"].dataType, T.IntegerType(), T.IntegerType()))
+    own = [F.sha2("passage", 256).alias("digest")] if digest else []
+    terms = dealt.select("shard", "docid", (analyzer or analyze)("passage").alias("terms"), *own)
+    lists = [*zip(LISTS, (terms.schema["docid"].dataType, T.IntegerType(), T.IntegerType())), *[("digests", T.StringType())] * digest]
     schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("term", T.StringType()), *[T.StructField(name, T.ArrayType(t)) for name, t in lists]])
-    blocks = terms.groupBy("shard").applyInArrow(_count_shard, schema)
-    return Index(unroll(blocks), blocks, document_frequencies(blocks), docs.select("docid", "dl"), corpus, docs,
-                 shards=list(range(n)), counts=None if analyzer else passages.agg(F.count(F.lit(1)).alias("n_docs"), F.count(text_col).alias("n_texts")))
+    counted = terms.groupBy("shard").applyInArrow(_count_shard, schema)
+    blocks = term_blocks(counted)
+    return Index(unroll(blocks), blocks, document_frequencies(blocks), docs.select("docid", "dl"), corpus, docs, shards=list(range(n)), counted=counted)
+
+
+def term_blocks(counted: DataFrame) -> DataFrame:
+    return counted.filter(F.col("term").isNotNull()).select("shard", "term", *LISTS)
+
+
+def counted_docs(counted: DataFrame, digest: bool = False) -> DataFrame:
+    """The documents (docid, dl, shard) in ``counted``, with their ``digest`` if it was taken."""
+    lists = {"docid": "docids", "dl": "dls"} | ({"digest": "digests"} if digest else {})
+    rows = counted.filter(F.col("term").isNull()).select("shard", F.inline_outer(F.arrays_zip(*lists.values())).alias(*lists))
+    return rows.select("docid", F.col("dl").cast("long").alias("dl"), *(["digest"] if digest else []), "shard")
 
 
 def _count_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The blocks of one shard from its documents (shard, docid, terms), by term; a docid that
-    comes again is one document with the first one's length."""
+    """The blocks of one shard from its documents (shard, docid, terms), by term, after a row with the
+    documents as they came; a docid that comes again is one document with the first one's length."""
     import numpy as np
     import pyarrow.compute as pc
 
-    shard, terms, sizes, docids = None, [], [], []
+    shard, terms, lengths, docids, digests = None, [], [], [], []
     for batch in batches:
         shard = batch.column("shard")[0].as_py() if batch.num_rows else shard
         rows = batch.column("terms")
         terms.append(rows.flatten().dictionary_encode())
-        sizes.append(pc.fill_null(pc.list_value_length(rows), 0).to_numpy())
+        lengths.append(pc.list_value_length(rows))
         docids.append(batch.column("docid"))
+        if "digest" in batch.schema.names:
+            digests.append(batch.column("digest"))
+    if shard is None:
+        return
+    lengths, docids = pa.concat_arrays(lengths), pa.concat_arrays(docids)
+    whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+    no_digests = [pa.nulls(1, pa.list_(pa.string()))] if digests else []
+    names = ["shard", "term", *LISTS, *["digests"] * len(no_digests)]
+    own = [whole(docids), pa.nulls(1, pa.list_(pa.int32())), whole(lengths.cast(pa.int32())), *([whole(pa.concat_arrays(digests))] if digests else [])]
+    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.nulls(1, pa.string()), *own], names=names)
     if not sum(map(len, terms)):
         return
-    sizes = np.concatenate(sizes)
-    ids = pa.concat_arrays(docids).dictionary_encode("encode")
+    sizes = pc.fill_null(lengths, 0).to_numpy()
+    ids = docids.dictionary_encode("encode")
     by_id = pc.sort_indices(ids.dictionary, null_placement="at_start").to_numpy()
     place = np.empty(len(by_id), np.int64)
     place[by_id] = np.arange(len(by_id))
@@ -118,7 +144,8 @@ def _count_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ends = np.append(first, len(term))
     words, docid = coded.dictionary.take(pa.array(by_term[term[first]])), ids.dictionary.take(pa.array(by_id[doc]))
     lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), x) for x in (docid, pa.array(tf, pa.int32()), pa.array(dl[doc]))]
-    out = pa.RecordBatch.from_arrays([pa.array(np.full(len(words), shard)), words, *lists], names=["shard", "term", *LISTS])
+    lists += [pa.nulls(len(words), pa.list_(pa.string())) for _ in no_digests]
+    out = pa.RecordBatch.from_arrays([pa.array(np.full(len(words), shard)), words, *lists], names=names)
     for at in range(0, len(words), 1 << 16):
         yield out.slice(at, 1 << 16)
 
@@ -153,14 +180,13 @@ def document_frequencies(blocks: DataFrame) -> DataFrame:
 
 
 def held(index: Index) -> Index:
-    """The index with its blocks written below the checkpoint folder: several tables come from them,
-    and the average length, so that texts are not analysed for it again."""
-    blocks = materialize(index.blocks, "blocks")
-    corpus = index.corpus_stats
-    if index.counts is not None:
-        words = blocks.select(F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda n, tf: n + tf))).scalar()
-        corpus = index.counts.select("n_docs", F.try_divide(F.coalesce(words, F.lit(0).cast("long")), F.col("n_texts")).alias("avgdl"))
-    return replace(index, blocks=blocks, postings=unroll(blocks), term_stats=document_frequencies(blocks), corpus_stats=corpus)
+    """The index of ``build_index`` with its blocks and documents written below the checkpoint folder:
+    all tables come from them, so that texts are read and analysed once."""
+    counted = materialize(index.counted, "blocks")
+    blocks, docs = term_blocks(counted), counted_docs(counted)
+    corpus = docs.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
+    return replace(index, blocks=blocks, postings=unroll(blocks), term_stats=document_frequencies(blocks), corpus_stats=corpus,
+                   doc_stats=docs.select("docid", "dl"), docs=docs, counted=counted)
 
 
 def _flat(rows: pa.Table, name: str):
@@ -195,6 +221,23 @@ def blocks_of(blocks: DataFrame, docids: DataFrame, without: bool = False) -> Da
     return blocks.groupBy("shard").cogroup(docids.select("docid", "shard").groupBy("shard")).applyInArrow(cut, blocks.schema)
 
 
+def frequencies_of(blocks: DataFrame, docids: DataFrame) -> DataFrame:
+    """(term, df) among the documents of ``docids(docid, shard)`` alone: shard by shard, where only
+    the docids of a block go. Null is a docid like any other."""
+
+    def count(rows: pa.Table, own: pa.Table) -> pa.Table:
+        import numpy as np
+        import pyarrow.compute as pc
+
+        found = pc.is_in(_flat(rows, "docids"), value_set=own.column("docid").combine_chunks()).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(rows.column("docids")).to_numpy())])
+        df = np.diff(np.concatenate([[0], np.cumsum(found)])[ends])
+        return pa.table({"term": rows.column("term"), "df": pa.array(df, pa.int64())}).filter(pa.array(df > 0))
+
+    own = blocks.select("shard", "term", "docids").groupBy("shard").cogroup(docids.select("docid", "shard").groupBy("shard"))
+    return own.applyInArrow(count, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
+
+
 def postings_with_stats(index: Index) -> DataFrame:
     """Every posting with its term's and its document's statistics: (term, docid, tf, dl, df,
     doc_dl). Terms meet the blocks' rows, documents their shard's; postings are unrolled at the end.
@@ -233,22 +276,22 @@ MAX_ROWS_PER_FILE = 20_000_000
 def write_index(index: Index, path: str, buckets: int | None = None, mode: str = "overwrite") -> None:
     """Persist the index as Parquet.
 
-    Blocks are written where they are made, a shard's rows by term; all else but ``doc_stats`` comes
-    from the stored blocks. Postings lie in them by (term, docid) shard after shard, or, with
-    ``buckets``, are range-partitioned by (term, docid) into so many parts: a very
+    Blocks are written where they are made, a shard's documents, then its rows by term; all else comes
+    from the stored blocks. Postings lie in them by (term, docid) shard after shard and are
+    unrolled when read. With ``buckets`` they are also written one by one, range-partitioned by
+    (term, docid) into so many parts: a very
     common term is split over several files, and Parquet min/max statistics still
-    prune by term. ``doc_stats`` comes from the documents, so one
-    without any term is there with ``dl = 0``. Overwrite makes the build
+    prune by term. A document without any term is in ``doc_stats`` with ``dl = 0``. Overwrite makes the build
     idempotent (Q6).
     """
     spark = index.blocks.sparkSession
-    index.blocks.sortWithinPartitions("shard", "term").write.mode(mode).parquet(f"{path}/blocks")
-    blocks = spark.read.parquet(f"{path}/blocks")
-    postings = unroll(blocks)
+    index.counted.sortWithinPartitions("shard", "term").write.mode(mode).parquet(f"{path}/blocks")
+    counted = spark.read.parquet(f"{path}/blocks")
+    blocks = term_blocks(counted)
     if buckets:
-        postings = postings.repartitionByRange(buckets, "term", "docid").sortWithinPartitions("term", "docid")
-    postings.write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(f"{path}/postings")
-    index.docs.write.mode(mode).parquet(f"{path}/doc_stats")
+        postings = unroll(blocks).repartitionByRange(buckets, "term", "docid").sortWithinPartitions("term", "docid")
+        postings.write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(f"{path}/postings")
+    counted_docs(counted).write.mode(mode).parquet(f"{path}/doc_stats")
     document_frequencies(blocks).write.mode(mode).parquet(f"{path}/term_stats")
     ds = spark.read.parquet(f"{path}/doc_stats")
     ds.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")).write.mode(mode).parquet(
@@ -259,14 +302,16 @@ def write_index(index: Index, path: str, buckets: int | None = None, mode: str =
 def read_index(spark: SparkSession, path: str) -> Index:
     """Open a stored index."""
     r = spark.read
-    docs = r.parquet(f"{path}/doc_stats")
+    docs, counted = r.parquet(f"{path}/doc_stats"), r.parquet(f"{path}/blocks")
+    blocks = term_blocks(counted)
     return Index(
-        r.parquet(f"{path}/postings"),
-        r.parquet(f"{path}/blocks"),
+        r.parquet(f"{path}/postings") if exists(spark, f"{path}/postings") else unroll(blocks),
+        blocks,
         r.parquet(f"{path}/term_stats"),
         docs.select("docid", "dl"),
         r.parquet(f"{path}/corpus_stats"),
         docs,
+        counted=counted,
     )
 
 
@@ -439,8 +484,9 @@ def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: st
     qt = query_terms(questions, id_col, text_col, analyzer)
     n_docs, avgdl = (index.corpus_stats.select(c).scalar() for c in ("n_docs", "avgdl"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    weighted = qt.join(index.term_stats, "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
-    blocks = index.blocks.join(qt.select("term").distinct(), "term", "left_semi")
+    asked = qt.select("term").distinct()
+    weighted = qt.join(index.term_stats.join(asked, "term", "left_semi"), "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
+    blocks = index.blocks.join(asked, "term", "left_semi")
     asked = weighted.groupBy("id").agg(F.collect_list(F.struct("term", "weight")).alias("q"))
     asked = asked.select("id", F.col("q")["term"].alias("terms"), F.col("q")["weight"].alias("weights"))
     every = F.explode(F.sequence(F.lit(0), F.lit(max(len(shards), 1) - 1)))

@@ -1,6 +1,6 @@
 """An index that grows (S4, S5, Q6): segments, taken back documents, merges.
 
-``path/segment=<n>/`` holds one load: ``blocks`` (see ``retrieval``) of its documents alone,
+``path/segment=<n>/`` holds one load: ``blocks`` (see ``retrieval``, as written) of its documents alone,
 ``docs(docid, dl, digest, shard)``, ``gone(docid, in_segment, in_shard)``: the copies in
 earlier segments that it replaces or deletes, ``terms(term, df)``: what it adds to each
 term's document frequency, less what the gone copies had, and ``corpus``: one row, the
@@ -17,9 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.functions.text import analyze
 from corpusqa.operators import retrieval
-from corpusqa.operators.clean import first_passage_per_docid
+from corpusqa.operators.clean import first_passage_per_docid, passages_of
 from corpusqa.session import materialize, release
 
 SHARD_BITS = 32  # a shard of an opened index: segment * 2^32 + shard of the segment
@@ -60,8 +59,7 @@ def _of_opened(segment: str, shard: str):
 
 def _blocks(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
     """The blocks of the segments, by the shards of the opened index."""
-    found = _read(spark, path, numbers, "blocks").withColumn("shard", _of_opened("segment", "shard"))
-    return found.select("shard", "term", *retrieval.LISTS)
+    return retrieval.term_blocks(_read(spark, path, numbers, "blocks").withColumn("shard", _of_opened("segment", "shard")))
 
 
 def _dead(gone: DataFrame) -> DataFrame:
@@ -99,7 +97,8 @@ def append_documents(passages: DataFrame, path: str, text_col: str = "passage",
     already with the same text are passed over, so a repeated load adds nothing. Returns the number of
     documents written. The same ``analyzer`` for all loads.
 
-    What is new is found on (docid, digest) alone; texts are read again for these.
+    What is new is found on (docid, digest) alone; texts are read again for these, and go
+    straight to their shards.
     """
     spark = passages.sparkSession
     numbers = segment_numbers(spark, path)
@@ -118,17 +117,10 @@ def append_documents(passages: DataFrame, path: str, text_col: str = "passage",
     fresh = materialize(keys.select("docid", "digest", "in_segment", "in_shard"), "fresh-docids")
     n_docs = fresh.count()
     if n_docs:
-        new = fresh.select(F.col("docid").alias("_docid"), "digest")
-        if numbers:  # read twice: written, so that texts are joined once
-            own = materialize(rows.join(new, F.col("docid").eqNullSafe(F.col("_docid"))).select("docid", "passage", "digest"), "fresh")
-        else:
-            own = rows.withColumn("digest", F.sha2("passage", 256))
-        dl = F.size((analyzer or analyze)("passage")).cast("long")
-        blocks = retrieval.build_index(own.select("docid", "passage"), analyzer=analyzer, shards=retrieval.shard_count(spark, n_docs)).blocks
+        own = passages_of(rows, fresh.select("docid"), n_docs) if numbers else rows
+        counted = retrieval.build_index(own, analyzer=analyzer, shards=retrieval.shard_count(spark, n_docs), digest=True).counted
         gone = fresh.filter("in_segment IS NOT NULL").select("docid", "in_segment", "in_shard")
-        _write(spark, path, numbers, own.select("docid", dl.alias("dl"), "digest"), blocks, gone, n_docs)
-        if numbers:
-            release(own)
+        _write(spark, path, numbers, None, counted, gone, n_docs)
     release(fresh)
     return n_docs
 
@@ -177,22 +169,22 @@ def drop_merged(spark: SparkSession, path: str) -> None:
             fs.delete(status.getPath(), True)
 
 
-def _write(spark: SparkSession, path: str, numbers: list[int], docs: DataFrame, blocks: DataFrame, gone: DataFrame,
+def _write(spark: SparkSession, path: str, numbers: list[int], docs: DataFrame | None, blocks: DataFrame, gone: DataFrame,
            n_docs: int, merged: bool = False) -> int:
-    """``blocks`` by ``shard_count`` shards of ``n_docs`` documents."""
+    """``blocks`` by ``shard_count`` shards of ``n_docs`` documents; without ``docs`` these are in ``blocks``."""
     number = numbers[-1] + 1 if numbers else 1
     out = f"{path}/segment={number}"
     put = lambda df, name: df.write.mode("overwrite").parquet(f"{out}/{name}")
     own = lambda name: spark.read.parquet(f"{out}/{name}")
     shard = retrieval.shard_of("docid", retrieval.shard_count(spark, n_docs)).cast("long")
-    put(blocks.select("shard", "term", *retrieval.LISTS).sortWithinPartitions("shard", "term"), "blocks")
-    put(docs.withColumn("shard", shard), "docs")
+    put(blocks.sortWithinPartitions("shard", "term"), "blocks")
+    put(retrieval.counted_docs(own("blocks"), digest=True) if docs is None else docs.withColumn("shard", shard), "docs")
     put(gone, "gone")
-    df, counts = retrieval.document_frequencies(own("blocks")), _counts(own("docs"), 1)
+    df, counts = retrieval.document_frequencies(retrieval.term_blocks(own("blocks"))), _counts(own("docs"), 1)
     if numbers and not merged and not own("gone").isEmpty():
         taken = own("gone").select(F.col("docid").alias("_docid"), "in_segment")
-        lost = retrieval.blocks_of(_blocks(spark, path, numbers), _dead(own("gone")))
-        df = df.unionByName(retrieval.document_frequencies(lost).select("term", (-F.col("df")).alias("df")))
+        lost = retrieval.frequencies_of(_blocks(spark, path, numbers), _dead(own("gone")))
+        df = df.unionByName(lost.select("term", (-F.col("df")).alias("df")))
         of_gone = _read(spark, path, numbers, "docs").join(
             taken, F.col("docid").eqNullSafe(F.col("_docid")) & (F.col("segment") == F.col("in_segment")), "left_semi")
         counts = counts.unionByName(_counts(of_gone, -1))

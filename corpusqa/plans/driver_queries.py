@@ -57,12 +57,26 @@ class Ctx:
 
     @cached_property
     def prep(self) -> pipeline.Prepared:
-        return pipeline.prepare(dt.passages(self.spark, self.sf), dt.train_raw(self.spark, self.sf))
+        return pipeline.prepare(self.table_passages, dt.train_raw(self.spark, self.sf))
+
+    @cached_property
+    def table_passages(self) -> DataFrame:
+        return dt.passages(self.spark, self.sf, self.spark.sparkContext.defaultParallelism)
+
+    @cached_property
+    def spread_passages(self) -> DataFrame:
+        return clean.first_passage_per_docid(dt.passages(self.spark, self.sf))
 
     @property
-    def passages(self) -> DataFrame:
+    def texts(self) -> DataFrame:
+        # passages that are looked up: the scan's own partitions
         return self.prep.passages
 
+    @cached_property
+    def passages(self) -> DataFrame:
+        # passages for work on every row: spread
+        return clean.clean_passages(self.spread_passages)
+
     @cached_property
     def questions(self) -> DataFrame:
         return clean.clean_questions(dt.test_questions(self.spark, self.sf))
@@ -107,7 +121,7 @@ class Ctx:
     @cached_property
     def test_feats(self) -> DataFrame:
         h = self.hits.join(self.questions, "id")
-        return pipeline.test_features(h, self.passages, **self._kw())
+        return pipeline.test_features(h, self.texts, **self._kw())
 
     @cached_property
     def test_scored(self) -> DataFrame:
@@ -120,12 +134,12 @@ class Ctx:
 
     @cached_property
     def winner_passages(self) -> DataFrame:
-        return decode.winner_passages(self.test_winners, self.passages)
+        return decode.winner_passages(self.test_winners, self.texts)
 
     @cached_property
     def train_feats(self) -> DataFrame:
         # read by several steps (sampling reads it four times): written once
-        f = pipeline.training_features(self.examples, self.passages, encode.TRAIN, **self._kw())
+        f = pipeline.training_features(self.examples, self.texts, encode.TRAIN, **self._kw())
         return materialize(f, "train_features")
 
     @cached_property
@@ -138,7 +152,7 @@ class Ctx:
 
     @cached_property
     def eval_feats(self) -> DataFrame:
-        return pipeline.training_features(self.dev_examples, self.passages, encode.EVAL, **self._kw())
+        return pipeline.training_features(self.dev_examples, self.texts, encode.EVAL, **self._kw())
 
     @cached_property
     def eval_scored(self) -> DataFrame:
@@ -149,7 +163,7 @@ class Ctx:
     def eval_predictions(self) -> DataFrame:
         w = materialize(decode.best_span_per_question(decode.best_span_per_chunk(self.eval_scored), ("chunk_idx",)),
                         "eval_winners")
-        return decode.predict_eval(w, self.dev_examples, decode.winner_passages(w, self.passages))
+        return decode.predict_eval(w, self.dev_examples, decode.winner_passages(w, self.texts))
 
     @cached_property
     def selected(self) -> DataFrame:
@@ -181,7 +195,7 @@ def q_term_stats(c: Ctx):
 
 
 def q_doc_stats(c: Ctx):
-    return c.fresh_index.doc_stats.select("docid", "dl")
+    return retrieval.build_index(c.spread_passages).doc_stats.select("docid", "dl")
 
 
 def q_corpus_stats(c: Ctx):
@@ -197,7 +211,7 @@ def q_bm25_topk_conversations(c: Ctx):
 
 
 def q_retrieve_pairs(c: Ctx):
-    r = retrieval.retrieve_pairs(c.hits, c.questions, c.passages)
+    r = retrieval.retrieve_pairs(c.hits, c.questions, clean.passages_of(c.texts, c.hits))
     return r.select("id", "docid", "rank", "question", F.length("passage").cast("long").alias("passage_len"))
 
 
@@ -213,7 +227,7 @@ def q_recall_at_k(c: Ctx):
 def q_contains_at_k(c: Ctx):
     """Benchmark questions: is a retrieved document one that contains the
     whole (cleaned) question text? Checked only on the k hits per question."""
-    r = retrieval.retrieve_pairs(c.hits, c.questions, c.passages)
+    r = retrieval.retrieve_pairs(c.hits, c.questions, clean.passages_of(c.texts, c.hits))
     hit = r.groupBy("id").agg(F.max(F.when(F.instr("passage", F.col("question")) > 0, 1).otherwise(0)).alias("hit"))
     allq = c.questions.select("id").join(hit, "id", "left")
     return allq.agg(
@@ -242,7 +256,7 @@ def q_qa_examples(c: Ctx):
 
 
 def q_missing_docids(c: Ctx):
-    return clean.missing_docids(dt.train_raw(c.spark, c.sf), c.passages).select("id", "docid")
+    return clean.missing_docids(dt.train_raw(c.spark, c.sf), c.texts).select("id", "docid")
 
 
 def q_char_tokens(c: Ctx):
@@ -332,7 +346,7 @@ def q_class_labels(c: Ctx):
 
 def q_encode_inputs(c: Ctx):
     h = c.hits.join(c.questions, "id")
-    f = pipeline.test_features(h, c.passages, vocab=c.vocab, **c._kw())
+    f = pipeline.test_features(h, c.texts, vocab=c.vocab, **c._kw())
     e = encode.encode_inputs(f, MAX_SEQ)
     return e.select(
         F.col("example_id").alias("id"), "docid", "rank", "chunk_idx", "bert_doc_end",
@@ -387,7 +401,7 @@ def _grown_index(c: Ctx) -> str:
     """Three loads of the whole table: with an earlier text in every third docid, as it is
     (these are replaced), and again (adds nothing). The path of the index."""
     path = scratch_path(c.spark, "grown-index")
-    now = dt.passages(c.spark, c.sf)
+    now = c.table_passages
     earlier = F.when(F.col("docid") % 3 == 0, F.concat(F.lit("earlier text "), "passage")).otherwise(F.col("passage"))
     for load in (now.withColumn("passage", earlier), now, now):
         segments.append_documents(load, path)
@@ -428,7 +442,7 @@ def q_sub_token_spans(c: Ctx):
         "docid", F.lit(0).alias("doc_start"), F.lit(0).alias("question_len"), (F.col("token_start") + 2).alias("best_start"),
         (F.col("token_end") + 2).alias("best_end"), F.lit(1.0).alias("score"),
     )
-    spans = decode.span_text(ex.select("example_id", best.alias("best")), c.passages, byte_pieces)
+    spans = decode.span_text(ex.select("example_id", best.alias("best")), c.texts, byte_pieces)
     return spans.select("example_id", "docid", F.col("tok_start").alias("token_start"), F.col("tok_end").alias("token_end"), "char_start", "char_end", "answer")
 
 
@@ -462,14 +476,14 @@ def q_stream_predictions(c: Ctx):
     c.raw_questions.repartition(2, "id").write.parquet(source)
     stream = streaming.question_stream(c.spark, source, c.raw_questions.schema, max_files_per_trigger=1)
     scorer = lambda f: stand_in.pseudo_logits(f, MAX_SEQ)
-    streaming.stream_predictions(stream, _stored_index(c), c.passages, out, progress, scorer, K, DELIM).awaitTermination()
+    streaming.stream_predictions(stream, _stored_index(c), c.texts, out, progress, scorer, K, DELIM).awaitTermination()
     return c.spark.read.parquet(out).select("id", "docid", "answer")
 
 
 def q_score_model(c: Ctx):
     """M1: a model of whole numbers over the encoded inputs."""
     h = c.hits.join(c.questions, "id")
-    f = score.balance_features(pipeline.test_features(h, c.passages, vocab=c.vocab, **c._kw()))
+    f = score.balance_features(pipeline.test_features(h, c.texts, vocab=c.vocab, **c._kw()))
     s = score.score_features(encode.encode_inputs(f, MAX_SEQ), stand_in.load_hash_model)
     total = lambda x: F.round(F.aggregate(x, F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double")), 2)
     return s.select(
@@ -695,7 +709,7 @@ def _eval_chain(c: Ctx):
         return s.withColumnRenamed("end_logits", "start_logits").withColumnRenamed("x", "end_logits")
 
     log = scratch_path(c.spark, "eval_log")
-    runs = [pipeline.evaluate_run("run", step, c.dev_examples, c.passages, scorer, log, **c._kw()) for step, scorer in ((50, plain), (100, swapped))]
+    runs = [pipeline.evaluate_run("run", step, c.dev_examples, c.texts, scorer, log, **c._kw()) for step, scorer in ((50, plain), (100, swapped))]
     return runs[0].unionByName(runs[1]), log
 
 

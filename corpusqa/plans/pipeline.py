@@ -60,9 +60,9 @@ def retrieve(index: retrieval.Index, questions: DataFrame, k: int = retrieval.DE
 
 
 def test_features(hits: DataFrame, passages: DataFrame, vocab: DataFrame | None = None, **kw) -> DataFrame:
-    """Unlabelled features of retrieved pairs (example_id = question id)."""
+    """Unlabelled features of retrieved pairs (example_id = question id). Pass stored ``hits``."""
     ex = hits.select(F.col("id").alias("example_id"), "docid", "rank", "question")
-    return encode.build_features(ex, passages, mode=encode.TEST, vocab=vocab, **kw)
+    return encode.build_features(ex, clean.passages_of(passages, ex), mode=encode.TEST, vocab=vocab, **kw)
 
 
 def decode_features(scored: DataFrame, order_cols=("rank", "chunk_idx")) -> DataFrame:

@@ -30,10 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df) if name in TEXT_TABLES else df
 
 
-def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """passages(ordinal, docid, passage) from ``documents``, in the table's order."""
+def passages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """passages(ordinal, docid, passage) from ``documents``, in the table's order. Texts that are
+    looked up or dealt elsewhere need no more ``partitions`` than run at once."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("ordinal", F.monotonically_increasing_id())
-    return spread(d.select("ordinal", F.col("doc_id").alias("docid"), F.col("text").alias("passage")))
+    return spread(d.select("ordinal", F.col("doc_id").alias("docid"), F.col("text").alias("passage")), partitions)
 
 
 def test_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,8 @@ def train_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     is its first sentence, the answer the sentence at a place derived from the id;
     every 50th id gets a suffix that makes the answer unfindable. A text without
     sentences has neither."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract_all("text", F.lit(SENTENCE), 0).alias("s"))
+    d = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), spark.sparkContext.defaultParallelism)
+    d = d.select("doc_id", F.regexp_extract_all("text", F.lit(SENTENCE), 0).alias("s"))
     d = d.withColumn("s", F.when(F.size("s") > 0, F.col("s")))
     ans = F.get("s", ((F.col("doc_id") * TRAIN_ANSWER_MULT) % F.size("s")).cast("int"))
     ans = F.when((F.col("doc_id") % UNFINDABLE_EVERY) == 0, F.concat(ans, F.lit(UNFINDABLE_SUFFIX))).otherwise(ans)
