@@ -113,12 +113,21 @@ def _lse(arr: Column) -> Column:
 def qa_loss(scored: DataFrame) -> DataFrame:
     """A5: start CE (ignore -1) + end CE (ignore -1) + 2 x class CE, each the
     mean over its rows, over a labelled and scored feature table."""
+    return mean_loss(with_losses(scored))
+
+
+def with_losses(scored: DataFrame) -> DataFrame:
+    """The three CE of each row: ``start_ce``, ``end_ce``, ``class_ce``; null where ignored."""
     st, en, cl = F.col("start_logits"), F.col("end_logits"), F.col("class_logits")
     sp, ep = F.col("bert_start_position"), F.col("bert_end_position")
     s_ce = F.when(sp >= 0, _lse(st) - F.element_at(st, sp + 1).cast("double"))
     e_ce = F.when(ep >= 0, _lse(en) - F.element_at(en, ep + 1).cast("double"))
     c_ce = _lse(cl) - F.element_at(cl, F.col("class_label") + 1).cast("double")
-    agg = scored.agg(F.avg(s_ce).alias("start_loss"), F.avg(e_ce).alias("end_loss"), F.avg(c_ce).alias("class_loss"))
+    return scored.withColumns({"start_ce": s_ce, "end_ce": e_ce, "class_ce": c_ce})
+
+
+def mean_loss(rows: DataFrame) -> DataFrame:
+    agg = rows.agg(F.avg("start_ce").alias("start_loss"), F.avg("end_ce").alias("end_loss"), F.avg("class_ce").alias("class_loss"))
     return agg.withColumn("loss", F.col("start_loss") + F.col("end_loss") + F.lit(2.0) * F.col("class_loss"))
 
 

@@ -709,7 +709,8 @@ def _eval_chain(c: Ctx):
         return s.withColumnRenamed("end_logits", "start_logits").withColumnRenamed("x", "end_logits")
 
     log = scratch_path(c.spark, "eval_log")
-    runs = [pipeline.evaluate_run("run", step, c.dev_examples, c.texts, scorer, log, **c._kw()) for step, scorer in ((50, plain), (100, swapped))]
+    feats = materialize(c.eval_feats, "eval_features")
+    runs = [pipeline.evaluate_run("run", step, c.dev_examples, c.texts, scorer, log, features=feats, **c._kw()) for step, scorer in ((50, plain), (100, swapped))]
     return runs[0].unionByName(runs[1]), log
 
 

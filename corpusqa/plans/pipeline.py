@@ -95,27 +95,33 @@ def predict(index: retrieval.Index, questions: DataFrame, passages: DataFrame, s
 
 def evaluate(examples: DataFrame, passages: DataFrame, scorer, **kw) -> DataFrame:
     """Eval predictions (example_id, prediction, label) for labelled examples."""
-    return _evaluated(examples, passages, scorer, **kw)[0]
+    scored = scorer(training_features(examples, passages, mode=encode.EVAL, **kw))
+    return _eval_predictions(decode.best_span_per_chunk(scored), examples, passages)
 
 
-def _evaluated(examples: DataFrame, passages: DataFrame, scorer, **kw) -> tuple[DataFrame, DataFrame]:
-    """The predictions and the scored features that they come from."""
-    scored = scorer(training_features(examples, passages, mode=encode.EVAL, **kw))
-    winners = materialize(decode_features(scored, ("chunk_idx",)), "eval_winners")
-    return decode.predict_eval(winners, examples, decode.winner_passages(winners, passages)), scored
+def _eval_predictions(chunks: DataFrame, examples: DataFrame, passages: DataFrame) -> DataFrame:
+    winners = materialize(decode.best_span_per_question(chunks, ("chunk_idx",)), "eval_winners")
+    return decode.predict_eval(winners, examples, decode.winner_passages(winners, passages))
 
 
 def evaluate_run(run: str, global_step: int, examples: DataFrame, passages: DataFrame, scorer, log_path: str,
-                 file: str = metrics.DEV_FILE, **kw) -> DataFrame:
+                 file: str = metrics.DEV_FILE, features: DataFrame | None = None, **kw) -> DataFrame:
     """One evaluation: predictions with their run and step, and a row of the log
     at ``log_path`` with the mean ROUGE-L and the loss (S8). ``file`` names the
-    examples' file; best runs are chosen by the dev file's rows (A7)."""
-    predictions, scored = _evaluated(examples, passages, scorer, **kw)
-    predictions = materialize(predictions, "eval_predictions")
+    examples' file; best runs are chosen by the dev file's rows (A7). ``features``: the
+    examples' stored EVAL features, if several evaluations share them.
+
+    Features are scored once: each chunk's best span and losses are written, without logits.
+    """
+    scored = scorer(training_features(examples, passages, mode=encode.EVAL, **kw) if features is None else features)
+    chunks = decode.best_span_per_chunk(metrics.with_losses(scored))
+    chunks = materialize(chunks.select("example_id", "docid", "chunk_idx", "doc_start", "question_len", "best_score", "best_start",
+                                       "best_end", "start_ce", "end_ce", "class_ce"), "eval_chunks")
+    predictions = materialize(_eval_predictions(chunks, examples, passages), "eval_predictions")
     spark = examples.sparkSession
     row = spark.range(1).select(
         F.lit(run).alias("run"), F.lit(file).alias("file"), F.lit(global_step).cast("long").alias("global_step"),
-        metrics.qa_loss(scored).select("loss").scalar().alias("loss"),
+        metrics.mean_loss(chunks).select("loss").scalar().alias("loss"),
         metrics.rouge_l_mean(predictions).select("rouge_l_mean").scalar().alias("eval_accuracy"),
     )
     csv_io.append_eval_log(row, log_path)

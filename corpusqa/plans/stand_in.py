@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusqa.functions.arrays import let
 from corpusqa.operators.chunk import DEFAULT_MAX_SEQ_LENGTH
 from corpusqa.operators.score import balance_features
 
@@ -17,9 +18,13 @@ _START_MULT = (7919, 6007, 104729, 613)
 _END_MULT = (15485863, 7507, 32452843, 997)
 
 
-def _pseudo(ex, doc, chunk, i, mult):
-    a, b, c, d = (F.lit(m).cast("long") for m in mult)
-    n = (ex.cast("long") * a + doc.cast("long") * b + chunk.cast("long") * c + i.cast("long") * d) % 1000
+def _of_row(ex, doc, chunk, mult):
+    a, b, c = (F.lit(m).cast("long") for m in mult[:3])
+    return ex.cast("long") * a + doc.cast("long") * b + chunk.cast("long") * c
+
+
+def _pseudo(of_row, i, mult):
+    n = (of_row + i.cast("long") * F.lit(mult[3]).cast("long")) % 1000
     return (n / F.lit(100.0) - F.lit(5.0)).cast("float")
 
 
@@ -39,7 +44,8 @@ def pseudo_logits(features: DataFrame, max_seq_length: int = DEFAULT_MAX_SEQ_LEN
     hot = (ex % 10) == 0
 
     def arr(mult):
-        return F.transform(seq, lambda i: F.when(hot & (i == 0), ten).otherwise(_pseudo(ex, doc, ch, i, mult)))
+        row = F.struct(_of_row(ex, doc, ch, mult).alias("n"), hot.alias("hot"))  # once a row
+        return let(row, lambda r: F.transform(seq, lambda i: F.when((i == 0) & r["hot"], ten).otherwise(_pseudo(r["n"], i, mult))))
 
     out = features.withColumn("start_logits", arr(_START_MULT)).withColumn("end_logits", arr(_END_MULT))
     zero = F.array(F.lit(0.0).cast("float"), F.lit(0.0).cast("float"))

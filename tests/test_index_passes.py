@@ -30,3 +30,14 @@ def test_few_winners_do_not_move_the_texts(spark):
         assert sorted(r.docid for r in found.collect()) == [0, 1, 2]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_losses_of_chunks_give_the_loss_without_logits(spark):
+    from corpusqa.operators import metrics
+
+    rows = spark.createDataFrame(
+        [([0.5, 2.0], [1.0, 0.0], [0.0, 1.0], 1, 0, 1), ([3.0, 1.0], [0.0, 0.0], [1.0, 0.0], -1, -1, 0)],
+        "start_logits array<float>, end_logits array<float>, class_logits array<float>, bert_start_position int, bert_end_position int, class_label int")
+    chunks = metrics.with_losses(rows).select("start_ce", "end_ce", "class_ce")
+    assert [r.start_ce is None for r in chunks.collect()] == [False, True]
+    assert metrics.mean_loss(chunks).first() == metrics.qa_loss(rows).first()
