@@ -138,3 +138,36 @@ def test_rare_grams_are_kept_in_a_large_corpus(spark, monkeypatch):
         for i, t in docs:
             assert math.isclose(rows[i].score, want(t), rel_tol=1e-9, abs_tol=1e-5), (i, top, sieve)
         assert rows[3].score > rows[3].base_score + 5
+
+
+def test_ngrams_do_not_become_rows(spark, monkeypatch):
+    """What is written between the steps has a row for each chunk and bucket, however many
+    n-grams there are; single n-grams as rows took more memory and disk than there is."""
+    docs = [(i, " ".join(f"w{i * k % 30011}" for k in range(30_000))) for i in range(1, 4)] * 2
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    written, store = [], lm.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(lm, "stored", counted)
+    assert lm.score_documents(frame).count() == 6
+    assert written and sum(written) < 1000
+
+
+def test_chunks_of_one_text(spark, monkeypatch):
+    """A chunk may have no n-grams of higher orders; how texts are dealt changes no score."""
+    monkeypatch.setattr(lm, "CHUNK", 1)
+    docs = [(1, "a b c"), (2, "a b c"), (3, "a b c d"), (4, "a"), (5, ""), (6, None), (7, "b c Éé d"), (7, "b c d"), (8, "a b c a b c")] * 2
+    want, counts = base_scores(docs)
+    score = plain_model(docs, counts)
+    rows = lm.score_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id, r.n_tokens, round(r.score, 9), r.train_tokens) for r in rows)
+    assert got == sorted((i, len(split(t)), round(score(t), 9), want[i][3]) for i, t in docs)
+
+
+def test_packed_numbers_come_back():
+    for values in (np.array([], np.uint64), np.array([0, 2**64 - 1, 5], np.uint64), np.array([True, False]), np.array([-1.5, 0.0])):
+        assert np.array_equal(lm._unpack(lm._pack(values), values.dtype), values)
