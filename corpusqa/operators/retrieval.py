@@ -23,6 +23,7 @@ the question's top-k (``row_number() <= k``, a partial + final ``WindowGroupLimi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusqa.functions.text import analyze
-from corpusqa.session import exists, materialize, target_partitions
+from corpusqa.session import exists, materialize, release, target_partitions
 
 # Fixed BM25 parameters (the usual defaults of full-text search servers).
 K1 = 1.2
@@ -41,6 +42,10 @@ B = 0.75
 DEFAULT_K = 10
 BLOCK = 128  # postings of a block
 SHARD_DOCS = 16_384  # documents of a shard, about, at most
+PART_TERMS = 16_000_000  # terms of the documents that are searched as one part, about, at most
+ROWS_BYTES = 1 << 26  # of a part's frequent terms as rows over all its documents
+ASKED = 8_192  # questions of a list
+MANY = 4_096  # questions that are stored before the search
 SLACK = 2e-6  # of a score: scores that are equal when rounded are told apart by docid
 LISTS = ("docids", "tfs", "dls")
 
@@ -327,133 +332,344 @@ def query_terms(questions: DataFrame, id_col: str = "id", text_col: str = "quest
     )
 
 
-def best_of_shard(docs, norms, tops, block_tops, weights, k: int, scores):
+def _over(scores, least):
+    """Places of ``scores`` that are over ``least``: looked for by eight."""
+    import numpy as np
+
+    over = scores > least
+    if len(over) % 8 or len(over) < 4096:
+        return np.flatnonzero(over)
+    eights = np.flatnonzero(over.view(np.uint64))
+    if 4 * len(eights) > len(over) // 8:
+        return np.flatnonzero(over)
+    row, column = over.reshape(-1, 8)[eights].nonzero()
+    return eights[row] * 8 + column
+
+
+def best_of_shard(docs, norms, tops, block_tops, weights, k: int, scores, rows=None, spare=None, rank=None, least: float = -math.inf):
     """A question's best ``k`` documents of a shard: (places, scores, postings read).
 
     One entry for each of the question's terms: ``docs`` rising places of documents,
     ``norms`` what a posting gives for a weight of one, ``tops`` and ``block_tops`` the
-    largest of these in all and by block, ``weights``. ``scores`` is a zeroed array over
-    the shard's documents, and is so again afterwards.
-
-    Terms go by falling bound. Once the kth score is beyond what the remaining
+    largest of these in all and by block, ``weights``. ``rows``: a matrix of what some terms
+    give in each of the shard's documents, and each term's row there or -1.
+    ``scores`` and ``spare`` are zeroed arrays over
+    the shard's documents, and are so again afterwards. Equal scores are told apart by ``rank``, else by place.
+    ``least``: a kth score among other documents; what lies below is not wanted.
+
+    Terms go by rising number of postings. The best documents by the rarest terms are scored
+    in full: their kth score is a bound. Once it is beyond what the remaining
     terms can give together, no new document can enter: from then on only documents
     that still can are looked up, and only in blocks whose bound can lift them.
     """
     import numpy as np
 
-    order = sorted(range(len(docs)), key=lambda t: -weights[t] * tops[t])
-    rest = np.concatenate([np.cumsum([weights[t] * tops[t] for t in order][::-1])[::-1], [0.0]])
-    worst, n, read, touched = -np.inf, 0, 0, []
-    while n < len(order) and rest[n] > worst - SLACK:
-        t = order[n]
-        scores[docs[t]] += weights[t] * norms[t]
-        read += len(docs[t])
-        touched.append(docs[t])
+    spare = np.zeros_like(scores) if spare is None else spare
+    matrix, row = rows or (None, [-1] * len(docs))
+    order = sorted(range(len(docs)), key=lambda t: len(docs[t]))
+    sizes = [len(docs[t]) for t in order]
+    rest = [0.0] * (len(order) + 1)
+    for i in range(len(order) - 1, -1, -1):
+        rest[i] = rest[i + 1] + weights[order[i]] * tops[order[i]]
+    dense = len(order)  # from here on all terms have a row
+    while dense and row[order[dense - 1]] >= 0:
+        dense -= 1
+    own_rows = np.array([row[t] for t in order[dense:]], np.int64)
+    own_weights = np.array([weights[t] for t in order[dense:]])
+    worst, n, read, touched = least, 0, 0, []
+
+    def add(i):
+        t = order[i]
+        if row[t] >= 0:
+            scores[:] += matrix[row[t]] * weights[t]
+            touched.append(None)
+        else:
+            touched.append(docs[t].astype(np.int64, copy=False))
+            np.add.at(scores, touched[-1], norms[t] * weights[t])
+        return sizes[i]
+
+    def gain(i, places):
+        """What term ``i`` adds in ``places``."""
+        t = order[i]
+        if row[t] >= 0:
+            return matrix[row[t]].take(places) * weights[t]
+        if 4 * len(places) > sizes[i]:
+            d = docs[t].astype(np.int64, copy=False)
+            spare[d] = norms[t]
+            out = spare.take(places) * weights[t]
+            spare[d] = 0
+            return out
+        at = docs[t].searchsorted(places.astype(docs[t].dtype))
+        at[at == sizes[i]] = 0
+        return norms[t].take(at) * (docs[t].take(at) == places) * weights[t]
+
+    def whole(places, own, i):
+        """Scores of ``places``, ``own`` by the terms before ``i``."""
+        nonlocal read
+        read += len(places) * (len(order) - i)
+        for j in range(i, dense):
+            own = own + gain(j, places)
+        x = max(i - dense, 0)
+        return own + own_weights[x:] @ matrix[own_rows[x:, None], places] if x < len(own_rows) else own
+
+    def kth(places, own, i):
+        """The kth score among the best of ``places`` by the terms before ``i``."""
+        if len(places) > 2 * k:
+            best = own.argpartition(-2 * k)[-2 * k :]
+            places, own = places[best], own[best]
+        return float(np.partition(whole(places, own, i), -k)[-k])
+
+    # first the rare terms: those without a row, if there are rows
+    first = max(8 * k, len(scores) >> 5)
+    few = 0
+    while worst < 0 and n < len(order) and (read < k or read + sizes[n] <= first or rows and n < dense):
+        few += read < first
+        read += add(n)
         n += 1
-        if n & (n - 1) == 0 and len(scores) > k:  # 1, 2, 4, ... terms
-            kth = np.partition(scores, -k)[-k]
-            worst = kth if kth > 0 else worst
-    left = np.flatnonzero(scores > max(worst - rest[n] - SLACK, 0) if n < len(order) else scores > 0)
-    own = scores[left]
+    if few and n < len(order) and all(d is not None for d in touched[:few]):
+        left = touched[0] if few == 1 else np.concatenate(touched[:few])
+        if few > 1:  # each place once
+            at = np.arange(len(left))
+            spare[left] = at
+            left = left[spare.take(left) == at]
+            spare[left] = 0
+        if len(left) >= k:
+            worst = kth(left, scores.take(left), n)
+    while n < len(order) and (rest[n] > worst - SLACK or rows and n < dense):
+        read += add(n)
+        n += 1
+    left = _over(scores, max(worst - rest[n] - SLACK, 0))
+    own = scores.take(left)
+    if len(left) > (2 if least < 0 else 16) * k and n < len(order):
+        worst = max(worst, kth(left, own, n))
     for i in range(n, len(order)):
+        stay = np.flatnonzero(own + rest[i] > worst - SLACK)
+        if len(stay) < len(left):
+            left, own = left[stay], own[stay]
+        if i >= dense and len(left) <= 32 * k:
+            own = whole(left, own, i)
+            break
         t = order[i]
-        at = np.searchsorted(docs[t], left)
-        inside = np.minimum(at, len(docs[t]) - 1)
-        lift = own + weights[t] * block_tops[t][inside // BLOCK] + rest[i + 1] > worst - SLACK
-        left, own, inside = left[lift], own[lift], inside[lift]
+        if row[t] < 0 and 4 * len(left) <= sizes[i]:
+            at = docs[t].searchsorted(left.astype(docs[t].dtype))
+            at[at == sizes[i]] = sizes[i] - 1
+            lift = np.flatnonzero(own + weights[t] * block_tops[t].take(at // BLOCK) + rest[i + 1] > worst - SLACK)
+            left, own, at = left[lift], own[lift], at[lift]
+            own = own + norms[t].take(at) * (docs[t].take(at) == left) * weights[t]
+        else:
+            own = own + gain(i, left)
         read += len(left)
-        own = own + np.where(docs[t][inside] == left, weights[t] * norms[t][inside], 0)
-        if len(own) > k:
-            worst = max(worst, np.partition(own, -k)[-k])
-            stay = own + rest[i + 1] > worst - SLACK
-            left, own = left[stay], own[stay]
-    for d in touched:
-        scores[d] = 0
-    first = np.lexsort((left, -np.round(own, 6)))[:k]
-    return left[first], own[first], read
+    if len(own) > 4 * k:
+        worst = max(worst, float(np.partition(own, -k)[-k]))
+    stay = np.flatnonzero(own > max(worst - SLACK, 0))
+    left, own = left[stay], own[stay]
+    if 4 * read > len(scores) or any(d is None for d in touched):
+        scores.fill(0)
+    else:
+        for d in touched:
+            scores[d] = 0
+    best = np.lexsort((left if rank is None else rank.take(left), -np.round(own, 6)))[:k]
+    return left[best], own[best], read
+
+
+def _packed(**lists) -> bytes:
+    """``lists`` (Arrow arrays of any lengths) as compressed bytes."""
+    row = [pa.LargeListArray.from_arrays(pa.array([0, len(x)], pa.int64()), x) for x in lists.values()]
+    batch = pa.RecordBatch.from_arrays(row, names=list(lists))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data) -> dict:
+    with pa.ipc.open_stream(data) as rows:
+        batch = rows.read_next_batch()
+    return {name: batch.column(name).flatten() for name in batch.schema.names}
+
+
+_PACKS = "part int, kind int, data binary"
+
+
+def _packs(parts: list, kinds: list, data: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(kinds, pa.int32()), pa.array(data, pa.binary())], names=["part", "kind", "data"])
 
 
-class _Shard:
-    """A shard's postings of the asked terms, ready for search."""
+def _pack_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks (part, shard, term, docids, tfs, dls) packed: a document and its length once
+    in each pack."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        shards = batch.column("shard").to_numpy()
+        ends = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)] if len(shards) else []
+        for x, y in zip(ends, ends[1:]):
+            rows = batch.slice(x, y - x)
+            coded = rows.column("docids").flatten().dictionary_encode("encode")
+            codes = coded.indices.to_numpy()
+            dls = np.zeros(len(coded.dictionary), np.int32)
+            dls[codes] = rows.column("dls").flatten().to_numpy(zero_copy_only=False)
+            data = _packed(shard=rows.column("shard")[:1], terms=rows.column("term"), sizes=pc.list_value_length(rows.column("docids")), codes=coded.indices, tfs=rows.column("tfs").flatten(), docids=coded.dictionary, dls=pa.array(dls))
+            yield _packs([rows.column("part")[0].as_py()], [_POSTINGS], [data])
+
+
+def _pack_dead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (part, shard, docid) that count no more, packed by part."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        for part in pc.unique(batch.column("part")).to_pylist():
+            own = batch.filter(pc.equal(batch.column("part"), part))
+            yield _packs([part], [_DEAD], [_packed(shards=own.column("shard"), docids=own.column("docid"))])
+
+
+def _pack_questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Questions (id, terms, weights, home, least) in lists of one ``home``, which is given as part."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        for home in pc.unique(batch.column("home")).to_pylist():
+            rows = batch.filter(pc.equal(batch.column("home"), home))
+            for x in range(0, rows.num_rows, ASKED):
+                own = rows.slice(x, ASKED)
+                lists = {name: own.column(name) for name in ("id", "least")} | {name: own.column(name).flatten() for name in ("terms", "weights")}
+                yield _packs([home], [_QUESTION], [_packed(sizes=pc.list_value_length(own.column("terms")), **lists)])
+
+
+class _Shards:
+    """The postings of a few shards, ready for search as one."""
 
-    def __init__(self, rows: pa.Table, dead: pa.Table, avgdl: float, k1: float, b: float):
+    def __init__(self, packed: list[bytes], dead: list[bytes], avgdl: float, k1: float, b: float):
         import numpy as np
         import pyarrow.compute as pc
 
-        self.terms = rows.column("term").combine_chunks()
-        sizes = pc.list_value_length(rows.column("docids")).to_numpy()
-        coded = _flat(rows, "docids").dictionary_encode("encode")
-        by_id = pc.sort_indices(coded.dictionary, null_placement="at_start")
-        self.docids = coded.dictionary.take(by_id)
-        place = np.empty(len(by_id), np.int64)
-        place[by_id.to_numpy()] = np.arange(len(by_id))
-        docs = place[coded.indices.to_numpy()]
-        tf = _flat(rows, "tfs").to_numpy(zero_copy_only=False).astype(float)
-        norms = tf / (tf + k1 * (1 - b + b * _flat(rows, "dls").to_numpy(zero_copy_only=False) / avgdl))
-        if dead.num_rows:
-            gone = pc.is_in(self.docids, value_set=_flat(dead, "docids"))
-            norms[gone.to_numpy(zero_copy_only=False)[docs]] = 0
-        ends = np.concatenate([[0], np.cumsum(sizes)])
+        # the postings stay packed until they are dealt
+        packs = [{name: x for name, x in _unpacked(p).items() if name not in ("codes", "tfs")} | {"packed": p} for p in packed]
+        packs.sort(key=lambda p: p["shard"][0].as_py())
+        dead = [_unpacked(d) for d in dead]
+        shards = [p["shard"][0].as_py() for p in packs]
+        # documents by shard, then docid, so that a term's lists follow one another
+        docids, lengths, place = [], [], []
+        for shard in sorted(set(shards)):
+            own = [p for p, s in zip(packs, shards) if s == shard]
+            ids = pc.unique(pa.concat_arrays([p["docids"] for p in own]))
+            ids = ids.take(pc.sort_indices(ids, null_placement="at_start"))
+            dl, at = np.zeros(len(ids)), sum(map(len, docids))
+            for p in own:
+                here = pc.index_in(p["docids"], value_set=ids).to_numpy()
+                dl[here] = p["dls"].to_numpy()
+                place.append(here + at)
+            gone = [d["docids"].filter(pc.equal(d["shards"], shard)) for d in dead]
+            if sum(map(len, gone)):  # no posting of theirs gives anything
+                dl[pc.is_in(ids, value_set=pa.concat_arrays(gone)).to_numpy(zero_copy_only=False)] = np.inf
+            docids.append(ids)
+            lengths.append(dl)
+        self.docids, n = pa.concat_arrays(docids), sum(map(len, docids))
+        over = k1 * (1 - b + b * np.concatenate(lengths) / avgdl)
+        self.rank = np.empty(n, np.int64)
+        self.rank[pc.sort_indices(self.docids, null_placement="at_start").to_numpy()] = np.arange(n)
+        # rows of terms, dealt to their places by term
+        coded = pa.chunked_array([p["terms"] for p in packs]).combine_chunks().dictionary_encode()
+        self.terms, codes = coded.dictionary, coded.indices.to_numpy()
+        sizes = np.concatenate([p["sizes"].to_numpy() for p in packs]).astype(np.int64)
+        order = np.argsort(codes, kind="stable")
+        starts = np.empty(len(sizes), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        self.sizes = np.bincount(codes, sizes, minlength=len(self.terms)).astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        total, row = int(self.sizes.sum()), 0
+        self.docs, self.norms = np.empty(total, np.int32), np.empty(total)
+        for p, own in zip(packs, place):
+            size = sizes[row : row + len(p["sizes"])]
+            to = np.repeat(starts[row : row + len(size)] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            row += len(size)
+            postings = _unpacked(p["packed"])
+            doc, tf = own[postings["codes"].to_numpy()], postings["tfs"].to_numpy()
+            self.docs[to] = doc
+            self.norms[to] = tf / (tf + over[doc])
+        self.tops = np.maximum.reduceat(self.norms, self.starts)
         # where the blocks of BLOCK postings of each term begin
-        per = -(-sizes // BLOCK)
-        first = np.concatenate([[0], np.cumsum(per)])
-        at = np.repeat(ends[:-1] - first[:-1] * BLOCK, per) + np.arange(first[-1]) * BLOCK
-        block_tops = np.maximum.reduceat(norms, at) if len(at) else norms
-        self.docs = [docs[x:y] for x, y in zip(ends, ends[1:])]
-        self.norms = [norms[x:y] for x, y in zip(ends, ends[1:])]
-        self.block_tops = [block_tops[x:y] for x, y in zip(first, first[1:])]
-        self.tops = np.maximum.reduceat(norms, ends[:-1]) if len(sizes) else norms
-        self.scores = np.zeros(len(by_id))
-
-    def answer(self, asked: pa.Table, k: int) -> pa.RecordBatch:
-        """The best documents of the questions ``asked`` (id, terms, weights)."""
+        per = -(-self.sizes // BLOCK)
+        self.first = np.concatenate([[0], np.cumsum(per)])
+        at = np.repeat(self.starts - self.first[:-1] * BLOCK, per) + np.arange(self.first[-1]) * BLOCK
+        self.block_tops = np.maximum.reduceat(self.norms, at)
+        width = -(-n // 8) * 8
+        # terms of many documents also as a row over all documents
+        common = np.flatnonzero(self.sizes > n // 8)
+        common = common[np.argsort(-self.sizes[common], kind="stable")][: ROWS_BYTES // (8 * width)]
+        self.matrix, self.row = np.zeros((len(common), width)), dict(zip(common.tolist(), range(len(common))))
+        for t, row in self.row.items():
+            own = slice(self.starts[t], self.starts[t] + self.sizes[t])
+            self.matrix[row, self.docs[own]] = self.norms[own]
+        self.scores, self.spare = np.zeros(width), np.zeros(width)
+
+    def answer(self, asked: dict, k: int) -> tuple:
+        """The best documents of the questions ``asked`` (id, terms, weights, least): the questions' numbers,
+        docids, scores."""
         import numpy as np
         import pyarrow.compute as pc
 
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(asked.column("terms")).to_numpy())])
-        at = pc.fill_null(pc.index_in(_flat(asked, "terms"), value_set=self.terms), -1).to_numpy()
-        weights = _flat(asked, "weights").to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(asked["sizes"].to_numpy())]).tolist()
+        at = pc.fill_null(pc.index_in(asked["terms"], value_set=self.terms), -1).to_numpy()
+        known = at >= 0
+        x, top = self.starts[at], self.tops[at].tolist()
+        y, x = (x + self.sizes[at]).tolist(), x.tolist()
+        first, last = self.first[at].tolist(), self.first[at + 1].tolist()
+        row = [self.row.get(t, -1) for t in at.tolist()]
+        known, weights, least = known.tolist(), asked["weights"].to_pylist(), asked["least"].to_pylist()
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for q, (x, y) in enumerate(zip(ends, ends[1:])):
-            here = np.flatnonzero(at[x:y] >= 0) + x
-            if not len(here):
+        for q in range(len(least)):
+            here = [t for t in range(ends[q], ends[q + 1]) if known[t]]
+            if sum([weights[t] * top[t] for t in here]) <= max(least[q] - SLACK, 0):
                 continue
-            pick = lambda own: [own[t] for t in at[here]]
-            best, score, _ = best_of_shard(pick(self.docs), pick(self.norms), pick(self.tops), pick(self.block_tops), weights[here], k, self.scores)
+            best, score, _ = best_of_shard(
+                [self.docs[x[t] : y[t]] for t in here], [self.norms[x[t] : y[t]] for t in here], [top[t] for t in here],
+                [self.block_tops[first[t] : last[t]] for t in here], [weights[t] for t in here], k, self.scores,
+                (self.matrix, [row[t] for t in here]), self.spare, self.rank, least[q])
             found.append((np.full(len(best), q), best, score))
         q, best, score = (np.concatenate(c) for c in zip(*found))
-        ids = asked.column("id").combine_chunks().take(pa.array(q))
-        return pa.RecordBatch.from_arrays([ids, self.docids.take(pa.array(best)), pa.array(score)], names=["id", "docid", "score"])
+        return q, self.docids.take(pa.array(best)), pa.array(score)
 
 
-# What a shard reads, in this order.
+# What a part reads, in this order.
 _DEAD, _POSTINGS, _QUESTION = 0, 1, 2
 
 
-def _shard_search(k: int, k1: float, b: float):
-    """Of the rows of one shard, by ``kind``: the documents that count no more, the asked terms' postings,
+def _part_search(k: int, k1: float, b: float, names: list[str]):
+    """Of the rows of one part, by ``kind``: the documents that count no more, the postings,
     the questions, each question's best documents. Questions are answered as they are read, so what
-    a shard holds is its postings and a batch of questions."""
+    a part holds is its postings and a few lists of questions. ``names``: the columns of a row for each hit, or, with
+    the terms among them, of a row for each question."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
+        import numpy as np
 
-        held, shard = [], None
+        held, shards, avgdl = {_DEAD: [], _POSTINGS: []}, None, None
         for batch in batches:
-            own = pa.Table.from_batches([batch])
-            of = lambda rows, kind: rows.filter(pc.equal(rows.column("kind"), kind))
-            asked = of(own, _QUESTION)
-            if asked.num_rows < own.num_rows:
-                held.append(own.filter(pc.less(own.column("kind"), _QUESTION)))
-            if not asked.num_rows:
-                continue
-            if shard is None and held:
-                known = pa.concat_tables(held)
-                if of(known, _POSTINGS).num_rows:
-                    shard = _Shard(of(known, _POSTINGS), of(known, _DEAD), known.column("avgdl")[0].as_py(), k1, b)
-                held, known = [], None
-            if shard is not None:
-                yield shard.answer(asked, k)
+            for part, kind, data, mean in zip(*(batch.column(name) for name in ("part", "kind", "data", "avgdl"))):
+                kind = kind.as_py()
+                if kind != _QUESTION:
+                    held[kind].append(data.as_py())
+                    avgdl = mean.as_py()
+                    continue
+                own = _unpacked(data.as_buffer())
+                if shards is None and held[_POSTINGS]:
+                    shards = _Shards(held[_POSTINGS], held[_DEAD], avgdl, k1, b)
+                    held = {_DEAD: [], _POSTINGS: []}
+                    pa.default_memory_pool().release_unused()
+                if shards is None and "terms" not in names:
+                    continue
+                n = len(own["id"])
+                q, docids, scores = shards.answer(own, k) if shards else (np.zeros(0, np.int64), None, pa.array([], pa.float64()))
+                if "terms" not in names:
+                    yield pa.RecordBatch.from_arrays([own["id"].take(pa.array(q)), docids, scores], names=names)
+                    continue
+                lists = lambda ends, x: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(ends)]), pa.int32()), x)
+                hits = np.bincount(q, minlength=n)
+                docids = lists(hits, docids) if shards else pa.nulls(n, pa.list_(pa.null()))
+                columns = [own["id"], lists(own["sizes"].to_numpy(), own["terms"]), lists(own["sizes"].to_numpy(), own["weights"]), pa.array([part.as_py()] * n, pa.int32()), docids, lists(hits, scores)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -475,31 +691,58 @@ def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: st
     Ties: ``round(score, 6) desc, docid asc``. Questions with no matching term
     yield no rows (Q8). Each question term is weighted by its stored document
     frequency; ``N`` and ``avgdl`` are scalar subqueries over the (one-row) corpus
-    statistics. A block of an asked term goes to its shard once, however many questions
-    ask for it; questions go to every shard, one row each.
+    statistics. Neighbouring shards are searched as one part, of about ``PART_TERMS`` terms
+    at most. A block goes to its part once, however many questions
+    ask for it; questions go to every part, in lists. From ``MANY`` questions on, these are analysed
+    and weighted once, blocks go without a join with the asked terms, and each question is
+    asked in one part first: its kth score there is what a document of another part must reach.
     """
+    spark = index.blocks.sparkSession
     shards = index.shards
     if shards is None:
         shards = sorted(r.shard for r in index.blocks.select("shard").distinct().collect())
+    n_terms = index.corpus_stats.select((F.col("n_docs") * F.col("avgdl")).alias("n")).first()["n"] or 0
+    parts = max(min(len(shards), max(-(-int(n_terms) // PART_TERMS), spark.sparkContext.defaultParallelism)), 1)
+    many = questions.count() >= MANY
     qt = query_terms(questions, id_col, text_col, analyzer)
     n_docs, avgdl = (index.corpus_stats.select(c).scalar() for c in ("n_docs", "avgdl"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     asked = qt.select("term").distinct()
-    weighted = qt.join(index.term_stats.join(asked, "term", "left_semi"), "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
-    blocks = index.blocks.join(asked, "term", "left_semi")
+    stats = index.term_stats if many else index.term_stats.join(asked, "term", "left_semi")
+    blocks = index.blocks if many else index.blocks.join(asked, "term", "left_semi")
+    weighted = qt.join(stats, "term").select("id", "term", (F.col("qtf") * idf).alias("weight"))
     asked = weighted.groupBy("id").agg(F.collect_list(F.struct("term", "weight")).alias("q"))
     asked = asked.select("id", F.col("q")["term"].alias("terms"), F.col("q")["weight"].alias("weights"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(max(len(shards), 1) - 1)))
-    rows = asked.select(every.alias("shard"), F.lit(_QUESTION).alias("kind"), "id", "terms", "weights")
-    place = _place("shard", shards).alias("shard")
-    told = blocks.select(place, F.lit(_POSTINGS).alias("kind"), "term", *LISTS, avgdl.alias("avgdl"))
-    if index.dead is not None:  # a shard hears of its dead documents, at most all of its own
-        gone = index.dead.groupBy("shard").agg(F.collect_list(F.struct("docid")).alias("d"))
-        told = told.unionByName(gone.select(place, F.lit(_DEAD).alias("kind"), F.col("d")["docid"].alias("docids"), avgdl.alias("avgdl")), allowMissingColumns=True)
-    rows = rows.unionByName(told, allowMissingColumns=True)
-    schema = T.StructType([T.StructField("id", qt.schema["id"].dataType), T.StructField("docid", index.postings.schema["docid"].dataType), T.StructField("score", T.DoubleType())])
-    rows = rows.repartitionById(max(len(shards), 2), "shard").sortWithinPartitions("shard", "kind")  # a task a shard
-    scored = rows.groupBy("shard").applyInArrow(_shard_search(k, k1, b), schema).withColumn("score", F.round("score", 6))
+    part = F.floor(_place("shard", shards) * F.lit(parts) / F.lit(max(len(shards), 1))).cast("int").alias("part")
+    told = blocks.select(part, "shard", "term", *LISTS).mapInArrow(_pack_postings, _PACKS)
+    if index.dead is not None:  # a part hears of its dead documents, at most all of its own
+        told = told.unionByName(index.dead.select(part, "shard", "docid").mapInArrow(_pack_dead, _PACKS))
+    told = told.withColumn("avgdl", avgdl)
+    id_type, docid_type = qt.schema["id"].dataType, index.postings.schema["docid"].dataType
+    hit = T.StructType([T.StructField("id", id_type), T.StructField("docid", docid_type), T.StructField("score", T.DoubleType())])
+
+    def search(asked: DataFrame, of_part, schema: T.StructType) -> DataFrame:
+        """The answers to ``asked`` in the parts that ``of_part`` makes of a list's."""
+        rows = asked.mapInArrow(_pack_questions, _PACKS).withColumn("part", of_part(F.col("part"))).withColumn("avgdl", F.lit(None).cast("double"))
+        rows = rows.unionByName(told)
+        rows = rows.repartitionById(max(parts, 2), "part").sortWithinPartitions("part", "kind")  # a task a part
+        return rows.groupBy("part").applyInArrow(_part_search(k, k1, b, schema.names), schema)
+
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    no_bound = F.lit(float("-inf")).alias("least")
+    if many and parts > 1:
+        asked = materialize(asked, "asked")
+        home = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("home")
+        in_lists = [T.StructField(name, T.ArrayType(t)) for name, t in (("docids", docid_type), ("scores", T.DoubleType()))]
+        schema = T.StructType([T.StructField("id", id_type), *asked.schema.fields[1:], T.StructField("home", T.IntegerType()), *in_lists])
+        found = materialize(search(asked.select("*", home, no_bound), lambda p: p, schema), "first-hits")
+        release(asked)
+        least = F.when(F.size("scores") == k, F.array_min("scores")).otherwise(F.lit(float("-inf"))).alias("least")
+        scored = search(found.select("id", "terms", "weights", "home", least), lambda p: F.explode(F.array_remove(every, p)), hit)
+        scored = scored.unionByName(found.select("id", F.inline(F.arrays_zip("docids", "scores")).alias("docid", "score")))
+    else:
+        scored = search(asked.select("*", F.lit(0).alias("home"), no_bound), lambda p: F.explode(every), hit)
+    scored = scored.withColumn("score", F.round("score", 6))
     w = Window.partitionBy("id").orderBy(F.col("score").desc(), F.col("docid").asc())
     return (
         scored.withColumn("rank", F.row_number().over(w))
