@@ -218,9 +218,9 @@ def q_retrieve_pairs(c: Ctx):
 def q_recall_at_k(c: Ctx):
     """Train questions (first sentence of a document) against their own document as
     the gold answer."""
-    tq = dt.train_raw(c.spark, c.sf).join(c.prep.examples.select(F.col("example_id").alias("id")), "id", "left_semi")
+    gold = c.examples.select(F.col("example_id").alias("id"), "docid")  # stored before the index: texts are joined once
+    tq = dt.train_raw(c.spark, c.sf).join(gold, "id", "left_semi")
     hits = retrieval.bm25_topk(c.index, tq, K)
-    gold = c.prep.examples.select(F.col("example_id").alias("id"), "docid")
     return retrieval.recall_at_k(hits, gold, K)
 
 
