@@ -702,7 +702,8 @@ def bm25_topk(index: Index, questions: DataFrame, k: int = DEFAULT_K, id_col: st
     if shards is None:
         shards = sorted(r.shard for r in index.blocks.select("shard").distinct().collect())
     n_terms = index.corpus_stats.select((F.col("n_docs") * F.col("avgdl")).alias("n")).first()["n"] or 0
-    parts = max(min(len(shards), max(-(-int(n_terms) // PART_TERMS), spark.sparkContext.defaultParallelism)), 1)
+    at_once = spark.sparkContext.defaultParallelism
+    parts = max(min(len(shards), max(-(-int(n_terms) // (PART_TERMS * at_once)), 1) * at_once), 1)
     many = questions.count() >= MANY
     qt = query_terms(questions, id_col, text_col, analyzer)
     n_docs, avgdl = (index.corpus_stats.select(c).scalar() for c in ("n_docs", "avgdl"))
